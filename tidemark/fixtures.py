@@ -62,10 +62,11 @@ def identity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dev",
         "ts_us",
         "event_id",
-        "case when k % 10 = 0 then 'reset' else 'identify' end as op",
-        "case when k % 10 = 0 then null when k % 10 = 1 then '  ' "
+        "user_id",
+        "case when k % 10 = 0 then 'reset' when k % 10 < 4 then 'alias' else 'identify' end as op",
+        "case when k % 10 = 0 then null when k % 10 = 4 then '  ' "
         "else concat(' user_', user_id, '_', k % 3, ' ') end as user",
-        "concat('cust_', user_id) as customer",
+        "concat('cust_', user_id, '_', k % 2) as customer",
     )
 
 
@@ -262,10 +263,10 @@ VIEWS = {
     "v_fast": "SELECT *, ts_us // 1000 // 20000 AS c_ms FROM v_events",
     "v_frames": "SELECT dev, event_id, ts_us // 100 AS frame_ns FROM v_events",
     "v_identity_log": """
-        SELECT dev, user_id, ts_us, event_id, CASE WHEN k % 10 = 0 THEN 'reset' ELSE 'identify' END AS op,
-               CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 1 THEN '  '
+        SELECT dev, user_id, ts_us, event_id, CASE WHEN k % 10 = 0 THEN 'reset' WHEN k % 10 < 4 THEN 'alias' ELSE 'identify' END AS op,
+               CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 4 THEN '  '
                     ELSE ' user_' || user_id || '_' || (k % 3) || ' ' END AS "user",
-               'cust_' || user_id AS customer
+               'cust_' || user_id || '_' || (k % 2) AS customer
         FROM v_events WHERE name = 'group.set'""",
     "v_consent_log": """
         SELECT dev, ts_us, event_id, k % 5 <> 0 AS analytics, k % 7 <> 0 AS errors
