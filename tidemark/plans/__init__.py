@@ -1,6 +1,6 @@
 """The registered queries, grouped by area."""
 
-from . import identity, sessions, values  # noqa: F401
+from . import identity, sessions, sources, values  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
