@@ -105,7 +105,7 @@ def attach_breadcrumbs(
     )
     older = blocks.select(key, (F.col("__block") + 1).alias("__block"), F.col("__items").alias("__older"))
     found = asked.join(blocks, [key, "__block"], "left").join(older, [key, "__block"], "left")
-    none = F.filter(F.coalesce("__items", "__older"), lambda x: F.lit(False))
+    none = F.array().cast(blocks.schema["__items"].dataType)
     pool = F.concat(F.coalesce("__older", none), F.coalesce("__items", none))
     recent = F.filter(
         pool,

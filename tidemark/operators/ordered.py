@@ -163,6 +163,10 @@ def as_of(
     )
 
 
+# Runs up to this many rows are decided by a fold in one task, longer ones by pointer doubling.
+FOLD_ROWS = 4096
+
+
 def open_intervals(
     df: DataFrame,
     keys: Sequence[str],
@@ -172,6 +176,7 @@ def open_intervals(
     starts_run: Column | None = None,
     width: int = HOUR_MS,
     also: dict[str, Running] | None = None,
+    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """Mark rows that open an interval: the first row, then each first row at least
     ``length`` after the last opener. Rows inside an interval do not extend it.
@@ -181,30 +186,67 @@ def open_intervals(
 
     A row that follows its predecessor by ``length`` or more always opens, so rows split
     into runs that can be decided alone, and a run shorter than ``length`` has its
-    first row as sole opener. Only longer runs need the chain of openers followed; that is
-    done for all of them at once by pointer doubling over equi-joins, so neither
-    a long run nor a hot key is ever gathered in one place.
+    first row as sole opener. Only longer runs, usually few, need their openers followed one
+    after the other: their distinct times are written once, runs of at most ``fold_rows`` of
+    them are folded, and longer ones go through ``_follow``.
     """
-    keys = list(keys)
-    scan = Ordered(df, keys, [time, seq], width).running(__prev=previous(F.col(time)), **(also or {}))
+    keys, also = list(keys), also or {}
+    scan = Ordered(df, keys, [time, seq], width).running(__prev=previous(F.col(time)), **also)
     head = F.col("__prev").isNull() | (F.col(time) - F.col("__prev") >= length)
     if starts_run is not None:
         head = head | F.coalesce(starts_run, F.lit(False))
-    marked = (
-        scan.with_columns(__head=head)
-        .running(__run=last(F.when(F.col("__head"), F.struct(F.col(time).alias("t"), F.col(seq).alias("s")))))
-        .frame()
-    )
-    run = [*keys, "__run"]
-    long_runs = marked.groupBy(*run).agg(F.max(time).alias("__to")).filter(F.col("__to") - F.col("__run.t") >= length)
-    widest = long_runs.agg(F.max(F.col("__to") - F.col("__run.t")).alias("w")).first()["w"]
-    extra = [c for c in marked.columns if c.startswith("__") or c in (also or {})]
-    if widest is None:
-        return marked.withColumn("opens", F.col("__head")).drop(*extra)
+    scan = scan.with_columns(__head=head)
+    heads = scan.frame().drop("__prev", *also)
 
+    run = [*keys, "__run"]
+    at = F.struct(F.col(time).alias("t"), F.col(seq).alias("s"))
+    runs = scan.running(__run=last(F.when(F.col("__head"), at))).frame().select(*run, time, seq)
+    long_runs = runs.groupBy(*run).agg(F.max(time).alias("__to")).filter(F.col("__to") - F.col("__run.t") >= length)
     # One candidate per run and instant: the first row there, others cannot open.
-    inside = marked.join(long_runs.select(*run), run, "left_semi")
-    ticks = cut_lineage(inside.groupBy(*run, time).agg(F.min(seq).alias(seq)))
+    ticks = runs.join(long_runs.select(*run), run, "left_semi").groupBy(*run, time).agg(F.min(seq).alias(seq))
+    ticks = cut_lineage(ticks)
+    if ticks.isEmpty():
+        return heads.withColumnRenamed("__head", "opens")
+
+    sized = ticks.groupBy(*run).agg(F.count(F.lit(1)).alias("__n"), F.max(time).alias("__to"))
+    opened = _fold(ticks.join(sized.filter(F.col("__n") <= fold_rows).select(*run), run, "left_semi"), run, time, seq, length)
+    big = sized.filter(F.col("__n") > fold_rows)
+    widest = big.agg(F.max(F.col("__to") - F.col("__run.t")).alias("w")).first()["w"]
+    if widest is not None:
+        rest = ticks.join(big.select(*run), run, "left_semi")
+        opened = opened.unionByName(_follow(rest, run, time, seq, length, widest, width))
+    opened = opened.select(*keys, time, seq, F.lit(True).alias("__opened"))
+    return (
+        heads.join(opened, [*keys, time, seq], "left")
+        .withColumn("opens", F.col("__head") | F.coalesce("__opened", F.lit(False)))
+        .drop("__head", "__opened")
+    )
+
+
+def _fold(ticks: DataFrame, run: list[str], time: str, seq: str, length: int) -> DataFrame:
+    """Openers of runs small enough to be an array each."""
+    tick = F.struct(F.col(time).alias("t"), F.col(seq).alias("s"))
+    per_run = ticks.groupBy(*run).agg(F.array_sort(F.collect_list(tick)).alias("__ticks"))
+    first = F.element_at("__ticks", 1)
+
+    def step(openers: Column, t: Column) -> Column:
+        return F.when(t["t"] - F.element_at(openers, -1)["t"] >= length, F.concat(openers, F.array(t))).otherwise(openers)
+
+    openers = F.aggregate("__ticks", F.array(first), step)
+    return per_run.select(*run, F.explode(openers).alias("__o")).select(
+        *run, F.col("__o.t").alias(time), F.col("__o.s").alias(seq)
+    )
+
+
+def _follow(
+    ticks: DataFrame, run: list[str], time: str, seq: str, length: int, widest: int, width: int
+) -> DataFrame:
+    """Openers of long runs, all at once, by pointer doubling.
+
+    Each time links to the first one at least ``length`` later; the times reached from a run's
+    head by 1, 2, 4, ... links are its openers. Every join is on (run, time), so a
+    long run is spread over all tasks, and log2(chain) rounds are enough.
+    """
     points = ticks.select(*run, F.col(time).alias("__at"), F.lit(1).alias("__cand"), F.col(time).alias("__cand_at"))
     probes = ticks.select(
         *run, (F.col(time) + length).alias("__at"), F.lit(0).alias("__cand"), F.col(time).alias("__from")
@@ -218,18 +260,9 @@ def open_intervals(
     )
     links = cut_lineage(links)
     reached = ticks.select(*run, F.col("__run.t").alias("__from")).distinct()
-    for _ in range(max(1, math.ceil(math.log2(widest / length + 1)))):
+    for _ in range(math.ceil(math.log2(widest / length + 1)) + 1):
         step = reached.join(links, [*run, "__from"]).select(*run, F.col("__next").alias("__from"))
         reached = cut_lineage(reached.unionByName(step).distinct())
         hop = links.select(*run, F.col("__from").alias("__next"), F.col("__next").alias("__then"))
         links = cut_lineage(links.join(hop, [*run, "__next"]).select(*run, "__from", F.col("__then").alias("__next")))
-    opened = (
-        reached.withColumnRenamed("__from", time)
-        .join(ticks, [*run, time])
-        .select(*keys, time, seq, F.lit(True).alias("__opened"))
-    )
-    return (
-        marked.join(opened, [*keys, time, seq], "left")
-        .withColumn("opens", F.col("__head") | F.coalesce(F.col("__opened"), F.lit(False)))
-        .drop(*extra, "__opened")
-    )
+    return reached.withColumnRenamed("__from", time).join(ticks, [*run, time]).select(*run, time, seq)
