@@ -66,10 +66,10 @@ def attach_breadcrumbs(
 ) -> DataFrame:
     """Add ``breadcrumbs``: the last ``n`` crumbs before each error, oldest first, since the last reset.
 
-    Crumbs are numbered per device, and stored as blocks of ``n`` by number. An error at
-    crumb count c needs the blocks holding c-n+1..c, which are two at most, so
-    it is an equi-join on (device, block): no list is copied per crumb, and a block is
-    never longer than ``n`` whatever a device sends.
+    Crumbs are numbered per device and each goes to the block of its number and to the next, so
+    the block of crumb c holds all of c-n+1..c. An error then finds its crumbs by one
+    equi-join on (device, block): no list is copied per crumb, and a block never holds more
+    than 2n whatever a device sends.
     """
     head = [key, time, seq]
     payload = [c for c in errors.columns if c not in head]
@@ -89,9 +89,10 @@ def attach_breadcrumbs(
         )
         .frame()
     )
+    block = F.expr(f"(__count - 1) div {int(n)}")
     numbered = scan.filter("__kind = 1").select(
         key,
-        ((F.col("__count") - 1) / n).cast("bigint").alias("__block"),
+        F.explode(F.array(block, block + 1)).alias("__block"),
         F.struct(
             F.col("__count").alias("no"),
             F.struct(F.col(time).alias("t"), F.lit(1).alias("k"), F.col(seq).alias("s")).alias("at"),
@@ -99,16 +100,13 @@ def attach_breadcrumbs(
         ).alias("__c"),
     )
     blocks = numbered.groupBy(key, "__block").agg(F.collect_list("__c").alias("__items"))
-    newest = ((F.col("__count") - 1) / n).cast("bigint")
     asked = scan.filter("__kind = 2").select(
-        *head, "__error", "__count", "__reset", F.when(F.col("__count") > 0, newest).alias("__block")
+        *head, "__error", "__count", "__reset", F.when(F.col("__count") > 0, block).alias("__block")
     )
-    older = blocks.select(key, (F.col("__block") + 1).alias("__block"), F.col("__items").alias("__older"))
-    found = asked.join(blocks, [key, "__block"], "left").join(older, [key, "__block"], "left")
+    found = asked.join(blocks, [key, "__block"], "left")
     none = F.array().cast(blocks.schema["__items"].dataType)
-    pool = F.concat(F.coalesce("__older", none), F.coalesce("__items", none))
     recent = F.filter(
-        pool,
+        F.coalesce("__items", none),
         lambda c: (c["no"] <= F.col("__count"))
         & (c["no"] > F.col("__count") - n)
         & (F.col("__reset").isNull() | (c["at"] > F.col("__reset"))),

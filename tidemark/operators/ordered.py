@@ -260,7 +260,7 @@ def _follow(
     )
     links = cut_lineage(links)
     reached = ticks.select(*run, F.col("__run.t").alias("__from")).distinct()
-    for _ in range(math.ceil(math.log2(widest / length + 1)) + 1):
+    for _ in range(math.ceil(math.log2(widest / length + 1))):
         step = reached.join(links, [*run, "__from"]).select(*run, F.col("__next").alias("__from"))
         reached = cut_lineage(reached.unionByName(step).distinct())
         hop = links.select(*run, F.col("__from").alias("__next"), F.col("__next").alias("__then"))
