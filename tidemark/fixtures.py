@@ -7,6 +7,8 @@ expression in ``VIEWS``, so that a query and its SQL start from the same rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +23,22 @@ EVENT_NAMES = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+@dataclass(frozen=True)
+class Streams:
+    """Stands in for the session where a view is to be opened as a stream of files."""
+
+    spark: SparkSession
+
+
+def table(spark: SparkSession | Streams, sf_dir: str, name: str) -> DataFrame:
+    if isinstance(spark, Streams):
+        schema = table(spark.spark, sf_dir, name).schema
+        return spark.spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet")
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     name = F.coalesce(*[F.when(F.col("event_type") == t, n) for t, n in EVENT_NAMES.items()])
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -39,25 +51,25 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _of(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+def _of(spark: SparkSession | Streams, sf_dir: str, *names: str) -> DataFrame:
     return events(spark, sf_dir).filter(F.col("name").isin(*names))
 
 
-def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def redelivered(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     copy = ev.filter("event_id % 7 = 0").withColumn("received_us", F.expr("ts_us + (k + 1) * 60000000L"))
     return ev.withColumn("received_us", F.col("ts_us")).unionByName(copy)
 
 
-def fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fast(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).withColumn("c_ms", F.expr("ts_us div 1000 div 20000"))
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frames(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).selectExpr("dev", "event_id", "ts_us div 100 as frame_ns")
 
 
-def identity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def identity_log(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "group.set").selectExpr(
         "dev",
         "ts_us",
@@ -70,13 +82,13 @@ def identity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def consent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def consent_log(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "group.set").selectExpr(
         "dev", "ts_us", "event_id", "k % 5 <> 0 as analytics", "k % 7 <> 0 as errors"
     )
 
 
-def super_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def super_log(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "element.clicked").selectExpr(
         "dev",
         "ts_us",
@@ -87,7 +99,7 @@ def super_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lifecycle(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "page.viewed", "element.clicked", "group.set").selectExpr(
         "dev",
         "ts_us",
@@ -96,11 +108,11 @@ def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def connectivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def connectivity(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "page.viewed").selectExpr("dev", "ts_us", "event_id", "k % 3 <> 0 as online")
 
 
-def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def errors(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "$error").selectExpr(
         "event_id",
         "dev",
@@ -117,7 +129,7 @@ def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def launches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def launches(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "group.set").selectExpr(
         "dev", "ts_us", "event_id", "cast(floor(value * 10) as bigint) - 50 as elapsed_ms", "concat('1.', k % 3) as version"
     )
@@ -129,7 +141,7 @@ _STATUS = (
 )
 
 
-def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def attempts(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "purchase.completed").selectExpr(
         "concat('batch_', event_id % 300) as key",
         "ts_us div 1000 as ts_ms",
@@ -139,7 +151,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def responses(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "purchase.completed").selectExpr(
         "event_id",
         "ts_us div 1000 as received_ms",
@@ -154,7 +166,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "purchase.completed").selectExpr(
         "concat('key_', event_id % 200) as key",
         "ts_us div 1000 as ts_ms",
@@ -164,7 +176,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def purchases(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "purchase.completed").selectExpr(
         "event_id",
         "dev",
@@ -182,7 +194,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def billing_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def billing_results(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     """One billing callback per purchase row, its purchases as an array (empty for some)."""
     p = purchases(spark, sf_dir)
     item = F.struct(
@@ -203,7 +215,7 @@ def billing_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 AT_US = 883_612_800_000_000  # 1998-01-01
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshots(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     """Entitlement snapshots in long form: one row per user, snapshot time and key."""
     o = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey as user",
@@ -221,7 +233,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def refresh_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def refresh_failures(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .filter("o_orderstatus = 'F'")
@@ -229,15 +241,15 @@ def refresh_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
-def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def links(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url")
 
 
-def forget_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forget_requests(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     users = events(spark, sf_dir).filter("user_id % 17 = 0").select("user_id").distinct()
     return users.selectExpr(
         "case when user_id % 3 = 0 then cast(user_id as string) end as user",
