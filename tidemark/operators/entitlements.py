@@ -57,8 +57,11 @@ def active_keys(users: DataFrame, snapshots: DataFrame, at: int, user: str = "us
 
 
 def as_documents(snapshots: DataFrame, user: str = "user", time: str = "ts_us") -> DataFrame:
-    """One row per snapshot with its entitlements as a sorted array (one response's worth)."""
-    items = F.array_sort(F.collect_list(F.struct("key", "active", "valid_until_us")))
+    """One row per snapshot with its entitlements as a sorted array: one response's worth.
+
+    Gathered as a set, so copies of a row collapse on the map side.
+    """
+    items = F.array_sort(F.collect_set(F.struct("key", "active", "valid_until_us")))
     return snapshots.groupBy(user, time).agg(items.alias("entitlements"))
 
 

@@ -144,7 +144,8 @@ def as_of(
     Logs share the key, time and sequence columns of ``events``; their other columns
     arrive as one struct column under the log's name (null when there is none).
     A log row at the same instant as an event counts as earlier. All logs ride in
-    one union, so all lookups together cost one shuffle.
+    one union, so all lookups together cost one shuffle. The inputs are read twice, once for the rows and once for
+    the chunk summary: hand in tables, not long computations (``session.cut_lineage`` writes one).
     """
     head = [*keys, time, seq]
     payload = {n: [c for c in log.columns if c not in head] for n, log in logs.items()}

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .identity import fold_super_properties, group_operations
 from .ordered import HOUR_US, as_of
 
@@ -47,7 +48,8 @@ def group_rollup(
 ) -> DataFrame:
     """Events and users per tenant of one group type, by the tenant set when each event happened."""
     name = f"group_{group_type}"
-    state = fold_super_properties(group_operations(groups, key, time, seq), [name], key, time, seq, width)
+    # Written once: the join below reads the state twice.
+    state = cut_lineage(fold_super_properties(group_operations(groups, key, time, seq), [name], key, time, seq, width))
     held = as_of(events, {"__group": state}, [key], time, seq, width)
     tenant = F.try_element_at("__group.props", F.lit(name)).alias("group_key")
     return rows_and_users(held.select(user, tenant), ["group_key"], user)

@@ -23,12 +23,14 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no`` and ``session_id``: a pause of at least ``idle`` starts a session.
 
-    One shuffle by (key, chunk). Inside a chunk sessions are counted by ``lag``; a
-    chunk's first row is compared with the end of the chunk before it in the summary.
+    One shuffle by (key, chunk), read by both halves of the plan when ``df`` is narrow. Inside a
+    chunk sessions are counted by ``lag``; a chunk's first row is compared with the end of the
+    chunk before it in the summary. Rows without key or time are in no session and left out.
     """
     chunk = F.expr(f"cast(`{time}` as bigint) div {int(width)}")
     inside = Window.partitionBy(key, "__chunk").orderBy(time, seq)
-    rows = df.withColumn("__chunk", chunk).withColumn(
+    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    rows = placed.withColumn("__chunk", chunk).withColumn(
         "__new", (F.col(time) - F.lag(time).over(inside) >= idle).cast("int")
     )
     ends = rows.groupBy(key, "__chunk").agg(
@@ -44,7 +46,7 @@ def sessionize(
     running = F.sum(F.coalesce(F.col("__new"), F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
         rows.withColumn("__run", running)
-        .join(starts, [key, "__chunk"])
+        .join(starts, [key, "__chunk"], "left")
         .withColumn("session_no", F.col("__base") + F.col("__run"))
         .withColumn("session_id", F.concat_ws("_s", F.col(key), F.col("session_no").cast("string")))
         .drop("__chunk", "__new", "__run", "__base")
@@ -59,8 +61,9 @@ def session_summary(sessions: DataFrame, key: str = "dev", time: str = "ts_us")
     per_session = sessions.groupBy(key, "session_id", "session_no").agg(
         F.min(time).alias("start_us"), F.max(time).alias("end_us"), F.count(F.lit(1)).alias("events")
     )
-    newest = sessions.groupBy(key).agg(F.max("session_no").alias("__newest"))
-    return per_session.join(newest, key).select(
+    # Sessions of a key are at most time span / idle limit, so they may share a task.
+    newest = F.max("session_no").over(Window.partitionBy(key))
+    return per_session.withColumn("__newest", newest).select(
         key,
         "session_id",
         "start_us",

@@ -20,6 +20,7 @@ from ..operators.identity import (
     resolve_customer,
 )
 from ..operators.sessions import lifecycle_sessions, session_log
+from ..session import cut_lineage
 from .registry import query
 from .sessions import _LIFECYCLE
 
@@ -47,7 +48,8 @@ def _fold_identity(spark, sf):
 )
 def _attach_identity(spark, sf):
     events = fx.events(spark, sf).select("event_id", "dev", "ts_us")
-    return attach_identity(events, fold_identity(fx.identity_log(spark, sf))).drop("dev", "ts_us")
+    state = cut_lineage(fold_identity(fx.identity_log(spark, sf)))
+    return attach_identity(events, state).drop("dev", "ts_us")
 
 
 _CONSENTED = """
@@ -191,11 +193,11 @@ def _enrich(spark, sf):
     device = fx.launches(spark, sf).selectExpr("dev", "ts_us", "event_id", "map('app_version', version) as payload")
     out = enrich_events(
         events,
-        identity=fold_identity(fx.identity_log(spark, sf)),
+        identity=cut_lineage(fold_identity(fx.identity_log(spark, sf))),
         consent=fx.consent_log(spark, sf),
-        super_properties=fold_super_properties(fx.super_log(spark, sf), ["plan", "tier"]),
+        super_properties=cut_lineage(fold_super_properties(fx.super_log(spark, sf), ["plan", "tier"])),
         device=device,
-        session=session_log(lifecycle_sessions(fx.lifecycle(spark, sf))),
+        session=cut_lineage(session_log(lifecycle_sessions(fx.lifecycle(spark, sf)))),
     )
     props = [
         F.try_element_at("properties", F.lit(n)).alias(a)

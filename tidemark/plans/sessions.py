@@ -15,6 +15,7 @@ from ..operators.sessions import (
     session_summary,
     sessionize,
 )
+from ..session import cut_lineage
 from .registry import query
 
 _DEDUPED = """
@@ -113,7 +114,7 @@ def _lifecycle(spark, sf):
     ),
 )
 def _attach_session(spark, sf):
-    log = session_log(lifecycle_sessions(fx.lifecycle(spark, sf)))
+    log = cut_lineage(session_log(lifecycle_sessions(fx.lifecycle(spark, sf))))
     return attach_session(fx.events(spark, sf).select("event_id", "dev", "ts_us"), log).drop("ts_us")
 
 

@@ -7,35 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ordered import HOUR_MS, Ordered, total
+from .parse import with_json
 
 BATCH_SIZE = 20
 # The wire name of the canonical customer id is set by the deployment.
 CUSTOMER_FIELD = "customerId"
 
 
-def envelope_schema(customer_field: str = CUSTOMER_FIELD) -> T.StructType:
-    text, number = T.StringType(), T.LongType()
-    event = T.StructType(
-        [
-            T.StructField("eventId", text),
-            T.StructField("name", text),
-            T.StructField("timestamp", number),
-            T.StructField("anonymousId", text),
-            T.StructField("developerUserId", text),
-            T.StructField(customer_field, text),
-            # Kept as JSON text: an object's shape is free.
-            T.StructField("properties", text),
-        ]
+def envelope_schema(customer_field: str = CUSTOMER_FIELD) -> str:
+    """Properties stay JSON text: an object's shape is free."""
+    event = (
+        "eventId:string,name:string,timestamp:bigint,anonymousId:string,developerUserId:string,"
+        f"{customer_field}:string,properties:string"
     )
-    sdk = T.StructType([T.StructField("name", text), T.StructField("version", text)])
-    return T.StructType(
-        [
-            T.StructField("appId", text),
-            T.StructField("environment", text),
-            T.StructField("sdk", sdk),
-            T.StructField("events", T.ArrayType(event)),
-            T.StructField("_corrupt_record", text),
-        ]
+    return (
+        "appId string, environment string, sdk struct<name:string,version:string>, "
+        f"events array<struct<{event}>>, _corrupt_record string"
     )
 
 
@@ -51,12 +38,12 @@ def parse_event_batches(
     null; a missing timestamp takes the receive time. Works on batch and streaming input.
     """
     received = F.lit(None).cast("bigint") if received_ms is None else received_ms
-    schema = envelope_schema(customer_field)
     options = {"columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = docs.withColumn("__received", received).withColumn("__doc", F.from_json(F.col(body), schema, options))
-    broken = F.col("__doc").isNull() | F.col("__doc._corrupt_record").isNotNull()
+    read = docs.select(F.col(body).alias("__body"), received.alias("__received"))
+    parsed = with_json(read, "__body", envelope_schema(customer_field), options)
+    broken = F.col("_corrupt_record").isNotNull() | F.col("__body").isNull()
     rejects = parsed.filter(broken).select(
-        F.col(body).alias("document"), F.col("__received").alias("received_ms"), F.lit("malformed_batch").alias("reject_code")
+        F.col("__body").alias("document"), F.col("__received").alias("received_ms"), F.lit("malformed_batch").alias("reject_code")
     )
 
     def given(name: str) -> Column:
@@ -65,7 +52,7 @@ def parse_event_batches(
     bag = F.col("e.properties")
     rows = (
         parsed.filter(~broken)
-        .select("__received", "__doc.appId", "__doc.environment", "__doc.sdk", F.explode("__doc.events").alias("e"))
+        .select("__received", "appId", "environment", "sdk", F.explode("events").alias("e"))
         .select(
             F.col("appId").alias("app_id"),
             "environment",

@@ -21,10 +21,14 @@ def _env(default: str) -> Column:
     return F.when(F.col("__r.env").isin(*ENVIRONMENTS), F.col("__r.env")).otherwise(default).alias("env")
 
 
+def _parsed(df: DataFrame, body: str, schema: str) -> DataFrame:
+    """The body's fields as the struct column ``__r``, parsed once: a generator's input is not copied into filters."""
+    return df.select("*", F.explode(F.array(F.from_json(F.col(body), schema))).alias("__r"))
+
+
 def _split(df: DataFrame, body: str, schema: str, customer_field: str, code: str) -> tuple[DataFrame, DataFrame]:
-    parsed = df.withColumn("__r", F.from_json(F.col(body), schema))
     customer = F.nullif(F.col(f"__r.{customer_field}"), F.lit(""))
-    marked = parsed.withColumn("customer_id", customer)
+    marked = _parsed(df, body, schema).withColumn("customer_id", customer)
     rejects = marked.filter("customer_id is null").drop("__r", "customer_id").withColumn("reject_code", F.lit(code))
     return marked.filter("customer_id is not null"), rejects
 
@@ -92,7 +96,7 @@ def flatten_heartbeats(
     """Heartbeat bodies as rows; ok is false and the server time the receive time when absent."""
     schema = "ok boolean, projectId string, appId string, env string, serverTime bigint"
     keep = [c for c in responses.columns if c != body]
-    parsed = responses.withColumn("__r", F.from_json(F.col(body), schema)).filter(F.col(body).startswith("{"))
+    parsed = _parsed(responses, body, schema).filter(F.col(body).startswith("{"))
     return parsed.select(
         *keep,
         F.coalesce("__r.ok", F.lit(False)).alias("ok"),
