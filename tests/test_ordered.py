@@ -28,14 +28,14 @@ def by_key(rows):
     return out
 
 
-@pytest.mark.parametrize("width", [1, 7, 100, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 7, 50, 10_000])
 @pytest.mark.parametrize("reverse", [False, True])
-def test_running_values(spark, width, reverse):
+def test_running_values(spark, hot_rows, reverse):
     rows = skewed(600, 1, 500)
     df = spark.createDataFrame(rows, "k string, t long, s long, v int")
     v = F.col("v")
     out = (
-        ordered.Ordered(df, ["k"], ["t", "s"], width)
+        ordered.Ordered(df, ["k"], ["t", "s"], hot_rows)
         .running(
             reverse,
             last=ordered.last(v),
@@ -61,10 +61,23 @@ def test_running_values(spark, width, reverse):
             prev, prev_t = value, t
 
 
+def test_bursts_are_cut(spark):
+    # A tenth of the hot key's rows spread over 40,000 ticks, the rest within 2,000 of them.
+    rows = [("hot", 500 + i // 2 if i % 10 else i * 10, i) for i in range(4000)] + [("cold", i, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, t long, s long")
+    placed = ordered.place(df, ["k"], "t", 100)
+    sizes = placed.groupBy("k", "__chunk", "__hot").count().collect()
+    assert max(r["count"] for r in sizes) <= 400 and sum(r["count"] for r in sizes) == len(rows)
+    assert [(r["count"], r["__hot"]) for r in sizes if r["k"] == "cold"] == [(30, False)]
+    out = ordered.Ordered(df, ["k"], ["t", "s"], 100).running(n=ordered.total(F.lit(1))).frame()
+    want = {r[2]: i + 1 for i, r in enumerate(sorted((r for r in rows if r[0] == "hot"), key=lambda r: r[1:]))}
+    assert {r["s"]: r["n"] for r in out.filter("k = 'hot'").collect()} == want
+
+
 def test_negative_times(spark):
     rows = [("k", t, i, i) for i, t in enumerate([-25, -11, -10, -1, 0, 3, 19])]
     df = spark.createDataFrame(rows, "k string, t long, s long, v int")
-    out = ordered.Ordered(df, ["k"], ["t", "s"], 10).running(n=ordered.total(F.lit(1))).frame()
+    out = ordered.Ordered(df, ["k"], ["t", "s"], 2).running(n=ordered.total(F.lit(1))).frame()
     assert sorted((r["t"], r["n"]) for r in out.collect()) == [(t, i + 1) for i, (_, t, _, _) in enumerate(rows)]
 
 
@@ -98,11 +111,11 @@ def greedy(series, length, changed=lambda a, b: False):
 
 
 @pytest.mark.parametrize("fold_rows", [0, 3, 4096])
-@pytest.mark.parametrize("width", [5, 1000])
-def test_open_intervals(spark, fold_rows, width):
+@pytest.mark.parametrize("hot_rows", [5, 10_000])
+def test_open_intervals(spark, fold_rows, hot_rows):
     rows = skewed(400, 5, 600)
     df = spark.createDataFrame(rows, "k string, t long, s long, v int")
-    out = ordered.open_intervals(df, ["k"], "t", "s", 10, width=width, fold_rows=fold_rows)
+    out = ordered.open_intervals(df, ["k"], "t", "s", 10, hot_rows=hot_rows, fold_rows=fold_rows)
     got = {r["s"] for r in out.filter("opens").collect()}
     assert out.count() == len(rows)
     assert got == set().union(*(greedy(series, 10) for series in by_key(rows).values()))
@@ -116,7 +129,7 @@ def test_coalesce_screens(spark):
     assert kept == {0, 2, 4, 10, 11, 12, 14}
     many = [(k, t, s, str(v)) for k, t, s, v in skewed(500, 6, 4000)]
     df = spark.createDataFrame(many, "dev string, ts_ms long, event_id long, screen string")
-    kept = {r["event_id"] for r in coalesce_screens(df, width=100).collect()}
+    kept = {r["event_id"] for r in coalesce_screens(df, hot_rows=20).collect()}
     assert kept == set().union(*(greedy(s, 250, lambda a, b: a[3] != b[3]) for s in by_key(many).values()))
 
 
@@ -146,16 +159,16 @@ def test_sessions_split_at_the_limit(spark):
     times = [0, 30 * minute - 1, 60 * minute - 1, 60 * minute, 89 * minute]
     rows = [("d", t, i) for i, t in enumerate(times)]
     df = spark.createDataFrame(rows, "dev string, ts_us long, event_id long")
-    for width in (minute, 3_600_000_000, 10**12):
-        got = {r["event_id"]: r["session_no"] for r in sessionize(df, width=width).collect()}
+    for hot_rows in (1, 2, 100):
+        got = {r["event_id"]: r["session_no"] for r in sessionize(df, hot_rows=hot_rows).collect()}
         assert got == {0: 1, 1: 1, 2: 2, 3: 2, 4: 2}
 
 
-@pytest.mark.parametrize("width", [3, 40, 5000])
-def test_sessions_random(spark, width):
+@pytest.mark.parametrize("hot_rows", [1, 40, 5000])
+def test_sessions_random(spark, hot_rows):
     rows = skewed(700, 7, 3000)
     df = spark.createDataFrame(rows, "dev string, ts_us long, event_id long, v int")
-    got = {r["event_id"]: r["session_no"] for r in sessionize(df, idle=11, width=width).collect()}
+    got = {r["event_id"]: r["session_no"] for r in sessionize(df, idle=11, hot_rows=hot_rows).collect()}
     for series in by_key(rows).values():
         number, before = 0, None
         for _, t, s, _ in series:
@@ -171,8 +184,8 @@ def test_lifecycle(spark):
         (5 + half, "foreground"), (6 + half, "foreground"), (7 + half, "background"), (6 + 2 * half, "foreground"),
     ]
     df = spark.createDataFrame([("d", t, i, op) for i, (t, op) in enumerate(ops)], "dev string, ts_us long, event_id long, op string")
-    for width in (2, 10**11):
-        got = sorted((r["event_id"], r["name"][8:], r["reason"]) for r in lifecycle_sessions(df, width=width).collect())
+    for hot_rows in (1, 3, 100):
+        got = sorted((r["event_id"], r["name"][8:], r["reason"]) for r in lifecycle_sessions(df, hot_rows=hot_rows).collect())
         assert got == [
             (0, "started", "resume_idle"), (1, "ended", "background"), (2, "started", "resume"), (3, "ended", "manual_reset"),
             (3, "started", "manual_reset"), (4, "ended", "background"), (6, "started", "resume_idle"), (7, "started", "resume_idle"),
@@ -190,7 +203,7 @@ def test_funnel_needs_order(spark):
 def test_keep_latest(spark):
     rows = [("d", i, i) for i in range(8)] + [("e", 1, 1)]
     df = spark.createDataFrame(rows, "dev string, ts_us long, event_id long")
-    kept, dropped = keep_latest(df, 5, width=3)
+    kept, dropped = keep_latest(df, 5, hot_rows=3)
     assert sorted(r["event_id"] for r in kept.filter("dev = 'd'").collect()) == [3, 4, 5, 6, 7]
     assert [tuple(r) for r in dropped.collect()] == [("d", 3)]
 

@@ -21,7 +21,7 @@ def test_identity(spark):
         ("d", 5, 5, "reset", None, None),
         ("d", 6, 6, "identify", "", None),
     ]
-    state = identity.fold_identity(spark.createDataFrame(ops, f"{HEAD}, op string, user string, customer string"), width=2)
+    state = identity.fold_identity(spark.createDataFrame(ops, f"{HEAD}, op string, user string, customer string"), hot_rows=2)
     got = {r["event_id"]: r for r in state.collect()}
     assert [got[i]["developer_user_id"] for i in range(1, 7)] == ["user_847", "user_847", None, "u2", None, None]
     assert [got[i]["customer_id"] for i in range(1, 7)] == [None, "cust_1", "cust_1", "cust_1", None, None]
@@ -49,8 +49,8 @@ def test_super_properties(spark):
     ops = [("d", i, i, *s) for i, s in enumerate(steps)]
     df = spark.createDataFrame(ops, f"{HEAD}, op string, key string, value string")
     assert identity.property_names(df) == ["plan", "tier"]
-    for width in (1, 5, 100):
-        state = identity.fold_super_properties(df, ["plan", "tier"], width=width)
+    for hot_rows in (1, 5, 100):
+        state = identity.fold_super_properties(df, ["plan", "tier"], hot_rows=hot_rows)
         got = [r["props"] for r in sorted(state.collect(), key=lambda r: r["event_id"])]
         assert got == [
             {"plan": "free"}, {"plan": "pro"}, {"plan": "pro"}, {"plan": "pro", "tier": "1"}, {"plan": "pro", "tier": "1"},
@@ -74,7 +74,7 @@ def test_error_context(spark):
         ("d", 5, 5, "set_context", "cart", None, {}),
     ]
     df = spark.createDataFrame(ops, f"{HEAD}, op string, name string, value string, data map<string,string>")
-    state = identity.fold_error_context(df, ["plan", "env"], ["cart"], width=2)
+    state = identity.fold_error_context(df, ["plan", "env"], ["cart"], hot_rows=2)
     got = [(r["tags"], r["context"]) for r in sorted(state.collect(), key=lambda r: r["event_id"])]
     assert got == [
         ({"plan": "pro"}, {}), ({"plan": "pro"}, {}), ({"plan": "pro"}, {"cart": {"n": "2"}}), ({"env": "qa"}, {"cart": {"n": "2"}}), ({"env": "qa"}, {}),
@@ -213,8 +213,8 @@ def test_breadcrumbs(spark):
     crumbs = spark.createDataFrame(given, f"{HEAD}, {crumb}")
     errs = spark.createDataFrame([("d", 0, 20, "e"), ("d", 2, 21, "e"), ("d", 7, 22, "e"), ("d", 9, 23, "e"), ("d", 11, 24, "e"), ("x", 9, 25, "e")], f"{HEAD}, type string")
     resets = spark.createDataFrame([("d", 8, 30)], HEAD)
-    for width in (1, 4, 100):
-        out = errors.attach_breadcrumbs(errs, crumbs, resets, n=3, width=width)
+    for hot_rows in (1, 4, 100):
+        out = errors.attach_breadcrumbs(errs, crumbs, resets, n=3, hot_rows=hot_rows)
         got = {r["event_id"]: [c["message"] for c in r["breadcrumbs"]] for r in out.collect()}
         assert got == {20: [], 21: ["m1", "m2"], 22: ["m5", "m6", "m7"], 23: [], 24: ["after"], 25: []}
 
@@ -227,7 +227,7 @@ def test_recover_fatals(spark):
         f"{HEAD}, type string, message string, frames {frame}, fatal boolean",
     )
     launches = spark.createDataFrame([("d", 0, 10), ("d", 5, 11), ("d", 6, 12), ("d", 9, 13)], HEAD)
-    out = errors.recover_fatals(errs, launches, width=2)
+    out = errors.recover_fatals(errs, launches, hot_rows=2)
     assert rows(out, "event_id", "fatal_id", "type", F.size("stack")) == [(11, 2, "B", 50), (13, 4, "D", 0)]
 
 
@@ -248,11 +248,11 @@ def test_error_wire_form(spark):
 def test_vitals(spark):
     ms = 1_000_000
     frames = spark.createDataFrame([("d", t * ms, i) for i, t in enumerate([0, 16, 33, 733, 1434])], "dev string, frame_ns long, event_id long")
-    got = vitals.frame_jank(frames, width=20 * ms).first()
+    got = vitals.frame_jank(frames, hot_rows=2).first()
     assert (got["total_frames"], got["slow_frames"], got["frozen_frames"], got["slow_pct"]) == (4, 2, 1, 50.0)
     states = spark.createDataFrame([("d", i, i, s) for i, s in enumerate([True, False, False, True, True])], f"{HEAD}, online boolean")
-    assert rows(vitals.rising_edges(states, width=2), "event_id") == [(3,)]
-    assert rows(vitals.rising_edges(states, seed=False, width=2), "event_id") == [(0,), (3,)]
+    assert rows(vitals.rising_edges(states, hot_rows=2), "event_id") == [(3,)]
+    assert rows(vitals.rising_edges(states, seed=False, hot_rows=2), "event_id") == [(0,), (3,)]
     beats = spark.createDataFrame([("d", t, i) for i, t in enumerate([0, 5_000_000, 10_000_001, 11_000_000])], HEAD)
     assert rows(vitals.detect_stalls(beats), "event_id") == [(1,)]
     starts = spark.createDataFrame([("p", 1, 5), ("p", 2, 9), ("q", 1, 0), ("q", 2, 4)], "process_id string, ts_us long, elapsed_ms long")

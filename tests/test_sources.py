@@ -18,7 +18,7 @@ def test_batches_round_trip(spark, tmp_path):
         "app_id string, environment string, event_id string, name string, timestamp_ms long, anonymous_id string, "
         "developer_user_id string, customer_id string, properties map<string,double>"
     )
-    packed = pack_event_batches(spark.createDataFrame(data, schema), "sdk", "1.0", width=7)
+    packed = pack_event_batches(spark.createDataFrame(data, schema), "sdk", "1.0", hot_rows=7)
     got = sorted((r["batch_no"], r["events"]) for r in packed.collect())
     assert got == [(0, 20), (1, 20), (2, 5)]
     first = json.loads(packed.filter("batch_no = 0").first()["value"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.wire import classify_outcome, retry_ceiling
-from .ordered import HOUR_MS, HOUR_US, Ordered, before, open_intervals, previous, total
+from .ordered import HOT_ROWS, Ordered, before, open_intervals, previous, total
 
 DAY_MS = 86_400_000
 MAX_RETRYABLE = 6
@@ -38,10 +38,10 @@ def resolve_replays(
     Only a success is cached, and expiry starts over with the next success.
     """
     success = F.col("status").between(200, 299)
-    stored = open_intervals(requests.filter(success), [key], time, seq, ttl, width=ttl).filter("opens")
+    stored = open_intervals(requests.filter(success), [key], time, seq, ttl).filter("opens")
     cached = stored.select(key, time, seq, F.struct(F.col(time).alias("t"), F.col(body).alias("b")).alias("__stored"))
     joined = requests.join(cached, [key, time, seq], "left")
-    state = Ordered(joined, [key], [time, seq], ttl).running(__answer=before(F.col("__stored"))).frame()
+    state = Ordered(joined, [key], [time, seq]).running(__answer=before(F.col("__stored"))).frame()
     live = F.col("__answer").isNotNull() & (F.col(time) - F.col("__answer.t") < ttl)
     same = F.col(body).eqNullSafe(F.col("__answer.b"))
     outcome = F.when(live & same, "replayed").when(live, "conflict").otherwise("executed")
@@ -59,7 +59,7 @@ def delivery_outcomes(attempts: DataFrame, key: str = "key", time: str = "ts_ms"
     kind = classify_outcome(F.col("status"))
     retryable = F.when(F.col("__kind") == "retryable", 1).otherwise(0)
     counted = (
-        Ordered(attempts.withColumn("__kind", kind), [key], [time, seq], HOUR_MS)
+        Ordered(attempts.withColumn("__kind", kind), [key], [time, seq])
         .running(__tries=total(F.lit(1)), __failures=total(retryable))
         .frame()
     )
@@ -94,13 +94,13 @@ def first_event_sent(delivered: DataFrame, scope: str = "app", time: str = "ts_m
 
 
 def keep_latest(
-    df: DataFrame, n: int = 1000, key: str = "dev", time: str = "ts_us", seq: str = "event_id", width: int = HOUR_US
+    df: DataFrame, n: int = 1000, key: str = "dev", time: str = "ts_us", seq: str = "event_id", hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """The newest ``n`` rows per device, and how many each device lost.
 
     This buffer cap is the rule itself. Ranks come from a chunked count, newest first.
     """
-    ranked = Ordered(df, [key], [time, seq], width).running(reverse=True, __rank=total(F.lit(1))).frame()
+    ranked = Ordered(df, [key], [time, seq], hot_rows).running(reverse=True, __rank=total(F.lit(1))).frame()
     kept = ranked.filter(F.col("__rank") <= n).drop("__rank")
     dropped = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > n)
     return kept, dropped.select(key, (F.col("rows") - n).alias("dropped"))
@@ -122,7 +122,7 @@ def retry_audit(
     """
     marked = attempts.withColumn("__kind", classify_outcome(F.col("status")))
     state = (
-        Ordered(marked, [key], [time, seq], HOUR_MS)
+        Ordered(marked, [key], [time, seq])
         .running(__failures=total(F.when(F.col("__kind") == "retryable", 1).otherwise(0)))
         .running(reverse=True, __next=previous(F.col(time)))
         .frame()

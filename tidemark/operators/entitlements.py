@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import HOUR_US, Ordered, as_of, previous
+from .ordered import HOT_ROWS, Ordered, as_of, previous
 
 STALE_US = 60_000_000
-DAY_US = 24 * HOUR_US
 
 
 def is_valid(active: Column, valid_until: Column, at: Column) -> Column:
@@ -71,11 +70,11 @@ def is_entitled_as_of(
     user: str = "user",
     time: str = "ts_us",
     seq: str = "request_id",
-    width: int = DAY_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Answer (user, key) requests each at its own time."""
     documents = as_documents(snapshots, user, time).withColumn(seq, F.lit(0).cast("bigint"))
-    out = as_of(requests, {"__snapshot": documents}, [user], time, seq, width)
+    out = as_of(requests, {"__snapshot": documents}, [user], time, seq, hot_rows)
     held = F.exists(
         F.col("__snapshot.entitlements"),
         lambda e: (e["key"] == F.col("key")) & is_valid(e["active"], e["valid_until_us"], F.col(time)),
@@ -111,7 +110,7 @@ def entitlement_changes(
     entitlements_only: bool = False,
     user: str = "user",
     time: str = "ts_us",
-    width: int = DAY_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Change feed: one row per snapshot that differs from the user's previous one.
 
@@ -121,5 +120,5 @@ def entitlement_changes(
     documents = as_documents(snapshots, user, time)
     if not entitlements_only:
         return documents
-    scanned = Ordered(documents, [user], [time], width).running(__before=previous(F.col("entitlements"))).frame()
+    scanned = Ordered(documents, [user], [time], hot_rows).running(__before=previous(F.col("entitlements"))).frame()
     return scanned.filter(~F.col("entitlements").eqNullSafe(F.col("__before"))).drop("__before")

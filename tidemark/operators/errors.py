@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.privacy import scrub_pii
 from ..functions.stacks import fingerprint, parse_stack
-from .ordered import HOUR_US, Ordered, before, last, total
+from .ordered import HOT_ROWS, Ordered, before, last, total
 
 BREADCRUMBS = 50
 FATAL_FRAMES = 50
@@ -62,7 +62,7 @@ def attach_breadcrumbs(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``breadcrumbs``: the last ``n`` crumbs before each error, oldest first, since the last reset.
 
@@ -82,7 +82,7 @@ def attach_breadcrumbs(
     for part in kinds[1:]:
         union = union.unionByName(part, allowMissingColumns=True)
     scan = (
-        Ordered(union, [key], [time, "__kind", seq], width)
+        Ordered(union, [key], [time, "__kind", seq], hot_rows)
         .running(
             __count=total(F.when(F.col("__kind") == 1, 1).otherwise(0)),
             __reset=last(F.when(F.col("__kind") == 0, F.struct(F.col(time).alias("t"), F.col("__kind").alias("k"), F.col(seq).alias("s")))),
@@ -121,7 +121,7 @@ def recover_fatals(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per launch, the newest fatal since the launch before it, as ``$error.recovered``.
 
@@ -133,7 +133,7 @@ def recover_fatals(
     union = union.unionByName(launches.select(*head, F.lit(1).alias("__kind")), allowMissingColumns=True)
     at = F.struct(F.col(time).alias("t"), F.col("__kind").alias("k"), F.col(seq).alias("s"))
     scan = (
-        Ordered(union, [key], [time, "__kind", seq], width)
+        Ordered(union, [key], [time, "__kind", seq], hot_rows)
         .running(__last=last(F.col("__fatal")), __launch=before(F.when(F.col("__kind") == 1, at)))
         .frame()
         .filter("__kind = 1 and __last is not null")

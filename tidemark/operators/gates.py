@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.privacy import PII_LABEL_WORDS, has_pii_label, is_opted_out, is_self_error
-from .ordered import HOUR_US, as_of
+from .ordered import HOT_ROWS, as_of
 
 # Publishable keys and the environment their prefix declares.
 KEY_PREFIX = "cd_pub_"
@@ -57,7 +57,7 @@ def consent_gate(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Keep rows whose channel had consent when they happened; consent is granted by default.
 
@@ -65,7 +65,7 @@ def consent_gate(
     (one row each) send nothing, whatever the log says later.
     """
     log = consent.select(key, time, seq, "analytics", "errors")
-    held = as_of(events, {"__consent": log}, [key], time, seq, width)
+    held = as_of(events, {"__consent": log}, [key], time, seq, hot_rows)
     asked = F.when(F.col("name") == "$error", F.col("__consent.errors")).otherwise(F.col("__consent.analytics"))
     kept = held.filter(F.coalesce(asked, F.lit(True))).drop("__consent")
     return kept if opted_out is None else kept.join(opted_out.select(key), key, "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.privacy import scrub_pii
-from .ordered import HOUR_US, Ordered, as_of, before, last, total
+from .ordered import HOT_ROWS, Ordered, as_of, before, last, total
 
 MAX_NAMES = 1000
 
@@ -19,7 +19,7 @@ def _set_to(value: Column) -> Column:
 
 
 def fold_identity(
-    ops: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", width: int = HOUR_US
+    ops: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Identity after each operation (``op``: identify, alias, reset; ``user``, ``customer``).
 
@@ -31,7 +31,7 @@ def fold_identity(
     user = F.when(op == "identify", _set_to(F.nullif(F.trim("user"), F.lit(""))))
     customer = F.when(op == "alias", _set_to(F.nullif(F.trim("customer"), F.lit(""))))
     state = (
-        Ordered(ops, [key], [time, seq], width)
+        Ordered(ops, [key], [time, seq], hot_rows)
         .running(
             __epoch=total(F.when(op == "reset", 1).otherwise(0)),
             __user=last(F.coalesce(user, nothing)),
@@ -52,10 +52,10 @@ def fold_identity(
 
 
 def attach_identity(
-    events: DataFrame, identity: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", width: int = HOUR_US
+    events: DataFrame, identity: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Stamp each event with the identity in force; before any operation the device is anonymous."""
-    out = as_of(events, {"__identity": identity}, [key], time, seq, width)
+    out = as_of(events, {"__identity": identity}, [key], time, seq, hot_rows)
     return out.select(*events.columns, *_identity_columns(key))
 
 
@@ -68,11 +68,11 @@ def _identity_columns(key: str) -> list[Column]:
 
 
 def attach_consent(
-    events: DataFrame, consent: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", width: int = HOUR_US
+    events: DataFrame, consent: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add the consent in force when each event happened; both channels are granted by default."""
     log = consent.select(key, time, seq, "analytics", "errors")
-    out = as_of(events, {"__consent": log}, [key], time, seq, width)
+    out = as_of(events, {"__consent": log}, [key], time, seq, hot_rows)
     granted = [F.coalesce(f"__consent.{c}", F.lit(True)).alias(f"consent_{c}") for c in ("analytics", "errors")]
     return out.select(*events.columns, *granted)
 
@@ -103,7 +103,7 @@ def fold_super_properties(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Property map after each operation: register, registerOnce, unregister (``key``, ``value``), clear.
 
@@ -119,7 +119,7 @@ def fold_super_properties(
         return F.struct(at.alias("at"), F.col("value").alias("v"))
 
     # A registerOnce counts if no other one came since the name was last removed.
-    passes = Ordered(ops, [key], [time, seq], width).running(
+    passes = Ordered(ops, [key], [time, seq], hot_rows).running(
         **{f"__gone{i}": last(F.when((op == "clear") | on(n, "unregister"), at)) for i, n in enumerate(names)},
         **{f"__set{i}": last(F.when(on(n, "register"), valued())) for i, n in enumerate(names)},
         **{f"__tried{i}": before(F.when(on(n, "registerOnce"), at)) for i, n in enumerate(names)},
@@ -151,7 +151,7 @@ def fold_error_context(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Error tags and context blocks after each operation.
 
@@ -170,7 +170,7 @@ def fold_error_context(
         return F.when((op == "set_context") & named & (F.col("name") == name), _set_to(F.when(F.size(data) > 0, data)))
 
     state = (
-        Ordered(ops, [key], [time, seq], width)
+        Ordered(ops, [key], [time, seq], hot_rows)
         .running(
             **{f"__tag{i}": last(tag(n)) for i, n in enumerate(tags)},
             **{f"__block{i}": last(block(n)) for i, n in enumerate(blocks)},
@@ -196,7 +196,7 @@ def enrich_events(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Everything in force when an event happened, in one pass.
 
@@ -211,7 +211,7 @@ def enrich_events(
         "__device": device,
         "__session": session,
     }
-    out = as_of(events, {n: log for n, log in logs.items() if log is not None}, [key], time, seq, width)
+    out = as_of(events, {n: log for n, log in logs.items() if log is not None}, [key], time, seq, hot_rows)
     empty = F.create_map().cast("map<string,string>")
     columns: list[Column] = []
     if identity is not None:

@@ -1,17 +1,17 @@
-"""Ordered rules over keyed logs, without ever sorting a whole key in one task.
+"""Ordered rules over keyed logs, without ever sorting a hot key in one task.
 
 Rules such as "the identity in force", "the previous event" or "how many
 so far" read rows of one key in time order. A plain window would put a key with
-a third of the table into a single task. Here each key is cut into time chunks:
+a third of the table into a single task. Here keys with more than ``hot_rows`` rows are cut into
+time chunks of about that many:
 
 1. rows are shuffled once by (key, chunk) and a window runs inside each chunk;
-2. one summary row per (key, chunk), pre-aggregated before its shuffle, is scanned
+2. for cut keys, one summary row per chunk, pre-aggregated before its shuffle, is scanned
    per key to give every chunk the state it starts with;
 3. that state is joined back on (key, chunk), which the rows are already
    partitioned by, so the large side is not moved again.
 
-A key therefore costs one summary row per non-empty chunk in step 2, at most
-time span / chunk width, whatever its number of rows. Keys must not be null.
+All other keys are one chunk, and steps 2 and 3 have nothing to do for them. Keys must not be null.
 """
 
 from __future__ import annotations
@@ -26,10 +26,61 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-HOUR_US = 3_600_000_000
-HOUR_MS = 3_600_000
+HOT_ROWS = 4_000_000
 
 _CHUNK = "__chunk"
+_FINE_PARTS = 1 << 20
+
+
+def place(
+    df: DataFrame, keys: Sequence[str], tick: str, hot_rows: int = HOT_ROWS, measure: DataFrame | None = None
+) -> DataFrame:
+    """Add ``__chunk``, and ``__hot`` which is true for keys cut into several chunks.
+
+    A key with n > ``hot_rows`` rows gets n / hot_rows equal cells of its time span; a cell that
+    still holds several times ``hot_rows``, a burst, is cut again by its own count. Both
+    tables that say so are counts pre-aggregated before their shuffle, and both are broadcast: a
+    table of N rows has at most N / hot_rows keys or cells that large.
+
+    ``measure`` may be a cheaper table with the same keys and times to count instead, such as ``df``
+    before a costly step; it decides only how keys are cut, never a result.
+    """
+    keys = list(keys)
+    counted = (df if measure is None else measure).select(*keys, F.col(tick).cast("bigint").alias("__tick"))
+    rows = F.count(F.lit(1)).alias("__n")
+    spans = (
+        counted.groupBy(*keys)
+        .agg(rows, F.min("__tick").alias("__key_lo"), F.max("__tick").alias("__key_hi"))
+        .filter(F.col("__n") > hot_rows)
+        .select(*keys, "__key_lo", _share(F.col("__key_hi") - F.col("__key_lo") + 1, hot_rows).alias("__key_step"))
+    )
+    cell = F.expr("(__tick - __key_lo) div __key_step")
+    cells = (
+        counted.join(F.broadcast(spans), keys)
+        .groupBy(*keys, cell.alias("__cell"), "__key_step")
+        .agg(rows)
+        .filter(F.col("__n") > 4 * hot_rows)
+        .select(*keys, "__cell", _share(F.col("__key_step"), hot_rows).alias("__cell_step"))
+    )
+    fine = F.least(F.expr("(__tick - __key_lo - __cell * __key_step) div __cell_step"), F.lit(_FINE_PARTS - 1))
+    return (
+        df.withColumn("__tick", F.col(tick).cast("bigint"))
+        .join(F.broadcast(spans), keys, "left")
+        .withColumn("__cell", cell)
+        .join(F.broadcast(cells), [*keys, "__cell"], "left")
+        .withColumns(
+            {
+                _CHUNK: F.coalesce("__cell", F.lit(0)) * _FINE_PARTS + F.coalesce(fine, F.lit(0)),
+                "__hot": F.col("__key_step").isNotNull(),
+            }
+        )
+        .drop("__tick", "__key_lo", "__key_step", "__cell", "__cell_step")
+    )
+
+
+def _share(span: Column, hot_rows: int) -> Column:
+    """The part of ``span`` that holds ``hot_rows`` of ``__n`` rows, at least 1."""
+    return F.greatest(F.floor(span * (F.lit(float(hot_rows)) / F.col("__n"))), F.lit(1)).cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -68,19 +119,24 @@ def previous(expr: Column) -> Running:
 class Ordered:
     """A table cut into (key, chunk) groups, on which running values are added.
 
-    ``order`` must identify rows of a key; its first column is a number (a time)
-    that chunks are cut on, ``width`` units wide.
+    ``order`` must identify rows of a key; its first column is a whole number, the time.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int = HOUR_US):
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        hot_rows: int = HOT_ROWS,
+        measure: DataFrame | None = None,
+    ):
         self.keys = list(keys)
         self.order = list(order)
-        self.width = int(width)
-        self.df = df.withColumn(_CHUNK, F.expr(f"cast(`{self.order[0]}` as bigint) div {self.width}"))
+        self.df = place(df, self.keys, self.order[0], hot_rows, measure)
 
     def _wrap(self, df: DataFrame) -> Ordered:
         other = object.__new__(Ordered)
-        other.keys, other.order, other.width, other.df = self.keys, self.order, self.width, df
+        other.keys, other.order, other.df = self.keys, self.order, df
         return other
 
     def with_columns(self, **columns: Column) -> Ordered:
@@ -122,13 +178,13 @@ class Ordered:
                 if value.kind == "previous":
                     merged[name] = merged[name]["v"]
 
-        ends = base.groupBy(*group).agg(*summary)
+        ends = base.filter("__hot").groupBy(*group).agg(*summary)
         starts = ends.withColumns(carry).select(*group, *carry)
         rows = base.withColumns(local).join(starts, group, "left").withColumns(merged)
         return self._wrap(rows.drop(*source, *local, *carry))
 
     def frame(self) -> DataFrame:
-        return self.df.drop(_CHUNK)
+        return self.df.drop(_CHUNK, "__hot")
 
 
 def as_of(
@@ -137,15 +193,15 @@ def as_of(
     keys: Sequence[str],
     time: str,
     seq: str,
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Give each event, per named log, the newest log row at or before it.
 
     Logs share the key, time and sequence columns of ``events``; their other columns
     arrive as one struct column under the log's name (null when there is none).
     A log row at the same instant as an event counts as earlier. All logs ride in
-    one union, so all lookups together cost one shuffle. The inputs are read twice, once for the rows and once for
-    the chunk summary: hand in tables, not long computations (``session.cut_lineage`` writes one).
+    one union, so all lookups together cost one shuffle. The inputs are read more than once, for
+    the key counts and for the rows: hand in tables, not long computations (``session.cut_lineage`` writes one).
     """
     head = [*keys, time, seq]
     payload = {n: [c for c in log.columns if c not in head] for n, log in logs.items()}
@@ -154,7 +210,7 @@ def as_of(
     for name, log in logs.items():
         parts.append(log.select(*head, F.lit(0).alias("__kind"), F.struct(*payload[name]).alias(name)))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    scanned = Ordered(union, keys, [time, "__kind", seq], width).running(
+    scanned = Ordered(union, keys, [time, "__kind", seq], hot_rows).running(
         **{f"__now_{n}": last(F.col(n)) for n in logs}
     )
     return (
@@ -175,7 +231,7 @@ def open_intervals(
     seq: str,
     length: int,
     starts_run: Column | None = None,
-    width: int = HOUR_MS,
+    hot_rows: int = HOT_ROWS,
     also: dict[str, Running] | None = None,
     fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
@@ -192,7 +248,7 @@ def open_intervals(
     them are folded, and longer ones go through ``_follow``.
     """
     keys, also = list(keys), also or {}
-    scan = Ordered(df, keys, [time, seq], width).running(__prev=previous(F.col(time)), **also)
+    scan = Ordered(df, keys, [time, seq], hot_rows).running(__prev=previous(F.col(time)), **also)
     head = F.col("__prev").isNull() | (F.col(time) - F.col("__prev") >= length)
     if starts_run is not None:
         head = head | F.coalesce(starts_run, F.lit(False))
@@ -215,7 +271,7 @@ def open_intervals(
     widest = big.agg(F.max(F.col("__to") - F.col("__run.t")).alias("w")).first()["w"]
     if widest is not None:
         rest = ticks.join(big.select(*run), run, "left_semi")
-        opened = opened.unionByName(_follow(rest, run, time, seq, length, widest, width))
+        opened = opened.unionByName(_follow(rest, run, time, seq, length, widest, hot_rows))
     opened = opened.select(*keys, time, seq, F.lit(True).alias("__opened"))
     return (
         heads.join(opened, [*keys, time, seq], "left")
@@ -240,7 +296,7 @@ def _fold(ticks: DataFrame, run: list[str], time: str, seq: str, length: int) ->
 
 
 def _follow(
-    ticks: DataFrame, run: list[str], time: str, seq: str, length: int, widest: int, width: int
+    ticks: DataFrame, run: list[str], time: str, seq: str, length: int, widest: int, hot_rows: int
 ) -> DataFrame:
     """Openers of long runs, all at once, by pointer doubling.
 
@@ -253,7 +309,7 @@ def _follow(
         *run, (F.col(time) + length).alias("__at"), F.lit(0).alias("__cand"), F.col(time).alias("__from")
     )
     links = (
-        Ordered(points.unionByName(probes, allowMissingColumns=True), run, ["__at", "__cand"], width)
+        Ordered(points.unionByName(probes, allowMissingColumns=True), run, ["__at", "__cand"], hot_rows)
         .running(reverse=True, __next=last(F.col("__cand_at")))
         .frame()
         .filter("__cand = 0 and __next is not null")

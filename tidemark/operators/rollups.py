@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .identity import fold_super_properties, group_operations
-from .ordered import HOUR_US, as_of
+from .ordered import HOT_ROWS, as_of
 
-DAY_US = 24 * HOUR_US
+DAY_US = 86_400_000_000
 
 
 def rows_and_users(events: DataFrame, by: Sequence[str], user: str = "user_id", rows: str = "events") -> DataFrame:
@@ -44,12 +44,12 @@ def group_rollup(
     time: str = "ts_us",
     seq: str = "event_id",
     user: str = "user_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events and users per tenant of one group type, by the tenant set when each event happened."""
     name = f"group_{group_type}"
     # Written once: the join below reads the state twice.
-    state = cut_lineage(fold_super_properties(group_operations(groups, key, time, seq), [name], key, time, seq, width))
-    held = as_of(events, {"__group": state}, [key], time, seq, width)
+    state = cut_lineage(fold_super_properties(group_operations(groups, key, time, seq), [name], key, time, seq, hot_rows))
+    held = as_of(events, {"__group": state}, [key], time, seq, hot_rows)
     tenant = F.try_element_at("__group.props", F.lit(name)).alias("group_key")
     return rows_and_users(held.select(user, tenant), ["group_key"], user)

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import HOUR_MS, open_intervals, previous
+from .ordered import HOT_ROWS, open_intervals, previous
 
 SCREEN_MS = 250
 TAP_MS = 100
 
 
-def _coalesce(df: DataFrame, what: str, window: int, key: str, time: str, seq: str, width: int) -> DataFrame:
+def _coalesce(df: DataFrame, what: str, window: int, key: str, time: str, seq: str, hot_rows: int) -> DataFrame:
     changed = F.col("__prev").isNull() | ~F.col(what).eqNullSafe(F.col("__what"))
     marked = open_intervals(
-        df, [key], time, seq, window, starts_run=changed, width=width, also={"__what": previous(F.col(what))}
+        df, [key], time, seq, window, starts_run=changed, hot_rows=hot_rows, also={"__what": previous(F.col(what))}
     )
     return marked.filter("opens").select(*df.columns)
 
@@ -26,14 +26,14 @@ def coalesce_screens(
     key: str = "dev",
     time: str = "ts_ms",
     seq: str = "event_id",
-    width: int = HOUR_MS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Drop a view of the last kept view's screen less than ``window`` after it.
 
     Dropped views do not restart the clock; another screen does. A dropped view has the kept
     view's screen, so "another screen than the last kept" is "another than the previous row".
     """
-    return _coalesce(views, screen, window, key, time, seq, width)
+    return _coalesce(views, screen, window, key, time, seq, hot_rows)
 
 
 def coalesce_taps(
@@ -43,7 +43,7 @@ def coalesce_taps(
     key: str = "dev",
     time: str = "ts_ms",
     seq: str = "event_id",
-    width: int = HOUR_MS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The same for taps on one element."""
-    return _coalesce(taps, element, window, key, time, seq, width)
+    return _coalesce(taps, element, window, key, time, seq, hot_rows)

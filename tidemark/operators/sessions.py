@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import HOUR_US, Ordered, as_of, before, last, previous
+from .ordered import HOT_ROWS, Ordered, as_of, before, last, place, previous
 
 IDLE_US = 30 * 60 * 1_000_000
 
@@ -19,37 +19,39 @@ def sessionize(
     time: str = "ts_us",
     seq: str = "event_id",
     idle: int = IDLE_US,
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``session_no`` and ``session_id``: a pause of at least ``idle`` starts a session.
 
-    One shuffle by (key, chunk), read by both halves of the plan when ``df`` is narrow. Inside a
-    chunk sessions are counted by ``lag``; a chunk's first row is compared with the end of the
-    chunk before it in the summary. Rows without key or time are in no session and left out.
+    One shuffle by (key, chunk). Inside a chunk sessions are counted by ``lag``; a chunk's first
+    row is compared with the end of the chunk before it in the summary. Rows without key or
+    time are in no session and left out.
     """
-    chunk = F.expr(f"cast(`{time}` as bigint) div {int(width)}")
+    placed = place(df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()), [key], time, hot_rows, measure)
     inside = Window.partitionBy(key, "__chunk").orderBy(time, seq)
-    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    rows = placed.withColumn("__chunk", chunk).withColumn(
-        "__new", (F.col(time) - F.lag(time).over(inside) >= idle).cast("int")
-    )
-    ends = rows.groupBy(key, "__chunk").agg(
-        F.min(time).alias("__from"), F.max(time).alias("__to"), F.coalesce(F.sum("__new"), F.lit(0)).alias("__inner")
-    )
+    is_new = (F.col(time) - F.lag(time).over(inside) >= idle).cast("int")
+
     per_key = Window.partitionBy(key).orderBy("__chunk")
-    pause = F.col("__from") - F.lag("__to").over(per_key)
-    ends = ends.withColumn("__edge", F.when(pause < idle, 0).otherwise(1))
     upto = per_key.rowsBetween(Window.unboundedPreceding, 0)
-    starts = ends.select(
-        key, "__chunk", (F.sum(F.col("__edge") + F.col("__inner")).over(upto) - F.col("__inner")).alias("__base")
+    starts = (
+        placed.filter("__hot")
+        .withColumn("__new", is_new)
+        .groupBy(key, "__chunk")
+        .agg(F.min(time).alias("__from"), F.max(time).alias("__to"), F.coalesce(F.sum("__new"), F.lit(0)).alias("__inner"))
+        .withColumn("__edge", F.when(F.col("__from") - F.lag("__to").over(per_key) < idle, 0).otherwise(1))
+        .withColumn("__first", F.sum(F.col("__edge") + F.col("__inner")).over(upto) - F.col("__inner"))
+        .select(key, "__chunk", "__first")
     )
-    running = F.sum(F.coalesce(F.col("__new"), F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    so_far = F.sum(F.coalesce("__new", F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    number = F.coalesce("__first", F.lit(1)) + F.col("__run")
     return (
-        rows.withColumn("__run", running)
+        placed.withColumn("__new", is_new)
+        .withColumn("__run", so_far)
         .join(starts, [key, "__chunk"], "left")
-        .withColumn("session_no", F.col("__base") + F.col("__run"))
+        .withColumn("session_no", number)
         .withColumn("session_id", F.concat_ws("_s", F.col(key), F.col("session_no").cast("string")))
-        .drop("__chunk", "__new", "__run", "__base")
+        .drop("__chunk", "__hot", "__new", "__run", "__first")
     )
 
 
@@ -80,7 +82,7 @@ def lifecycle_sessions(
     time: str = "ts_us",
     seq: str = "event_id",
     idle: int = IDLE_US,
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Session starts and ends from foreground, background and reset rows (column ``op``).
 
@@ -90,7 +92,7 @@ def lifecycle_sessions(
     Output: one row per emitted ``session.started`` / ``session.ended``.
     """
     op = F.col("op")
-    state = Ordered(ops, [key], [time, seq], width).running(
+    state = Ordered(ops, [key], [time, seq], hot_rows).running(
         __before=previous(op),
         __background=last(F.when(op == "background", F.col(time))),
     )
@@ -150,7 +152,7 @@ def session_log(emitted: DataFrame, key: str = "dev", time: str = "ts_us", seq:
 
 
 def attach_session(
-    events: DataFrame, log: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", width: int = HOUR_US
+    events: DataFrame, log: DataFrame, key: str = "dev", time: str = "ts_us", seq: str = "event_id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Stamp the session open when each event happened; null when none is.
 
@@ -158,7 +160,7 @@ def attach_session(
     """
     given = "session_id" in events.columns
     held = events.withColumnRenamed("session_id", "__given") if given else events
-    joined = as_of(held, {"__session": log.select(key, time, seq, "session_id")}, [key], time, seq, width)
+    joined = as_of(held, {"__session": log.select(key, time, seq, "session_id")}, [key], time, seq, hot_rows)
     now = F.col("__session.session_id")
     out = joined.withColumn("session_id", F.coalesce(now, F.col("__given")) if given else now)
     return out.drop("__session", "__given")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import HOUR_US, Ordered, previous
+from .ordered import HOT_ROWS, Ordered, previous
 
 SLOW_NS = 16_000_000
 FROZEN_NS = 700_000_000
@@ -20,13 +20,13 @@ def frame_jank(
     key: str = "dev",
     time: str = "frame_ns",
     seq: str = "event_id",
-    width: int = 60 * MINUTE_NS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per device and window: frames, slow (over 16 ms) and frozen (over 700 ms) ones, and their shares.
 
     A frame is timed against the one before it, across window edges; the first has no time.
     """
-    timed = Ordered(frames, [key], [time, seq], width).running(__before=previous(F.col(time))).frame()
+    timed = Ordered(frames, [key], [time, seq], hot_rows).running(__before=previous(F.col(time))).frame()
     delta = F.col(time) - F.col("__before")
     counted = (
         timed.filter(F.col("__before").isNotNull())
@@ -69,10 +69,10 @@ def rising_edges(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows where the state turns true; ``seed`` is the state before a device's first row."""
-    scanned = Ordered(states, [key], [time, seq], width).running(__before=previous(F.col(state))).frame()
+    scanned = Ordered(states, [key], [time, seq], hot_rows).running(__before=previous(F.col(state))).frame()
     was = F.coalesce("__before", F.lit(seed))
     return scanned.filter(F.col(state) & ~was).drop("__before")
 
@@ -83,13 +83,13 @@ def detect_stalls(
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
-    width: int = HOUR_US,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Acknowledged heartbeats followed by more than ``threshold`` of silence, once per stall.
 
     The next acknowledgement is the recovery, so each such pause is one stall.
     """
-    scanned = Ordered(beats, [key], [time, seq], width).running(reverse=True, __next=previous(F.col(time))).frame()
+    scanned = Ordered(beats, [key], [time, seq], hot_rows).running(reverse=True, __next=previous(F.col(time))).frame()
     gap = F.col("__next") - F.col(time)
     return scanned.filter(gap > threshold).select(key, time, seq, gap.alias("stall"))
 

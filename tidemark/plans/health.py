@@ -201,4 +201,4 @@ def _edges(spark, sf):
 )
 def _stalls(spark, sf):
     beats = fx.fast(spark, sf).select("dev", "event_id", "c_ms")
-    return vitals.detect_stalls(beats, threshold=5000, time="c_ms", width=3_600_000).select("dev", "event_id", "stall")
+    return vitals.detect_stalls(beats, threshold=5000, time="c_ms").select("dev", "event_id", "stall")

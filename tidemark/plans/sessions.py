@@ -135,5 +135,5 @@ def _attach_session(spark, sf):
     ),
 )
 def _session_funnel(spark, sf):
-    s = sessionize(fx.events(spark, sf).select("event_id", "dev", "ts_us", "name"), width=24 * 3_600_000_000)
+    s = sessionize(fx.events(spark, sf).select("event_id", "dev", "ts_us", "name"))
     return session_funnel(s, ["page.viewed", "element.clicked", "purchase.completed"])

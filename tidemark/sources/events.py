@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ordered import HOUR_MS, Ordered, total
+from ..operators.ordered import HOT_ROWS, Ordered, total
 from .parse import with_json
 
 BATCH_SIZE = 20
@@ -100,7 +100,7 @@ def pack_event_batches(
     sdk_version: str,
     size: int = BATCH_SIZE,
     customer_field: str = CUSTOMER_FIELD,
-    width: int = HOUR_MS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events as envelopes of at most ``size``, oldest first, per app and environment.
 
@@ -109,7 +109,7 @@ def pack_event_batches(
     """
     scope = ["app_id", "environment"]
     numbered = (
-        Ordered(events, scope, ["timestamp_ms", "event_id"], width)
+        Ordered(events, scope, ["timestamp_ms", "event_id"], hot_rows)
         .running(__nth=total(F.lit(1)))
         .frame()
         .withColumn("batch_no", F.expr(f"(__nth - 1) div {int(size)}"))
