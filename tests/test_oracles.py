@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.operators import ordered, sessions
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -36,8 +37,32 @@ def table(columns, rows):
     return [columns[i] for i in order], sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
+# Queries that read rows in order, run once more with keys cut into many chunks.
+ORDERED = (
+    "session_summary lifecycle_sessions attach_session fold_identity consent_gate fold_super_properties enrich_events "
+    "resolve_replays delivery_outcomes retry_audit keep_latest coalesce_screens pack_event_batches attach_breadcrumbs "
+    "recover_fatals frame_jank rising_edges detect_stalls is_entitled_as_of entitlement_changes_only"
+).split()
+
+
 @pytest.mark.parametrize("name", sorted(entry_point.queries()))
 def test_query_matches_sql(spark, duck, name):
+    check(spark, duck, name)
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_query_matches_sql_with_hot_keys(spark, duck, name, monkeypatch):
+    real = ordered.place
+
+    def cut_small(df, keys, tick, hot_rows=0, measure=None):
+        return real(df, keys, tick, 3, measure)
+
+    monkeypatch.setattr(ordered, "place", cut_small)
+    monkeypatch.setattr(sessions, "place", cut_small)
+    check(spark, duck, name)
+
+
+def check(spark, duck, name):
     df = entry_point.queries()[name](spark, SF_DIR)
     got = table(df.columns, df.collect())
     oracle = entry_point.oracle_sql().get(name)

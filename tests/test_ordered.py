@@ -65,9 +65,9 @@ def test_bursts_are_cut(spark):
     # A tenth of the hot key's rows spread over 40,000 ticks, the rest within 2,000 of them.
     rows = [("hot", 500 + i // 2 if i % 10 else i * 10, i) for i in range(4000)] + [("cold", i, i) for i in range(30)]
     df = spark.createDataFrame(rows, "k string, t long, s long")
-    placed = ordered.place(df, ["k"], "t", 100)
+    placed, cut = ordered.place(df, ["k"], "t", 100)
     sizes = placed.groupBy("k", "__chunk", "__hot").count().collect()
-    assert max(r["count"] for r in sizes) <= 400 and sum(r["count"] for r in sizes) == len(rows)
+    assert cut and max(r["count"] for r in sizes) <= 400 and sum(r["count"] for r in sizes) == len(rows)
     assert [(r["count"], r["__hot"]) for r in sizes if r["k"] == "cold"] == [(30, False)]
     out = ordered.Ordered(df, ["k"], ["t", "s"], 100).running(n=ordered.total(F.lit(1))).frame()
     want = {r[2]: i + 1 for i, r in enumerate(sorted((r for r in rows if r[0] == "hot"), key=lambda r: r[1:]))}

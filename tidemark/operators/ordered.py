@@ -2,8 +2,8 @@
 
 Rules such as "the identity in force", "the previous event" or "how many
 so far" read rows of one key in time order. A plain window would put a key with
-a third of the table into a single task. Here keys with more than ``hot_rows`` rows are cut into
-time chunks of about that many:
+a third of the table into a single task. So the rows per key are counted first, and keys with more
+than ``hot_rows`` are cut into time chunks of about that many:
 
 1. rows are shuffled once by (key, chunk) and a window runs inside each chunk;
 2. for cut keys, one summary row per chunk, pre-aggregated before its shuffle, is scanned
@@ -11,7 +11,7 @@ time chunks of about that many:
 3. that state is joined back on (key, chunk), which the rows are already
    partitioned by, so the large side is not moved again.
 
-All other keys are one chunk, and steps 2 and 3 have nothing to do for them. Keys must not be null.
+Where no key is hot, which the count tells, all that is left is the window. Keys must not be null.
 """
 
 from __future__ import annotations
@@ -34,16 +34,17 @@ _FINE_PARTS = 1 << 20
 
 def place(
     df: DataFrame, keys: Sequence[str], tick: str, hot_rows: int = HOT_ROWS, measure: DataFrame | None = None
-) -> DataFrame:
-    """Add ``__chunk``, and ``__hot`` which is true for keys cut into several chunks.
+) -> tuple[DataFrame, bool]:
+    """Add ``__chunk``, and ``__hot`` which is true for keys cut into several chunks; or
+    return ``df`` as it is, and false, if no key has more than ``hot_rows`` rows.
 
     A key with n > ``hot_rows`` rows gets n / hot_rows equal cells of its time span; a cell that
-    still holds several times ``hot_rows``, a burst, is cut again by its own count. Both
-    tables that say so are counts pre-aggregated before their shuffle, and both are broadcast: a
-    table of N rows has at most N / hot_rows keys or cells that large.
+    still holds several times ``hot_rows``, a burst, is cut again by its own count. The counts run
+    as jobs of their own, when this is called. They are pre-aggregated before their shuffle, and what
+    is kept of them may be broadcast: of N rows at most N / hot_rows keys or cells are that large.
 
     ``measure`` may be a cheaper table with the same keys and times to count instead, such as ``df``
-    before a costly step; it decides only how keys are cut, never a result.
+    before a costly step. How keys are cut never changes a result.
     """
     keys = list(keys)
     counted = (df if measure is None else measure).select(*keys, F.col(tick).cast("bigint").alias("__tick"))
@@ -54,8 +55,11 @@ def place(
         .filter(F.col("__n") > hot_rows)
         .select(*keys, "__key_lo", _share(F.col("__key_hi") - F.col("__key_lo") + 1, hot_rows).alias("__key_step"))
     )
+    if spans.isEmpty():
+        return df, False
+    spans = cut_lineage(spans)
     cell = F.expr("(__tick - __key_lo) div __key_step")
-    cells = (
+    cells = cut_lineage(
         counted.join(F.broadcast(spans), keys)
         .groupBy(*keys, cell.alias("__cell"), "__key_step")
         .agg(rows)
@@ -63,7 +67,7 @@ def place(
         .select(*keys, "__cell", _share(F.col("__key_step"), hot_rows).alias("__cell_step"))
     )
     fine = F.least(F.expr("(__tick - __key_lo - __cell * __key_step) div __cell_step"), F.lit(_FINE_PARTS - 1))
-    return (
+    placed = (
         df.withColumn("__tick", F.col(tick).cast("bigint"))
         .join(F.broadcast(spans), keys, "left")
         .withColumn("__cell", cell)
@@ -74,8 +78,8 @@ def place(
                 "__hot": F.col("__key_step").isNotNull(),
             }
         )
-        .drop("__tick", "__key_lo", "__key_step", "__cell", "__cell_step")
     )
+    return placed.drop("__tick", "__key_lo", "__key_step", "__cell", "__cell_step"), True
 
 
 def _share(span: Column, hot_rows: int) -> Column:
@@ -132,11 +136,11 @@ class Ordered:
     ):
         self.keys = list(keys)
         self.order = list(order)
-        self.df = place(df, self.keys, self.order[0], hot_rows, measure)
+        self.df, self.cut = place(df, self.keys, self.order[0], hot_rows, measure)
 
     def _wrap(self, df: DataFrame) -> Ordered:
         other = object.__new__(Ordered)
-        other.keys, other.order, other.df = self.keys, self.order, df
+        other.keys, other.order, other.df, other.cut = self.keys, self.order, df, self.cut
         return other
 
     def with_columns(self, **columns: Column) -> Ordered:
@@ -145,43 +149,58 @@ class Ordered:
     def running(self, reverse: bool = False, **values: Running) -> Ordered:
         """Add one column per running value, reading forwards or in reverse."""
         way = F.desc if reverse else F.asc
-        group = [*self.keys, _CHUNK]
+        group = [*self.keys, _CHUNK] if self.cut else self.keys
         inside = Window.partitionBy(*group).orderBy(*[way(c) for c in self.order])
         upto = inside.rowsBetween(Window.unboundedPreceding, 0)
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-        position = F.struct(*[F.col(c) for c in self.order])
-        newest, oldest = (F.min_by, F.max_by) if reverse else (F.max_by, F.min_by)
-
+        own = {
+            "total": lambda col: F.coalesce(F.sum(col).over(upto), F.lit(0)),
+            "first": lambda col: F.first(col, ignorenulls=True).over(upto),
+            "last": lambda col: F.last(col, ignorenulls=True).over(upto),
+            "before": lambda col: F.last(col, ignorenulls=True).over(earlier),
+            "previous": lambda col: F.last(col, ignorenulls=True).over(earlier),
+        }
         source = {f"__in_{n}": v.expr for n, v in values.items()}
         base = self.df.withColumns(source)
-        local, summary, carry, merged = {}, [], {}, {}
-        to_here = Window.partitionBy(*self.keys).orderBy(way(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+        local = {f"__own_{n}": own[v.kind](F.col(f"__in_{n}")) for n, v in values.items()}
+        rows, starts = base.withColumns(local), {}
+        if self.cut:
+            carried = self._carry(base, values, reverse)
+            rows = rows.join(carried, group, "left")
+            starts = {n: F.col(f"__start_{n}") for n in values}
+
+        def merge(name: str, kind: str) -> Column:
+            mine, start = F.col(f"__own_{name}"), starts.get(name)
+            if start is not None and kind == "total":
+                mine = mine + F.coalesce(start, F.lit(0))
+            elif start is not None:
+                mine = F.coalesce(start, mine) if kind == "first" else F.coalesce(mine, start)
+            return mine["v"] if kind == "previous" else mine
+
+        rows = rows.withColumns({n: merge(n, v.kind) for n, v in values.items()})
+        return self._wrap(rows.drop(*source, *local, *[f"__start_{n}" for n in values]))
+
+    def _carry(self, base: DataFrame, values: dict[str, Running], reverse: bool) -> DataFrame:
+        """The values each chunk of a cut key starts with, from one summary row per chunk."""
+        position = F.struct(*[F.col(c) for c in self.order])
+        newest, oldest = (F.min_by, F.max_by) if reverse else (F.max_by, F.min_by)
+        chunks = Window.partitionBy(*self.keys).orderBy((F.desc if reverse else F.asc)(_CHUNK))
+        before_it = chunks.rowsBetween(Window.unboundedPreceding, -1)
+        summary, carry = [], []
         for name, value in values.items():
-            col, own, at_end, start = F.col(f"__in_{name}"), f"__own_{name}", f"__end_{name}", f"__start_{name}"
+            col, end, start = F.col(f"__in_{name}"), f"__end_{name}", f"__start_{name}"
             present = F.when(col.isNotNull(), position)
             if value.kind == "total":
-                local[own] = F.coalesce(F.sum(col).over(upto), F.lit(0))
-                summary.append(F.sum(col).alias(at_end))
-                carry[start] = F.sum(at_end).over(to_here)
-                merged[name] = F.col(own) + F.coalesce(F.col(start), F.lit(0))
+                summary.append(F.sum(col).alias(end))
+                carry.append(F.sum(end).over(before_it).alias(start))
             elif value.kind == "first":
-                local[own] = F.first(col, ignorenulls=True).over(upto)
-                summary.append(oldest(col, present).alias(at_end))
-                carry[start] = F.first(at_end, ignorenulls=True).over(to_here)
-                merged[name] = F.coalesce(F.col(start), F.col(own))
+                summary.append(oldest(col, present).alias(end))
+                carry.append(F.first(end, ignorenulls=True).over(before_it).alias(start))
             else:
-                frame = upto if value.kind == "last" else earlier
-                local[own] = F.last(col, ignorenulls=True).over(frame)
-                summary.append(newest(col, present).alias(at_end))
-                carry[start] = F.last(at_end, ignorenulls=True).over(to_here)
-                merged[name] = F.coalesce(F.col(own), F.col(start))
-                if value.kind == "previous":
-                    merged[name] = merged[name]["v"]
-
-        ends = base.filter("__hot").groupBy(*group).agg(*summary)
-        starts = ends.withColumns(carry).select(*group, *carry)
-        rows = base.withColumns(local).join(starts, group, "left").withColumns(merged)
-        return self._wrap(rows.drop(*source, *local, *carry))
+                summary.append(newest(col, present).alias(end))
+                carry.append(F.last(end, ignorenulls=True).over(before_it).alias(start))
+        ends = base.filter("__hot").groupBy(*self.keys, _CHUNK).agg(*summary)
+        return ends.select(*self.keys, _CHUNK, *carry)
 
     def frame(self) -> DataFrame:
         return self.df.drop(_CHUNK, "__hot")

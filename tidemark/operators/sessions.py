@@ -24,32 +24,36 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no`` and ``session_id``: a pause of at least ``idle`` starts a session.
 
-    One shuffle by (key, chunk). Inside a chunk sessions are counted by ``lag``; a chunk's first
-    row is compared with the end of the chunk before it in the summary. Rows without key or
-    time are in no session and left out.
+    One shuffle by key, or by (key, chunk) if a key is hot. Then sessions are counted inside chunks
+    and a chunk's first row is compared with the end of the chunk before it in a summary. Rows
+    without key or time are in no session and left out.
     """
-    placed = place(df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()), [key], time, hot_rows, measure)
-    inside = Window.partitionBy(key, "__chunk").orderBy(time, seq)
+    known = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    placed, cut = place(known, [key], time, hot_rows, measure)
+    group = [key, "__chunk"] if cut else [key]
+    inside = Window.partitionBy(*group).orderBy(time, seq)
     is_new = (F.col(time) - F.lag(time).over(inside) >= idle).cast("int")
-
-    per_key = Window.partitionBy(key).orderBy("__chunk")
-    upto = per_key.rowsBetween(Window.unboundedPreceding, 0)
-    starts = (
-        placed.filter("__hot")
-        .withColumn("__new", is_new)
-        .groupBy(key, "__chunk")
-        .agg(F.min(time).alias("__from"), F.max(time).alias("__to"), F.coalesce(F.sum("__new"), F.lit(0)).alias("__inner"))
-        .withColumn("__edge", F.when(F.col("__from") - F.lag("__to").over(per_key) < idle, 0).otherwise(1))
-        .withColumn("__first", F.sum(F.col("__edge") + F.col("__inner")).over(upto) - F.col("__inner"))
-        .select(key, "__chunk", "__first")
-    )
     so_far = F.sum(F.coalesce("__new", F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    number = F.coalesce("__first", F.lit(1)) + F.col("__run")
+    rows = placed.withColumn("__new", is_new).withColumn("__run", so_far)
+    number = F.col("__run") + 1
+    if cut:
+        per_key = Window.partitionBy(key).orderBy("__chunk")
+        upto = per_key.rowsBetween(Window.unboundedPreceding, 0)
+        starts = (
+            placed.filter("__hot")
+            .withColumn("__new", is_new)
+            .groupBy(*group)
+            .agg(
+                F.min(time).alias("__from"), F.max(time).alias("__to"), F.coalesce(F.sum("__new"), F.lit(0)).alias("__inner")
+            )
+            .withColumn("__edge", F.when(F.col("__from") - F.lag("__to").over(per_key) < idle, 0).otherwise(1))
+            .withColumn("__first", F.sum(F.col("__edge") + F.col("__inner")).over(upto) - F.col("__inner"))
+            .select(*group, "__first")
+        )
+        rows = rows.join(starts, group, "left")
+        number = F.col("__run") + F.coalesce("__first", F.lit(1))
     return (
-        placed.withColumn("__new", is_new)
-        .withColumn("__run", so_far)
-        .join(starts, [key, "__chunk"], "left")
-        .withColumn("session_no", number)
+        rows.withColumn("session_no", number)
         .withColumn("session_id", F.concat_ws("_s", F.col(key), F.col("session_no").cast("string")))
         .drop("__chunk", "__hot", "__new", "__run", "__first")
     )
