@@ -1,6 +1,7 @@
 """Streams over several micro-batches give what the batch rules give."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from tidemark.operators.identity import fold_identity, fold_super_properties
 from tidemark.operators.screens import coalesce_screens
 from tidemark.operators.sessions import lifecycle_sessions
 from tidemark.sources.deadletter import write_with_rejects
-from tidemark.streaming import ingest, stateful
+from tidemark.streaming import ingest, signals, stateful
 from tidemark.streaming.run import run_available
 
 BASE = 1_700_000_000_000_000
@@ -86,8 +87,10 @@ def test_ingest_stream(spark, tmp_path):
     source.mkdir()
     lines = [json.dumps({"appId": "app", "environment": env, "events": [event]}) for env in ("sandbox", "production")]
     (source / "a.jsonl").write_text("\n".join([*lines, "{broken"]))
+    counts = {}
     query = ingest.ingest_stream(
-        spark, str(source), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "cp"), "cd_pub_test_1", available_now=True
+        spark, str(source), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "cp"), "cd_pub_test_1",
+        available_now=True, on_signals=counts.__setitem__,
     ).start()
     query.awaitTermination()
     row = spark.read.parquet(str(tmp_path / "good")).first()
@@ -96,6 +99,7 @@ def test_ingest_stream(spark, tmp_path):
     assert row["sensitive_keys"] == ["password"] and row["warnings"][0]["kind"] == "truncated_string"
     codes = sorted(r["reject_code"] for r in spark.read.parquet(str(tmp_path / "bad")).collect())
     assert codes == ["env_mismatch", "malformed_batch"]
+    assert counts[0] == {"property_coerced": 1, "sensitive_property_warning": 1, "no_identity": 1, "pii_scrubbed": 1}
 
 
 def test_reject_sink_can_run_again(spark, tmp_path):
@@ -114,5 +118,21 @@ def test_signals_are_observed(spark):
         rows, "developer_user_id string, properties string, warnings array<struct<key:string,kind:string>>, sensitive_keys array<string>"
     )
     seen = Observation("signals")
-    ingest.signal_counts(df, seen).collect()
-    assert seen.get == {"events": 2, "property_coerced": 1, "sensitive_property_warning": 1, "no_identity": 1, "pii_scrubbed": 1}
+    signals.observed(df, seen, signals.event_signals()).collect()
+    assert seen.get == {"property_coerced": 1, "sensitive_property_warning": 1, "no_identity": 1, "pii_scrubbed": 1}
+
+
+def test_signals_of_a_stream(spark, tmp_path):
+    rows = [(i, BASE, "invalid_secret_key" if i % 3 == 0 else None) for i in range(30)]
+    stream = in_batches(spark, tmp_path, rows, "event_id long, ts_us long, reject_code string")
+    totals = signals.SignalTotals()
+    spark.streams.addListener(totals)
+    try:
+        run_available(signals.observed(stream, "gate", signals.gate_signals()))
+        for _ in range(50):
+            if totals.totals.get("invalid_key") == 10:
+                break
+            time.sleep(0.1)
+        assert totals.totals == {"invalid_key": 10, "environment_mismatch": 0}
+    finally:
+        spark.streams.removeListener(totals)

@@ -177,7 +177,7 @@ def session_funnel(
 
     Each step is the earliest row of its name after the previous step's row. A step is
     one pre-aggregated minimum per session over the rows of that name only, so a
-    session's rows are never brought together.
+    session's rows are never brought together. ``sessions`` is read for every step: hand in a table.
     """
     position = F.struct(F.col(time).alias("t"), F.col(seq).alias("s"))
     reached = sessions.filter(F.col("name") == steps[0]).groupBy(by).agg(F.min(position).alias("at_1"))

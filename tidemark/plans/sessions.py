@@ -94,7 +94,7 @@ def _sessionize(spark, sf):
 )
 def _session_summary(spark, sf):
     log = fx.redelivered(spark, sf).select("event_id", "ts_us", "dev", "received_us")
-    return session_summary(sessionize(dedup_events(log)))
+    return session_summary(sessionize(dedup_events(log), measure=log))
 
 
 @query("lifecycle_sessions", sql(f"WITH {_LIFECYCLE} SELECT * FROM emitted", "v_lifecycle"))
@@ -135,5 +135,5 @@ def _attach_session(spark, sf):
     ),
 )
 def _session_funnel(spark, sf):
-    s = sessionize(fx.events(spark, sf).select("event_id", "dev", "ts_us", "name"))
+    s = cut_lineage(sessionize(fx.events(spark, sf).select("event_id", "dev", "ts_us", "name")))
     return session_funnel(s, ["page.viewed", "element.clicked", "purchase.completed"])

@@ -182,20 +182,21 @@ def _latest_heartbeat(spark, sf):
 
 
 def _registry(spark, sf):
-    """A registry document per region, from the nations in it."""
+    """Registry documents of one contract each, from the parts."""
     contract = (
-        "named_struct('id', concat('contract_', n_nationkey), 'pillar', element_at(array('revenue', 'errors', 'identity', 'analytics', 'lifecycle'), "
-        "cast(n_regionkey as int) + 1), 'status', case when n_nationkey % 4 = 0 then 'proposed' else 'enforced' end, 'claim', n_name, "
-        "'appliesTo', array('android'), 'codeRef', array('a.kt'), 'testRef', transform(sequence(0, cast(n_nationkey % 3 as int)), "
+        "named_struct('id', concat('contract_', p_partkey), 'pillar', element_at(array('revenue', 'errors', 'identity', 'analytics', 'lifecycle'), "
+        "cast(p_partkey % 5 as int) + 1), 'status', case when p_partkey % 4 = 0 then 'proposed' else 'enforced' end, 'claim', p_name, "
+        "'appliesTo', array('android'), 'codeRef', array('a.kt'), 'testRef', transform(sequence(0, cast(p_partkey % 3 as int)), "
         "i -> named_struct('file', 't.kt', 'name', concat('case ', i))), 'registeredAt', '2024-01-01', 'firstRegisteredIn', '1', 'bundledIn', '1')"
     )
-    nations = fx.table(spark, sf, "nation").selectExpr("n_regionkey", f"{contract} as c")
-    docs = nations.groupBy("n_regionkey").agg(F.collect_list("c").alias("contracts"))
-    return parse_contract_registry(docs.selectExpr("to_json(named_struct('sdkVersion', '1.0', 'bundledIn', '1', 'contracts', contracts)) as value"))
+    docs = fx.table(spark, sf, "part").selectExpr(
+        f"to_json(named_struct('sdkVersion', '1.0', 'bundledIn', '1', 'contracts', array({contract}))) as value"
+    )
+    return parse_contract_registry(docs)
 
 
-_REGISTRY_SQL = """registry AS (SELECT 'contract_' || n_nationkey AS id, ['revenue', 'errors', 'identity', 'analytics', 'lifecycle'][CAST(n_regionkey AS INT) + 1] AS pillar,
-    CASE WHEN n_nationkey % 4 = 0 THEN 'proposed' ELSE 'enforced' END AS status, n_name AS claim, n_nationkey % 3 + 1 AS tests FROM nation)"""
+_REGISTRY_SQL = """registry AS (SELECT 'contract_' || p_partkey AS id, ['revenue', 'errors', 'identity', 'analytics', 'lifecycle'][CAST(p_partkey % 5 AS INT) + 1] AS pillar,
+    CASE WHEN p_partkey % 4 = 0 THEN 'proposed' ELSE 'enforced' END AS status, p_name AS claim, p_partkey % 3 + 1 AS tests FROM part)"""
 
 
 @query("read_contract_registry", f"WITH {_REGISTRY_SQL} SELECT id, pillar, status, claim FROM registry")
@@ -213,7 +214,7 @@ def _test_refs(spark, sf):
 
 def _failures(spark, sf):
     return fx.errors(spark, sf).selectExpr(
-        "concat('contract_', k % 30) as contract_id",
+        "concat('contract_', k * 3) as contract_id",
         "concat('run_', user_id) as run_id",
         "case when k % 2 = 0 then 'android' else 'web' end as sdk_platform",
         "element_at(array('ci', 'dogfood', 'customer-app'), k % 3 + 1) as run_context",
@@ -223,9 +224,9 @@ def _failures(spark, sf):
 @query(
     "contract_failures_by_contract",
     sql(
-        f"""WITH {_REGISTRY_SQL} SELECT 'contract_' || (e.k % 30) AS contract_id, any_value(r.pillar) AS pillar, any_value(r.status) AS contract_status,
+        f"""WITH {_REGISTRY_SQL} SELECT 'contract_' || (e.k * 3) AS contract_id, any_value(r.pillar) AS pillar, any_value(r.status) AS contract_status,
         count(*) AS failures, count(DISTINCT e.user_id) AS runs, any_value(r.id) IS NOT NULL AS known
-        FROM v_errors e LEFT JOIN registry r ON r.id = 'contract_' || (e.k % 30) GROUP BY e.k % 30""",
+        FROM v_errors e LEFT JOIN registry r ON r.id = 'contract_' || (e.k * 3) GROUP BY e.k""",
         "v_errors",
     ),
 )
@@ -236,7 +237,7 @@ def _by_contract(spark, sf):
 @query(
     "contract_failure_breakdown",
     sql(
-        """SELECT 'contract_' || (k % 30) AS contract_id, CASE WHEN k % 2 = 0 THEN 'android' ELSE 'web' END AS sdk_platform,
+        """SELECT 'contract_' || (k * 3) AS contract_id, CASE WHEN k % 2 = 0 THEN 'android' ELSE 'web' END AS sdk_platform,
            ['ci', 'dogfood', 'customer-app'][k % 3 + 1] AS run_context, count(*) AS failures FROM v_errors GROUP BY ALL""",
         "v_errors",
     ),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..fixtures import Streams, sql
 from ..session import configure
-from ..streaming import ingest, stateful
+from ..operators.gates import ingest_gate
+from ..streaming import ingest, signals, stateful
 from ..streaming.run import run_available
 from .commerce import _REPLAYS
 from .health import _TAPS, _VIEWS, _greedy
@@ -101,3 +102,41 @@ def _taps(spark, sf):
 def _jank(spark, sf):
     frames = _events(spark, sf).selectExpr("dev", "event_id", "ts", "ts_us * 10 as frame_ns")
     return run_available(stateful.frame_jank_stream(frames, window="6 hours"))
+
+
+@query(
+    "debug_signals",
+    sql(
+        """SELECT count(*) FILTER (WHERE k % 11 = 0) AS invalid_key,
+             count(*) FILTER (WHERE k % 11 <> 0 AND (k % 2 = 0) <> (k % 5 < 3)) AS environment_mismatch FROM v_events""",
+        "v_events",
+    ),
+)
+def _gate_signals(spark, sf):
+    from .values import _claims
+
+    code = ingest_gate(F.col("public_key"), F.col("environment"), F.col("app_id"), F.col("name"))
+    return _claims(spark, sf).withColumn("reject_code", code).agg(*signals.gate_signals())
+
+
+@query(
+    "debug_signals_of_events",
+    sql(
+        """SELECT count(*) FILTER (WHERE k % 7 = 0)::BIGINT AS property_coerced, count(*) FILTER (WHERE k % 3 = 0) AS sensitive_property_warning,
+             count(*) FILTER (WHERE k % 4 = 0) AS no_identity, count(*) FILTER (WHERE k % 5 = 0) AS pii_scrubbed FROM v_events WHERE k % 2 = 0""",
+        "v_events",
+    ),
+)
+def _event_signals(spark, sf):
+    configure(spark)
+    rows = fx.events(spark, sf).selectExpr(
+        "event_id",
+        "name",
+        "'app' as app_id",
+        "case when k % 2 = 0 then 'sandbox' else 'production' end as environment",
+        "case when k % 4 <> 0 then dev end as developer_user_id",
+        "to_json(map(case when k % 3 = 0 then 'Password' else 'note' end, case when k % 5 = 0 then 'a@b.io' else 'x' end, "
+        "'long', repeat('y', case when k % 7 = 0 then 1025 else 10 end))) as properties",
+    )
+    accepted, _ = ingest.clean_events(rows, F.lit("cd_pub_test_1"))
+    return accepted.agg(*signals.event_signals())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .parse import with_json
+
 # The registry's vocabularies.
 PILLARS = ("revenue", "entitlements", "analytics", "webhooks", "errors", "lifecycle", "identity")
 STATUSES = ("enforced", "proposed", "retired")
@@ -45,7 +47,7 @@ def contract_test_refs(contracts: DataFrame) -> DataFrame:
 
 def parse_contract_registry(docs: DataFrame, body: str = "value") -> DataFrame:
     """Contracts from registry documents held as text, one per row."""
-    return contract_rows(docs.select(F.from_json(F.col(body), SCHEMA).alias("r")).select("r.*"))
+    return contract_rows(with_json(docs.select(F.col(body).alias("__body")), "__body", SCHEMA))
 
 
 def read_contract_registry(spark: SparkSession, path: str) -> DataFrame:

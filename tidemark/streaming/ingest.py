@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -10,6 +12,7 @@ from ..functions.privacy import flag_sensitive_keys, scrub_pii_json
 from ..functions.values import sanitize_json
 from ..operators.gates import ingest_gate
 from ..sources.events import CUSTOMER_FIELD, parse_event_batches
+from .signals import event_signals, observed
 
 DEFAULT_INTERVAL_MS = 2_000
 MIN_INTERVAL_MS = 250
@@ -29,35 +32,6 @@ def clean_events(rows: DataFrame, public_key: Column) -> tuple[DataFrame, DataFr
     return scrubbed.drop("__s"), gated.filter("reject_code is not null")
 
 
-def signal_counts(events: DataFrame, name: str = "signals") -> DataFrame:
-    """Count debug signals on the way through; read them from the query's observed metrics."""
-    return events.observe(
-        name,
-        F.count(F.lit(1)).alias("events"),
-        F.sum(F.size("warnings")).alias("property_coerced"),
-        F.count_if(F.size("sensitive_keys") > 0).alias("sensitive_property_warning"),
-        F.count_if(F.col("developer_user_id").isNull()).alias("no_identity"),
-        F.count_if(F.contains("properties", F.lit("<email>")) | F.contains("properties", F.lit("<card>"))).alias("pii_scrubbed"),
-    )
-
-
-def outcome_counts(outcomes: DataFrame, name: str = "delivery") -> DataFrame:
-    """The same for ``delivery_outcomes`` rows."""
-    return outcomes.observe(
-        name,
-        F.count_if(F.col("state") == "delivered").alias("queue_persisted"),
-        F.count_if(F.col("state") == "pending").alias("flush_retry_scheduled"),
-        F.count_if(F.col("state").isin("dropped_permanent", "retry_exhausted")).alias("flush_permanent_failure"),
-    )
-
-
-def consent_counts(events: DataFrame, name: str = "consent") -> DataFrame:
-    """Rows denied per channel, for events with ``consent_analytics`` and ``consent_errors`` attached."""
-    is_error = F.col("name") == "$error"
-    denied = F.when(is_error, ~F.col("consent_errors")).otherwise(~F.col("consent_analytics"))
-    return events.observe(name, F.count_if(denied).alias("consent_denied"), F.count(F.lit(1)).alias("events"))
-
-
 def ingest_stream(
     spark: SparkSession,
     source: str,
@@ -69,9 +43,12 @@ def ingest_stream(
     available_now: bool = False,
     customer_field: str = CUSTOMER_FIELD,
     max_files: int | None = None,
+    on_signals: Callable[[int, dict], None] | None = None,
 ) -> DataStreamWriter:
     """Envelope files to an event table and a reject table. Call ``start`` on the result.
 
+    ``on_signals`` gets each micro-batch's id and debug signal counts.
+
     The checkpoint takes the place of a device's saved buffer. Each micro-batch replaces the folder of
     its own id, so one that is run again leaves a single copy.
     """
@@ -85,7 +62,10 @@ def ingest_stream(
         try:
             rows, broken = parse_event_batches(batch, "value", F.col("received_ms"), customer_field)
             clean, refused = clean_events(rows, F.lit(public_key))
-            signal_counts(clean).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            counts = Observation(f"signals-{batch_id}")
+            observed(clean, counts, event_signals()).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            if on_signals is not None:
+                on_signals(batch_id, counts.get)
             dead = broken.select("document", "reject_code").unionByName(
                 refused.select(F.to_json(F.struct(*rows.columns)).alias("document"), "reject_code")
             )
