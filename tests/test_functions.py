@@ -170,9 +170,9 @@ def test_error_envelope(spark):
 
 
 def test_retry_after(spark):
-    rows = [("30",), ("0",), ("-5",), ("garbage",), ("",), (None,), (" 7 ",), ("Thu, 01 Jan 1970 00:00:20 GMT",), ("Thu, 01 Jan 1970 00:00:01 GMT",)]
+    rows = [("9223372036854775807",), ("30",), ("0",), ("-5",), ("garbage",), ("",), (None,), (" 7 ",), ("Thu, 01 Jan 1970 00:00:20 GMT",), ("Thu, 01 Jan 1970 00:00:01 GMT",)]
     got = ask(spark, "v string", rows, w=wire.parse_retry_after(F.col("v"), F.lit(5000)))
-    assert [r["w"] for r in got] == [30000, 0, None, None, None, None, 7000, 15000, 0]
+    assert [r["w"] for r in got] == [None, 30000, 0, None, None, None, None, 7000, 15000, 0]
 
 
 def test_retry_ceiling(spark):

@@ -213,3 +213,5 @@ def test_dedup_keeps_the_first_received(spark):
     df = spark.createDataFrame(rows, "event_id long, received_us long, name string")
     got = sorted(tuple(r) for r in dedup_events(df).collect())
     assert got == [(1, 3, "a"), (2, 9, "c"), (7, 50, "copy")]
+    bags = df.withColumn("bag", F.create_map(F.lit("n"), "name"))
+    assert sorted(r["bag"]["n"] for r in dedup_events(bags).collect()) == ["a", "c", "copy"]

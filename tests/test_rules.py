@@ -14,7 +14,7 @@ def rows(df, *columns):
 
 def test_identity(spark):
     ops = [
-        ("d", 1, 1, "identify", "  user_847  ", None),
+        ("d", 1, 1, "identify", " \t user_847 \n ", None),
         ("d", 2, 2, "alias", None, " cust_1 "),
         ("d", 3, 3, "identify", "   ", None),
         ("d", 4, 4, "identify", "u2", None),
@@ -26,9 +26,9 @@ def test_identity(spark):
     assert [got[i]["developer_user_id"] for i in range(1, 7)] == ["user_847", "user_847", None, "u2", None, None]
     assert [got[i]["customer_id"] for i in range(1, 7)] == [None, "cust_1", "cust_1", "cust_1", None, None]
     assert got[4]["anonymous_id"] == "d" and got[5]["anonymous_id"].startswith("anon_") and len(got[5]["anonymous_id"]) == 37
-    events = spark.createDataFrame([("d", 0, 10), ("d", 1, 11), ("d", 4, 12), ("e", 9, 13)], HEAD)
+    events = spark.createDataFrame([("d", 0, 10), ("d", 1, 11), ("d", 4, 12), ("e", 9, 13), (None, 9, 14)], HEAD)
     seen = rows(identity.attach_identity(events, state), "event_id", "anonymous_id", "developer_user_id")
-    assert seen == [(10, "d", None), (11, "d", "user_847"), (12, "d", "u2"), (13, "e", None)]
+    assert seen == [(10, "d", None), (11, "d", "user_847"), (12, "d", "u2"), (13, "e", None), (14, None, None)]
 
 
 def test_super_properties(spark):
@@ -204,7 +204,10 @@ def test_delivery_outcomes(spark):
     }
     audit = {r["event_id"]: r for r in delivery.retry_audit(df).collect()}
     assert [audit[10 + i]["ceiling_ms"] for i in range(6)] == [1000, 2000, 4000, 8000, 16000, None]
-    assert audit[2]["ceiling_ms"] is None and not audit[10]["late"]
+    assert audit[2]["ceiling_ms"] is None and not audit[10]["late"] and not audit[10]["early"]
+    waits = spark.createDataFrame([("k", 0, 1, 429, 5000), ("k", 4999, 2, 429, 5000), ("k", 10_000, 3, 200, None)], df.schema)
+    flags = {r["event_id"]: (r["late"], r["early"]) for r in delivery.retry_audit(waits).collect()}
+    assert flags == {1: (False, True), 2: (True, False), 3: (False, False)}
 
 
 def test_breadcrumbs(spark):

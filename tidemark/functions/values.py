@@ -31,6 +31,11 @@ _REAL = (T.DoubleType, T.FloatType)
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def truncate_string(text: Column) -> Column:
     kept = F.concat(F.substring(text, 1, MAX_STRING_LENGTH - 1), F.lit(ELLIPSIS))
     return F.when(F.length(text) > MAX_STRING_LENGTH, kept).otherwise(text)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .values import strip
+
 DAY_MS = 86_400_000
 
 # The closed vocabulary of error types.
@@ -97,13 +99,13 @@ def decode_error_envelope(
 
 def parse_retry_after(value: Column, received_ms: Column) -> Column:
     """Milliseconds to wait: delta seconds, or an HTTP date measured from ``received_ms``."""
-    raw = F.trim(value)
+    raw = strip(value)
     seconds = F.when(raw.rlike("^[+-]?[0-9]+$"), raw.try_cast("bigint"))
     date = F.try_to_timestamp(
         F.regexp_replace(raw, "^[A-Za-z]{3}, ", ""), F.lit("dd MMM yyyy HH:mm:ss z")
     )
     wait = F.greatest(F.unix_millis(date) - received_ms, F.lit(0).cast("bigint"))
-    return F.when(seconds.isNotNull(), F.when(seconds >= 0, seconds * 1000)).when(date.isNotNull(), wait)
+    return F.when(seconds.isNotNull(), F.when(seconds >= 0, F.try_multiply(seconds, F.lit(1000)))).when(date.isNotNull(), wait)
 
 
 def retry_ceiling(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.wire import classify_outcome, retry_ceiling
 from .ordered import HOT_ROWS, Ordered, before, open_intervals, previous, total
@@ -16,13 +17,26 @@ def dedup_events(df: DataFrame, key: str = "event_id", received: str = "received
     """Keep the earliest received copy of each event.
 
     An aggregate, not a window: copies collapse on the map side, so a third of the table
-    being copies of one event moves one row per task.
+    being copies of one event moves one row per task. Copies received at once are told
+    apart by their other columns, as far as these can be ordered.
     """
     rest = [c for c in df.columns if c not in (key, received)]
-    kept = F.min(F.struct(received, *rest))
+    sortable = [f.name for f in df.schema.fields if f.name in rest and _is_sortable(f.dataType)]
+    if len(sortable) == len(rest):
+        kept = F.min(F.struct(received, *rest))
+    else:
+        kept = F.min_by(F.struct(received, *rest), F.struct(received, *sortable))
     return df.groupBy(key).agg(kept.alias("__kept")).select(key, "__kept.*").select(*df.columns)
 
 
+def _is_sortable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_is_sortable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _is_sortable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def resolve_replays(
     requests: DataFrame,
     key: str = "key",
@@ -118,7 +132,8 @@ def retry_audit(
     """For each send, the longest wait allowed after it and whether the next send kept to it.
 
     ``retry_no`` counts retryable failures before this row from 0; ``ceiling_ms`` is null for rows that are
-    not retryable and once retries are used up. ``late`` marks a gap above the ceiling.
+    not retryable and once retries are used up. ``late`` marks a gap above the ceiling, ``early`` a send before
+    the time a Retry-After named; below a backoff ceiling any gap is allowed, as jitter is random.
     """
     marked = attempts.withColumn("__kind", classify_outcome(F.col("status")))
     state = (
@@ -141,4 +156,5 @@ def retry_audit(
         ceiling.alias("ceiling_ms"),
         gap.alias("gap_ms"),
         F.coalesce(gap > ceiling, F.lit(False)).alias("late"),
+        F.coalesce((F.col("retry_after_ms") > 0) & (gap < ceiling), F.lit(False)).alias("early"),
     )

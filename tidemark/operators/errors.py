@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.privacy import scrub_pii
 from ..functions.stacks import fingerprint, parse_stack
+from ..functions.values import strip
 from .ordered import HOT_ROWS, Ordered, before, last, total
 
 BREADCRUMBS = 50
@@ -36,7 +37,7 @@ def crumbs_from_identity(ops: DataFrame, key: str = "dev", time: str = "ts_us",
         seq,
         F.lit("identity").alias("category"),
         F.lit("info").alias("level"),
-        F.concat(F.lit("identify "), F.trim("user")).alias("message"),
+        F.concat(F.lit("identify "), strip(F.col("user"))).alias("message"),
         F.lit(None).cast("map<string,string>").alias("data"),
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.privacy import scrub_pii
+from ..functions.values import strip
 from .ordered import HOT_ROWS, Ordered, as_of, before, last, total
 
 MAX_NAMES = 1000
@@ -28,8 +29,8 @@ def fold_identity(
     """
     op = F.col("op")
     nothing = F.when(op == "reset", _set_to(F.lit(None).cast("string")))
-    user = F.when(op == "identify", _set_to(F.nullif(F.trim("user"), F.lit(""))))
-    customer = F.when(op == "alias", _set_to(F.nullif(F.trim("customer"), F.lit(""))))
+    user = F.when(op == "identify", _set_to(F.nullif(strip(F.col("user")), F.lit(""))))
+    customer = F.when(op == "alias", _set_to(F.nullif(strip(F.col("customer")), F.lit(""))))
     state = (
         Ordered(ops, [key], [time, seq], hot_rows)
         .running(

@@ -218,25 +218,28 @@ def as_of(
 
     Logs share the key, time and sequence columns of ``events``; their other columns
     arrive as one struct column under the log's name (null when there is none).
-    A log row at the same instant as an event counts as earlier. All logs ride in
+    A log row at the same instant as an event counts as earlier. Events without a key find nothing. All logs ride in
     one union, so all lookups together cost one shuffle. The inputs are read more than once, for
     the key counts and for the rows: hand in tables, not long computations (``session.cut_lineage`` writes one).
     """
     head = [*keys, time, seq]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     payload = {n: [c for c in log.columns if c not in head] for n, log in logs.items()}
     event_cols = [c for c in events.columns if c not in head]
-    parts = [events.select(*head, F.lit(1).alias("__kind"), F.struct(*event_cols).alias("__event"))]
+    parts = [events.filter(known).select(*head, F.lit(1).alias("__kind"), F.struct(*event_cols).alias("__event"))]
     for name, log in logs.items():
-        parts.append(log.select(*head, F.lit(0).alias("__kind"), F.struct(*payload[name]).alias(name)))
+        parts.append(log.filter(known).select(*head, F.lit(0).alias("__kind"), F.struct(*payload[name]).alias(name)))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     scanned = Ordered(union, keys, [time, "__kind", seq], hot_rows).running(
         **{f"__now_{n}": last(F.col(n)) for n in logs}
     )
-    return (
+    found = (
         scanned.frame()
         .filter("__kind = 1")
         .select(*head, "__event.*", *[F.col(f"__now_{n}").alias(n) for n in logs])
     )
+    # Events without a key have no state; together in a window they would be a hot group.
+    return found.unionByName(events.filter(~known), allowMissingColumns=True)
 
 
 # Runs up to this many rows are decided by a fold in one task, longer ones by pointer doubling.

@@ -63,7 +63,8 @@ def _retry_after(spark, sf):
                FROM v_attempts WINDOW w AS (PARTITION BY key ORDER BY ts_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
         c AS (SELECT *, CASE WHEN kind = 'retryable' AND n < 5 THEN CASE WHEN retry_after_s > 0 THEN least(retry_after_s * 1000, 86400000)
                ELSE CAST(least(1000 * pow(2, n), 30000) AS BIGINT) END END AS ceiling_ms FROM t)
-        SELECT key, ts_ms, event_id, CASE WHEN kind = 'retryable' THEN n END AS retry_no, ceiling_ms, gap_ms, coalesce(gap_ms > ceiling_ms, false) AS late FROM c""",
+        SELECT key, ts_ms, event_id, CASE WHEN kind = 'retryable' THEN n END AS retry_no, ceiling_ms, gap_ms, coalesce(gap_ms > ceiling_ms, false) AS late,
+          coalesce(retry_after_s > 0 AND gap_ms < ceiling_ms, false) AS early FROM c""",
         "v_attempts",
     ),
 )

@@ -140,5 +140,5 @@ def pack_event_batches(
 
 
 def write_event_batches(batches: DataFrame, path: str, mode: str = "append") -> None:
-    """Write packed envelopes as JSON lines, partitioned by app and environment."""
-    batches.select("app_id", "environment", "value").write.mode(mode).partitionBy("app_id", "environment").text(path)
+    """Write packed envelopes as JSON lines. Each names its app and environment, so no folder has to."""
+    batches.select("value").write.mode(mode).text(path)
