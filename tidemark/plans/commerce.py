@@ -284,7 +284,7 @@ _DOCS = """docs AS (SELECT "user", ts_us, list({'k': key, 'a': active, 'v': vali
 
 @query("entitlement_changes", sql(f'WITH {_DOCS} SELECT "user", ts_us, len(items) AS n FROM docs', "v_snapshots"))
 def _changes(spark, sf):
-    return ent.entitlement_changes(fx.snapshots(spark, sf)).select("user", "ts_us", F.size("entitlements").alias("n"))
+    return ent.entitlement_changes(fx.snapshots(spark, sf)).select("user", "ts_us", F.size("entitlements").cast("bigint").alias("n"))
 
 
 @query(
@@ -299,4 +299,4 @@ def _changes(spark, sf):
 def _changes_only(spark, sf):
     snapshots = fx.snapshots(spark, sf).withColumn("valid_until_us", F.lit(None).cast("bigint"))
     changes = ent.entitlement_changes(snapshots, entitlements_only=True)
-    return changes.select("user", "ts_us", F.size("entitlements").alias("n"))
+    return changes.select("user", "ts_us", F.size("entitlements").cast("bigint").alias("n"))

@@ -136,7 +136,7 @@ def pack_event_batches(
         F.struct(F.lit(sdk_name).alias("name"), F.lit(sdk_version).alias("version")).alias("sdk"),
         F.transform(in_order, lambda e: e["event"]).alias("events"),
     )
-    return packed.select(*scope, "batch_no", F.size("__events").alias("events"), F.to_json(envelope).alias("value"))
+    return packed.select(*scope, "batch_no", F.size("__events").cast("bigint").alias("events"), F.to_json(envelope).alias("value"))
 
 
 def write_event_batches(batches: DataFrame, path: str, mode: str = "append") -> None:
