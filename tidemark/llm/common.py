@@ -46,11 +46,11 @@ def shares(df: DataFrame, by: Column, wanted: int, key: Column) -> DataFrame:
 
     Only for fitting models: the counts are over all rows, the rows are not held in one task.
     """
-    scale = 1 << 30
+    scale = float(1 << 30)
     marked = df.withColumn("_by", by)
     counts = marked.groupBy("_by").agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(scale))
-    return marked.join(counts, "_by").filter(draw * F.col("_n") < F.lit(scale) * F.lit(wanted)).drop("_by", "_n")
+    draw = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)).cast("double")
+    return marked.join(counts, "_by").filter(draw * F.col("_n") < F.lit(scale * wanted)).drop("_by", "_n")
 
 
 def steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
