@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact, packing
+from . import bpe, exact, langid, packing
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op3_exact_dedup": exact.op3_exact_dedup,
+    "op6_bpe": bpe.op6_bpe,
     "op8_packing": packing.op8_packing,
 }
 ORACLES = {"op3_exact_dedup": exact.ORACLE}
