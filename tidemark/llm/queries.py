@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact, langid, packing
+from . import bpe, exact, langid, packing, pii, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op3_exact_dedup": exact.op3_exact_dedup,
     "op6_bpe": bpe.op6_bpe,
+    "op7_pii": pii.op7_pii,
     "op8_packing": packing.op8_packing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {"op3_exact_dedup": exact.ORACLE}
