@@ -1,11 +1,11 @@
 """Byte-pair encoding and decoding with a public tokenizer file.
 
-A text of up to ``leaf_chars`` code points is encoded word by word: this
-tokenizer drops white space, so words between ASCII white space are independent.
-A longer text is cut in halves down to leaves, whatever the cut goes through;
-leaves are rows of their own, encoded in parallel on all executors. Their ids
-are then concatenated up a tree: at each join a window around the cut is
-encoded again and grown until it agrees with both sides.
+This tokenizer drops white space, so words between ASCII white space are
+independent. A text of more than ``leaf_chars`` code points is cut in halves down to leaves, whatever the cut goes
+through; leaves are rows of their own, encoded in parallel on all executors.
+Their ids are then concatenated up a tree: where a cut went through a run of
+characters without white space, a window around it is encoded again and grown
+until it agrees with both sides.
 
 Why that is exact: adjacent ids of an encoding stay an encoding wherever they
 stand inside one run, so ids left of the agreement with the left side, ids of
@@ -17,10 +17,15 @@ whole text gives. A window starts where the left side starts an id, at least
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +33,14 @@ from pyspark.sql import types as T
 from .common import annotate, steps, table, text_or_empty
 
 LEAF_CHARS = 16384
-#: Words whose ids a task remembers.
-MEMORY = 300_000
+#: Characters whose normal form, case or class is left to the library: all but ASCII and Latin letters in composed form.
+_RARE = regex.compile("[^\\x00-\\x1b\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u017e\\u2010-\\u2027\\u2030-\\u205e\\u20ac]")
+_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _REACH = 64
+_SPACES = " \t\n\x0b\x0c\r"
+_SPACE = re.compile(r"[ \t-\r]")
 
-Leaf = tuple[list[int], list[tuple[int, int]]]
+Coded = tuple[list[int], list[tuple[int, int]]]
 
 
 def public_path() -> str:
@@ -51,56 +59,80 @@ def tokenizer_of(path: str):
     return tokenizer
 
 
-class Words:
-    """Ids and decoded text of single words, remembered."""
-
-    def __init__(self, path: str, memory: int = MEMORY) -> None:
-        self.tokenizer, self.memory = tokenizer_of(path), memory
-        self.known: dict[bytes, tuple[int, str, str]] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        fresh = list(words - self.known.keys())
-        if len(self.known) + len(fresh) > self.memory:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        name = self.tokenizer.id_to_token
-        for word, e in zip(fresh, encoded, strict=True):
-            ids = e.ids
-            self.known[word] = (len(ids), " ".join(map(str, ids)), " ".join(map(name, ids)))
-
-    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Number of ids, the ids, and the decoded text of each text."""
-        split = [t.encode().split() for t in texts]
-        self.learn({w for words in split for w in words})
-        out = []
-        for words in split:
-            found = [x for x in map(self.known.__getitem__, words) if x[0]]
-            out.append((sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])))
-        return out
-
-
-def encode_leaf(path: str, text: str, at: int = 0) -> Leaf:
-    """Ids and their spans in code points, from ``at``."""
+def byte_letters() -> dict[str, int]:
+    """The printable stand-ins of bytes in a byte-level vocabulary: printable Latin-1 for itself, the rest from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+@lru_cache(maxsize=2)
+def rank_coder(path: str):
+    """The file's merges as a rank table, where a word's end is written as a space; None if they are not of that kind.
+
+    Ids grow in the order of the merges, so the ids are the ranks.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    letters = byte_letters()
+    vocabulary = {t: i for t, i in model["vocab"].items() if not t.startswith("<|")}
+    end = model.get("end_of_word_suffix")
+    if not end:
+        return None
+    ranks = {bytes(letters[c] for c in t.removesuffix(end)) + (b" " if t.endswith(end) else b""): i for t, i in vocabulary.items()}
+    return tiktoken.Encoding("word-ends", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
+
+class Encoder:
+    """Ids of whole texts as the library gives them.
+
+    Texts of plain letters are split here and merged through the rank table,
+    several times faster than the library; all others go to the library itself.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer, self.ranks = tokenizer_of(path), rank_coder(path)
+        size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        self.numbers = [str(i) for i in range(size)]
+        self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+
+    def ids(self, text: str) -> list[int]:
+        if self.ranks is None or "<|" in text or _RARE.search(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        words = _WORD.findall(text.lower())
+        return self.ranks.encode_ordinary(" ".join(words) + " ") if words else []
+
+    def texts_of(self, ids: list[int]) -> tuple[int, str, str]:
+        """Their number, the ids with a space between, and the decoded text."""
+        numbers, tokens = self.numbers, self.tokens
+        return len(ids), " ".join([numbers[i] for i in ids]), " ".join([tokens[i] for i in ids])
+
+
+def code(path: str, text: str) -> Coded:
+    """Ids and their spans in code points."""
     e = tokenizer_of(path).encode(text, add_special_tokens=False)
-    return e.ids, [(a + at, b + at) for a, b in e.offsets]
+    return e.ids, e.offsets
 
 
-def joined(encode: Callable[[int, int], Leaf], text: Callable[[int], str], left: Leaf, right: Leaf, start: int, cut: int, end: int) -> Leaf:
-    """The encoding of [start, end) from those of [start, cut) and [cut, end)."""
-    (li, ls), (ri, rs) = left, right
+def joined(path: str, text: str, cut: int, left: Coded, right: Coded) -> Coded:
+    """The encoding of ``text`` from those of its parts before and after ``cut`` (spans count from each part's start)."""
+    (li, ls), (ri, rs) = left, [right[0], [(a + cut, b + cut) for a, b in right[1]]]
     grow = 8
     while True:
         i = max(0, len(li) - grow)
-        while i > 0 and (ls[i][0] > cut - _REACH or ls[i - 1][1] > ls[i][0] or text(ls[i][0]) == "'"):
+        while i > 0 and (ls[i][0] > cut - _REACH or ls[i - 1][1] > ls[i][0] or text[ls[i][0]] == "'"):
             i -= 1
         j = min(len(ri), grow)
         while j < len(ri) and rs[j - 1][1] > rs[j][0]:
             j += 1
-        a = ls[i][0] if i > 0 else start
-        b = rs[j - 1][1] if j < len(ri) else end
-        wi, ws = encode(a, b)
+        a = ls[i][0] if i > 0 else 0
+        b = rs[j - 1][1] if j < len(ri) else len(text)
+        wi, ws = code(path, text[a:b])
+        ws = [(x + a, y + a) for x, y in ws]
         agrees = i == 0 or (len(wi) > 2 and wi[:2] == li[i : i + 2] and ws[:2] == ls[i : i + 2])
-        if agrees and b == end:
+        if agrees and b == len(text):
             return li[:i] + wi, ls[:i] + ws
         if agrees:
             # The first place where two ids in a row are the right side's; the window's last id may be cut short.
@@ -110,28 +142,62 @@ def joined(encode: Callable[[int, int], Leaf], text: Callable[[int], str], left:
                 if m is not None and (i > 0 or ws[k][0] >= cut) and wi[k : k + 2] == ri[m : m + 2] and ws[k : k + 2] == rs[m : m + 2]:
                     if k == 0 or ws[k - 1][1] <= ws[k][0]:
                         return li[:i] + wi[:k] + ri[m:], ls[:i] + ws[:k] + rs[m:]
-        if a == start and b == end:
+        if a == 0 and b == len(text):
             return wi, ws
         grow *= 2
 
 
-def concatenated(path: str, text: str, leaves: list[Leaf], bounds: list[int]) -> list[int]:
-    """Join neighbouring leaves, level by level, until one is left."""
+@dataclass
+class Edge:
+    """A run without white space at the edge of a leaf, and its encoding."""
+
+    text: str
+    coded: Coded
+
+
+@dataclass
+class Node:
+    """The encoding of a stretch of text: its first run, the ids between, its last run.
+
+    A stretch without any white space is its first run alone.
+    """
+
+    head: Edge
+    middle: list[int]
+    tail: Edge | None
 
-    def encode(a: int, b: int) -> Leaf:
-        return encode_leaf(path, text[a:b], a)
 
-    while len(leaves) > 1:
-        up, edges = [], [bounds[0]]
-        for k in range(0, len(leaves), 2):
-            if k + 1 < len(leaves):
-                up.append(joined(encode, text.__getitem__, leaves[k], leaves[k + 1], bounds[k], bounds[k + 1], bounds[k + 2]))
-                edges.append(bounds[k + 2])
-            else:
-                up.append(leaves[k])
-                edges.append(bounds[k + 1])
-        leaves, bounds = up, edges
-    return leaves[0][0]
+def leaf_parts(text: str) -> tuple[str, str, str | None]:
+    """First run, what is between, last run; None as the last where there is no white space."""
+    first = _SPACE.search(text)
+    if first is None:
+        return text, "", None
+    last = len(text)
+    while text[last - 1] not in _SPACES:
+        last -= 1
+    return text[: first.start()], text[first.start() : last], text[last:]
+
+
+def concatenated(path: str, nodes: list[Node]) -> list[int]:
+    """Join neighbouring nodes, level by level, until one is left; its ids."""
+
+    def fuse(a: Edge, b: Edge) -> Edge:
+        if not a.text or not b.text:
+            return b if not a.text else a
+        return Edge(a.text + b.text, joined(path, a.text + b.text, len(a.text), a.coded, b.coded))
+
+    def join(a: Node, b: Node) -> Node:
+        if a.tail is None:
+            return Node(fuse(a.head, b.head), b.middle, b.tail)
+        if b.tail is None:
+            return Node(a.head, a.middle, fuse(a.tail, b.head))
+        return Node(a.head, a.middle + fuse(a.tail, b.head).coded[0] + b.middle, b.tail)
+
+    while len(nodes) > 1:
+        pairs = [join(nodes[k], nodes[k + 1]) for k in range(0, len(nodes) - 1, 2)]
+        nodes = pairs + nodes[len(nodes) - len(nodes) % 2 :]
+    only = nodes[0]
+    return only.head.coded[0] + only.middle + (only.tail.coded[0] if only.tail else [])
 
 
 def leaf_bounds(length: int, leaf_chars: int) -> list[int]:
@@ -143,6 +209,8 @@ def leaf_bounds(length: int, leaf_chars: int) -> list[int]:
 
 
 RESULT = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.StringType()), T.StructField("decoded", T.StringType())]
+#: The columns of an encoded leaf besides its key and number.
+_LEAF = "_head string, _head_ids array<int>, _head_at array<int>, _middle binary, _tail string, _tail_ids array<int>, _tail_at array<int>"
 
 
 def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = None, leaf_chars: int = LEAF_CHARS, digests: bool = False, id_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -150,7 +218,8 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
 
     With ``digests``, ids_sha256 and decoded_sha256 stand in for the two texts.
     Null texts count as empty and give no ids. Repeated rows are encoded each
-    for itself; other columns are ignored; no rows give no rows.
+    for itself; other columns are ignored; no rows give no rows. The file at
+    ``path`` must be of a tokenizer that drops white space and has no decoder.
     """
     path = path or public_path()
     fields = [RESULT[0], *([T.StructField(f"{f.name}_sha256", T.StringType()) for f in RESULT[1:]] if digests else RESULT[1:])]
@@ -162,8 +231,8 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
         return {f.name: v for f, v in zip(fields, ([x[0] for x in found], ids, decoded), strict=True)}
 
     def short() -> Callable[[list], dict[str, list]]:
-        words = Words(path)
-        return lambda texts: values(words.encode(texts))
+        encoder = Encoder(path)
+        return lambda texts: values([encoder.texts_of(encoder.ids(t)) for t in texts])
 
     rows = docs.select(*id_cols, text_or_empty(text_col).alias("_text"))
     is_long = F.char_length("_text") > leaf_chars
@@ -172,10 +241,9 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
     # Long texts: leaves as rows, dealt out by document and leaf.
     held = rows.filter(is_long).withColumn("_key", F.monotonically_increasing_id())
     id_fields = [docs.schema[c] for c in id_cols]
-    leaf = T.StructType(
-        [*id_fields, T.StructField("_key", T.LongType()), T.StructField("_leaf", T.LongType()), T.StructField("_start", T.LongType()), T.StructField("_part", T.StringType())]
-    )
-    coded = T.StructType([*leaf.fields, T.StructField("_ids", T.ArrayType(T.IntegerType())), T.StructField("_from", T.ArrayType(T.LongType())), T.StructField("_to", T.ArrayType(T.LongType()))])
+    keys = [*id_fields, T.StructField("_key", T.LongType()), T.StructField("_leaf", T.LongType())]
+    leaf = T.StructType([*keys, T.StructField("_part", T.StringType())])
+    coded = T.StructType([*keys, *T.StructType.fromDDL(_LEAF).fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,34 +253,43 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
                 n = len(edges) - 1
                 one = batch.slice(row, 1)
                 arrays = [pa.array(one.column(c).to_pylist() * n, one.column(c).type) for c in (*id_cols, "_key")]
-                arrays += [pa.array(range(n), pa.int64()), pa.array(edges[:-1], pa.int64())]
-                arrays.append(pa.array([text[a:b] for a, b in zip(edges, edges[1:], strict=False)], pa.string()))
+                arrays += [pa.array(range(n), pa.int64()), pa.array([text[a:b] for a, b in zip(edges, edges[1:], strict=False)], pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=leaf.names)
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(path)
+        ints = pa.list_(pa.int32())
         for batch in batches:
             for a, b in steps(batch.column("_part")):
                 part = batch.slice(a, b - a)
-                found = [encode_leaf(path, t, at) for t, at in zip(part.column("_part").to_pylist(), part.column("_start").to_pylist(), strict=True)]
-                arrays = [*part.columns, pa.array([f[0] for f in found], pa.list_(pa.int32()))]
-                arrays += [pa.array([[s[k] for s in f[1]] for f in found], pa.list_(pa.int64())) for k in (0, 1)]
+                split = [leaf_parts(t) for t in part.column("_part").to_pylist()]
+                heads, tails = ([code(path, x) if x is not None else None for x in side] for side in ([s[0] for s in split], [s[2] for s in split]))
+                middles = [np.array(encoder.ids(s[1]), dtype="<u4").tobytes() for s in split]
+                arrays = [part.column(f.name) for f in keys]
+                for side, found in ((0, heads), (2, tails)):
+                    if side:
+                        arrays.append(pa.array(middles, pa.binary()))
+                    arrays.append(pa.array([s[side] for s in split], pa.string()))
+                    arrays.append(pa.array([f and f[0] for f in found], ints))
+                    arrays.append(pa.array([f and [x for span in f[1] for x in span] for f in found], ints))
                 yield pa.RecordBatch.from_arrays(arrays, names=coded.names)
 
     def join(group: pa.Table) -> pa.Table:
-        group = group.sort_by("_leaf")
-        parts = group.column("_part").to_pylist()
-        starts = group.column("_start").to_pylist()
-        text = "".join(parts)
-        leaves = [
-            (ids, list(zip(a, b, strict=True)))
-            for ids, a, b in zip(group.column("_ids").to_pylist(), group.column("_from").to_pylist(), group.column("_to").to_pylist(), strict=True)
-        ]
-        ids = concatenated(path, text, leaves, [*starts, len(text)])
-        made = values([(len(ids), " ".join(map(str, ids)), tokenizer_of(path).decode(ids, skip_special_tokens=False))])
+        def edge(row: dict, side: str) -> Edge | None:
+            if row[f"{side}_ids"] is None:
+                return None
+            at = row[f"{side}_at"]
+            return Edge(row[side], (row[f"{side}_ids"], list(zip(at[::2], at[1::2], strict=True))))
+
+        nodes = [Node(edge(r, "_head"), np.frombuffer(r["_middle"], dtype="<u4").tolist(), edge(r, "_tail")) for r in group.sort_by("_leaf").to_pylist()]
+        made = values([texts_of(concatenated(path, nodes))])
         first = group.slice(0, 1)
         return pa.table([*(first.column(c) for c in id_cols), *(pa.array(made[f.name]) for f in fields)], names=[*id_cols, *(f.name for f in fields)])
 
-    leaves = held.mapInArrow(cut, leaf).repartition(F.col("_key"), F.col("_leaf")).mapInArrow(code, coded)
+    def texts_of(ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), " ".join(map(str, ids)), tokenizer_of(path).decode(ids, skip_special_tokens=False)
+
+    leaves = held.mapInArrow(cut, leaf).repartition(F.col("_key"), F.col("_leaf")).mapInArrow(encode, coded)
     return out.unionByName(leaves.groupBy("_key").applyInArrow(join, T.StructType([*id_fields, *fields])))
 
 

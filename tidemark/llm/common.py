@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..session import checkpoint_dir
 
 #: Texts handed to one vectorised step together, in bytes; a longer text goes alone.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
