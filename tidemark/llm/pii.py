@@ -233,10 +233,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets; overlapping spans become one, named by the first."""
-    columns = docs.columns
-    texts = docs.withColumn("_id", F.col(f"`{id_col}`")).withColumn("_text", text_or_empty(text_col)).withColumn("_hash", F.xxhash64("_text"))
+    # The row goes along as one value, so that its names cannot clash.
+    texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{id_col}`").alias("_id"), text_or_empty(text_col).alias("_text"))
     found, extra = find_entities(docs, id_col, text_col)
-    rows = with_extra(base_spans(texts, "_text"), extra)
+    rows = with_extra(base_spans(texts.withColumn("_hash", F.xxhash64("_text")), "_text"), extra)
     names = F.array(*[F.lit(f"<{k}>") for k in (*KINDS, FOUND)])
     # One pass: the replaced text so far, and how far the original is used up.
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
@@ -248,7 +248,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         )
 
     done = F.aggregate("spans", start, add, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("_text"), s["at"] + 1, F.char_length("_text") - s["at"])))
-    return rows.withColumn(text_col, F.when(F.size("spans") > 0, done).otherwise(F.col(f"`{text_col}`"))).select(*columns)
+    text = F.when(F.size("spans") > 0, done).otherwise(F.col(f"_doc.`{text_col}`"))
+    return rows.select(*[text.alias(c) if c == text_col else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
