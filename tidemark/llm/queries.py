@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, exact, langid, packing, pii, toxicity
+from . import bpe, exact, jaccard, langid, packing, pii, quality, syncmers, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_fingerprints": syncmers.op2_fingerprints,
     "op3_exact_dedup": exact.op3_exact_dedup,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_bpe": bpe.op6_bpe,
     "op7_pii": pii.op7_pii,
     "op8_packing": packing.op8_packing,
+    "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {"op3_exact_dedup": exact.ORACLE}
