@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -98,11 +97,15 @@ def annotate(
     return source.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return to_arrow_type(kind)
-
-
-def sigmoid(x: float) -> float:
-    return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))

@@ -47,29 +47,39 @@ def misra_gries(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return digests.select("digest").mapInArrow(summarise, "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """One row per document: ``id_col``, keep_id, group_size, kept, text_sha256.
+def digest_groups(docs: DataFrame, id_col: str, text_col: str, counters: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The digest of every row, and the groups of equal digests: the few large ones, to be broadcast, and all others.
 
-    Null texts count as empty. The row with the smallest id stays; rows without
-    an id come after all others, and of rows with equal ids one stays, the first
-    read. Other columns of ``docs`` are ignored. No rows give no rows.
+    A group has first (its smallest id, null ids last, and the number of that row) and group_size.
     """
-    ids = F.col(id_col)
     # A number for each row decides between rows of one id; it is fixed by writing it.
-    rows = written(
-        docs.select(ids.alias("_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("digest")).withColumn("_row", F.monotonically_increasing_id())
-    )
+    rows = written(docs.select(F.col(f"`{id_col}`").alias("_id"), digest_of(text_col).alias("digest")).withColumn("_row", F.monotonically_increasing_id()))
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     facts = [F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size")]
     total = rows.count()
     frequent = misra_gries(rows, counters).filter(F.col("n") * (counters + 1) >= total).select("digest")
     # At most counters + 1 rows, by the bound above.
     winners = written(rows.join(F.broadcast(frequent), "digest", "left_semi").groupBy("digest").agg(*facts))
+    others = rows.join(F.broadcast(winners), "digest", "left_anti").groupBy("digest").agg(*facts)
+    return rows, winners, others
+
+
+def digest_of(text_col: str):
+    return F.unhex(F.sha2(normalised(text_col), 256))
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+    """One row per document: ``id_col``, keep_id, group_size, kept, text_sha256.
+
+    Null texts count as empty. The row with the smallest id stays; rows without
+    an id come after all others, and of rows with equal ids one stays, the first
+    read. Other columns of ``docs`` are ignored. No rows give no rows.
+    """
+    rows, winners, others = digest_groups(docs, id_col, text_col, counters)
     marked = rows.join(F.broadcast(winners), "digest", "left")
-    hot = marked.filter("first is not null")
-    cold = marked.filter("first is null").select("_id", "digest", "_row")
-    groups = cold.groupBy("digest").agg(*facts)
-    out = hot.select("_id", "digest", "_row", "first", "group_size").unionByName(cold.join(groups, "digest").select("_id", "digest", "_row", "first", "group_size"))
+    cold = marked.filter("first is null").select("_id", "digest", "_row").join(others, "digest")
+    columns = ["_id", "digest", "_row", "first", "group_size"]
+    out = marked.filter("first is not null").select(columns).unionByName(cold.select(columns))
     return out.select(
         F.col("_id").alias(id_col),
         F.col("first.id").alias("keep_id"),
@@ -79,6 +89,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+    """``docs`` without all but one row of each group of equal texts, as ``exact_groups`` chooses; of repeated rows with one id, any one stays.
+
+    Copies of frequent texts are removed where they are read; only what is left is shuffled.
+    """
+    columns = docs.columns
+    rows, winners, others = digest_groups(docs, id_col, text_col, counters)
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc"), F.col(f"`{id_col}`").alias("_id"), digest_of(text_col).alias("digest"))
+    chosen = F.col("first").isNull() | F.col("_id").eqNullSafe(F.col("first.id"))
+    one = held.join(F.broadcast(winners.select("digest", "first")), "digest", "left").filter(chosen).drop("first")
+    one = one.join(others.filter("group_size > 1").select("digest", "first"), "digest", "left").filter(chosen).drop("first")
+    again = rows.groupBy("digest", "_id").count().filter("count > 1").select("digest", F.lit(True).alias("_again")).distinct()
+    if not again.isEmpty():
+        flagged = one.join(again, "digest", "left")
+        one = flagged.filter("_again is null").drop("_again").unionByName(flagged.filter("_again").drop("_again").dropDuplicates(["digest"]))
+    return one.select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns])
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, exact, jaccard, langid, packing, pii, quality, syncmers, toxicity
+from . import bpe, exact, jaccard, langid, packing, pii, quality, suffixes, syncmers, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op2_fingerprints": syncmers.op2_fingerprints,
     "op3_exact_dedup": exact.op3_exact_dedup,
+    "op4_suffix_dedup": suffixes.op4_suffix_dedup,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_bpe": bpe.op6_bpe,
     "op7_pii": pii.op7_pii,

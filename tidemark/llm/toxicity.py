@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, id_remainder, shares, table
+from .common import annotate, id_remainder, shares, table, unused
 
 #: Labelled rows of each class that the model is fitted to, about; at most MOST_ROWS in all.
 ROWS_PER_CLASS = 2500
@@ -385,6 +385,14 @@ def score_texts(docs: DataFrame, field: Field | None, text_col: str = "text", dr
     return annotate(docs, make, fields, text_col, drop)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those whose score is 0.5 or more, by a field fitted to the labelled ones among them."""
+    columns = docs.columns
+    names = tuple(unused(columns, n) for n in ("score", "predicted", "spans"))
+    scored = score_texts(docs, fit(docs, labels, id_col=id_col, text_col=text_col), text_col, drop=(), names=names)
+    return scored.filter(F.col(names[1]) == 0).select(*[F.col(f"`{c}`") for c in columns])
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     field = fit(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 5) != 0)
