@@ -1,6 +1,7 @@
 """Exact vectors of the column rules."""
 
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,7 +54,27 @@ def test_scrub_json_depth_and_keys(spark):
     rows = ask(spark, "t string", [(deep,), ('{"a@b.io": [1, "a@b.io", null, true]}',), ("not json",), (None,)], s=scrub("t"))
     assert "<deep>" in rows[0]["s"] and "x@y.io" not in rows[0]["s"]
     assert rows[1]["s"] == '{"a@b.io": [1, "<email>", null, true]}'
-    assert rows[2]["s"] is None and rows[3]["s"] is None
+    assert rows[2]["s"] == "not json" and rows[3]["s"] is None
+
+
+def test_free_json_never_fails(spark):
+    odd = ['{"a":"\\ud800"}', "[" * 200_000 + "]" * 200_000, '{"a":NaN,"m":[Infinity]}', "{broken x@y.io", "[1]", '{"\\udc00":"' + "x" * 2000 + '"}', "\ud7ff"]
+    rows = ask(spark, "t string", [(t,) for t in odd], s=values.sanitize_json("t"), p=privacy.scrub_pii_json()("t"))
+    assert [r["s"]["error"] for r in rows] == [None, "too_deep", None, "invalid_json", "not_an_object", None, "invalid_json"]
+    assert json.loads(rows[0]["s"]["properties"]) == {"a": "\ufffd"} == json.loads(rows[0]["p"])
+    assert json.loads(rows[2]["s"]["properties"]) == {"m": [None]} and json.loads(rows[2]["p"]) == {"a": None, "m": [None]}
+    assert rows[3]["p"] == "{broken <email>" and rows[5]["s"]["warnings"][0]["key"] == "\ufffd"
+
+
+def test_both_scrubbers_agree_beside_letters_and_at_the_depth_limit(spark):
+    texts = ["é4242424242424242", "4242424242424242é", "4242 4242 4242 4242", "-4242424242424242-", "_4242424242424242", "٤4242424242424242", "x@y.io4242424242424242"]
+    rows = ask(spark, "t string", [(t,) for t in texts], c=privacy.scrub_pii(F.col("t")), j=privacy.scrub_pii_json()(F.to_json(F.struct("t"))))
+    assert all(json.loads(r["j"])["t"] == r["c"] for r in rows)
+    bag = F.struct(F.struct(F.col("t"), F.lit(5).alias("n"), F.array("t").alias("l")).alias("a"))
+    deep = privacy.scrub_pii_deep(bag, T.StructType.fromDDL("a struct<t:string,n:int,l:array<string>>"), 1, "<deep>")
+    assert ask(spark, "t string", [("x",)], d=deep)[0]["d"] == {"a": {"t": "<deep>", "n": None, "l": None}}
+    free = ask(spark, "t string", [('{"a":{"t":"x","n":5,"l":["x"]}}',)], j=privacy.scrub_pii_json(1, "<deep>")("t"))[0]["j"]
+    assert json.loads(free) == {"a": {"t": "<deep>", "n": "<deep>", "l": "<deep>"}}
 
 
 def test_sensitive_keys(spark):
@@ -281,14 +302,14 @@ def test_parse_stack_text(spark):
 @pytest.mark.parametrize(
     ("key", "env", "app", "name", "code"),
     [
-        ("cd_pub_live_1", "production", "a", "n", None),
-        ("cd_pub_test_1", "sandbox", "a", "n", None),
+        ("pub_live_1", "production", "a", "n", None),
+        ("pub_test_1", "sandbox", "a", "n", None),
         ("sk_1", "sandbox", "", "", "invalid_secret_key"),
         (None, "sandbox", "a", "n", "invalid_secret_key"),
-        ("cd_pub_live_1", "sandbox", "", "", "env_mismatch"),
-        ("cd_pub_1", "sandbox", "", "", "missing_app_id"),
-        ("cd_pub_1", "sandbox", "a", "", "missing_event_name"),
-        ("cd_pub_1", "sandbox", "a", None, "missing_event_name"),
+        ("pub_live_1", "sandbox", "", "", "env_mismatch"),
+        ("pub_1", "sandbox", "", "", "missing_app_id"),
+        ("pub_1", "sandbox", "a", "", "missing_event_name"),
+        ("pub_1", "sandbox", "a", None, "missing_event_name"),
     ],
 )
 def test_ingest_gate(spark, key, env, app, name, code):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.contracts import contract_failures_by_contract
 from tidemark.sources.deadletter import to_dead_letter
-from tidemark.sources.events import pack_event_batches, read_event_batches, write_event_batches
+from tidemark.sources.events import pack_event_batches, parse_event_batches, read_event_batches, write_event_batches
 from tidemark.sources.registry import contract_test_refs, read_contract_registry
 from tidemark.sources.responses import flatten_alias_links, flatten_entitlement_responses, flatten_heartbeats
 
@@ -47,7 +47,50 @@ def test_batches_with_gaps(spark, tmp_path):
     assert got["e1"]["developer_user_id"] is None and got["e1"]["customer_id"] == "c" and got["e1"]["timestamp_ms"] == 5
     assert json.loads(got["e1"]["properties"]) == {"k": {"n": [1, None]}}
     assert got["e5"]["properties"] == "{}" and got["e5"]["timestamp_ms"] > 0
-    assert [r["document"] for r in rejects.collect()] == ["{broken"]
+    assert sorted((r["reject_code"], "{broken" in r["document"]) for r in rejects.collect()) == [
+        ("malformed_batch", True), ("missing_anonymous_id", False), ("missing_event_id", False), ("missing_event_name", False),
+    ]
+
+
+def test_fields_of_the_wrong_type_cost_no_more_than_themselves(spark):
+    good = {"name": "n", "anonymousId": "a"}
+    times = ["oops", 2.0, "3", "4.9", None, {"t": 1}, True]
+    events = [{**good, "eventId": f"e{i}", "timestamp": t} for i, t in enumerate(times)] + [{**good, "eventId": 77}, "no object", 5, None]
+    docs = [{"appId": 5, "sdk": "none", "events": events}, {"appId": "p", "sdk": {"name": "s", "version": 2}, "events": []}, {"appId": "p", "events": [{**good, "eventId": "last"}]}]
+    rows, rejects = parse_event_batches(spark.createDataFrame([(json.dumps(d),) for d in docs], "value string"), received_ms=F.lit(99).cast("bigint"))
+    got = {r["event_id"]: (r["app_id"], r["timestamp_ms"]) for r in rows.collect()}
+    assert got == {"e0": ("5", 99), "e1": ("5", 2), "e2": ("5", 3), "e3": ("5", 4), "e4": ("5", 99), "e5": ("5", 99), "e6": ("5", 99), "77": ("5", 99), "last": ("p", 99)}
+    assert {r["reject_code"] for r in rejects.collect()} == {"missing_event_id"} and rejects.count() == 3
+
+
+def test_an_unreadable_end_date_is_not_for_ever(spark):
+    item = {"key": "k", "isActive": "TRUE", "source": {"rail": "google"}}
+    ends = [None, 5, 6.0, "7", "8.5", "soon", "", [1], True]
+    data = [{**item, "key": f"k{i}", "validUntil": e, "updatedAt": "x"} for i, e in enumerate(ends)] + [item, "junk", 3, {**item, "source": "junk"}, {**item, "key": "z", "isActive": 1, "updatedAt": "12.5"}]
+    df = spark.createDataFrame([(json.dumps({"customerId": 4, "data": data}),), (json.dumps({"customerId": "d", "data": "none"}),)], "body string")
+    rows, rejects = flatten_entitlement_responses(df, received_ms=F.lit(70).cast("bigint"))
+    got = {r["key"]: (r["is_active"], r["valid_until_ms"], r["updated_at_ms"]) for r in rows.collect()}
+    want = {f"k{i}": (True, e, 70) for i, e in enumerate([None, 5, 6, 7, 8, 0, 0, 0, 0])}
+    assert got == {**want, "k": (True, None, 70), "z": (False, None, 12)}
+    assert rejects.count() == 0
+    beats = spark.createDataFrame([('{"ok": "True", "serverTime": "5.9"}', 9), ('{"ok": 1, "serverTime": "x"}', 9)], "body string, received_ms long")
+    assert [(r["ok"], r["server_time_ms"]) for r in flatten_heartbeats(beats).collect()] == [(True, 5), (False, 9)]
+
+
+def test_packed_structs_keep_their_nulls(spark):
+    schema = (
+        "app_id string, environment string, event_id string, name string, timestamp_ms long, anonymous_id string, "
+        "developer_user_id string, customer_id string, properties struct<p:struct<x:int>,z:string,f:double,l:array<double>>"
+    )
+    rows = [("a", None, f"e{i}", "n", i, "d", None, "c" if i else None, (None, None, float("nan"), [None, 1.5, float("inf")])) for i in range(3)]
+    rows += [("a", None, "e9", "n", 9, None, None, None, None)]
+    packed = pack_event_batches(spark.createDataFrame(rows, schema), "sdk", "1.0", hot_rows=2).collect()
+    assert [(r["app_id"], r["environment"], r["batch_no"], r["events"]) for r in packed] == [("a", None, 0, 4)]
+    batch = json.loads(packed[0]["value"])
+    assert batch["appId"] == "a" and "environment" not in batch
+    first, second, _, last = batch["events"]
+    assert first["properties"] == {"p": None, "z": None, "f": None, "l": [None, 1.5, None]}
+    assert "customerId" not in first and second["customerId"] == "c" and last["properties"] == {} and "anonymousId" not in last
 
 
 def test_entitlement_responses(spark):

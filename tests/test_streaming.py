@@ -89,7 +89,7 @@ def test_ingest_stream(spark, tmp_path):
     (source / "a.jsonl").write_text("\n".join([*lines, "{broken"]))
     counts = {}
     query = ingest.ingest_stream(
-        spark, str(source), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "cp"), "cd_pub_test_1",
+        spark, str(source), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "cp"), "pub_test_1",
         available_now=True, on_signals=counts.__setitem__,
     ).start()
     query.awaitTermination()

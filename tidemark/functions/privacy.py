@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import math
 import re
 from collections.abc import Sequence
 
@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .values import dump_json, load_json
+
 # What is redacted and the tokens left in its place.
 EMAIL_PATTERN = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 CARD_PATTERN = r"\b(?:\d[ \-]*?){13,19}\b"
@@ -57,14 +59,14 @@ def scrub_pii_deep(
     """Scrub every string of a typed value; keys, numbers and nulls stay as they are.
 
     The type is walked while the plan is built, so the result is plain expressions.
-    Below ``max_depth`` a string becomes the marker and a container of strings is dropped to null.
+    Below ``max_depth`` every value becomes the marker, and null where its type cannot hold that.
     """
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         if depth > max_depth:
             return F.lit(marker)
         return scrub_pii(col)
     if depth > max_depth:
-        return F.lit(None).cast(dtype) if isinstance(dtype, (T.MapType, T.ArrayType, T.StructType)) else col
+        return F.lit(None).cast(dtype)
     if isinstance(dtype, T.MapType):
         return F.transform_values(col, lambda _, v: scrub_pii_deep(v, dtype.valueType, max_depth, marker, depth + 1))
     if isinstance(dtype, T.ArrayType):
@@ -78,14 +80,24 @@ def scrub_pii_deep(
 
 
 def scrub_pii_json(max_depth: int = SCRUB_MAX_DEPTH, marker: str = SCRUB_DEPTH_MARKER):
-    """Arrow function for free JSON text, whose shape is known only per row."""
-    email, card = re.compile(EMAIL_PATTERN), re.compile(CARD_PATTERN, re.ASCII)
+    """Arrow function for free JSON text, whose shape is known only per row.
+
+    Never fails: a text that cannot be read as JSON is scrubbed as plain text.
+    Numbers that JSON cannot hold become null.
+    """
+    # As on the JVM, word boundaries heed all letters and digits are ASCII.
+    email, card = re.compile(EMAIL_PATTERN), re.compile(CARD_PATTERN.replace(r"\d", "[0-9]"))
+
+    def plain(text):
+        return card.sub(CARD_TOKEN, email.sub(EMAIL_TOKEN, text))
 
     def walk(value, depth):
         if depth > max_depth:
             return marker
         if isinstance(value, str):
-            return card.sub(CARD_TOKEN, email.sub(EMAIL_TOKEN, value))
+            return plain(value)
+        if isinstance(value, float) and not math.isfinite(value):
+            return None
         if isinstance(value, list):
             return [walk(v, depth + 1) for v in value]
         if isinstance(value, dict):
@@ -93,10 +105,10 @@ def scrub_pii_json(max_depth: int = SCRUB_MAX_DEPTH, marker: str = SCRUB_DEPTH_M
         return value
 
     def one(text):
-        try:
-            return None if text is None else json.dumps(walk(json.loads(text), 0), ensure_ascii=False)
-        except ValueError:
+        if text is None:
             return None
+        value, error = load_json(text)
+        return plain(text) if error else dump_json(walk(value, 0))
 
     @F.pandas_udf(T.StringType())
     def scrub(texts: pd.Series) -> pd.Series:

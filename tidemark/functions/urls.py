@@ -35,9 +35,30 @@ PUSH_KEYS = (
 )
 
 
+# Scheme, authority, path and query, whatever the characters in them.
+_URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/\\?#]*)?([^?#]*)(?:\?([^#]*))?"
+
+
+def _part(url: Column, no: int) -> Column:
+    return F.regexp_extract(url, _URL, no)
+
+
+def _host(url: Column) -> Column:
+    """The host as written, empty if there is none: after the last ``@`` of the authority, before its port."""
+    return F.regexp_extract(_part(url, 2), r"^//(?:.*@)?(\[[^\]]*\]|[^:]*)", 1)
+
+
+def _decoded(text: Column, plus: bool) -> Column:
+    """Percent decoding that leaves broken escapes as they are; ``plus`` says whether it stands for a space."""
+    whole = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
+    if not plus:
+        whole = F.replace(whole, F.lit("+"), F.lit("%2B"))
+    return F.coalesce(F.try_url_decode(whole), text)
+
+
 def host_of(url: Column) -> Column:
-    """Lower-cased host, null if the URL has none."""
-    return F.lower(F.try_parse_url(url, F.lit("HOST")))
+    """Lower-cased host of an absolute URL, null if it has none."""
+    return F.when(_part(url, 1) != "", F.nullif(F.lower(_host(url)), F.lit("")))
 
 
 def is_self_request(url: Column, host: Column | str | None) -> Column:
@@ -50,24 +71,35 @@ def is_self_request(url: Column, host: Column | str | None) -> Column:
 def extract_attribution(url: Column) -> Column:
     """Struct of url, host, decoded path and one field per attribution parameter.
 
-    Names match whatever their case; a repeated name counts once, by its first value; empty values are null.
+    Names match whatever their case. Each spelling of a name counts once, by its first value, and the last
+    spelling with a value wins; empty values are null. A URL such as ``mailto:a@b`` has neither host, path nor parameters.
     """
+    opaque = (_part(url, 1) != "") & (_part(url, 2) == "") & ~_part(url, 3).startswith("/")
+    query = F.when(~opaque, _part(url, 4))
     pairs = F.transform(
-        F.split(F.try_parse_url(url, F.lit("QUERY")), "&"),
+        F.split(query, "&"),
         lambda p: F.struct(
-            F.lower(F.try_url_decode(F.substring_index(p, "=", 1))).alias("k"),
-            F.when(F.contains(p, F.lit("=")), F.try_url_decode(F.substr(p, F.instr(p, "=") + 1))).alias("v"),
+            _decoded(F.substring_index(p, "=", 1), plus=True).alias("k"),
+            F.when(F.contains(p, F.lit("=")), _decoded(F.substr(p, F.instr(p, "=") + 1), plus=True)).alias("v"),
         ),
     )
+    # Arrays of one element bind what is read again and again.
+    wanted = F.filter(pairs, lambda p: F.lower(p["k"]).isin(*ATTRIBUTION_KEYS))
+    firsts = F.flatten(
+        F.transform(
+            F.array(wanted),
+            lambda all_: F.filter(all_, lambda p, i: F.array_position(F.transform(all_, lambda q: q["k"]), p["k"]) == i + 1),
+        )
+    )
+    given = F.filter(firsts, lambda p: F.coalesce(p["v"], F.lit("")) != "")
 
     def value(name: str) -> Column:
-        hits = F.filter(pairs, lambda p: p["k"] == name)
-        return F.when(F.size(hits) > 0, F.nullif(F.element_at(hits, 1)["v"], F.lit(""))).alias(name)
+        return F.try_element_at(F.filter(given, lambda p: F.lower(p["k"]) == name), F.lit(-1))["v"].alias(name)
 
-    path = F.nullif(F.try_url_decode(F.replace(F.try_parse_url(url, F.lit("PATH")), F.lit("+"), F.lit("%2B"))), F.lit(""))
+    path = F.when(~opaque, F.nullif(_decoded(_part(url, 3), plus=False), F.lit("")))
     return F.struct(
         url.alias("url"),
-        F.nullif(F.try_parse_url(url, F.lit("HOST")), F.lit("")).alias("host"),
+        F.nullif(_host(url), F.lit("")).alias("host"),
         path.alias("path"),
         *[value(k) for k in ATTRIBUTION_KEYS],
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -109,7 +110,30 @@ def property_warnings(col: Column, dtype: T.DataType, key: Column | str = "<root
     return warn(col.isNotNull(), NON_SERIALISABLE)
 
 
-SANITIZED_JSON = T.StructType([T.StructField("properties", T.StringType()), T.StructField("warnings", WARNINGS)])
+# Why free JSON could not be read; null where it was.
+INVALID_JSON = "invalid_json"
+TOO_DEEP = "too_deep"
+NOT_AN_OBJECT = "not_an_object"
+
+SANITIZED_JSON = T.StructType(
+    [T.StructField("properties", T.StringType()), T.StructField("warnings", WARNINGS), T.StructField("error", T.StringType())]
+)
+_LONE_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def load_json(text: str) -> tuple[object, str | None]:
+    """The value of a JSON text, and why it has none."""
+    try:
+        return json.loads(text), None
+    except RecursionError:
+        return None, TOO_DEEP
+    except ValueError:
+        return None, INVALID_JSON
+
+
+def dump_json(value: object) -> str:
+    """JSON text that can be encoded: half of a surrogate pair becomes the replacement character."""
+    return _LONE_SURROGATE.sub("\ufffd", json.dumps(value, ensure_ascii=False))
 
 
 def _clean_json(value, key, depth, warnings):
@@ -132,17 +156,21 @@ def _clean_json(value, key, depth, warnings):
 
 @F.pandas_udf(SANITIZED_JSON)
 def sanitize_json(texts: pd.Series) -> pd.DataFrame:
-    """Sanitise free JSON objects, whose shape is known only per row (Arrow batches)."""
+    """Sanitise free JSON objects, whose shape is known only per row (Arrow batches).
+
+    Never fails: a text that is no JSON object gives an empty object and the ``error`` that
+    says why, so that the row can go to the reject sink with its text. No text is an empty object.
+    """
     rows = []
     for text in texts:
         found: list[tuple[str, str]] = []
-        try:
-            value = json.loads(text) if text else {}
-        except ValueError:
-            value = {}
-        bag = _clean_json(value, "<root>", 0, found) if isinstance(value, dict) else {}
-        rows.append((json.dumps(bag, ensure_ascii=False), [{"key": k, "kind": w} for k, w in found]))
-    return pd.DataFrame(rows, columns=["properties", "warnings"])
+        value, error = load_json(text) if text else ({}, None)
+        if error is None and not isinstance(value, dict):
+            error = NOT_AN_OBJECT
+        bag = {} if error else _clean_json(value, "<root>", 0, found)
+        warnings = [{"key": _LONE_SURROGATE.sub("\ufffd", k), "kind": w} for k, w in found]
+        rows.append((dump_json(bag), warnings, error))
+    return pd.DataFrame(rows, columns=["properties", "warnings", "error"])
 
 
 def wire_traits(bag: Column, dtype: T.MapType) -> Column:

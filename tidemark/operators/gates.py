@@ -10,20 +10,28 @@ from pyspark.sql import functions as F
 from ..functions.privacy import PII_LABEL_WORDS, has_pii_label, is_opted_out, is_self_error
 from .ordered import HOT_ROWS, as_of
 
-# Publishable keys and the environment their prefix declares.
-KEY_PREFIX = "cd_pub_"
-LIVE_KEY_PREFIX = "cd_pub_live_"
+# Names a deployment sets: publishable keys, the environment their prefix declares, and the mark that opts an element out.
+KEY_PREFIX = "pub_"
+LIVE_KEY_PREFIX = "pub_live_"
+OPT_OUT_MARKER = "no-track"
 
 # Keys of a contract-failure payload.
 FAILURE_REQUIRED = ("contract_id", "sdk_version", "sdk_platform", "failure_reason", "run_context", "run_id")
 FAILURE_OPTIONAL = ("test_file", "test_name", "device_class")
 
 
-def ingest_gate(public_key: Column, environment: Column, app_id: Column, name: Column) -> Column:
+def ingest_gate(
+    public_key: Column,
+    environment: Column,
+    app_id: Column,
+    name: Column,
+    key_prefix: str = KEY_PREFIX,
+    live_prefix: str = LIVE_KEY_PREFIX,
+) -> Column:
     """Reject code of a row, null if accepted. Start rules come before the event's own."""
-    expected = F.when(public_key.startswith(LIVE_KEY_PREFIX), "production").otherwise("sandbox")
+    expected = F.when(public_key.startswith(live_prefix), "production").otherwise("sandbox")
     return (
-        F.when(~F.coalesce(public_key.startswith(KEY_PREFIX), F.lit(False)), "invalid_secret_key")
+        F.when(~F.coalesce(public_key.startswith(key_prefix), F.lit(False)), "invalid_secret_key")
         .when(~environment.eqNullSafe(expected), "env_mismatch")
         .when(F.coalesce(app_id, F.lit("")) == "", "missing_app_id")
         .when(F.coalesce(name, F.lit("")) == "", "missing_event_name")
@@ -85,7 +93,7 @@ def drop_pii_labels(df: DataFrame, description: str, words: Sequence[str] = PII_
     return df.filter(~has_pii_label(F.col(description), words))
 
 
-def drop_opted_out(df: DataFrame, description: str, marker: str = "cd-noTrack") -> DataFrame:
+def drop_opted_out(df: DataFrame, description: str, marker: str = OPT_OUT_MARKER) -> DataFrame:
     return df.filter(~is_opted_out(F.col(description), marker))
 
 

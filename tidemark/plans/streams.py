@@ -138,5 +138,5 @@ def _event_signals(spark, sf):
         "to_json(map(case when k % 3 = 0 then 'Password' else 'note' end, case when k % 5 = 0 then 'a@b.io' else 'x' end, "
         "'long', repeat('y', case when k % 7 = 0 then 1025 else 10 end))) as properties",
     )
-    accepted, _ = ingest.clean_events(rows, F.lit("cd_pub_test_1"))
+    accepted, _ = ingest.clean_events(rows, F.lit("pub_test_1"))
     return accepted.agg(*signals.event_signals())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..fixtures import sql
 from ..functions import privacy, values
-from ..functions.urls import extract_attribution, host_of, is_self_request, project_push
+from ..functions.urls import ATTRIBUTION_KEYS, deep_link_properties, extract_attribution, host_of, is_self_request, project_push
 from ..functions.wire import idempotency_key, user_slot
 from ..operators import gates
 from .registry import query
@@ -88,6 +88,35 @@ def _sanitize_json(spark, sf):
     )
 
 
+# Bags as they come: half a surrogate pair, no JSON, no object, numbers that are none, nesting without end.
+_POISON = (
+    "case doc_id % 8 when 0 then concat('{\"a\": \"\\\\ud83d x\", \"n\": ', doc_id, '}') when 1 then concat('{broken ', doc_id) when 2 then concat('[', doc_id, ']') "
+    "when 3 then concat('{\"n\": NaN, \"m\": [Infinity, ', doc_id, ']}') when 4 then concat(repeat('[', 20000 + doc_id), repeat(']', 20000 + doc_id)) "
+    "when 5 then concat(repeat('{\"d\": ', 60), doc_id, repeat('}', 60)) when 6 then null else concat('{\"n\": ', doc_id, '}') end"
+)
+
+
+@query(
+    "sanitize_poisoned_json",
+    """SELECT doc_id, CASE doc_id % 8 WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'not_an_object' WHEN 4 THEN 'too_deep' END AS error,
+         CASE WHEN doc_id % 8 IN (0, 7) THEN doc_id END AS n, CASE WHEN doc_id % 8 = 0 THEN '� x' END AS a, CASE WHEN doc_id % 8 = 3 THEN doc_id END AS m,
+         CASE doc_id % 8 WHEN 3 THEN 'n:not_finite,m[0]:not_finite' WHEN 5 THEN 'd:depth_exceeded' ELSE '' END AS warnings,
+         CASE doc_id % 8 WHEN 1 THEN '{broken ' || doc_id WHEN 2 THEN '[' || doc_id || ']' END AS scrubbed FROM documents""",
+)
+def _poisoned(spark, sf):
+    bags = fx.documents(spark, sf).select("doc_id", F.expr(_POISON).alias("j"))
+    out = bags.select("doc_id", values.sanitize_json("j").alias("s"), privacy.scrub_pii_json()("j").alias("j"))
+    return out.select(
+        "doc_id",
+        "s.error",
+        F.get_json_object("s.properties", "$.n").cast("bigint").alias("n"),
+        F.get_json_object("s.properties", "$.a").alias("a"),
+        F.get_json_object("s.properties", "$.m[1]").cast("bigint").alias("m"),
+        F.array_join(F.transform("s.warnings", lambda w: F.concat_ws(":", w["key"], w["kind"])), ",").alias("warnings"),
+        F.when(F.col("doc_id") % 8 < 3, F.when(F.col("doc_id") % 8 > 0, F.col("j"))).alias("scrubbed"),
+    )
+
+
 @query(
     "property_warnings",
     f"""WITH {_DOC_BAG_SQL}
@@ -165,7 +194,7 @@ def _sensitive(spark, sf):
 
 
 _GATE_SQL = """
-    claims AS (SELECT event_id, CASE WHEN k % 11 = 0 THEN 'sk_' || k WHEN k % 2 = 0 THEN 'cd_pub_live_' || k ELSE 'cd_pub_test_' || k END AS public_key,
+    claims AS (SELECT event_id, CASE WHEN k % 11 = 0 THEN 'sk_' || k WHEN k % 2 = 0 THEN 'pub_live_' || k ELSE 'pub_test_' || k END AS public_key,
                CASE WHEN k % 5 < 3 THEN 'production' ELSE 'sandbox' END AS environment,
                CASE WHEN k % 13 = 0 THEN '' ELSE 'app_' || (k % 30) END AS app_id,
                CASE WHEN k % 7 = 0 THEN '' ELSE name END AS name,
@@ -175,7 +204,7 @@ _GATE_SQL = """
 def _claims(spark, sf):
     return fx.events(spark, sf).selectExpr(
         "event_id",
-        "case when k % 11 = 0 then concat('sk_', k) when k % 2 = 0 then concat('cd_pub_live_', k) else concat('cd_pub_test_', k) end as public_key",
+        "case when k % 11 = 0 then concat('sk_', k) when k % 2 = 0 then concat('pub_live_', k) else concat('pub_test_', k) end as public_key",
         "case when k % 5 < 3 then 'production' else 'sandbox' end as environment",
         "case when k % 13 = 0 then '' else concat('app_', k % 30) end as app_id",
         "case when k % 7 = 0 then '' else name end as name",
@@ -183,8 +212,8 @@ def _claims(spark, sf):
     )
 
 
-_REJECT_SQL = """CASE WHEN NOT starts_with(public_key, 'cd_pub_') THEN 'invalid_secret_key'
-    WHEN environment <> CASE WHEN starts_with(public_key, 'cd_pub_live_') THEN 'production' ELSE 'sandbox' END THEN 'env_mismatch'
+_REJECT_SQL = """CASE WHEN NOT starts_with(public_key, 'pub_') THEN 'invalid_secret_key'
+    WHEN environment <> CASE WHEN starts_with(public_key, 'pub_live_') THEN 'production' ELSE 'sandbox' END THEN 'env_mismatch'
     WHEN app_id = '' THEN 'missing_app_id' WHEN name = '' THEN 'missing_event_name' END"""
 
 
@@ -258,17 +287,30 @@ def _framework_screens(spark, sf):
     return gates.drop_framework_screens(views).select("event_id", "screen")
 
 
+_LABELS = [*privacy.PII_LABEL_WORDS, "pine", "spinner", "shopping cart", "country"]
+_LABEL_SQL = f"""labels AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN upper(w) ELSE w END || ' ' || source AS label
+    FROM (SELECT doc_id, source, {_LABELS!r}[CAST(doc_id % {len(_LABELS)} AS INT) + 1] AS w FROM documents))"""
+
+
 @query(
     "drop_pii_labels",
-    "SELECT doc_id FROM documents WHERE NOT (contains(lower(text), 'password') OR contains(lower(text), 'entions') OR contains(lower(text), 'eaux'))",
+    f"WITH {_LABEL_SQL} SELECT doc_id, label FROM labels WHERE NOT regexp_matches(lower(label), '{'|'.join(privacy.PII_LABEL_WORDS)}')",
 )
 def _pii_labels(spark, sf):
-    return gates.drop_pii_labels(fx.documents(spark, sf), "text", ("password", "entions", "eaux")).select("doc_id")
+    word = F.get(F.array(*[F.lit(w) for w in _LABELS]), (F.col("doc_id") % len(_LABELS)).cast("int"))
+    label = F.concat(F.when(F.col("doc_id") % 2 == 0, F.upper(word)).otherwise(word), F.lit(" "), "source")
+    return gates.drop_pii_labels(fx.documents(spark, sf).select("doc_id", label.alias("label")), "label")
 
 
-@query("drop_opted_out", "SELECT doc_id FROM documents WHERE NOT contains(text, 'thre')")
+@query(
+    "drop_opted_out",
+    "SELECT doc_id FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 5 = 0",
+)
 def _opted_out(spark, sf):
-    return gates.drop_opted_out(fx.documents(spark, sf), "text", "thre").select("doc_id")
+    # The marker as it stands opts out; its words apart or in capitals do not.
+    mark = F.when(F.col("doc_id") % 5 == 0, F.upper(F.lit(gates.OPT_OUT_MARKER))).otherwise(gates.OPT_OUT_MARKER)
+    described = F.concat("source", F.lit(" "), F.when(F.col("doc_id") % 3 == 0, mark).otherwise("no track"))
+    return gates.drop_opted_out(fx.documents(spark, sf).select("doc_id", described.alias("description")), "description").select("doc_id")
 
 
 @query(
@@ -341,18 +383,64 @@ def _pick(name: str) -> str:
     return f"nullif(list_filter(kv, lambda x: x.k = '{name}')[1].v, '') AS {name}"
 
 
+_PICKS = ", ".join(_pick(k) for k in ATTRIBUTION_KEYS)
+_ATTRIBUTED = (
+    "concat(url, case when contains(url, '#') then '' when contains(url, '?') then '&' else '?' end, "
+        "case when contains(url, '#') then '' else concat('GCLID=g%20', page_id, '&utm_term=', "
+        "case when page_id % 2 = 0 then '' else concat('t+', page_id) end) end)"
+)
+
+
 @query(
     "extract_attribution",
-    f"WITH {_LINK_SQL} SELECT page_id, url, host, path, {_pick('utm_source')}, {_pick('utm_term')}, {_pick('gclid')} FROM parts",
+    f"WITH {_LINK_SQL} SELECT page_id, url, host, path, {_PICKS} FROM parts",
 )
 def _attribution(spark, sf):
-    url = F.expr(
-        "concat(url, case when contains(url, '#') then '' when contains(url, '?') then '&' else '?' end, "
-        "case when contains(url, '#') then '' else concat('GCLID=g%20', page_id, '&utm_term=', "
-        "case when page_id % 2 = 0 then '' else concat('t+', page_id) end) end)"
-    )
+    url = F.expr(_ATTRIBUTED)
     found = fx.links(spark, sf).select("page_id", url.alias("url")).select("page_id", extract_attribution(F.col("url")).alias("a"))
-    return found.select("page_id", "a.url", "a.host", "a.path", "a.utm_source", "a.utm_term", "a.gclid")
+    return found.select("page_id", "a.url", "a.host", "a.path", *[f"a.{k}" for k in ATTRIBUTION_KEYS])
+
+
+# Links as they come: spaces, bars, broken escapes, names in both cases, repeats, no authority, no hierarchy.
+_ODD_URL = (
+    "case page_id % 9 when 0 then concat('https://my_app', page_id, '.X.com/a b?utm_source=a|b&utm_term=100%&UTM_medium=m%20', page_id) "
+    "when 1 then concat('https://u:p@h.com:8080/p%2Fq+r?utm_source=&UTM_SOURCE=s', page_id, '&utm_source=late') "
+    "when 2 then concat('app://open?gclid=g', page_id, '&gclid=h&GCLID=&fbclid=%zz1') when 3 then 'mailto:a@b.io?utm_source=x' "
+    "when 4 then concat('/local/path', page_id, '?msclkid=k&ttclid=+t+&li_fat_id=%E9%C3%A9#f?utm_source=no') "
+    "when 5 then concat('https://h.com?utm_campaign=c', page_id, '=d&twclid&utm_content=x=') "
+    "when 6 then '' when 7 then null else url end"
+)
+_ODD_SQL = r"""
+    odd AS (SELECT page_id, url, CASE page_id % 9
+        WHEN 0 THEN {'h': 'my_app' || page_id || '.X.com', 'p': '/a b', 'utm_source': 'a|b', 'utm_term': '100%', 'utm_medium': 'm ' || page_id}
+        WHEN 1 THEN {'h': 'h.com', 'p': '/p/q+r', 'utm_source': 's' || page_id, 'utm_term': NULL, 'utm_medium': NULL}
+        WHEN 2 THEN {'h': 'open', 'p': NULL, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL}
+        WHEN 4 THEN {'h': NULL, 'p': '/local/path' || page_id, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL}
+        WHEN 5 THEN {'h': 'h.com', 'p': NULL, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL} END AS o FROM pages WHERE page_id % 9 NOT IN (3, 6, 7, 8))
+    SELECT page_id, o.h AS host, o.p AS path, o.utm_source, o.utm_medium, o.utm_term,
+      CASE WHEN page_id % 9 = 5 THEN 'c' || page_id || '=d' END AS utm_campaign, CASE WHEN page_id % 9 = 5 THEN 'x=' END AS utm_content,
+      CASE WHEN page_id % 9 = 2 THEN 'g' || page_id END AS gclid, CASE WHEN page_id % 9 = 2 THEN '%zz1' END AS fbclid,
+      CASE WHEN page_id % 9 = 4 THEN 'k' END AS msclkid, CASE WHEN page_id % 9 = 4 THEN ' t ' END AS ttclid FROM odd"""
+
+
+@query("extract_attribution_of_odd_links", f"WITH {_ODD_SQL}")
+def _odd_links(spark, sf):
+    links = fx.links(spark, sf).select("page_id", F.expr(_ODD_URL).alias("url")).filter("page_id % 9 not in (3, 6, 7, 8)")
+    found = links.select("page_id", extract_attribution(F.col("url")).alias("a"))
+    names = [k for k in ATTRIBUTION_KEYS if k not in ("li_fat_id", "twclid")]
+    return found.select("page_id", "a.host", "a.path", *[f"a.{k}" for k in names])
+
+
+@query(
+    "deep_link_properties",
+    f"""WITH {_LINK_SQL} SELECT page_id, 'push' AS source, CASE WHEN page_id % 3 <> 0 THEN 'view' END AS action, 'com.app' AS package, url, host, path, {_PICKS} FROM parts""",
+)
+def _deep_links(spark, sf):
+    action = F.when(F.col("page_id") % 3 == 0, "").otherwise("view")
+    bag = deep_link_properties(F.expr(_ATTRIBUTED), F.lit("push"), action, F.lit("com.app"))
+    found = fx.links(spark, sf).select("page_id", bag.alias("p"))
+    names = ["source", "action", "package", "url", "host", "path", *ATTRIBUTION_KEYS]
+    return found.select("page_id", *[F.try_element_at("p", F.lit(n)).alias(n) for n in names])
 
 
 @query(

@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ordered import HOT_ROWS, Ordered, total
-from .parse import with_json
+from .parse import whole_number, with_json
 
 BATCH_SIZE = 20
 # The wire name of the canonical customer id is set by the deployment.
 CUSTOMER_FIELD = "customerId"
 
 
-def envelope_schema(customer_field: str = CUSTOMER_FIELD) -> str:
-    """Properties stay JSON text: an object's shape is free."""
-    event = (
-        "eventId:string,name:string,timestamp:bigint,anonymousId:string,developerUserId:string,"
-        f"{customer_field}:string,properties:string"
-    )
-    return (
-        "appId string, environment string, sdk struct<name:string,version:string>, "
-        f"events array<struct<{event}>>, _corrupt_record string"
-    )
+ENVELOPE = "appId string, environment string, sdk string, events array<string>, _corrupt_record string"
+# Why an item of an envelope is no event.
+MISSING_ID = "missing_event_id"
+MISSING_NAME = "missing_event_name"
+MISSING_DEVICE = "missing_anonymous_id"
+
+
+def event_schema(customer_field: str = CUSTOMER_FIELD) -> str:
+    """Everything as text: numbers are read leniently, properties stay JSON as an object's shape is free."""
+    fields = ("eventId", "name", "timestamp", "anonymousId", "developerUserId", customer_field, "properties")
+    return ", ".join(f"{f} string" for f in fields)
 
 
 def parse_event_batches(
@@ -32,43 +33,49 @@ def parse_event_batches(
     received_ms: Column | None = None,
     customer_field: str = CUSTOMER_FIELD,
 ) -> tuple[DataFrame, DataFrame]:
-    """Envelopes (one JSON text per row) to event rows, and the documents that are not envelopes.
+    """Envelopes (one JSON text per row) to event rows, and what is none of them.
 
-    Rows without event id, name or anonymous id are dropped; empty user and customer ids are
-    null; a missing timestamp takes the receive time. Works on batch and streaming input.
+    Only a text that cannot be parsed rejects a whole document. Items are read one by one: a timestamp may be
+    text or have a fraction, and one that is missing or cannot be read takes the receive time; empty user and
+    customer ids are null. An item without event id, name or anonymous id is a reject by itself. Works on batch and
+    streaming input.
     """
     received = F.lit(None).cast("bigint") if received_ms is None else received_ms
     options = {"columnNameOfCorruptRecord": "_corrupt_record"}
     read = docs.select(F.col(body).alias("__body"), received.alias("__received"))
-    parsed = with_json(read, "__body", envelope_schema(customer_field), options)
+    parsed = with_json(read, "__body", ENVELOPE, options)
     broken = F.col("_corrupt_record").isNotNull() | F.col("__body").isNull()
-    rejects = parsed.filter(broken).select(
+    malformed = parsed.filter(broken).select(
         F.col("__body").alias("document"), F.col("__received").alias("received_ms"), F.lit("malformed_batch").alias("reject_code")
     )
+    items = parsed.filter(~broken).select("__received", "appId", "environment", "sdk", F.explode("events").alias("__item"))
+    item = F.struct(F.from_json("__item", event_schema(customer_field)).alias("e"), F.from_json("sdk", "name string, version string").alias("sdk"))
+    items = items.select("__received", "appId", "environment", "__item", F.inline(F.array(item)))
 
     def given(name: str) -> Column:
         return F.nullif(F.col(f"e.{name}"), F.lit(""))
 
+    missing = (
+        F.when(given("eventId").isNull(), MISSING_ID).when(given("name").isNull(), MISSING_NAME).when(given("anonymousId").isNull(), MISSING_DEVICE)
+    )
     bag = F.col("e.properties")
-    rows = (
-        parsed.filter(~broken)
-        .select("__received", "appId", "environment", "sdk", F.explode("events").alias("e"))
-        .select(
-            F.col("appId").alias("app_id"),
-            "environment",
-            F.col("sdk.name").alias("sdk_name"),
-            F.col("sdk.version").alias("sdk_version"),
-            given("eventId").alias("event_id"),
-            given("name").alias("name"),
-            F.coalesce("e.timestamp", "__received").alias("timestamp_ms"),
-            given("anonymousId").alias("anonymous_id"),
-            given("developerUserId").alias("developer_user_id"),
-            given(customer_field).alias("customer_id"),
-            F.when(bag.startswith("{"), bag).otherwise("{}").alias("properties"),
-        )
-        .filter("event_id is not null and name is not null and anonymous_id is not null")
+    rows = items.filter(missing.isNull()).select(
+        F.col("appId").alias("app_id"),
+        "environment",
+        F.col("sdk.name").alias("sdk_name"),
+        F.col("sdk.version").alias("sdk_version"),
+        given("eventId").alias("event_id"),
+        given("name").alias("name"),
+        whole_number(F.col("e.timestamp"), F.col("__received")).alias("timestamp_ms"),
+        given("anonymousId").alias("anonymous_id"),
+        given("developerUserId").alias("developer_user_id"),
+        given(customer_field).alias("customer_id"),
+        F.when(bag.startswith("{"), bag).otherwise("{}").alias("properties"),
+    )
+    incomplete = items.filter(missing.isNotNull()).select(
+        F.col("__item").alias("document"), F.col("__received").alias("received_ms"), missing.alias("reject_code")
     )
-    return rows, rejects
+    return rows, malformed.unionByName(incomplete)
 
 
 def read_event_batches(
@@ -88,7 +95,8 @@ def encode_value(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.ArrayType):
         return F.transform(col, lambda v: encode_value(v, dtype.elementType))
     if isinstance(dtype, T.StructType):
-        return F.struct(*[encode_value(col[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+        fields = [encode_value(col[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(col.isNotNull(), F.struct(*fields))
     if isinstance(dtype, (T.StringType, T.BooleanType, T.NumericType)):
         return col
     return col.cast("string")
@@ -102,21 +110,24 @@ def pack_event_batches(
     customer_field: str = CUSTOMER_FIELD,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Events as envelopes of at most ``size``, oldest first, per app and environment.
+    """Events as envelopes of at most ``size``, oldest first, per app and environment (null is one of its own).
 
     Batch numbers come from a chunked count, so one app may hold any share of the
-    rows; only a batch's own ``size`` events meet in one place.
+    rows; only a batch's own ``size`` events meet in one place. Properties keep their nulls and write numbers that
+    are not finite as null; user and customer ids that are null are left out.
     """
     scope = ["app_id", "environment"]
+    # Ordered rules take rows with a null key one by one; here they are one scope.
+    keyed = events.withColumns({f"__{c}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in scope})
+    keys = [f"__{c}" for c in scope]
     numbered = (
-        Ordered(events, scope, ["timestamp_ms", "event_id"], hot_rows)
+        Ordered(keyed, keys, ["timestamp_ms", "event_id"], hot_rows)
         .running(__nth=total(F.lit(1)))
         .frame()
         .withColumn("batch_no", F.expr(f"(__nth - 1) div {int(size)}"))
     )
-    properties = encode_value(F.col("properties"), events.schema["properties"].dataType)
-    event = F.struct(
-        F.col("__nth").alias("nth"),
+    properties = F.to_json(encode_value(F.col("properties"), events.schema["properties"].dataType), {"ignoreNullFields": "false"})
+    head = F.to_json(
         F.struct(
             F.col("event_id").cast("string").alias("eventId"),
             "name",
@@ -124,19 +135,22 @@ def pack_event_batches(
             F.col("anonymous_id").alias("anonymousId"),
             F.col("developer_user_id").alias("developerUserId"),
             F.col("customer_id").alias(customer_field),
-            properties.alias("properties"),
-        ).alias("event"),
+        )
     )
-    # Maps have no order, so the array is sorted by its number with a comparator.
-    packed = numbered.groupBy(*scope, "batch_no").agg(F.collect_list(event).alias("__events"))
-    in_order = F.array_sort("__events", lambda a, b: (a["nth"] - b["nth"]).cast("int"))
-    envelope = F.struct(
-        F.col("app_id").alias("appId"),
-        "environment",
-        F.struct(F.lit(sdk_name).alias("name"), F.lit(sdk_version).alias("version")).alias("sdk"),
-        F.transform(in_order, lambda e: e["event"]).alias("events"),
+    # The properties' nulls stay and the ids' do not, so the two are encoded apart.
+    lead = F.regexp_replace(head, r"\}$", F.when(head == "{}", F.lit('"properties":')).otherwise(F.lit(',"properties":')))
+    event = F.struct(F.col("__nth").alias("nth"), F.concat(lead, F.coalesce(properties, F.lit("{}")), F.lit("}")).alias("event"))
+    packed = numbered.groupBy(*keys, "batch_no").agg(*[F.first(c).alias(c) for c in scope], F.collect_list(event).alias("__events"))
+    in_order = F.array_sort("__events")
+    sdk = F.struct(F.lit(sdk_name).alias("name"), F.lit(sdk_version).alias("version"))
+    envelope = F.to_json(F.struct(F.col("app_id").alias("appId"), "environment", sdk.alias("sdk")))
+    value = F.concat(
+        F.substring(envelope, F.lit(1), F.length(envelope) - 1),
+        F.lit(',"events":['),
+        F.array_join(F.transform(in_order, lambda e: e["event"]), ","),
+        F.lit("]}"),
     )
-    return packed.select(*scope, "batch_no", F.size("__events").cast("bigint").alias("events"), F.to_json(envelope).alias("value"))
+    return packed.select(*scope, "batch_no", F.size("__events").cast("bigint").alias("events"), value.alias("value"))
 
 
 def write_event_batches(batches: DataFrame, path: str, mode: str = "append") -> None:

@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .events import CUSTOMER_FIELD
+from .parse import truth, whole_number
 
 # Payment rails and environments.
 RAILS = ("stripe", "apple", "google", "manual")
 ENVIRONMENTS = ("production", "sandbox")
 
-_ENTITLEMENT = (
-    "struct<key:string,isActive:boolean,validUntil:bigint,updatedAt:bigint,"
-    "source:struct<rail:string,productId:string,subscriptionId:string>>"
-)
+# Items are read one by one and their fields as text, so that a field of the wrong type costs no more than itself.
+_ENTITLEMENT = "key string, isActive string, validUntil string, updatedAt string, source string"
+_SOURCE = "rail string, productId string, subscriptionId string"
 
 
 def _env(default: str) -> Column:
@@ -44,28 +44,28 @@ def flatten_entitlement_responses(
     """Entitlement rows of ``/entitlements`` bodies, or with ``purchases`` of ``/purchases/sync`` bodies.
 
     A body without customer id is rejected; items without key or source, or of an unknown rail, are dropped.
+    Numbers may be text or have a fraction. An end date that is missing or null means no end, one that cannot be
+    read is 0 and so long past; an unreadable update time is the receive time.
     """
     field, code = ("entitlements", "purchase_response_invalid") if purchases else ("data", "entitlements_response_invalid")
-    schema = f"{customer_field} string, env string, {field} array<{_ENTITLEMENT}>"
+    schema = f"{customer_field} string, env string, {field} array<string>"
     good, rejects = _split(responses, body, schema, customer_field, code)
     keep = [c for c in responses.columns if c != body]
     received = F.lit(None).cast("bigint") if received_ms is None else received_ms
-    rows = (
-        good.withColumn("__received", received)
-        .select(*keep, "customer_id", "__received", _env(default_env), F.explode(f"__r.{field}").alias("e"))
-        .filter((F.coalesce("e.key", F.lit("")) != "") & F.col("e.source.rail").isin(*RAILS))
-        .select(
-            *keep,
-            "customer_id",
-            "env",
-            F.col("e.key").alias("key"),
-            F.coalesce("e.isActive", F.lit(False)).alias("is_active"),
-            F.col("e.validUntil").alias("valid_until_ms"),
-            F.col("e.source.rail").alias("rail"),
-            F.coalesce("e.source.productId", F.lit("")).alias("product_id"),
-            F.coalesce("e.source.subscriptionId", F.lit("")).alias("subscription_id"),
-            F.coalesce("e.updatedAt", "__received").alias("updated_at_ms"),
-        )
+    items = good.withColumn("__received", received).select(*keep, "customer_id", "__received", _env(default_env), F.explode(f"__r.{field}").alias("__item"))
+    items = items.select("*", F.inline(F.array(F.struct(F.from_json("__item", _ENTITLEMENT).alias("e")))))
+    items = items.select("*", F.inline(F.array(F.struct(F.from_json("e.source", _SOURCE).alias("__source")))))
+    rows = items.filter((F.coalesce("e.key", F.lit("")) != "") & F.col("__source.rail").isin(*RAILS)).select(
+        *keep,
+        "customer_id",
+        "env",
+        F.col("e.key").alias("key"),
+        truth(F.col("e.isActive")).alias("is_active"),
+        F.when(F.col("e.validUntil").isNotNull(), whole_number(F.col("e.validUntil"), F.lit(0))).alias("valid_until_ms"),
+        F.col("__source.rail").alias("rail"),
+        F.coalesce("__source.productId", F.lit("")).alias("product_id"),
+        F.coalesce("__source.subscriptionId", F.lit("")).alias("subscription_id"),
+        whole_number(F.col("e.updatedAt"), F.col("__received")).alias("updated_at_ms"),
     )
     return rows, rejects
 
@@ -74,17 +74,18 @@ def flatten_alias_links(
     responses: DataFrame, body: str = "body", default_env: str = "production", customer_field: str = CUSTOMER_FIELD
 ) -> tuple[DataFrame, DataFrame]:
     """One row per linked identity (type and id null for a response that links none)."""
-    schema = f"{customer_field} string, env string, mergePending boolean, linked array<struct<type:string,id:string>>"
+    schema = f"{customer_field} string, env string, mergePending string, linked array<string>"
     good, rejects = _split(responses, body, schema, customer_field, "alias_response_invalid")
     keep = [c for c in responses.columns if c != body]
+    links = F.transform("__r.linked", lambda x: F.from_json(x, "type string, id string"))
     named = F.filter(
-        "__r.linked", lambda x: (F.coalesce(x["type"], F.lit("")) != "") & (F.coalesce(x["id"], F.lit("")) != "")
+        links, lambda x: (F.coalesce(x["type"], F.lit("")) != "") & (F.coalesce(x["id"], F.lit("")) != "")
     )
     rows = good.select(
         *keep,
         "customer_id",
         _env(default_env),
-        F.coalesce("__r.mergePending", F.lit(False)).alias("merge_pending"),
+        truth(F.col("__r.mergePending")).alias("merge_pending"),
         F.explode_outer(named).alias("l"),
     ).select(*keep, "customer_id", "env", "merge_pending", F.col("l.type").alias("link_type"), F.col("l.id").alias("link_id"))
     return rows, rejects
@@ -93,15 +94,15 @@ def flatten_alias_links(
 def flatten_heartbeats(
     responses: DataFrame, body: str = "body", received_ms: str = "received_ms", default_env: str = "production"
 ) -> DataFrame:
-    """Heartbeat bodies as rows; ok is false and the server time the receive time when absent."""
-    schema = "ok boolean, projectId string, appId string, env string, serverTime bigint"
+    """Heartbeat bodies as rows; ok is false and the server time the receive time when absent or unreadable."""
+    schema = "ok string, projectId string, appId string, env string, serverTime string"
     keep = [c for c in responses.columns if c != body]
     parsed = _parsed(responses, body, schema).filter(F.col(body).startswith("{"))
     return parsed.select(
         *keep,
-        F.coalesce("__r.ok", F.lit(False)).alias("ok"),
+        truth(F.col("__r.ok")).alias("ok"),
         F.coalesce("__r.projectId", F.lit("")).alias("project_id"),
         F.coalesce("__r.appId", F.lit("")).alias("app_id"),
         _env(default_env),
-        F.coalesce("__r.serverTime", received_ms).alias("server_time_ms"),
+        whole_number(F.col("__r.serverTime"), F.col(received_ms)).alias("server_time_ms"),
     )

@@ -21,15 +21,18 @@ MIN_INTERVAL_MS = 250
 def clean_events(rows: DataFrame, public_key: Column) -> tuple[DataFrame, DataFrame]:
     """Gate, sanitise and scrub event rows whose ``properties`` are JSON text.
 
-    Returns accepted rows (with the sanitiser's ``warnings`` and ``sensitive_keys``) and rejects.
+    Returns accepted rows (with the sanitiser's ``warnings`` and ``sensitive_keys``) and rejects, among them
+    rows whose properties cannot be read, as they came.
     """
     gate = ingest_gate(public_key, F.col("environment"), F.col("app_id"), F.col("name"))
     gated = rows.withColumn("reject_code", gate)
     keys = flag_sensitive_keys(F.json_object_keys("properties"))
-    accepted = gated.filter("reject_code is null").drop("reject_code")
-    clean = accepted.withColumns({"sensitive_keys": keys, "__s": sanitize_json("properties")})
-    scrubbed = clean.withColumns({"properties": scrub_pii_json()("__s.properties"), "warnings": F.col("__s.warnings")})
-    return scrubbed.drop("__s"), gated.filter("reject_code is not null")
+    read = gated.filter("reject_code is null").drop("reject_code").withColumn("__s", sanitize_json("properties"))
+    scrubbed = read.filter("__s.error is null").withColumns(
+        {"sensitive_keys": keys, "properties": scrub_pii_json()("__s.properties"), "warnings": F.col("__s.warnings")}
+    )
+    unreadable = read.filter("__s.error is not null").withColumn("reject_code", F.concat(F.lit("properties_"), "__s.error"))
+    return scrubbed.drop("__s"), gated.filter("reject_code is not null").unionByName(unreadable.drop("__s"))
 
 
 def ingest_stream(
