@@ -31,7 +31,7 @@ def test_identity(spark):
     assert seen == [(10, "d", None), (11, "d", "user_847"), (12, "d", "u2"), (13, "e", None), (14, None, None)]
 
 
-def test_super_properties(spark):
+def test_super_properties(spark, monkeypatch):
     steps = [
         ("register", "plan", "free"),
         ("register", "plan", "pro"),
@@ -48,9 +48,9 @@ def test_super_properties(spark):
     ]
     ops = [("d", i, i, *s) for i, s in enumerate(steps)]
     df = spark.createDataFrame(ops, f"{HEAD}, op string, key string, value string")
-    assert identity.property_names(df) == ["plan", "tier"]
-    for hot_rows in (1, 5, 100):
-        state = identity.fold_super_properties(df, ["plan", "tier"], hot_rows=hot_rows)
+    for hot_rows, block in ((1, 3), (5, 64), (100, 1)):
+        monkeypatch.setattr(identity.fold_names, "__defaults__", (hot_rows, block))
+        state = identity.fold_super_properties(df, hot_rows=hot_rows)
         got = [r["props"] for r in sorted(state.collect(), key=lambda r: r["event_id"])]
         assert got == [
             {"plan": "free"}, {"plan": "pro"}, {"plan": "pro"}, {"plan": "pro", "tier": "1"}, {"plan": "pro", "tier": "1"},
@@ -74,7 +74,7 @@ def test_error_context(spark):
         ("d", 5, 5, "set_context", "cart", None, {}),
     ]
     df = spark.createDataFrame(ops, f"{HEAD}, op string, name string, value string, data map<string,string>")
-    state = identity.fold_error_context(df, ["plan", "env"], ["cart"], hot_rows=2)
+    state = identity.fold_error_context(df, hot_rows=2)
     got = [(r["tags"], r["context"]) for r in sorted(state.collect(), key=lambda r: r["event_id"])]
     assert got == [
         ({"plan": "pro"}, {}), ({"plan": "pro"}, {}), ({"plan": "pro"}, {"cart": {"n": "2"}}), ({"env": "qa"}, {"cart": {"n": "2"}}), ({"env": "qa"}, {}),

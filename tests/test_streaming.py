@@ -53,7 +53,7 @@ def test_super_properties(spark, tmp_path):
     rows = [(f"d{i % 2}", BASE + i, i, ops[(i * 3 + i // 7) % 5], ("plan", "tier", "")[i % 3], f"v{i}") for i in range(45)]
     schema = "dev string, ts_us long, event_id long, op string, key string, value string"
     out = run_available(stateful.super_properties_stream(in_batches(spark, tmp_path, rows, schema)))
-    batch = fold_super_properties(spark.createDataFrame(rows, schema), ["plan", "tier"])
+    batch = fold_super_properties(spark.createDataFrame(rows, schema))
     shown = ["dev", "event_id", F.try_element_at("props", F.lit("plan")), F.try_element_at("props", F.lit("tier")), F.size("props")]
     same(out, batch, shown)
 

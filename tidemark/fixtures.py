@@ -7,12 +7,13 @@ expression in ``VIEWS``, so that a query and its SQL start from the same rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import configure
+from .session import checkpoint_dir, configure
 
 EVENT_NAMES = {
     "view": "page.viewed",
@@ -23,21 +24,49 @@ EVENT_NAMES = {
 }
 
 
+# The device of the row that ends a stream.
+END_DEVICE = "anon_-1"
+
+
 @dataclass(frozen=True)
 class Streams:
-    """Stands in for the session where a view is to be opened as a stream of files."""
+    """Stands in for the session where a view is to be opened as a stream of files.
+
+    The event log arrives in ``batches`` micro-batches, in the order of time. With ``end``, a last file holds one row
+    of ``END_DEVICE``, later than all others, so that what waits for the watermark comes out.
+    """
 
     spark: SparkSession
+    batches: int = 3
+    end: bool = False
 
 
 def table(spark: SparkSession | Streams, sf_dir: str, name: str) -> DataFrame:
     if isinstance(spark, Streams):
-        schema = table(spark.spark, sf_dir, name).schema
-        return spark.spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet")
+        return _event_files(spark, sf_dir, name)
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _event_files(streams: Streams, sf_dir: str, name: str) -> DataFrame:
+    """The log cut by time into one file after the other, opened as one file a micro-batch."""
+    spark = streams.spark
+    log = table(spark, sf_dir, name)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = log.agg(F.min(micros), F.max(micros)).first()
+    step = (high - low) // streams.batches + 1
+    base = f"{checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    part = F.expr("cast((__at - {0}) div {1} as int)".format(low, step))
+    cut = log.withColumn("__at", micros).withColumn("__part", part).drop("__at")
+    for i in range(streams.batches):
+        cut.filter(F.col("__part") == i).drop("__part").coalesce(1).write.parquet(f"{base}/part={i}")
+    if streams.end:
+        last = {"event_id": "-1L", "ts": f"cast(timestamp_micros({high} + 172800000000) as timestamp_ntz)", "user_id": "-1L", "event_type": "'view'", "value": "0D", "props": "'{\"k\": 0}'"}
+        row = spark.range(1).select(*[F.expr(last[f.name]).cast(f.dataType).alias(f.name) for f in log.schema.fields])
+        row.coalesce(1).write.parquet(f"{base}/part={streams.batches}")
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/part=*")
+
+
 def events(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:
     name = F.coalesce(*[F.when(F.col("event_type") == t, n) for t, n in EVENT_NAMES.items()])
     return table(spark, sf_dir, "events").select(

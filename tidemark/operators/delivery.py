@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.wire import classify_outcome, retry_ceiling
-from .ordered import HOT_ROWS, Ordered, before, open_intervals, previous, total
+from .ordered import HOT_ROWS, Ordered, alone, before, open_intervals, place, previous, total
 
 DAY_MS = 86_400_000
 MAX_RETRYABLE = 6
@@ -67,7 +67,7 @@ def delivery_outcomes(attempts: DataFrame, key: str = "key", time: str = "ts_ms"
     """Per batch: how many sends were made and how it ended.
 
     The first success, permanent failure or sixth retryable failure ends the batch; rows after
-    it are ignored. ``next_retry_ms`` is the latest the next send may be when pending.
+    it are ignored. ``next_retry_ms`` is the latest the next send may be when pending. A send without a key is a batch of its own.
     ``attempts`` has ``status`` and ``retry_after_ms`` columns.
     """
     kind = classify_outcome(F.col("status"))
@@ -94,7 +94,8 @@ def delivery_outcomes(attempts: DataFrame, key: str = "key", time: str = "ts_ms"
     )
     ended = F.min_by(row, F.when(F.col("__state").isNotNull(), at))
     newest = F.max_by(row, at)
-    picked = counted.groupBy(key).agg(ended.alias("__ended"), newest.alias("__newest"))
+    per_batch = [F.col(key), alone([key], [time, seq]).alias("__alone")]
+    picked = counted.groupBy(*per_batch).agg(ended.alias("__ended"), newest.alias("__newest"))
     return picked.select(key, F.coalesce("__ended", "__newest").alias("__r")).select(key, "__r.*")
 
 
@@ -112,11 +113,17 @@ def keep_latest(
 ) -> tuple[DataFrame, DataFrame]:
     """The newest ``n`` rows per device, and how many each device lost.
 
-    This buffer cap is the rule itself. Ranks come from a chunked count, newest first.
+    This buffer cap is the rule itself. Without a hot device it is a top-n that Spark cuts before its shuffle;
+    with one, ranks come from a chunked count, newest first. Rows without a device are all kept.
     """
-    ranked = Ordered(df, [key], [time, seq], hot_rows).running(reverse=True, __rank=total(F.lit(1))).frame()
+    placed, cut = place(df, [key], time, hot_rows)
+    if cut:
+        ranked = Ordered(df, [key], [time, seq], hot_rows).running(reverse=True, __rank=total(F.lit(1))).frame()
+    else:
+        newest = Window.partitionBy(key, "__alone").orderBy(F.desc(time), F.desc(seq))
+        ranked = placed.withColumn("__alone", alone([key], [time, seq])).withColumn("__rank", F.row_number().over(newest)).drop("__alone")
     kept = ranked.filter(F.col("__rank") <= n).drop("__rank")
-    dropped = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > n)
+    dropped = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > n)
     return kept, dropped.select(key, (F.col("rows") - n).alias("dropped"))
 
 

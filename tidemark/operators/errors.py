@@ -91,7 +91,12 @@ def attach_breadcrumbs(
         .frame()
     )
     block = F.expr(f"(__count - 1) div {int(n)}")
-    numbered = scan.filter("__kind = 1").select(
+    asked = scan.filter("__kind = 2").select(
+        *head, "__error", "__count", "__reset", F.when(F.col("__count") > 0, block).alias("__block")
+    )
+    # Errors are few beside crumbs: only the blocks that one asks for are gathered.
+    wanted = asked.filter(F.col(key).isNotNull() & F.col("__block").isNotNull()).select(key, "__block").distinct()
+    numbered = scan.filter("__kind = 1").filter(F.col(key).isNotNull()).select(
         key,
         F.explode(F.array(block, block + 1)).alias("__block"),
         F.struct(
@@ -100,10 +105,8 @@ def attach_breadcrumbs(
             F.struct(F.col(time).alias("ts_us"), "__crumb.*").alias("crumb"),
         ).alias("__c"),
     )
-    blocks = numbered.groupBy(key, "__block").agg(F.collect_list("__c").alias("__items"))
-    asked = scan.filter("__kind = 2").select(
-        *head, "__error", "__count", "__reset", F.when(F.col("__count") > 0, block).alias("__block")
-    )
+    asked_for = numbered.join(wanted, [key, "__block"], "left_semi")
+    blocks = asked_for.groupBy(key, "__block").agg(F.collect_list("__c").alias("__items"))
     found = asked.join(blocks, [key, "__block"], "left")
     none = F.array().cast(blocks.schema["__items"].dataType)
     recent = F.filter(

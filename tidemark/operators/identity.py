@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.privacy import scrub_pii
 from ..functions.values import strip
-from .ordered import HOT_ROWS, Ordered, as_of, before, last, total
-
-MAX_NAMES = 1000
-
+from ..session import cut_lineage
+from .ordered import HOT_ROWS, Ordered, as_of, before, last, previous, total
 
 def _set_to(value: Column) -> Column:
     """A wrapper that tells "set to null" from "not set"."""
@@ -90,17 +88,85 @@ def group_operations(groups: DataFrame, key: str = "dev", time: str = "ts_us", s
     )
 
 
-def property_names(ops: DataFrame) -> list[str]:
-    """The distinct property names of a log. They are a vocabulary; a log where they are not is refused."""
-    rows = ops.select("key").filter("key <> ''").distinct().limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} property names; pass the names to keep")
-    return sorted(r["key"] for r in rows)
+# Changes that a block of the log holds; see fold_names.
+BLOCK = 64
+
+
+def fold_names(
+    ops: DataFrame, key: str, time: str, order: Sequence[str], hot_rows: int = HOT_ROWS, block: int = BLOCK
+) -> DataFrame:
+    """The map of names to values after each operation, whatever the number of names.
+
+    ``ops`` has ``op`` (set, once, unset, clear or any other, which changes nothing), ``name`` and
+    ``value``; ``order`` identifies rows of a key. Adds ``state``. An ``unset`` removes a name, a ``clear``
+    all of them; a value is that of the newest ``set`` since the name was removed, else of the first
+    ``once`` since then.
+
+    Names are rows, not columns: each change is found by one ordered scan per (key, clear, name). Changes are
+    numbered per key and a state is that at the last full block of them, plus the changes of the running block up to
+    the row. A full state is so written once per block, not once per row.
+    """
+    head, op = list(dict.fromkeys([key, *order])), F.col("op")
+    at = F.struct(*[F.col(c) for c in order])
+    changes_it = op.isin("set", "once", "unset") & (F.coalesce("name", F.lit("")) != "")
+    numbered = (
+        Ordered(ops, [key], order, hot_rows)
+        .running(__epoch=total(F.when(op == "clear", 1).otherwise(0)), __nth=total(F.when(changes_it, 1).otherwise(0)))
+        .frame()
+    )
+    # Read by the changes, their last numbers and the rows.
+    numbered = cut_lineage(numbered)
+    scope = [key, "__epoch"]
+    known = numbered.filter(F.col(key).isNotNull())
+    changes = known.filter(changes_it).select(*head, "__epoch", "__nth", "op", "name", "value")
+
+    def valued() -> Column:
+        return F.struct(at.alias("at"), F.col("value").alias("v"))
+
+    def since_removed(when: Column) -> Column:
+        return when.isNotNull() & (F.col("__gone").isNull() | (when > F.col("__gone")))
+
+    scan = Ordered(changes, [*scope, "name"], order, hot_rows).running(
+        __gone=last(F.when(op == "unset", at)), __set=last(F.when(op == "set", valued())), __tried=before(F.when(op == "once", at))
+    )
+    # A once counts if no other one came since the name was last removed.
+    scan = scan.running(__once=last(F.when((op == "once") & ~since_removed(F.col("__tried")), valued())))
+    scan = scan.running(reverse=True, __next=previous(F.col("__nth")))
+    now = F.when(since_removed(F.col("__set.at")), F.col("__set.v")).when(since_removed(F.col("__once.at")), F.col("__once.v"))
+    valid = cut_lineage(scan.frame().select(*scope, "name", "__nth", "__next", now.alias("__now")))
+
+    # What is in force at the start of a block: the changes up to it that no later one of their name replaced.
+    ends = valid.groupBy(*scope).agg(F.max("__nth").alias("__last"))
+    first = F.expr(f"(__nth + {block - 1}) div {block}")
+    upto = F.expr(f"(coalesce(__next - 1, __last)) div {block}")
+    held = valid.filter(F.col("__now").isNotNull()).join(ends, scope).withColumns({"__from": first, "__to": upto}).filter("__from <= __to")
+    entry = F.struct("name", F.col("__now").alias("v"))
+    bases = (
+        held.select(*scope, F.explode(F.sequence("__from", "__to")).alias("__block"), entry.alias("__e"))
+        .groupBy(*scope, "__block")
+        .agg(F.map_from_entries(F.collect_list("__e")).alias("__base"))
+    )
+    recent = valid.groupBy(*scope, F.expr(f"(__nth - 1) div {block}").alias("__block")).agg(
+        F.collect_list(F.struct(F.col("__nth").alias("n"), "name", F.col("__now").alias("v"))).alias("__recent")
+    )
+    rows = known.withColumn("__block", F.when(F.col("__nth") > 0, F.expr(f"(__nth - 1) div {block}")))
+    joined = rows.join(bases, [*scope, "__block"], "left").join(recent, [*scope, "__block"], "left")
+    # The block's changes up to the row, each name's newest.
+    so_far = F.filter("__recent", lambda c: c["n"] <= F.col("__nth"))
+    newest = F.array_sort(so_far, lambda x, y: (x["n"] - y["n"]).cast("int"))
+    bag = F.transform(newest, lambda c: F.struct(c["name"].alias("name"), c["v"].alias("v")))
+    value_type = ops.schema["value"].dataType.simpleString()
+    empty = F.create_map().cast(f"map<string,{value_type}>")
+    state = F.map_filter(F.map_concat(F.coalesce("__base", empty), F.coalesce(F.map_from_entries(bag), empty)), lambda _, v: v.isNotNull())
+    # A row without a key has its own operation alone.
+    own = F.when(changes_it & (op != "unset") & F.col("value").isNotNull(), F.create_map("name", "value")).otherwise(empty)
+    out = joined.withColumn("state", state).unionByName(numbered.filter(F.col(key).isNull()).withColumn("state", own), allowMissingColumns=True)
+    return out.select(*ops.columns, "state")
 
 
 def fold_super_properties(
     ops: DataFrame,
-    names: Sequence[str],
+    names: Sequence[str] | None = None,
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
@@ -109,46 +175,26 @@ def fold_super_properties(
     """Property map after each operation: register, registerOnce, unregister (``key``, ``value``), clear.
 
     For each name: the newest register since it was last removed, else the first
-    registerOnce since then. Blank names are ignored.
+    registerOnce since then. Blank names are ignored; a null value is no value. With ``names``, only these are kept.
     """
-    op, at = F.col("op"), F.struct(F.col(time).alias("t"), F.col(seq).alias("s"))
-
-    def on(name: str, kind: str) -> Column:
-        return (op == kind) & (F.col("key") == name)
-
-    def valued() -> Column:
-        return F.struct(at.alias("at"), F.col("value").alias("v"))
-
-    # A registerOnce counts if no other one came since the name was last removed.
-    passes = Ordered(ops, [key], [time, seq], hot_rows).running(
-        **{f"__gone{i}": last(F.when((op == "clear") | on(n, "unregister"), at)) for i, n in enumerate(names)},
-        **{f"__set{i}": last(F.when(on(n, "register"), valued())) for i, n in enumerate(names)},
-        **{f"__tried{i}": before(F.when(on(n, "registerOnce"), at)) for i, n in enumerate(names)},
+    kind = (
+        F.when(F.col("op") == "register", "set").when(F.col("op") == "registerOnce", "once").when(F.col("op") == "unregister", "unset")
     )
-
-    def since_removed(at_col: Column, i: int) -> Column:
-        return at_col.isNotNull() & (F.col(f"__gone{i}").isNull() | (at_col > F.col(f"__gone{i}")))
-
-    passes = passes.running(
-        **{
-            f"__once{i}": last(F.when(on(n, "registerOnce") & ~since_removed(F.col(f"__tried{i}"), i), valued()))
-            for i, n in enumerate(names)
-        }
+    wanted = F.lit(True) if names is None else F.col("key").isin(*names)
+    ops = ops.select(
+        *[F.col(c).alias(f"__{i}") for i, c in enumerate((key, time, seq))],
+        F.when(F.col("op") == "clear", "clear").when(wanted, kind).alias("op"),
+        F.col("key").alias("name"),
+        "value",
     )
-    pairs = []
-    for i, name in enumerate(names):
-        value = F.when(since_removed(F.col(f"__set{i}.at"), i), F.col(f"__set{i}.v")).when(
-            since_removed(F.col(f"__once{i}.at"), i), F.col(f"__once{i}.v")
-        )
-        pairs += [F.lit(name), value]
-    props = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
-    return passes.frame().select(key, time, seq, props.alias("props"))
+    state = fold_names(ops, "__0", "__1", ["__1", "__2"], hot_rows)
+    return state.select(F.col("__0").alias(key), F.col("__1").alias(time), F.col("__2").alias(seq), F.col("state").alias("props"))
 
 
 def fold_error_context(
     ops: DataFrame,
-    tags: Sequence[str],
-    blocks: Sequence[str],
+    tags: Sequence[str] | None = None,
+    blocks: Sequence[str] | None = None,
     key: str = "dev",
     time: str = "ts_us",
     seq: str = "event_id",
@@ -157,33 +203,51 @@ def fold_error_context(
     """Error tags and context blocks after each operation.
 
     ``op`` is set_tag (``name``, ``value``), set_tags (``data`` replaces all tags) or set_context
-    (``name``, ``data``; an empty map removes the block). Blank names are ignored.
+    (``name``, ``data``; an empty map removes the block). Blank names are ignored. With ``tags`` or ``blocks``, only
+    these are kept.
     """
     op, data = F.col("op"), F.col("data")
-    named = F.coalesce(F.col("name"), F.lit("")) != ""
-
-    def tag(name: str) -> Column:
-        one = F.when((op == "set_tag") & named & (F.col("name") == name), _set_to(F.col("value")))
-        bulk = F.when(op == "set_tags", _set_to(F.try_element_at(data, F.lit(name))))
-        return F.coalesce(one, bulk)
-
-    def block(name: str) -> Column:
-        return F.when((op == "set_context") & named & (F.col("name") == name), _set_to(F.when(F.size(data) > 0, data)))
-
-    state = (
-        Ordered(ops, [key], [time, seq], hot_rows)
-        .running(
-            **{f"__tag{i}": last(tag(n)) for i, n in enumerate(tags)},
-            **{f"__block{i}": last(block(n)) for i, n in enumerate(blocks)},
-        )
-        .frame()
+    head = [F.col(c).alias(f"__{i}") for i, c in enumerate((key, time, seq))]
+
+    def step(kind: str, name: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("op"), name.alias("name"), value.alias("value"))
+
+    nothing = F.lit(None).cast("string")
+    # Replacing all tags is a clear and then one set for each new tag.
+    bulk = F.transform(F.map_entries(F.coalesce(data, F.create_map().cast("map<string,string>"))), lambda e: step("set", e["key"], e["value"]))
+    tag_steps = (
+        F.when((op == "set_tag") & F.col("value").isNull(), F.array(step("unset", F.col("name"), nothing)))
+        .when(op == "set_tag", F.array(step("set", F.col("name"), F.col("value"))))
+        .when(op == "set_tags", F.concat(F.array(step("clear", nothing, nothing)), bulk))
+        .otherwise(F.array(step("none", nothing, nothing)))
     )
-
-    def gather(prefix: str, names: Sequence[str]) -> Column:
-        pairs = [x for i, n in enumerate(names) for x in (F.lit(n), F.col(f"{prefix}{i}.v"))]
-        return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
-
-    return state.select(key, time, seq, gather("__tag", tags).alias("tags"), gather("__block", blocks).alias("context"))
+    steps = ops.select(*head, F.posexplode(tag_steps).alias("__3", "s")).select("__0", "__1", "__2", "__3", "s.*")
+    if tags is not None:
+        steps = steps.withColumn("op", F.when((F.col("op") == "clear") | F.col("name").isin(*tags), F.col("op")).otherwise("none"))
+    tagged = fold_names(steps, "__0", "__1", ["__1", "__2", "__3"], hot_rows)
+    alone_of = F.col("__0").isNull()
+    # The last step of an operation has its outcome; without a key its steps do not see each other.
+    after = tagged.groupBy("__0", "__1", "__2").agg(F.max_by("state", "__3").alias("tags"))
+    after = after.filter(~alone_of)
+
+    has = (op == "set_context") & (F.size(data) > 0)
+    contexts = ops.select(
+        *head,
+        F.when(has, "set").when(op == "set_context", "unset").otherwise("none").alias("op"),
+        F.col("name"),
+        F.when(has, data).alias("value"),
+    )
+    if blocks is not None:
+        contexts = contexts.withColumn("op", F.when(F.col("name").isin(*blocks), F.col("op")).otherwise("none"))
+    blocked = fold_names(contexts, "__0", "__1", ["__1", "__2"], hot_rows)
+    known = blocked.filter(~alone_of).select("__0", "__1", "__2", F.col("state").alias("context")).join(after, ["__0", "__1", "__2"])
+    empty = F.create_map().cast("map<string,string>")
+    named = F.coalesce(F.col("name"), F.lit("")) != ""
+    lone_tags = F.when((op == "set_tag") & named & F.col("value").isNotNull(), F.create_map("name", "value")).when(op == "set_tags", F.map_filter(F.coalesce(data, empty), lambda _, v: v.isNotNull()))
+    lone_blocks = F.when(has & named, F.create_map("name", "data")).otherwise(F.create_map().cast("map<string,map<string,string>>"))
+    lone = ops.filter(F.col(key).isNull()).select(*head, lone_blocks.alias("context"), F.coalesce(lone_tags, empty).alias("tags"))
+    out = known.unionByName(lone)
+    return out.select(F.col("__0").alias(key), F.col("__1").alias(time), F.col("__2").alias(seq), "tags", "context")
 
 
 def enrich_events(
@@ -198,12 +262,14 @@ def enrich_events(
     time: str = "ts_us",
     seq: str = "event_id",
     hot_rows: int = HOT_ROWS,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Everything in force when an event happened, in one pass.
 
     Events carry ``properties`` (a string map). Property bags merge in the order super-properties,
     device, the event's own, session id, and the later wins; scrubbing comes last. ``$error``
-    rows get identity and consent but no merged bags. All state logs share one shuffle.
+    rows get identity and consent but no merged bags. All state logs share one shuffle. ``measure`` may name a table
+    of the same keys and times that is cheaper to count.
     """
     logs = {
         "__identity": identity,
@@ -212,7 +278,7 @@ def enrich_events(
         "__device": device,
         "__session": session,
     }
-    out = as_of(events, {n: log for n, log in logs.items() if log is not None}, [key], time, seq, hot_rows)
+    out = as_of(events, {n: log for n, log in logs.items() if log is not None}, [key], time, seq, hot_rows, measure)
     empty = F.create_map().cast("map<string,string>")
     columns: list[Column] = []
     if identity is not None:
@@ -254,7 +320,9 @@ def resolve_customer(
     by_user = latest_alias(aliases, user).withColumnRenamed("customer_id", "__by_user")
     by_device = latest_alias(aliases, anonymous).withColumnRenamed("customer_id", "__by_device")
     given = F.col("customer_id") if "customer_id" in events.columns else F.lit(None).cast("string")
-    joined = events.join(by_user, user, "left").join(by_device, anonymous, "left")
+    # Events without a developer id have nothing to look up and would all meet in one task.
+    named = events.filter(F.col(user).isNotNull()).join(by_user, user, "left")
+    joined = named.unionByName(events.filter(F.col(user).isNull()), allowMissingColumns=True).join(by_device, anonymous, "left")
     rest = [c for c in events.columns if c != "customer_id"]
     return joined.select(*rest, F.coalesce(given, "__by_user", "__by_device").alias("customer_id"))
 

@@ -11,7 +11,8 @@ than ``hot_rows`` are cut into time chunks of about that many:
 3. that state is joined back on (key, chunk), which the rows are already
    partitioned by, so the large side is not moved again.
 
-Where no key is hot, which the count tells, all that is left is the window. Keys must not be null.
+Where no key is hot, which the count tells, all that is left is the window. Rows with a null key belong to
+nobody: each is a key of its own, so they neither see each other nor meet in one task.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from ..session import cut_lineage
 HOT_ROWS = 4_000_000
 
 _CHUNK = "__chunk"
+_ALONE = "__alone"
 _FINE_PARTS = 1 << 20
 
 
@@ -40,14 +42,15 @@ def place(
 
     A key with n > ``hot_rows`` rows gets n / hot_rows equal cells of its time span; a cell that
     still holds several times ``hot_rows``, a burst, is cut again by its own count. The counts run
-    as jobs of their own, when this is called. They are pre-aggregated before their shuffle, and what
-    is kept of them may be broadcast: of N rows at most N / hot_rows keys or cells are that large.
+    as jobs of their own, when this is called. They are pre-aggregated before their shuffle, and few
+    are kept: of N rows at most N / hot_rows keys or cells are that large.
 
     ``measure`` may be a cheaper table with the same keys and times to count instead, such as ``df``
     before a costly step. How keys are cut never changes a result.
     """
     keys = list(keys)
     counted = (df if measure is None else measure).select(*keys, F.col(tick).cast("bigint").alias("__tick"))
+    counted = counted.filter(~without_key(keys))
     rows = F.count(F.lit(1)).alias("__n")
     spans = (
         counted.groupBy(*keys)
@@ -60,7 +63,7 @@ def place(
     spans = cut_lineage(spans)
     cell = F.expr("(__tick - __key_lo) div __key_step")
     cells = cut_lineage(
-        counted.join(F.broadcast(spans), keys)
+        counted.join(spans, keys)
         .groupBy(*keys, cell.alias("__cell"), "__key_step")
         .agg(rows)
         .filter(F.col("__n") > 4 * hot_rows)
@@ -69,9 +72,9 @@ def place(
     fine = F.least(F.expr("(__tick - __key_lo - __cell * __key_step) div __cell_step"), F.lit(_FINE_PARTS - 1))
     placed = (
         df.withColumn("__tick", F.col(tick).cast("bigint"))
-        .join(F.broadcast(spans), keys, "left")
+        .join(spans, keys, "left")
         .withColumn("__cell", cell)
-        .join(F.broadcast(cells), [*keys, "__cell"], "left")
+        .join(cells, [*keys, "__cell"], "left")
         .withColumns(
             {
                 _CHUNK: F.coalesce("__cell", F.lit(0)) * _FINE_PARTS + F.coalesce(fine, F.lit(0)),
@@ -82,6 +85,15 @@ def place(
     return placed.drop("__tick", "__key_lo", "__key_step", "__cell", "__cell_step"), True
 
 
+def without_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def alone(keys: Sequence[str], order: Sequence[str]) -> Column:
+    """What tells rows with a null key apart: their position; null for all others."""
+    return F.when(without_key(keys), F.struct(*[F.col(c) for c in order]))
+
+
 def _share(span: Column, hot_rows: int) -> Column:
     """The part of ``span`` that holds ``hot_rows`` of ``__n`` rows, at least 1."""
     return F.greatest(F.floor(span * (F.lit(float(hot_rows)) / F.col("__n"))), F.lit(1)).cast("bigint")
@@ -136,7 +148,8 @@ class Ordered:
     ):
         self.keys = list(keys)
         self.order = list(order)
-        self.df, self.cut = place(df, self.keys, self.order[0], hot_rows, measure)
+        placed, self.cut = place(df, self.keys, self.order[0], hot_rows, measure)
+        self.df = placed.withColumn(_ALONE, alone(self.keys, self.order))
 
     def _wrap(self, df: DataFrame) -> Ordered:
         other = object.__new__(Ordered)
@@ -150,7 +163,7 @@ class Ordered:
         """Add one column per running value, reading forwards or in reverse."""
         way = F.desc if reverse else F.asc
         group = [*self.keys, _CHUNK] if self.cut else self.keys
-        inside = Window.partitionBy(*group).orderBy(*[way(c) for c in self.order])
+        inside = Window.partitionBy(*group, _ALONE).orderBy(*[way(c) for c in self.order])
         upto = inside.rowsBetween(Window.unboundedPreceding, 0)
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
         own = {
@@ -203,7 +216,7 @@ class Ordered:
         return ends.select(*self.keys, _CHUNK, *carry)
 
     def frame(self) -> DataFrame:
-        return self.df.drop(_CHUNK, "__hot")
+        return self.df.drop(_CHUNK, "__hot", _ALONE)
 
 
 def as_of(
@@ -213,6 +226,7 @@ def as_of(
     time: str,
     seq: str,
     hot_rows: int = HOT_ROWS,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Give each event, per named log, the newest log row at or before it.
 
@@ -220,30 +234,30 @@ def as_of(
     arrive as one struct column under the log's name (null when there is none).
     A log row at the same instant as an event counts as earlier. Events without a key find nothing. All logs ride in
     one union, so all lookups together cost one shuffle. The inputs are read more than once, for
-    the key counts and for the rows: hand in tables, not long computations (``session.cut_lineage`` writes one).
+    the key counts and for the rows: hand in tables, not long computations (``session.cut_lineage`` writes one),
+    or name a table of the same keys and times in ``measure``.
     """
     head = [*keys, time, seq]
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     payload = {n: [c for c in log.columns if c not in head] for n, log in logs.items()}
     event_cols = [c for c in events.columns if c not in head]
-    parts = [events.filter(known).select(*head, F.lit(1).alias("__kind"), F.struct(*event_cols).alias("__event"))]
+    parts = [events.select(*head, F.lit(1).alias("__kind"), F.struct(*event_cols).alias("__event"))]
     for name, log in logs.items():
-        parts.append(log.filter(known).select(*head, F.lit(0).alias("__kind"), F.struct(*payload[name]).alias(name)))
+        rows = log.filter(~without_key(keys))
+        parts.append(rows.select(*head, F.lit(0).alias("__kind"), F.struct(*payload[name]).alias(name)))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    scanned = Ordered(union, keys, [time, "__kind", seq], hot_rows).running(
+    scanned = Ordered(union, keys, [time, "__kind", seq], hot_rows, measure).running(
         **{f"__now_{n}": last(F.col(n)) for n in logs}
     )
-    found = (
+    return (
         scanned.frame()
         .filter("__kind = 1")
         .select(*head, "__event.*", *[F.col(f"__now_{n}").alias(n) for n in logs])
     )
-    # Events without a key have no state; together in a window they would be a hot group.
-    return found.unionByName(events.filter(~known), allowMissingColumns=True)
 
 
-# Runs up to this many rows are decided by a fold in one task, longer ones by pointer doubling.
-FOLD_ROWS = 4096
+# Runs up to this many rows are decided by a fold in one task, longer ones by pointer doubling. A fold copies
+# its openers as they grow, so its cost goes with the square of this.
+FOLD_ROWS = 512
 
 
 def open_intervals(
@@ -267,7 +281,8 @@ def open_intervals(
     into runs that can be decided alone, and a run shorter than ``length`` has its
     first row as sole opener. Only longer runs, usually few, need their openers followed one
     after the other: their distinct times are written once, runs of at most ``fold_rows`` of
-    them are folded, and longer ones go through ``_follow``.
+    them are folded, and longer ones go through ``_follow``. The rows and their runs are written once
+    and read from there. A row with a null key opens.
     """
     keys, also = list(keys), also or {}
     scan = Ordered(df, keys, [time, seq], hot_rows).running(__prev=previous(F.col(time)), **also)
@@ -275,11 +290,12 @@ def open_intervals(
     if starts_run is not None:
         head = head | F.coalesce(starts_run, F.lit(False))
     scan = scan.with_columns(__head=head)
-    heads = scan.frame().drop("__prev", *also)
-
     run = [*keys, "__run"]
     at = F.struct(F.col(time).alias("t"), F.col(seq).alias("s"))
-    runs = scan.running(__run=last(F.when(F.col("__head"), at))).frame().select(*run, time, seq)
+    scanned = scan.running(__run=last(F.when(F.col("__head"), at))).frame().drop("__prev", *also)
+    scanned = cut_lineage(scanned)
+    heads = scanned.drop("__run")
+    runs = scanned.filter(~without_key(keys)).select(*run, time, seq)
     long_runs = runs.groupBy(*run).agg(F.max(time).alias("__to")).filter(F.col("__to") - F.col("__run.t") >= length)
     # One candidate per run and instant: the first row there, others cannot open.
     ticks = runs.join(long_runs.select(*run), run, "left_semi").groupBy(*run, time).agg(F.min(seq).alias(seq))

@@ -16,7 +16,6 @@ from ..operators.identity import (
     fold_super_properties,
     forget,
     group_operations,
-    property_names,
     resolve_customer,
 )
 from ..operators.sessions import lifecycle_sessions, session_log
@@ -99,11 +98,41 @@ _SUPER = f"""{_super_sql('plan')}, {_super_sql('tier')},
 @query("fold_super_properties", sql(f"WITH {_SUPER} SELECT * FROM supers", "v_super_log"))
 def _fold_super(spark, sf):
     log = fx.super_log(spark, sf)
-    state = fold_super_properties(log, property_names(log))
+    state = fold_super_properties(log)
     value = [F.try_element_at("props", F.lit(n)).alias(n) for n in ("plan", "tier")]
     return state.select("dev", "ts_us", "event_id", *value)
 
 
+@query(
+    "fold_many_super_properties",
+    sql(
+        """WITH ops AS (SELECT dev, ts_us, event_id, 'p' || (event_id % 331) AS name, CASE WHEN k % 10 < 5 THEN 'register' WHEN k % 10 < 8 THEN 'registerOnce'
+             WHEN k % 10 = 8 THEN 'unregister' WHEN k = 99 THEN 'clear' ELSE 'register' END AS op, CAST(k AS VARCHAR) AS value FROM v_events),
+        cleared AS (SELECT *, count(*) FILTER (WHERE op = 'clear') OVER (PARTITION BY dev ORDER BY ts_us, event_id) AS c FROM ops),
+        gone AS (SELECT *, count(*) FILTER (WHERE op = 'unregister') OVER (PARTITION BY dev, c, name ORDER BY ts_us, event_id) AS g FROM cleared),
+        vals AS (SELECT *, coalesce(last_value(CASE WHEN op = 'register' THEN value END IGNORE NULLS) OVER w, first_value(CASE WHEN op = 'registerOnce' THEN value END IGNORE NULLS) OVER w) AS v,
+                   lead({'t': ts_us, 'e': event_id}) OVER (PARTITION BY dev, c, name ORDER BY ts_us, event_id) AS nxt FROM gone WHERE op <> 'clear'
+                 WINDOW w AS (PARTITION BY dev, c, name, g ORDER BY ts_us, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+        SELECT o.event_id, count(v.name) AS n, coalesce(string_agg(v.name || '=' || v.v, ',' ORDER BY v.name), '') AS props FROM cleared o
+          LEFT JOIN vals v ON v.dev = o.dev AND v.c = o.c AND v.v IS NOT NULL AND (v.ts_us, v.event_id) <= (o.ts_us, o.event_id)
+            AND (v.nxt IS NULL OR (o.ts_us, o.event_id) < (v.nxt.t, v.nxt.e)) GROUP BY o.event_id""",
+        "v_events",
+    ),
+)
+def _fold_many(spark, sf):
+    ops = fx.events(spark, sf).selectExpr(
+        "dev",
+        "ts_us",
+        "event_id",
+        "concat('p', event_id % 331) as key",
+        "case when k % 10 < 5 then 'register' when k % 10 < 8 then 'registerOnce' when k % 10 = 8 then 'unregister' when k = 99 then 'clear' else 'register' end as op",
+        "cast(k as string) as value",
+    )
+    pairs = F.transform(F.array_sort(F.map_entries("props")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    state = fold_super_properties(ops)
+    return state.select("event_id", F.size("props").cast("bigint").alias("n"), F.array_join(pairs, ",").alias("props"))
+
+
 @query(
     "group_operations",
     sql(
@@ -120,7 +149,7 @@ def _groups(spark, sf):
             "dev", "ts_us", "event_id", "'org' as group_type", "case when k % 4 <> 0 then concat('org_', k % 6) end as group_key"
         )
     )
-    state = fold_super_properties(group_operations(calls), ["group_org"])
+    state = fold_super_properties(group_operations(calls))
     return state.select("dev", "ts_us", "event_id", F.try_element_at("props", F.lit("group_org")).alias("group_org"))
 
 
@@ -149,7 +178,7 @@ def _error_context(spark, sf):
             "then map('total', cast(k as string)) else cast(map() as map<string,string>) end as data",
         )
     )
-    state = fold_error_context(ops, ["plan"], ["cart"])
+    state = fold_error_context(ops)
     cart = F.try_element_at("context", F.lit("cart"))
     return state.select(
         "dev",
@@ -195,9 +224,10 @@ def _enrich(spark, sf):
         events,
         identity=cut_lineage(fold_identity(fx.identity_log(spark, sf))),
         consent=fx.consent_log(spark, sf),
-        super_properties=cut_lineage(fold_super_properties(fx.super_log(spark, sf), ["plan", "tier"])),
+        super_properties=cut_lineage(fold_super_properties(fx.super_log(spark, sf))),
         device=device,
         session=cut_lineage(session_log(lifecycle_sessions(fx.lifecycle(spark, sf)))),
+        measure=fx.events(spark, sf).select("dev", "ts_us"),
     )
     props = [
         F.try_element_at("properties", F.lit(n)).alias(a)

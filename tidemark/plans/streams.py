@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixtures import Streams, sql
-from ..session import configure
+from ..session import checkpoint_dir, configure
 from ..operators.gates import ingest_gate
 from ..streaming import ingest, signals, stateful
 from ..streaming.run import run_available
@@ -17,12 +19,12 @@ from .registry import query
 from .sessions import _LIFECYCLE, _SESSIONS
 
 
-def _events(spark, sf):
+def _events(spark, sf, end=False):
     configure(spark)
-    return fx.events(Streams(spark), sf).withColumn("ts", F.timestamp_micros("ts_us"))
+    return fx.events(Streams(spark, end=end), sf).withColumn("ts", F.timestamp_micros("ts_us"))
 
 
-@query("stream_dedup", sql("SELECT event_id, dev, name FROM v_events WHERE ts_us > 0", "v_events"))
+@query("stream_dedup", sql("SELECT event_id, dev, name FROM v_events", "v_events"))
 def _dedup(spark, sf):
     twice = _events(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("event_id") % 7 == 0).cast("int"))))
     return run_available(ingest.dedup_stream(twice.select("event_id", "dev", "name", "ts"))).drop("ts")
@@ -31,14 +33,14 @@ def _dedup(spark, sf):
 @query(
     "stream_sessions",
     sql(
-        f"""WITH {_SESSIONS.format(source='v_events')},
-        s AS (SELECT dev, min(ts_us) AS start_us, max(ts_us) AS end_us, count(*) AS events FROM sessions GROUP BY dev, session_no)
-        SELECT * FROM s WHERE end_us + 1799999999 <= (SELECT max(ts_us) // 1000 * 1000 - 600000000 FROM v_events)""",
+        f"""WITH {_SESSIONS.format(source='v_events')}
+        SELECT dev, min(ts_us) AS start_us, max(ts_us) AS end_us, count(*) AS events FROM sessions GROUP BY dev, session_no""",
         "v_events",
     ),
 )
 def _sessions(spark, sf):
-    return run_available(ingest.session_stream(_events(spark, sf).select("dev", "ts")))
+    closed = run_available(ingest.session_stream(_events(spark, sf, end=True).select("dev", "ts")))
+    return closed.filter(F.col("dev") != fx.END_DEVICE)
 
 
 @query("stream_lifecycle_sessions", sql(f"WITH {_LIFECYCLE} SELECT * FROM emitted", "v_lifecycle"))
@@ -92,16 +94,56 @@ def _taps(spark, sf):
     "stream_frame_jank",
     sql(
         """WITH d AS (SELECT dev, ts_us, ts_us * 10 - lag(ts_us * 10) OVER (PARTITION BY dev ORDER BY ts_us, event_id) AS delta FROM v_events),
-        w AS (SELECT dev, ts_us // 21600000000 * 21600000000 AS window_start_us, count(*) AS total_frames,
+        w AS (SELECT dev, ts_us // 60000000 * 60000000 AS window_start_us, count(*) AS total_frames,
                 count(*) FILTER (WHERE delta > 16000000 AND delta <= 700000000) AS slow_frames, count(*) FILTER (WHERE delta > 700000000) AS frozen_frames
               FROM d WHERE delta IS NOT NULL GROUP BY ALL)
-        SELECT * FROM w WHERE window_start_us + 21600000000 <= (SELECT max(ts_us) // 1000 * 1000 - 10000000 FROM v_events)""",
+        SELECT * FROM w""",
         "v_events",
     ),
 )
 def _jank(spark, sf):
-    frames = _events(spark, sf).selectExpr("dev", "event_id", "ts", "ts_us * 10 as frame_ns")
-    return run_available(stateful.frame_jank_stream(frames, window="6 hours"))
+    frames = _events(spark, sf, end=True).selectExpr("dev", "event_id", "ts", "ts_us * 10 as frame_ns")
+    return run_available(stateful.frame_jank_stream(frames)).filter(F.col("dev") != fx.END_DEVICE)
+
+
+_INGEST_ROWS = """ingested AS (SELECT event_id, k, CASE WHEN k % 19 = 0 THEN 'malformed_batch' WHEN k % 13 = 0 THEN 'missing_anonymous_id'
+    WHEN k % 5 = 0 THEN 'env_mismatch' END AS reject_code FROM v_events)"""
+
+
+@query(
+    "ingest_stream",
+    sql(
+        f"""WITH {_INGEST_ROWS} SELECT event_id, reject_code, CASE WHEN reject_code IS NULL THEN CASE WHEN k % 17 = 0 THEN '�' ELSE '<email>' END END AS note,
+          CASE WHEN reject_code IS NULL THEN CASE WHEN k % 3 = 0 THEN 0 ELSE event_id END END AS timestamp_ms FROM ingested""",
+        "v_events",
+    ),
+)
+def _ingest(spark, sf):
+    """Envelopes of one event each, among them half surrogate pairs, cut-off texts, times that are none, and rows to refuse."""
+    configure(spark)
+    base = f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    event = (
+        "concat('{\"eventId\": \"evt_', event_id, '\", \"name\": \"', name, '\", \"timestamp\": ', case when k % 3 = 0 then '\"oops\"' else concat('\"', event_id, '.5\"') end, "
+        "case when k % 13 = 0 then '' else concat(', \"anonymousId\": \"', dev, '\"') end, ', \"properties\": {\"note\": \"', case when k % 17 = 0 then '\\\\ud800' else 'a@b.io' end, '\"}}')"
+    )
+    line = (
+        f"concat('{{\"appId\": \"app\", \"environment\": \"', case when k % 5 = 0 then 'production' else 'sandbox' end, '\", \"events\": [', {event}, "
+        "case when k % 19 = 0 then '' else ']}' end)"
+    )
+    fx.events(spark, sf).repartition(3, "event_id").selectExpr(line).write.text(f"{base}/in")
+    stream = ingest.ingest_stream(
+        spark, f"{base}/in", f"{base}/good", f"{base}/bad", f"{base}/checkpoint", "pub_test_1", available_now=True, max_files=1
+    )
+    stream.start().awaitTermination()
+    good = spark.read.parquet(f"{base}/good").select(
+        F.regexp_extract("event_id", "[0-9]+", 0).cast("bigint").alias("event_id"),
+        F.lit(None).cast("string").alias("reject_code"),
+        F.get_json_object("properties", "$.note").alias("note"),
+        # An unreadable time is that of receipt, which no table knows.
+        F.when(F.col("timestamp_ms") > 1_500_000_000_000, 0).otherwise(F.col("timestamp_ms")).alias("timestamp_ms"),
+    )
+    bad = spark.read.parquet(f"{base}/bad").select(F.regexp_extract("document", "evt_([0-9]+)", 1).cast("bigint").alias("event_id"), "reject_code")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query(

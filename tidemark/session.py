@@ -32,6 +32,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoints go when nothing reads them any more, such as the earlier rounds of an iteration.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -50,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
     context.setCheckpointDir(named)

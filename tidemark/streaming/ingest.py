@@ -82,16 +82,27 @@ def ingest_stream(
     return writer.trigger(processingTime=f"{max(interval_ms, MIN_INTERVAL_MS)} milliseconds")
 
 
+# A stream's first watermark is the epoch, and what is stamped then or earlier counts as late. So event time is
+# moved on before it is watched; times in the results are those of the rows.
+_AHEAD = "INTERVAL 500 YEARS"
+
+
 def dedup_stream(events: DataFrame, key: str = "event_id", time: str = "ts", within: str = "24 hours") -> DataFrame:
     """Drop redelivered events; state is kept for ``within`` of event time."""
-    return events.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
+    watched = events.withColumn("__at", F.col(time) + F.expr(_AHEAD)).withWatermark("__at", within)
+    return watched.dropDuplicatesWithinWatermark([key]).drop("__at")
 
 
 def session_stream(events: DataFrame, key: str = "dev", time: str = "ts", idle: str = "1799999999 microseconds", late: str = "10 minutes") -> DataFrame:
-    """Closed sessions of a stream. A gap of one microsecond under 30 minutes makes a pause of exactly 30 split."""
+    """Closed sessions of a stream. A gap of one microsecond under 30 minutes makes a pause of exactly 30 split.
+
+    A session comes out when the watermark has passed its end. Where a stream ends, one more row of any device, later
+    than all others by more than the pause and ``late``, closes the rest; its own session stays open.
+    """
     return (
-        events.withWatermark(time, late)
-        .groupBy(F.col(key), F.session_window(time, idle).alias("__w"))
+        events.withColumn("__at", F.col(time) + F.expr(_AHEAD))
+        .withWatermark("__at", late)
+        .groupBy(F.col(key), F.session_window("__at", idle).alias("__w"))
         .agg(
             F.min(F.unix_micros(time)).alias("start_us"),
             F.max(F.unix_micros(time)).alias("end_us"),
