@@ -37,7 +37,7 @@ K = 32
 STEP = 50
 #: Anchors in one packed bucket, and bytes of contexts in one merge, about.
 BUCKET_ANCHORS = 400_000
-MERGE_BYTES = 3 << 20
+MERGE_BYTES = 1 << 19
 #: A key with more contexts than this has its windows dealt out one by one instead, by their bytes.
 KEY_CONTEXTS = 4096
 _PIECE = 8 << 20
@@ -224,10 +224,10 @@ class Transform:
     bytes; ``ends`` are the symbols of the suffixes that are one symbol long, in order.
     """
 
-    def __init__(self, symbol: np.ndarray, follows: np.ndarray, precedes: np.ndarray, order: np.ndarray) -> None:
-        self.symbol, self.follows, self.precedes, self.order = symbol, follows, precedes, order
-        self.before = np.where(precedes[order] >= 0, symbol[np.maximum(precedes[order], 0)], -1)
-        self.ends = symbol[order[follows[order] < 0]]
+    def __init__(self, symbol: np.ndarray, before: np.ndarray, is_end: np.ndarray, order: np.ndarray) -> None:
+        self.order = order
+        self.before = before[order]
+        self.ends = symbol[order[is_end[order]]]
 
 
 def refine(before: np.ndarray, ends: np.ndarray, block: np.ndarray, first: bool, extra: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -240,11 +240,12 @@ def refine(before: np.ndarray, ends: np.ndarray, block: np.ndarray, first: bool,
     """
     has = before >= 0
     symbol = np.concatenate([ends, before[has]])
-    source = np.concatenate([np.zeros(len(ends), dtype=np.int64) if first else -1 - np.arange(len(ends)), block[has]])
+    alone = np.zeros(len(ends), dtype=np.int32) if first else -1 - np.arange(len(ends), dtype=np.int32)
+    source = np.concatenate([alone, block[has]])
     order = stable_order(symbol)
     symbol, source = symbol[order], source[order]
     new = np.concatenate([[True], (symbol[1:] != symbol[:-1]) | (source[1:] != source[:-1])]) if len(symbol) else np.zeros(0, bool)
-    return [np.concatenate([x, y[has]])[order] for x, y in extra], np.cumsum(new) - 1
+    return [np.concatenate([x, y[has]])[order] for x, y in extra], np.cumsum(new, dtype=np.int32) - 1
 
 
 def stable_order(symbol: np.ndarray) -> np.ndarray:
@@ -257,23 +258,24 @@ def stable_order(symbol: np.ndarray) -> np.ndarray:
 
 def transform_of(symbol: np.ndarray, follows: np.ndarray, precedes: np.ndarray) -> Transform:
     """The transform of one shard: its suffixes ordered by as many symbols as a window has."""
-    ends = np.flatnonzero(follows < 0)
-    order, block = np.arange(len(symbol)), np.zeros(len(symbol), dtype=np.int64)
+    is_end = follows < 0
+    ends = np.flatnonzero(is_end).astype(np.int32)
+    before = np.where(precedes >= 0, symbol[np.maximum(precedes, 0)], np.int32(-1))
+    order, block = np.arange(len(symbol), dtype=np.int32), np.zeros(len(symbol), dtype=np.int32)
     for k in range(WINDOW // STEP):
-        before = np.where(precedes[order] >= 0, symbol[np.maximum(precedes[order], 0)], -1)
-        (order,), block = refine(before, symbol[ends], block, k == 0, [(ends, precedes[order])])
-    return Transform(symbol, follows, precedes, order)
+        (order,), block = refine(before[order], symbol[ends], block, k == 0, [(ends, precedes[order])])
+    return Transform(symbol, before, is_end, order)
 
 
 def merge(a: Transform, b: Transform) -> tuple[np.ndarray, np.ndarray]:
     """The interleaving of two suffix orders (0: from a, 1: from b), and the blocks of equal windows in it."""
     side = np.concatenate([np.zeros(len(a.order), dtype=np.int8), np.ones(len(b.order), dtype=np.int8)])
-    block = np.zeros(len(side), dtype=np.int64)
+    block = np.zeros(len(side), dtype=np.int32)
     end_side = np.concatenate([np.zeros(len(a.ends), dtype=np.int8), np.ones(len(b.ends), dtype=np.int8)])
     ends = np.concatenate([a.ends, b.ends])
     for k in range(WINDOW // STEP):
         # The merged transform is read off the two by the interleaving alone.
-        before = np.empty(len(side), dtype=np.int64)
+        before = np.empty(len(side), dtype=np.int32)
         from_b = side == 1
         before[~from_b], before[from_b] = a.before, b.before
         (side,), block = refine(before, ends, block, k == 0, [(end_side, side)])
@@ -288,17 +290,18 @@ def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
     suffixes = sizes - STEP + 1
     at = np.repeat(starts - (np.cumsum(suffixes) - suffixes), suffixes) + np.arange(int(suffixes.sum()))
     _, symbol = np.unique(rolling(data, STEP)[at], return_inverse=True)
-    symbol = symbol.astype(np.int64)
+    symbol = symbol.astype(np.int32)
     owner = np.repeat(np.arange(len(texts)), suffixes)
-    index = np.arange(len(at))
-    follows = np.where(at + 2 * STEP <= (starts + sizes)[owner], index + STEP, -1)
-    precedes = np.where(at - STEP >= starts[owner], index - STEP, -1)
+    index = np.arange(len(at), dtype=np.int32)
+    follows = np.where(at + 2 * STEP <= (starts + sizes)[owner], index + np.int32(STEP), np.int32(-1))
+    precedes = np.where(at - STEP >= starts[owner], index - np.int32(STEP), np.int32(-1))
     # Two shards, cut between contexts.
     middle = int(np.searchsorted(np.cumsum(suffixes), len(at) // 2)) + 1
     cut = int(suffixes[:middle].sum())
 
     def part(a: int, b: int) -> Transform:
-        return transform_of(symbol[a:b], np.where(follows[a:b] < 0, -1, follows[a:b] - a), np.where(precedes[a:b] < 0, -1, precedes[a:b] - a))
+        shift = np.int32(a)
+        return transform_of(symbol[a:b], np.where(follows[a:b] < 0, np.int32(-1), follows[a:b] - shift), np.where(precedes[a:b] < 0, np.int32(-1), precedes[a:b] - shift))
 
     left, right = part(0, cut), part(cut, len(at))
     side, block = merge(left, right)
