@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 from .common import annotate, id_remainder, shares, table, unused
 
 #: Labelled rows of each class that the model is fitted to, about; at most MOST_ROWS in all.
-ROWS_PER_CLASS = 2500
-MOST_ROWS = 6000
+ROWS_PER_CLASS = 1500
+MOST_ROWS = 4000
 #: Longer labelled texts are not used for fitting (they are scored whole like all others).
-MOST_CHARS = 20_000
+MOST_CHARS = 8_000
 FEATURE_BITS = 18
 WINDOW = 48
 _AFFIXES = (3, 4, 5, 7)
@@ -185,6 +185,7 @@ def telling_words(tokens: Tokens, toxic: np.ndarray, likelier: float = 6.0, leas
     n = sizes[pairs[:, 0]]
     at = np.repeat(first[pairs[:, 0]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
     keys = np.unique(flat[at] * len(toxic) + np.repeat(pairs[:, 1], n))
+    del at, pairs
     unit, text = keys // len(toxic), keys % len(toxic)
     bad_total, good_total = max(1.0, float(toxic.sum())), max(1.0, float((1 - toxic).sum()))
     good = np.bincount(unit, weights=1 - toxic[text], minlength=len(units))
@@ -203,8 +204,11 @@ def telling_words(tokens: Tokens, toxic: np.ndarray, likelier: float = 6.0, leas
     around = (padded[:-2] + 1) * (len(tokens.words) + 1) + padded[2:] + 1
     can = np.array([any(live[u] for u in own) for own in of_word], dtype=bool)
     spots = np.flatnonzero(can[tokens.codes] & (toxic[owner] > 0))
-    used = {(u, around[k]) for k in spots for u in of_word[tokens.codes[k]] if live[u]}
-    free = np.bincount(np.array([u for u, _ in used], dtype=np.int64), minlength=len(units)).astype(float)
+    codes = tokens.codes[spots]
+    n = sizes[codes]
+    at = np.repeat(first[codes] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum())) if len(n) else np.zeros(0, dtype=np.int64)
+    uses = np.stack([flat[at], np.repeat(around[spots], n)], axis=1)
+    free = np.bincount(np.unique(uses[live[uses[:, 0]]], axis=0)[:, 0], minlength=len(units)).astype(float)
     telling = live & (ratio_test(free) >= 2 * least_g)
     open_texts = np.ones(len(toxic), dtype=bool)
     while len(unit):
