@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixtures import Streams, sql
 from ..session import checkpoint_dir, configure
+from ..operators.delivery import delivery_outcomes, first_event_sent
 from ..operators.gates import ingest_gate
+from ..operators.identity import attach_consent
 from ..streaming import ingest, signals, stateful
 from ..streaming.run import run_available
-from .commerce import _REPLAYS
+from .commerce import _BILLING, _REPLAYS, _SYNCS, _syncs
 from .health import _TAPS, _VIEWS, _greedy
-from .identity import _IDENTITY, _SUPER
-from .registry import query
+from .identity import _CONSENTED, _IDENTITY, _SUPER
+from .registry import QUERIES, query
 from .sessions import _LIFECYCLE, _SESSIONS
+from .sources import _OUTCOMES_SQL, timed_attempts
 
 
 def _events(spark, sf, end=False):
@@ -161,6 +165,43 @@ def _gate_signals(spark, sf):
     return _claims(spark, sf).withColumn("reject_code", code).agg(*signals.gate_signals())
 
 
+_STATE_SIGNALS = f"""
+    WITH {_CONSENTED}, {_OUTCOMES_SQL}, {_BILLING}, {_SYNCS}, marks AS (SELECT event_id, k FROM v_events WHERE name = 'group.set')
+    SELECT 'configured' AS signal, count(*) AS n FROM marks UNION ALL SELECT 'queue_restored', count(*) FROM marks WHERE k % 3 > 0
+    UNION ALL SELECT 'consent_denied', count(*) FROM held WHERE NOT CASE WHEN name = '$error' THEN consent_errors ELSE consent_analytics END
+    UNION ALL SELECT 'consent_changed', count(*) FROM marks WHERE k % 4 <> 0 UNION ALL SELECT 'consent_dnt_applied', count(*) FROM marks WHERE k % 4 = 0
+    UNION ALL SELECT 'queue_persisted', count(*) FROM outcomes WHERE state = 'delivered'
+    UNION ALL SELECT 'flush_retry_scheduled', count(*) FROM outcomes WHERE state = 'pending'
+    UNION ALL SELECT 'flush_permanent_failure', count(*) FROM outcomes WHERE state IN ('dropped_permanent', 'retry_exhausted')
+    UNION ALL SELECT 'first_event_sent', count(DISTINCT user_id % 40) FROM v_events WHERE k < 60
+    UNION ALL SELECT 'entitlement_cache_used', count(*) FROM customer CROSS JOIN (SELECT unnest([1, 2, 3]))
+    UNION ALL SELECT 'purchase_evidence_sent', count(*) FROM synced WHERE err IS NULL"""
+
+
+@query("debug_signals_of_state", sql(_STATE_SIGNALS, "v_consent_log", "v_attempts", "v_purchases"))
+def _state_signals(spark, sf):
+    """The other eleven signals, each from the operator whose rows yield it."""
+    configure(spark)
+    events = fx.events(spark, sf)
+    starts = events.filter("name = 'group.set'").selectExpr("k % 3 as restored_events", "k % 4 = 0 as do_not_track")
+    held = attach_consent(events.select("event_id", "dev", "ts_us", "name"), fx.consent_log(spark, sf))
+    sent = events.filter("k < 60").selectExpr("user_id % 40 as app", "ts_us div 1000 as ts_ms", "event_id")
+    counted = [
+        (starts, signals.session_signals()),
+        (held, signals.consent_signals()),
+        (starts, signals.consent_log_signals()),
+        (delivery_outcomes(timed_attempts(spark, sf)), signals.delivery_signals()),
+        (first_event_sent(sent), signals.first_sent_signals()),
+        (QUERIES["is_entitled"](spark, sf), signals.entitlement_signals()),
+        (_syncs(spark, sf), signals.purchase_signals()),
+    ]
+    parts = []
+    for rows, wanted in counted:
+        found = rows.agg(*wanted)
+        parts.append(found.select(F.inline(F.array(*[F.struct(F.lit(c).alias("signal"), F.col(c).cast("bigint").alias("n")) for c in found.columns]))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query(
     "debug_signals_of_events",
     sql(
