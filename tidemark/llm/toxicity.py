@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 from .common import annotate, id_remainder, shares, table, unused
 
 #: Labelled rows of each class that the model is fitted to, about; at most MOST_ROWS in all.
-ROWS_PER_CLASS = 1500
-MOST_ROWS = 4000
+ROWS_PER_CLASS = 1000
+MOST_ROWS = 3000
 #: Longer labelled texts are not used for fitting (they are scored whole like all others).
-MOST_CHARS = 8_000
+MOST_CHARS = 6_000
 FEATURE_BITS = 18
 WINDOW = 48
 _AFFIXES = (3, 4, 5, 7)
