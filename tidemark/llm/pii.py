@@ -30,10 +30,11 @@ _OCTET = r"0*(?:|[1-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 _CANDIDATE = r"(?<![^ \t-\r])(?=[^ \t-\r0-9@]*+[0-9@])[^ \t-\r]++"
 _EDGES = ".,;:!?()[]{}<>\"'"
 ROUNDS = 3
-#: A pattern needs so many different known entities, its share of occurrences, and is taken from the best POOL of a round.
+#: A pattern needs so many different known entities, and that they follow in this share of its occurrences.
 SUPPORT = 3
 CONFIDENCE = 0.7
-POOL = 2000
+#: Up to so many patterns are broadcast to be counted in the texts; more are joined by a shuffle.
+BROADCAST_PATTERNS = 20_000
 
 
 def starts_of(matches: Column, parts: Column) -> Column:
@@ -173,16 +174,17 @@ def bootstrap(found: DataFrame, docs: DataFrame, text: str, rounds: int = ROUNDS
     for _ in range(rounds):
         # Copies of a text repeat its slots: entities count once for each pattern.
         support = edge.join(known, "token", "left_semi").groupBy("pattern").agg(F.countDistinct("token").alias("entities"), F.count(F.lit(1)).alias("hits"))
-        pool = support.filter(F.col("entities") >= SUPPORT).orderBy(F.desc("entities"), "pattern").limit(POOL)
-        pool = written(pool)
-        if pool.isEmpty():
+        pool = written(support.filter(F.col("entities") >= SUPPORT))
+        size = pool.count()
+        if not size:
             break
-        # At most POOL patterns are broadcast.
-        occurrences = docs.select(F.explode(word_pairs(F.col(text))).alias("pattern")).join(F.broadcast(pool.select("pattern")), "pattern", "left_semi").groupBy("pattern").count()
+        wanted = pool.select("pattern")
+        places = docs.select(F.explode(word_pairs(F.col(text))).alias("pattern"))
+        occurrences = places.join(F.broadcast(wanted) if size <= BROADCAST_PATTERNS else wanted, "pattern", "left_semi").groupBy("pattern").count()
         good = pool.join(occurrences, "pattern").withColumn("confidence", F.least(F.col("hits") / F.col("count"), F.lit(1.0))).filter(F.col("confidence") >= CONFIDENCE)
         good = written(good.select("pattern", "confidence"))
         # An instance's score: that not all of its patterns are wrong.
-        scored = edge.join(known, "token", "left_anti").select("token", "pattern").distinct().join(F.broadcast(good), "pattern")
+        scored = edge.join(known, "token", "left_anti").select("token", "pattern").distinct().join(good, "pattern")
         instances = scored.groupBy("token").agg((1 - F.exp(F.sum(F.log(1.0001 - F.col("confidence"))))).alias("score")).filter(F.col("score") >= CONFIDENCE)
         fresh = written(instances.select("token"))
         if fresh.isEmpty():
