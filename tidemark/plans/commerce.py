@@ -206,7 +206,7 @@ _LATEST = f"""
 
 def _entitlement_requests(spark, sf):
     users = fx.table(spark, sf, "customer").selectExpr("c_custkey as user")
-    keys = F.array(*[F.lit(k) for k in ("1-URGENT", "2-HIGH", "3-MEDIUM")])
+    keys = F.array(*[F.lit(k) for k in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")])
     return users.select("user", F.explode(keys).alias("key"))
 
 
@@ -219,7 +219,7 @@ def _latest_snapshot(spark, sf):
     "is_entitled",
     sql(
         f"""WITH {_LATEST} SELECT c.c_custkey AS "user", k.key, coalesce(bool_or({_VALID.format(at=_AT)}), false) AS entitled
-        FROM customer c CROSS JOIN (SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM']) AS key) k
+        FROM customer c CROSS JOIN (SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']) AS key) k
         LEFT JOIN held h ON h."user" = c.c_custkey AND h.key = k.key GROUP BY ALL""",
         "v_snapshots",
     ),

@@ -174,7 +174,7 @@ _STATE_SIGNALS = f"""
     UNION ALL SELECT 'flush_retry_scheduled', count(*) FROM outcomes WHERE state = 'pending'
     UNION ALL SELECT 'flush_permanent_failure', count(*) FROM outcomes WHERE state IN ('dropped_permanent', 'retry_exhausted')
     UNION ALL SELECT 'first_event_sent', count(DISTINCT user_id % 40) FROM v_events WHERE k < 60
-    UNION ALL SELECT 'entitlement_cache_used', count(*) FROM customer CROSS JOIN (SELECT unnest([1, 2, 3]))
+    UNION ALL SELECT 'entitlement_cache_used', count(*) FROM customer CROSS JOIN (SELECT unnest(range(5)))
     UNION ALL SELECT 'purchase_evidence_sent', count(*) FROM synced WHERE err IS NULL"""
 
 

@@ -16,6 +16,8 @@ from .signals import event_signals, observed
 
 DEFAULT_INTERVAL_MS = 2_000
 MIN_INTERVAL_MS = 250
+# Files of one micro-batch, so that the first one is not the whole history.
+MAX_FILES = 1000
 
 
 def clean_events(rows: DataFrame, public_key: Column) -> tuple[DataFrame, DataFrame]:
@@ -45,7 +47,7 @@ def ingest_stream(
     interval_ms: int = DEFAULT_INTERVAL_MS,
     available_now: bool = False,
     customer_field: str = CUSTOMER_FIELD,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
     on_signals: Callable[[int, dict], None] | None = None,
 ) -> DataStreamWriter:
     """Envelope files to an event table and a reject table. Call ``start`` on the result.
@@ -55,9 +57,7 @@ def ingest_stream(
     The checkpoint takes the place of a device's saved buffer. Each micro-batch replaces the folder of
     its own id, so one that is run again leaves a single copy.
     """
-    reader = spark.readStream.format("text")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
     docs = reader.load(source).withColumn("received_ms", F.unix_millis(F.current_timestamp()))
 
     def write(batch: DataFrame, batch_id: int) -> None:
