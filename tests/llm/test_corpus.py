@@ -36,6 +36,25 @@ def test_no_rows_go_through_all_stages(spark):
     assert docs.isEmpty()
 
 
+def test_odd_rows_and_clashing_columns_go_through_all_stages(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, spans string, node long, _id int, _text string, _doc string, digest string"
+    rest = (None, None, None, 0.5, "k", "s", 7, 1, "t", "d", "g")
+    words = " ".join(f"w{k}" for k in range(60))
+    texts = [None, "", " \n", "one", "one", "mail a@b.cd now", words, words + " more", words, "long " * 30000, "x" * 50000, None]
+    rows = [(k if k % 5 else None, t, *rest) for k, t in enumerate(texts)] + [(8, words, *rest)]
+    docs = written(spark.createDataFrame(rows, schema))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        done = written(stage(spark, docs, SF))
+        assert done.schema.names == docs.schema.names
+        docs = done
+    got = [(r["doc_id"], r["text"], r["kept"], r["_text"]) for r in docs.collect()]
+    by_text = {(t or "")[:12]: (i, k, u) for i, t, k, u in got}
+    assert len(got) == len(by_text) == 7
+    assert by_text["mail <email>"[:12]][1:] == ("k", "t") and by_text[words[:12]][0] == 6 and by_text["one"][0] == 3
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.filter("start = 0").count() == 7
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
