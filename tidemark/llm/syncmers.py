@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import table, text_or_empty, written
 
 #: Words of a K-mer; its inner substrings are pairs of words.
 K = 5
@@ -99,6 +99,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     everywhere = Window.orderBy(F.desc("_range"))
     lowest_range = F.min("_range").over(Window.partitionBy())
     heirs = first_ids.select("_range", "_first", F.coalesce(F.lag("_range").over(everywhere), lowest_range).alias("_heir"))
+    # Written, its size is known before the join, which then needs not move the texts while it is small.
+    heirs = written(heirs)
     firsts = rows.join(heirs, "_range").filter(F.col("_id").eqNullSafe(F.col("_first"))).groupBy("_heir", "_id").agg(F.min("_text").alias("_text"))
     guests = firsts.select("_id", "_text", F.col("_heir").alias("_range"), F.lit(True).alias("_guest"))
     dealt = rows.withColumn("_guest", F.lit(False)).unionByName(guests).repartition(F.col("_range"))
