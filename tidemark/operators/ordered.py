@@ -29,6 +29,9 @@ from ..session import cut_lineage
 
 HOT_ROWS = 4_000_000
 
+# Hot keys and cells are broadcast up to this number; beyond it AQE splits the join.
+BROADCAST_ROWS = 100_000
+
 _CHUNK = "__chunk"
 _ALONE = "__alone"
 _FINE_PARTS = 1 << 20
@@ -43,7 +46,7 @@ def place(
     A key with n > ``hot_rows`` rows gets n / hot_rows equal cells of its time span; a cell that
     still holds several times ``hot_rows``, a burst, is cut again by its own count. The counts run
     as jobs of their own, when this is called. They are pre-aggregated before their shuffle, and few
-    are kept: of N rows at most N / hot_rows keys or cells are that large.
+    are kept: of N rows at most N / hot_rows keys or cells are that large. They are broadcast if they are few.
 
     ``measure`` may be a cheaper table with the same keys and times to count instead, such as ``df``
     before a costly step. How keys are cut never changes a result.
@@ -63,7 +66,7 @@ def place(
     spans = cut_lineage(spans)
     cell = F.expr("(__tick - __key_lo) div __key_step")
     cells = cut_lineage(
-        counted.join(spans, keys)
+        counted.join(_small(spans), keys)
         .groupBy(*keys, cell.alias("__cell"), "__key_step")
         .agg(rows)
         .filter(F.col("__n") > 4 * hot_rows)
@@ -72,9 +75,9 @@ def place(
     fine = F.least(F.expr("(__tick - __key_lo - __cell * __key_step) div __cell_step"), F.lit(_FINE_PARTS - 1))
     placed = (
         df.withColumn("__tick", F.col(tick).cast("bigint"))
-        .join(spans, keys, "left")
+        .join(_small(spans), keys, "left")
         .withColumn("__cell", cell)
-        .join(cells, [*keys, "__cell"], "left")
+        .join(_small(cells), [*keys, "__cell"], "left")
         .withColumns(
             {
                 _CHUNK: F.coalesce("__cell", F.lit(0)) * _FINE_PARTS + F.coalesce(fine, F.lit(0)),
@@ -85,6 +88,11 @@ def place(
     return placed.drop("__tick", "__key_lo", "__key_step", "__cell", "__cell_step"), True
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """Broadcast a written table of counted size: a join by key would bring a hot key's rows together before they are cut."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def without_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
