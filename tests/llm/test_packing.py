@@ -58,6 +58,15 @@ def test_rank_file_gives_the_library_s_ids():
     assert encode(some) == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_very_long_white_space_gives_the_library_s_ids(spark):
+    tokenizer = library()
+    long = ["a" + " " * 2_000_000 + "b", "\n" * 1_100_000, "x " * 60_000 + "\u2003 \t" * 400_000 + "<|endoftext|> y", " " * 100_000 + "z", "b " * 100_000]
+    got = packing.pack(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string"), with_ids=True).collect()
+    for i, t in enumerate(long):
+        pieces = sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"])
+        assert [x for r in pieces for x in r["ids"]] == [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+
+
 def test_cuts():
     for n in range(1, 3000):
         pieces = packing.cuts(n)
