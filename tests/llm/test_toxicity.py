@@ -60,6 +60,25 @@ def test_toxic_documents_and_offsets_in_unseen_rows(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if not r["predicted"]}
 
 
+def test_long_labelled_texts_are_learned_from(spark):
+    rng = random.Random(5)
+
+    def long(bad):
+        words = rng.choices(CLEAN, k=3000)
+        for _ in range(4 if bad else 0):
+            # Beyond the first 6,000 code points.
+            words.insert(rng.randrange(2000, 3000), bad + rng.choice(["", "s", ","]))
+        return " ".join(words)
+
+    rows = [(i, long("grubworm"), 1) if i % 4 == 0 else (i, long("") if i % 4 == 1 else " ".join(rng.choices(CLEAN, k=50)), 0) for i in range(160)]
+    df = spark.createDataFrame([r[:2] for r in rows] + [(900, None)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(900, 1)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_texts(df, toxicity.fit(df, labels, labels.doc_id % 5 != 0)).collect()}
+    unseen = [r for r in rows if r[0] % 5 == 0]
+    assert sum(got[i] == y for i, _, y in unseen) >= 0.95 * len(unseen)
+    assert {r["doc_id"] for r in toxicity.drop_toxic(df, labels).collect()} == {i for i, p in got.items() if not p}
+
+
 def test_without_both_classes_or_rows(spark):
     df = spark.createDataFrame([(1, "grubworm")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")

@@ -3,8 +3,8 @@
 Tokens are words; a token is toxic or not. Documents are labelled, tokens are
 not, so the words that set toxic documents apart label the tokens of toxic
 documents, and every token of a clean document is clean. Weights of hashed
-features and transitions are fitted in numpy on a bounded sample. Scoring runs
-on all executors: forward-backward gives each token its exact marginal, and the
+features and transitions are fitted in numpy on a bounded sample of windows out
+of whole texts, which stay on the executors. Scoring runs on all executors: forward-backward gives each token its exact marginal, and the
 marginals of a whole text give its score and the offending offsets.
 """
 
@@ -13,23 +13,27 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, id_remainder, shares, table, unused
+from .common import annotate, discard, id_remainder, shares, steps, table, unused, written
 
 #: Labelled rows of each class that the model is fitted to, about; at most MOST_ROWS in all.
 ROWS_PER_CLASS = 1000
 MOST_ROWS = 3000
-#: Longer labelled texts are not used for fitting (they are scored whole like all others).
-MOST_CHARS = 6_000
+#: Windows with a toxic token that come to the driver, at most, and as many others. They are drawn from anywhere in whole texts.
+MOST_WINDOWS = 15_000
+#: Files of the sampled texts.
+PARTS = 32
 FEATURE_BITS = 18
 WINDOW = 48
 _AFFIXES = (3, 4, 5, 7)
@@ -161,38 +165,101 @@ def document_features(logits: np.ndarray, starts: np.ndarray) -> tuple[np.ndarra
     return top, np.log1p(expected)
 
 
-def telling_words(tokens: Tokens, toxic: np.ndarray, likelier: float = 6.0, least_g: float = 20.0) -> np.ndarray:
-    """Which words set toxic texts apart, by themselves or by their first or last letters.
+def units_of(word: str) -> list[str]:
+    """What a word is told apart by: itself, its first and its last letters."""
+    own = [f"0{word}"] if len(word) > 2 else []
+    return own + [f"{side}{word[:n] if side == 1 else word[-n:]}" for n in _TELLING for side in (1, 2) if len(word) >= n]
 
-    A word or affix must be in 3 toxic texts or more, be ``likelier`` times as
-    likely there as in clean ones, and pass a log likelihood ratio test. Copies of
-    a toxic text share all its words, so what merely accompanies a toxic word must
-    not pass. Hence texts are not simply counted: either the unit is needed, being
-    in enough texts that no stronger unit is in (taken greedily), or it is used
-    freely, between enough different pairs of neighbours.
+
+def over_texts(sample: DataFrame, schema: str, make: Callable[[], Callable[[np.ndarray, np.ndarray, Tokens], Iterator[list]]], finish: bool = False) -> DataFrame:
+    """What ``make``'s function yields, as columns, for the keys, classes and tokens of whole sampled texts; with ``finish``, once more at the end, for None."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for batch in batches:
+            for a, b in steps(batch.column(2)):
+                part = batch.slice(a, b - a)
+                for columns in apply(part.column(0).to_numpy(), part.column(1).to_numpy(), tokenise(part.column(2).to_pylist())):
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        if finish:
+            for columns in apply(None, None, None):
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return sample.select("_key", "_toxic", "_text").mapInArrow(run, schema)
+
+
+def unit_counts(sample: DataFrame) -> DataFrame:
+    """unit, bad and good: in how many toxic and how many clean texts each unit is."""
+
+    def make() -> Callable:
+        held = (Counter(), Counter())
+
+        def apply(keys: np.ndarray | None, toxic: np.ndarray | None, tokens: Tokens | None) -> Iterator[list]:
+            if tokens is None:
+                units = list(held[0].keys() | held[1].keys())
+                yield [pa.array(units, pa.string()), pa.array([held[1][u] for u in units], pa.int64()), pa.array([held[0][u] for u in units], pa.int64())]
+                return
+            units = [units_of(w) for w in tokens.words]
+            for i, y in enumerate(toxic.tolist()):
+                found = np.unique(tokens.codes[tokens.starts[i] : tokens.starts[i + 1]]).tolist()
+                held[y].update({u for c in found for u in units[c]})
+
+        return apply
+
+    return over_texts(sample, "unit string, bad long, good long", make, finish=True).groupBy("unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+def unit_uses(sample: DataFrame, live: dict[str, int]) -> DataFrame:
+    """unit, free and value: the toxic texts each live unit is in (free 0), and hashes of the words around it (free 1)."""
+
+    def make() -> Callable:
+        def apply(keys: np.ndarray, toxic: np.ndarray, tokens: Tokens) -> Iterator[list]:
+            units = [[live[u] for u in units_of(w) if u in live] for w in tokens.words]
+            can = np.array([bool(u) for u in units], dtype=bool)
+            inside, uses = set(), set()
+            for i in np.flatnonzero(toxic).tolist():
+                c = tokens.codes[tokens.starts[i] : tokens.starts[i + 1]]
+                for at in np.flatnonzero(can[c]).tolist() if len(c) else []:
+                    before = tokens.words[c[at - 1]] if at else "\n"
+                    after = tokens.words[c[at + 1]] if at + 1 < len(c) else "\n"
+                    around = xxhash.xxh3_64_intdigest(f"{before} {after}".encode()) >> 1
+                    for u in units[c[at]]:
+                        inside.add((u, int(keys[i])))
+                        uses.add((u, around))
+            rows = [(u, 0, v) for u, v in inside] + [(u, 1, v) for u, v in uses]
+            yield [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int64()))]
+
+        return apply
+
+    return over_texts(sample, "unit int, free int, value long", make).distinct()
+
+
+def telling_units(sample: DataFrame, bad_total: float, good_total: float, likelier: float = 6.0, least_g: float = 20.0) -> frozenset[str]:
+    """Which words, or first or last letters of words, set toxic texts apart.
+
+    A unit must be in 3 toxic texts or more, be ``likelier`` times as likely there
+    as in clean ones, and pass a log likelihood ratio test. Copies of a toxic text
+    share all its words, so what merely accompanies a toxic word must not pass.
+    Hence texts are not simply counted: either the unit is needed, being in enough
+    texts that no stronger unit is in (taken greedily), or it is used freely,
+    between enough different pairs of neighbours. Whole texts are counted on the
+    executors; only units that may pass come here.
     """
-    units: dict[tuple[int, str], int] = {}
-    of_word: list[list[int]] = []
-    for w in tokens.words:
-        own = [(0, w)] if len(w) > 2 else []
-        own += [(side, w[:n] if side == 1 else w[-n:]) for n in _TELLING for side in (1, 2) if len(w) >= n]
-        of_word.append([units.setdefault(u, len(units)) for u in own])
-    owner = np.repeat(np.arange(len(toxic)), np.diff(tokens.starts))
-    pairs = np.unique(np.stack([tokens.codes, owner], axis=1), axis=0)
-    sizes = np.array([len(u) for u in of_word], dtype=np.int64)
-    flat = np.array([u for own in of_word for u in own], dtype=np.int64)
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    n = sizes[pairs[:, 0]]
-    at = np.repeat(first[pairs[:, 0]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-    keys = np.unique(flat[at] * len(toxic) + np.repeat(pairs[:, 1], n))
-    del at, pairs
-    unit, text = keys // len(toxic), keys % len(toxic)
-    bad_total, good_total = max(1.0, float(toxic.sum())), max(1.0, float((1 - toxic).sum()))
-    good = np.bincount(unit, weights=1 - toxic[text], minlength=len(units))
-    worth = np.bincount(unit, weights=toxic[text], minlength=len(units))
-    live = ((worth + 0.5) / bad_total >= likelier * (good + 0.5) / good_total) & (worth >= 3)
-    inside = live[unit] & (toxic[text] > 0)
-    unit, text = unit[inside], text[inside]
+    enough = ((F.col("bad") + 0.5) / bad_total >= likelier * (F.col("good") + 0.5) / good_total) & (F.col("bad") >= 3)
+    found = unit_counts(sample).filter(enough).orderBy("unit").toArrow()
+    names = found.column("unit").to_pylist()
+    if not names:
+        return frozenset()
+    good = found.column("good").to_numpy().astype(float)
+    uses = written(unit_uses(sample, {u: i for i, u in enumerate(names)}))
+    counts = uses.filter("free = 1").groupBy("unit").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    pairs = uses.filter("free = 0").select("unit", "value").toArrow()
+    discard(uses)
+    free = np.zeros(len(names))
+    free[counts.column("unit").to_numpy()] = counts.column("n").to_numpy()
+    unit = pairs.column("unit").to_numpy()
+    keys, text = np.unique(pairs.column("value").to_numpy(), return_inverse=True)
     share = bad_total / (bad_total + good_total)
 
     def ratio_test(bad: np.ndarray) -> np.ndarray:
@@ -200,19 +267,10 @@ def telling_words(tokens: Tokens, toxic: np.ndarray, likelier: float = 6.0, leas
         with np.errstate(divide="ignore", invalid="ignore"):
             return 2 * (np.where(bad > 0, bad * np.log(bad / (n * share)), 0) + np.where(good > 0, good * np.log(good / (n * (1 - share))), 0))
 
-    padded = np.concatenate([[-1], tokens.codes, [-1]])
-    around = (padded[:-2] + 1) * (len(tokens.words) + 1) + padded[2:] + 1
-    can = np.array([any(live[u] for u in own) for own in of_word], dtype=bool)
-    spots = np.flatnonzero(can[tokens.codes] & (toxic[owner] > 0))
-    codes = tokens.codes[spots]
-    n = sizes[codes]
-    at = np.repeat(first[codes] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum())) if len(n) else np.zeros(0, dtype=np.int64)
-    uses = np.stack([flat[at], np.repeat(around[spots], n)], axis=1)
-    free = np.bincount(np.unique(uses[live[uses[:, 0]]], axis=0)[:, 0], minlength=len(units)).astype(float)
-    telling = live & (ratio_test(free) >= 2 * least_g)
-    open_texts = np.ones(len(toxic), dtype=bool)
+    telling = ratio_test(free) >= 2 * least_g
+    open_texts = np.ones(len(keys), dtype=bool)
     while len(unit):
-        bad = np.bincount(unit, minlength=len(units)).astype(float)
+        bad = np.bincount(unit, minlength=len(names)).astype(float)
         g = ratio_test(bad)
         g[(bad < 3) | (bad / bad_total <= likelier * good / good_total)] = 0
         best = int(np.argmax(g))
@@ -222,37 +280,69 @@ def telling_words(tokens: Tokens, toxic: np.ndarray, likelier: float = 6.0, leas
         open_texts[text[unit == best]] = False
         stay = open_texts[text]
         unit, text = unit[stay], text[stay]
-    return np.array([any(telling[u] for u in own) for own in of_word], dtype=bool) if tokens.words else np.zeros(0, dtype=bool)
+    return frozenset(u for u, t in zip(names, telling.tolist(), strict=True) if t)
+
+
+def windows(sample: DataFrame, telling: frozenset[str]) -> DataFrame:
+    """All windows of the texts that may be learned from: draw, hit (with a toxic token), words, and labels as digits.
+
+    A telling word in a clean text is no reason to unlearn it: such texts count for the document score only.
+    """
+
+    def make() -> Callable:
+        def apply(keys: np.ndarray, toxic: np.ndarray, tokens: Tokens) -> Iterator[list]:
+            tells = np.array([any(u in telling for u in units_of(w)) for w in tokens.words], dtype=bool)
+            rows: list[tuple] = []
+
+            def columns() -> list:
+                return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.bool_(), pa.string(), pa.string()))]
+
+            for i, y in enumerate(toxic.tolist()):
+                c = tokens.codes[tokens.starts[i] : tokens.starts[i + 1]]
+                labels = tells[c] if len(c) else np.zeros(0, dtype=bool)
+                if not y and labels.any():
+                    continue
+                for a in range(0, len(c), WINDOW):
+                    own = labels[a : a + WINDOW]
+                    draw = xxhash.xxh3_64_intdigest(f"{keys[i]} {a}".encode()) >> 1
+                    rows.append((draw, bool(own.any()), " ".join(tokens.words[x] for x in c[a : a + WINDOW].tolist()), "".join("01"[int(x)] for x in own)))
+                    if len(rows) >= 4096:
+                        yield columns()
+                        rows.clear()
+            yield columns()
+
+        return apply
 
+    return over_texts(sample, "draw long, hit boolean, words string, labels string", make)
 
-def windows(tokens: Tokens, labels: np.ndarray, seed: int = 1) -> list[tuple[int, int]]:
-    """Token ranges for fitting: all windows with a toxic token and as many others."""
-    every = [(a, min(a + WINDOW, end)) for start, end in zip(tokens.starts[:-1], tokens.starts[1:], strict=True) for a in range(start, end, WINDOW)]
-    total = np.concatenate([[0], np.cumsum(labels)])
-    hit = np.array([total[b] > total[a] for a, b in every], dtype=bool)
-    rest = np.flatnonzero(~hit)
-    np.random.default_rng(seed).shuffle(rest)
-    return [every[i] for i in np.sort(np.concatenate([np.flatnonzero(hit), rest[: max(2000, int(hit.sum()))]]))]
 
+def train(sample: DataFrame, epochs: int = 6, rate: float = 0.3, decay: float = 1e-6, seed: int = 1) -> Field | None:
+    """Gradient ascent on the likelihood of the token labels, then a logistic score of documents.
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 6, rate: float = 0.3, decay: float = 1e-6, seed: int = 1) -> Field | None:
-    """Gradient ascent on the likelihood of the token labels, then a logistic score of documents."""
-    if not len(texts) or not 0 < toxic.sum() < len(toxic):
+    ``sample`` has _key, _toxic (0 or 1) and _text. Whole texts stay on the
+    executors; the units that set toxic ones apart and a bounded number of windows
+    from anywhere in them come here, and two numbers a text for the document score.
+    """
+    sizes = {r["_toxic"]: r["n"] for r in sample.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes.get(0) or not sizes.get(1):
         return None
-    tokens = tokenise(texts)
-    if not len(tokens.codes):
+    drawn = written(windows(sample, telling_units(sample, float(sizes[1]), float(sizes[0]))))
+    hits = drawn.filter("hit").orderBy("draw", "words").limit(MOST_WINDOWS).select("words", "labels").toArrow()
+    rest = drawn.filter("not hit").orderBy("draw", "words").limit(max(2000, len(hits))).select("words", "labels").toArrow()
+    discard(drawn)
+    found = pa.concat_tables([hits, rest])
+    if not len(found):
         return None
-    telling = telling_words(tokens, toxic)
-    owner = np.repeat(np.arange(len(toxic)), np.diff(tokens.starts))
-    labels = (telling[tokens.codes] & (toxic[owner] > 0)).astype(np.float64)
-    # A telling word in a clean text is no reason to unlearn it: such texts count for the document score only.
-    clash = np.zeros(len(toxic), dtype=bool)
-    clash[np.unique(owner[telling[tokens.codes] & (toxic[owner] == 0)])] = True
+    lists = pc.split_pattern(found.column("words").combine_chunks().cast(pa.large_string()), " ")
+    bounds = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+    flat = pc.list_flatten(lists).dictionary_encode()
+    tokens = Tokens(np.asarray(flat.indices, dtype=np.int64), flat.dictionary.to_pylist(), bounds)
+    labels = (np.frombuffer("".join(found.column("labels").to_pylist()).encode(), dtype=np.uint8) - ord("0")).astype(np.float64)
+    spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
     feats = [word_features(w) for w in tokens.words]
     own = np.array([f[0] for f in feats])
     after, before = np.array([f[1] for f in feats]), np.array([f[2] for f in feats])
     weights, trans, first = np.zeros(1 << FEATURE_BITS), np.array([[0.0, -3.0], [0.0, -2.0]]), -3.0
-    spans = [s for s in windows(tokens, labels) if not clash[owner[s[0]]]]
     rng = np.random.default_rng(seed)
     squares, square_t, square_f = np.full(len(weights), 1e-6), np.full((2, 2), 1e-6), 1e-6
     for _ in range(epochs):
@@ -287,7 +377,16 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 6, rate: float = 0.
             square_f += gf * gf
             first += rate * gf / math.sqrt(square_f)
     field = Field(weights, trans, first, (0.0, 0.0, 0.0))
-    top, expected = document_features(field.marginals(tokens), tokens.starts)
+
+    def make() -> Callable:
+        def apply(keys: np.ndarray, toxic: np.ndarray, tokens: Tokens) -> Iterator[list]:
+            top, expected = document_features(field.marginals(tokens), tokens.starts)
+            yield [pa.array(keys, pa.int64()), pa.array(toxic, pa.int32()), pa.array(top), pa.array(expected)]
+
+        return apply
+
+    scored = over_texts(sample, "key long, toxic int, top double, expected double", make).orderBy("key").toArrow()
+    top, expected, toxic = (scored.column(n).to_numpy().astype(float) for n in ("top", "expected", "toxic"))
     field.document = logistic(np.stack([top, expected], axis=1), toxic)
     return field
 
@@ -342,16 +441,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, id
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
     if learn_from is not None:
         usable = usable.filter(learn_from)
-    marked = usable.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).filter("_text is not null")
+    marked = usable.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_toxic"))
+    # Only rows that have a text are drawn.
+    marked = written(marked.join(texts.select("_id"), "_id", "left_semi"))
     chosen = shares(marked, F.col("_toxic"), ROWS_PER_CLASS, F.col("_id")).orderBy(F.xxhash64("_id"), "_id").limit(MOST_ROWS)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).filter(F.char_length("_text") <= MOST_CHARS)
     # At most MOST_ROWS ids are broadcast.
-    found = texts.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id").limit(MOST_ROWS).collect()
+    found = written(texts.join(F.broadcast(chosen), "_id").withColumn("_key", F.xxhash64("_text")))
     # Of copies, one counts; a text labelled both ways is toxic.
-    texts_of: dict[str, float] = {}
-    for r in sorted(found, key=lambda r: (r["_id"], r["_text"])):
-        texts_of[r["_text"]] = max(texts_of.get(r["_text"], 0.0), float(r["_toxic"]))
-    return train(list(texts_of), np.array(list(texts_of.values())))
+    once = found.groupBy("_key").agg(F.max("_toxic").alias("_toxic"), F.min("_id").alias("_id"))
+    once = once.orderBy(F.xxhash64("_id"), "_id", "_key").limit(MOST_ROWS).select("_key", "_toxic")
+    whole = found.groupBy("_key").agg(F.max("_text").alias("_text")).join(F.broadcast(once), "_key")
+    sample = written(whole.select("_key", "_toxic", "_text").repartition(PARTS, "_key"))
+    field = train(sample)
+    for done in (marked, found, sample):
+        discard(done)
+    return field
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("p", T.DoubleType())]))
