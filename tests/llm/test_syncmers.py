@@ -67,3 +67,26 @@ def test_likeness_is_near_the_jaccard_similarity_of_all_anchors(spark):
     got = df.select("k", syncmers.likeness("sa", "sb").alias("near"), (F.size(F.array_intersect("xa.hash", "xb.hash")) / F.size(F.array_union("xa.hash", "xb.hash"))).alias("true")).collect()
     assert all(abs(r["near"] - r["true"]) < 0.15 for r in got)
     assert got[0]["near"] == 1.0
+
+
+def test_fingerprints_of_long_texts_hold_every_anchor_and_shared_passages_count(spark):
+    rng = random.Random(7)
+    passage = " ".join(str(rng.random()) for _ in range(40))
+    far, near = (" ".join(str(rng.random()) for _ in range(n)) for n in (8000, 8000))
+    rows = [(2, far + " " + passage), (1, passage + " " + near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r["doc_id"]: [f"{a['position']}:{a['hash']}" for a in r["anchors"]] for r in syncmers.with_anchors(df, "text", "anchors").collect()}
+    assert all(len(x) > 3000 for x in want.values())
+    assert {r["doc_id"]: r["fingerprint"].split(",") for r in syncmers.fingerprints(df).collect()} == want
+
+    def parts(anchors):
+        pairs = [tuple(map(int, a.split(":"))) for a in anchors]
+        return {h for _, h in pairs} | {(h, g, q - p) for (p, h), (q, g) in zip(pairs, pairs[1:], strict=False)}
+
+    two, one = parts(want[2]), parts(want[1])
+    for r in syncmers.edited_neighbours(df).collect():
+        assert r["fingerprint"].split(",") == want[r["doc_id"]]
+        assert 0 < r["near_next"] == len(two & one) / len(two | one)
+        mine = two if r["doc_id"] == 2 else one
+        edited = parts(r["edited_fingerprint"].split(","))
+        assert r["near_edited"] == len(mine & edited) / len(mine | edited)

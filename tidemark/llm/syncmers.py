@@ -4,7 +4,9 @@ Words are hashed in pairs; of each K words in a row, the K-mer is chosen when
 the smallest of its pair hashes is the first or the last one. Whether a K-mer is
 chosen depends on its own words alone, so a shared stretch of two texts has the
 same anchors in both, whatever surrounds it, and at least one anchor in every
-few words. A fingerprint keeps the anchors with the smallest hashes.
+few words. A fingerprint holds all anchors with their positions, and likeness
+compares all of them: the anchors, and each pair of neighbouring anchors with
+their distance, which a shared stretch has at any offset.
 """
 
 from __future__ import annotations
@@ -16,8 +18,6 @@ from .common import table, text_or_empty, written
 
 #: Words of a K-mer; its inner substrings are pairs of words.
 K = 5
-#: Anchors a fingerprint keeps at most.
-KEPT = 128
 #: Ranges of ids, at most; each range is sorted in one task. Beyond ROWS rows a range is cut into equal widths.
 RANGES = 1024
 ROWS = 20_000
@@ -48,29 +48,27 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.withColumn(name, F.when(n >= K, long).when(n > 0, short).otherwise(none)).drop("_words", "_pairs")
 
 
-def sketch(anchors: str, kept: int = KEPT) -> Column:
-    """The smallest distinct anchor hashes, rising."""
-    return F.slice(F.sort_array(F.array_distinct(F.col(anchors)["hash"])), 1, kept)
+def sketch(anchors: str) -> Column:
+    """What is compared of all anchors, once each: their hashes, and hashes of neighbouring anchors with their distance."""
+    following = F.greatest(F.size(anchors) - 1, F.lit(0))
+    links = F.zip_with(F.slice(anchors, 1, following), F.slice(anchors, 2, following), lambda a, b: F.xxhash64(a["hash"], b["hash"], b["position"] - a["position"]))
+    return F.array_distinct(F.concat(F.col(anchors)["hash"], links))
 
 
-def likeness(a: str, b: str, kept: int = KEPT) -> Column:
-    """Jaccard similarity of two anchor sets by their sketches: exact unless one of them is cut off.
-
-    Compared below the highest hash that both sketches reach. Two empty sketches are alike, an empty and another are not.
-    """
-    top = F.lit((1 << 63) - 1)
-    reach = F.least(*[F.when(F.size(x) >= kept, F.element_at(x, -1)).otherwise(top) for x in (a, b)])
-    both = F.size(F.filter(F.array_intersect(a, b), lambda x: x <= reach))
-    any_of = F.size(F.filter(F.array_union(a, b), lambda x: x <= reach))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / any_of)
+def likeness(a: str, b: str) -> Column:
+    """Jaccard similarity of two sketches, exactly. Two empty ones are alike, an empty and another are not."""
+    both = F.size(F.array_intersect(a, b))
+    shared = both / (F.size(a) + F.size(b) - both)
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(shared)
 
 
 def fingerprint_text(x: str) -> Column:
-    return F.array_join(F.col(x).cast("array<string>"), ",")
+    """All anchors in order, as position:hash."""
+    return F.array_join(F.transform(x, lambda a: F.concat_ws(":", a["position"].cast("string"), a["hash"].cast("string"))), ",")
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, _text and _sketch of each row, with those of the row that follows it by falling id, as _next and _next_sketch.
+    """_id and _text of each row, with the text of the row that follows it by falling id, as _next.
 
     The first row follows the last. Rows of one id follow each other by their
     texts; rows without an id come last. Rows are dealt out by ranges of ids, and
@@ -104,19 +102,18 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     firsts = rows.join(heirs, "_range").filter(F.col("_id").eqNullSafe(F.col("_first"))).groupBy("_heir", "_id").agg(F.min("_text").alias("_text"))
     guests = firsts.select("_id", "_text", F.col("_heir").alias("_range"), F.lit(True).alias("_guest"))
     dealt = rows.withColumn("_guest", F.lit(False)).unionByName(guests).repartition(F.col("_range"))
-    marked = with_anchors(dealt, "_text", "_anchors").withColumn("_sketch", sketch("_anchors")).drop("_anchors")
     order = Window.partitionBy("_range").orderBy("_guest", F.desc_nulls_last("_id"), "_text")
-    return marked.withColumn("_next", F.lead("_text").over(order)).withColumn("_next_sketch", F.lead("_sketch").over(order)).filter(~F.col("_guest")).drop("_range", "_guest")
+    return dealt.withColumn("_next", F.lead("_text").over(order)).filter(~F.col("_guest")).drop("_range", "_guest")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id_col`` and fingerprint, the sketch's hashes in decimal, comma-joined.
+    """One row per document: ``id_col`` and fingerprint, all anchors as position:hash, in decimal, comma-joined.
 
     Null texts count as empty, with an empty fingerprint; other columns are
     ignored; equal texts have equal fingerprints; no rows give no rows.
     """
     rows = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
-    return with_anchors(rows, "_text", "_anchors").withColumn("_sketch", sketch("_anchors")).select(id_col, fingerprint_text("_sketch").alias("fingerprint"))
+    return with_anchors(rows, "_text", "_anchors").select(id_col, fingerprint_text("_anchors").alias("fingerprint"))
 
 
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,16 +126,17 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = with_next(docs, id_col, text_col).withColumn("n_chars", F.char_length("_text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("_text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("_next", F.lit(1), half))
-    rows = rows.withColumn("_edited", edited).drop("_text", "_next")
-    rows = with_anchors(rows, "_edited", "_edited_anchors").withColumn("_edited_sketch", sketch("_edited_anchors")).drop("_edited_anchors")
+    rows = rows.withColumn("_edited", edited)
+    for side in ("_text", "_edited", "_next"):
+        rows = with_anchors(rows, side, f"{side}_anchors").withColumn(f"{side}_sketch", sketch(f"{side}_anchors"))
     return rows.select(
         F.col("_id").alias(id_col),
         "n_chars",
         F.sha2("_edited", 256).alias("edited_sha256"),
-        fingerprint_text("_sketch").alias("fingerprint"),
-        fingerprint_text("_edited_sketch").alias("edited_fingerprint"),
-        likeness("_sketch", "_edited_sketch").alias("near_edited"),
-        likeness("_sketch", "_next_sketch").alias("near_next"),
+        fingerprint_text("_text_anchors").alias("fingerprint"),
+        fingerprint_text("_edited_anchors").alias("edited_fingerprint"),
+        likeness("_text_sketch", "_edited_sketch").alias("near_edited"),
+        likeness("_text_sketch", "_next_sketch").alias("near_next"),
     )
 
 
