@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact, jaccard, langid, packing, pii, quality, suffixes, syncmers, toxicity
+from . import bpe, exact, jaccard, langid, packing, pii, quality, suffixes, syncmers, toxicity, whitening
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {"op3_exact_dedup": exact.ORACLE}
