@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact, jaccard, langid, packing, pii, quality, suffixes, syncmers, toxicity, whitening
+from . import bpe, exact, jaccard, langid, merkle, packing, pii, quality, suffixes, syncmers, tokenfiles, toxicity, whitening
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_token_files": tokenfiles.op12_token_files,
     "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {"op3_exact_dedup": exact.ORACLE}
