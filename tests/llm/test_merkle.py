@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import pytest
 
 from tidemark.llm import merkle
@@ -86,6 +87,11 @@ ONE_MORE = "n_chars + if(crc32(cast(string(doc_id) as binary)) % 7 = 0, 1, 0)"
 def test_query_against_recursion(spark):
     want = brute([tuple(r) for r in table(spark, SF, "documents").select(*merkle.FIELDS).collect()], seven)
     compared(merkle.op11_merkle_manifest(spark, SF).collect(), want)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    found = con.execute(merkle.ORACLE)
+    names = [c[0] for c in found.description]
+    compared([dict(zip(names, r, strict=True)) for r in found.fetchall()], want)
     assert {w[6] for w in want} == {True, False}
 
 

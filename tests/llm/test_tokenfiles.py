@@ -44,9 +44,13 @@ def test_odd_rows_many_files_and_ids_read_back(spark, tmp_path, file_ids, file_d
     files = tokenfiles.write_token_files(df, path, file_ids=file_ids, file_docs=file_docs, width=width)
     got = tokenfiles.read_token_files(files, path, with_ids=True).orderBy("start").collect()
     coded = library([r[1] for r in rows])
-    want = sorted(((r[0] is not None, r[0] or 0, len(ids), crc(ids)), ids) for r, ids in zip(rows, coded, strict=True))
-    assert [r["ids"] for r in got] == [ids for _, ids in want]
-    assert [(r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in got] == [w for w, _ in want]
+    def shown(rows):
+        return sorted(rows, key=str)
+
+    assert shown((r["doc_id"], r["ids"]) for r in got) == shown((r[0], ids) for r, ids in zip(rows, coded, strict=True))
+    assert all(r["n_tokens"] == len(r["ids"]) and r["ids_crc32"] == crc(r["ids"]) for r in got)
+    keys = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in got]
+    assert keys == sorted(keys)
     assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1].tolist()]
     held = files.collect()
     assert len(held) > 10 and all(f["n_docs"] <= file_docs and (f["n_ids"] <= file_ids or f["n_docs"] == 1) for f in held)
@@ -62,10 +66,29 @@ def test_text_ids_and_no_rows(spark, tmp_path):
     assert none.collect() == [] and tokenfiles.read_token_files(none, f"{tmp_path}/b").collect() == []
 
 
+def test_rows_that_are_alike_share_the_ranges_they_start(spark, tmp_path):
+    rows = [(7, "same words")] * 400 + [(k, f"t{k}") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    files = tokenfiles.write_token_files(df, f"{tmp_path}/a")
+    got = tokenfiles.read_token_files(files, f"{tmp_path}/a").orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == sorted(k for k, _ in rows)
+    assert max(f["n_docs"] for f in files.collect()) < 300
+
+
 def test_ids_beyond_the_width_are_refused(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
-    with pytest.raises(Exception, match="takes 4 bytes"):
+    with pytest.raises(ValueError, match="more than 2 bytes"):
         tokenfiles.write_token_files(df, f"{tmp_path}/a", end_id=70_000)
+    with pytest.raises(ValueError, match="more than 1 bytes"):
+        tokenfiles.PackedEncoder(bpe.public_path(), 1)
+
+
+def test_kept_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokenfiles.PackedEncoder, "KEPT", 5)
+    encode = tokenfiles.public_encoder(4)
+    texts = ["a b c d e f g a b", "", "it's 12 o'clock, isn't it?! " * 40, "Größe <|endoftext|>", "漢字"]
+    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == [ids[:-1] for ids in library(texts)]
+    assert len(encode.words) <= 5
 
 
 def test_select_and_size_of_coded_sequences():

@@ -316,3 +316,53 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     docs = table(spark, sf_dir, "documents")
     return manifest(docs, claimed={"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+
+
+#: Trees, proofs and folds level by level; CRC-32 from its table, as DuckDB has none.
+ORACLE = r"""
+WITH RECURSIVE steps(i, step, c) AS (
+  SELECT i, 0, i::UBIGINT FROM range(256) t(i)
+  UNION ALL SELECT i, step + 1, xor(c >> 1, (c & 1) * 3988292384::UBIGINT) FROM steps WHERE step < 8
+), crcs AS (SELECT list(c ORDER BY i) AS byte_crc FROM steps WHERE step = 8),
+claims AS (
+  SELECT *, n_chars + CASE WHEN xor(list_reduce(
+      list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::UBIGINT)),
+      lambda c, b: xor(c >> 8, byte_crc[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT) % 7 = 0 THEN 1 ELSE 0 END AS claimed
+  FROM documents, crcs
+), leaves AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS tree, sha256(concat(head, coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'), tail)) AS leaf,
+         sha256(concat(head, coalesce(strlen(claimed::VARCHAR) || ':' || claimed, '-'), tail)) AS claim
+  FROM (SELECT *, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+          coalesce(strlen(text) || ':' || text, '-') AS tail FROM claims)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), nodes(tree, level, place, digest, n) AS (
+  SELECT tree, 0, place, leaf, count(*) OVER (PARTITION BY tree) FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, level, place // 2, n
+), subroots AS (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM nodes WHERE n = 1
+), tops(level, place, digest, n) AS (
+  SELECT 0, place, subroot, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, place // 2, n
+), walks(row, tree, level, place, digest, proof) AS (
+  SELECT row_number() OVER (), tree, 0, place, claim, '' FROM placed
+  UNION ALL
+  SELECT w.row, w.tree, w.level + 1, w.place // 2,
+         sha256(CASE WHEN w.place % 2 = 0 THEN w.digest || coalesce(b.digest, '') ELSE b.digest || w.digest END), w.proof || coalesce(b.digest, '')
+  FROM walks w JOIN nodes own ON own.tree = w.tree AND own.level = w.level AND own.place = w.place AND own.n > 1
+  LEFT JOIN nodes b ON b.tree = w.tree AND b.level = w.level AND b.place = xor(w.place, 1)
+), ends AS (SELECT row, tree, digest, proof FROM walks QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1
+), climbs(row, level, place, digest, proof) AS (
+  SELECT row, 0, place, digest, proof FROM ends JOIN subroots USING (tree)
+  UNION ALL
+  SELECT w.row, w.level + 1, w.place // 2,
+         sha256(CASE WHEN w.place % 2 = 0 THEN w.digest || coalesce(b.digest, '') ELSE b.digest || w.digest END), w.proof || coalesce(b.digest, '')
+  FROM climbs w JOIN tops own ON own.level = w.level AND own.place = w.place AND own.n > 1
+  LEFT JOIN tops b ON b.level = w.level AND b.place = xor(w.place, 1)
+), folds AS (SELECT row, digest, proof FROM climbs QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1
+), numbered AS (SELECT row_number() OVER () AS row, * FROM placed)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folds.digest AS folded_root, folds.digest = root AS verified
+FROM numbered JOIN subroots USING (tree) JOIN folds USING (row), (SELECT digest AS root FROM tops WHERE n = 1)
+"""

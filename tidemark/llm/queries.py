@@ -19,4 +19,4 @@ QUERIES = {
     "op12_token_files": tokenfiles.op12_token_files,
     "op13_whitening": whitening.op13_whitening,
 }
-ORACLES = {"op3_exact_dedup": exact.ORACLE}
+ORACLES = {"op3_exact_dedup": exact.ORACLE, "op11_merkle_manifest": merkle.ORACLE}

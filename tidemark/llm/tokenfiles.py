@@ -14,9 +14,11 @@ Integer keys are coded the same way, others are UTF-8 with coded ends.
 
 from __future__ import annotations
 
+import random
 import struct
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
-from .bpe import Encoder, public_path
-from .common import discard, steps, table, written
+from .bpe import _RARE, _WORD, Encoder, public_path
+from .common import steps, table, written
 
 END_ID = 2
 #: A file is closed at so many ids, or documents; a longer document has one of its own.
@@ -138,9 +140,10 @@ class Index:
         return [None] * (b - a - len(found)) + found
 
 
-def packed_file(keys: list, ids: list[np.ndarray], width: int, integers: bool) -> bytes:
+def packed_file(keys: list, ids: list[bytes], width: int, integers: bool) -> bytes:
     """A file of documents in order, keys ascending after the nulls."""
-    ends = EliasFano.of(np.cumsum([len(x) for x in ids])).to_bytes()
+    stops = np.cumsum([len(x) // width for x in ids])
+    ends = EliasFano.of(stops).to_bytes()
     known = [k for k in keys if k is not None]
     letters, base = b"", 0
     if integers:
@@ -152,8 +155,8 @@ def packed_file(keys: list, ids: list[np.ndarray], width: int, integers: bool) -
         coded = EliasFano.of(np.cumsum([len(x) for x in names], dtype=np.uint64))
     sections = ends + coded.to_bytes() + letters
     at = -(-(_HEADER.size + len(sections)) // 64) * 64
-    head = _HEADER.pack(_MAGIC, width, int(integers), len(ids), sum(map(len, ids)), len(keys) - len(known), base, len(ends), len(letters), at)
-    return b"".join([head, sections, bytes(at - _HEADER.size - len(sections)), *[x.astype(f"<u{width}").tobytes() for x in ids]])
+    head = _HEADER.pack(_MAGIC, width, int(integers), len(ids), int(stops[-1]), len(keys) - len(known), base, len(ends), len(letters), at)
+    return b"".join([head, sections, bytes(at - _HEADER.size - len(sections)), *ids])
 
 
 class TokenFile:
@@ -204,25 +207,70 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
-def public_encoder() -> Callable[[str], list[int]]:
-    return Encoder(public_path()).ids
+class PackedEncoder(Encoder):
+    """Ids of whole texts as bytes, ``width`` an id. Words are independent, so a word's bytes are kept once made."""
 
+    #: Words kept.
+    KEPT = 1 << 18
 
-def encoded(docs: DataFrame, id_col: str, text_col: str, end_id: int, encoder: Callable[[], Callable[[str], list[int]]]) -> DataFrame:
-    """``_id``, n_tokens, ids_crc32 and ids (32-bit little-endian) of every row, end id included."""
-    facts = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("ids", T.BinaryType())]
-    schema = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), *facts])
+    def __init__(self, path: str, width: int) -> None:
+        super().__init__(path)
+        if len(self.numbers) > 1 << 8 * width:
+            raise ValueError(f"the vocabulary takes more than {width} bytes an id")
+        self.kind = f"<u{width}"
+        encoder = self
+
+        class Words(dict):
+            def __missing__(self, word: str) -> bytes:
+                if len(self) >= encoder.KEPT:
+                    self.clear()
+                made = self[word] = np.array(encoder.ranks.encode_ordinary(word + " "), dtype=encoder.kind).tobytes()
+                return made
+
+        self.words = Words()
+
+    def __call__(self, text: str) -> bytes:
+        if self.ranks is None or "<|" in text or _RARE.search(text):
+            return np.array(self.ids(text), dtype=self.kind).tobytes()
+        return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
+
+
+def public_encoder(width: int) -> Callable[[str], bytes]:
+    return PackedEncoder(public_path(), width)
+
+
+def ordered(key, tie: int) -> tuple:
+    """Sorts as Spark does: no key first, then by key, then by the text's hash."""
+    return (False, 0, tie) if key is None else (True, key, tie)
+
+
+def range_bounds(rows: DataFrame, ranges: int) -> list[tuple]:
+    """The first (key, hash) of each of at most ``ranges`` ranges of about as many rows."""
+    # A number for each row lets several ranges start with rows that are alike.
+    dealt = rows.select("_id", "_tie", F.monotonically_increasing_id().alias("_row")).repartitionByRange(ranges, "_id", "_tie", "_row")
+    first = F.min(F.struct(F.col("_id").isNotNull().alias("known"), F.col("_id").alias("id"), F.col("_tie").alias("tie")))
+    return sorted(ordered(r["first"]["id"], r["first"]["tie"]) for r in dealt.groupBy(F.spark_partition_id()).agg(first.alias("first")).collect())
+
+
+def encoded(rows: DataFrame, bounds: list[tuple], end_id: int, width: int, encoder: Callable[[int], Callable[[str], bytes]]) -> DataFrame:
+    """``_part`` (the range of ``bounds``), ``_id``, ``_tie`` and ids (in ``width`` bytes, end id included) of every row."""
+    schema = T.StructType([T.StructField("_part", T.IntegerType()), rows.schema["_id"], rows.schema["_tie"], T.StructField("ids", T.BinaryType())])
+
+    def range_of(at: tuple) -> int:
+        # Rows that several ranges start with are alike, and go to any of these.
+        low, high = bisect_left(bounds, at), bisect_right(bounds, at)
+        return max(0, random.randint(low, high - 1) if high > low else high - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+        encode, end = encoder(width), end_id.to_bytes(width, "little")
         for batch in batches:
-            for a, b in steps(batch.column(1)):
+            for a, b in steps(batch.column(2)):
                 part = batch.slice(a, b - a)
-                held = [np.array([*encode(t or ""), end_id], dtype="<u4").tobytes() for t in part.column(1).to_pylist()]
-                arrays = [pa.array([len(x) // 4 for x in held], pa.int64()), pa.array([zlib.crc32(x) for x in held], pa.int64()), pa.array(held, pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=schema.names)
+                places = [range_of(ordered(k, t)) for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
+                held = [encode(t or "") + end for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), part.column(0), part.column(1), pa.array(held, pa.binary())], names=schema.names)
 
-    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def write_token_files(
@@ -234,15 +282,15 @@ def write_token_files(
     width: int = 2,
     file_ids: int = FILE_IDS,
     file_docs: int = FILE_DOCS,
-    encoder: Callable[[], Callable[[str], list[int]]] = public_encoder,
+    encoder: Callable[[int], Callable[[str], bytes]] = public_encoder,
 ) -> DataFrame:
     """Write the ids of all texts to files under ``path``; the table of files: file, part, number, start, n_docs, n_ids.
 
     Documents ascend by id over all files (null ids first; rows of one id by
-    length and ids' CRC-32), each followed by ``end_id``; ``start`` counts the
+    a hash of their text), each followed by ``end_id``; ``start`` counts the
     ids of all files before. Null texts count as empty: the end id alone. A
     document never spans files; one of over ``file_ids`` ids has its own. ``width``
-    is 2 or 4 bytes an id and must hold the largest. Ids of documents that are
+    is 2 or 4 bytes an id and must hold the vocabulary. Ids of documents that are
     not integers are kept as text. No rows give no files. Other columns are
     ignored.
 
@@ -251,19 +299,22 @@ def write_token_files(
     """
     if width not in (2, 4):
         raise ValueError("ids take 2 or 4 bytes")
+    if end_id >= 1 << 8 * width:
+        raise ValueError(f"end_id takes more than {width} bytes")
     id_type = docs.schema[id_col].dataType
     integers = isinstance(id_type, T.IntegralType)
-    # Texts are encoded once, where they are; only ids are sorted.
-    coded = written(encoded(docs, id_col, text_col, end_id, encoder).withColumn("_tie", F.monotonically_increasing_id()))
-    order = ["_id", "n_tokens", "ids_crc32", "_tie"]
-    ranges = coded.repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = ranges.select(F.spark_partition_id().cast("long").alias("part"), F.col("_id") if integers else F.col("_id").cast("string"), "ids")
+    # Ranges are cut by ids alone; then texts are encoded once, where they are, and only ids of tokens are moved.
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select((F.col(f"`{id_col}`") if integers else F.col(f"`{id_col}`").cast("string")).alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
+    coded = encoded(rows, range_bounds(rows, ranges), end_id, width, encoder)
+    parts = coded.repartitionById(ranges, "_part").sortWithinPartitions("_part", "_id", "_tie").select(F.col("_part").cast("long"), "_id", "ids")
     fields = "file string, part long, number long, n_docs long, n_ids long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = store_of(path)
         keys: list = []
-        ids: list[np.ndarray] = []
+        ids: list[bytes] = []
         held = number = part = 0
 
         def close() -> pa.RecordBatch:
@@ -275,24 +326,22 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("file", pa.string()), *[(c, pa.int64()) for c in ("part", "number", "n_docs", "n_ids")]]))
 
         store.create_dir(base, recursive=True)
-        limit = (1 << 8 * width) - 1
         for batch in batches:
             for row in range(batch.num_rows):
-                some = np.frombuffer(batch.column(2)[row].as_buffer(), dtype="<u4")
-                if int(some.max()) > limit:
-                    raise ValueError(f"an id over {limit} takes 4 bytes")
-                if ids and (held + len(some) > file_ids or len(ids) == file_docs):
+                some = batch.column(2)[row].as_py()
+                size = len(some) // width
+                own = batch.column(0)[row].as_py()
+                if ids and (own != part or held + size > file_ids or len(ids) == file_docs):
                     yield close()
-                    keys, ids, held, number = [], [], 0, number + 1
-                part = batch.column(0)[row].as_py()
+                    keys, ids, held, number = [], [], 0, number + 1 if own == part else 0
+                part = own
                 keys.append(batch.column(1)[row].as_py())
-                ids.append(some.astype(f"<u{width}"))
-                held += len(some)
+                ids.append(some)
+                held += size
         if ids:
             yield close()
 
     files = written(parts.mapInArrow(run, fields))
-    discard(coded)
     # Starts: over the parts, of which there are as many as partitions, then within each.
     sums = files.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     back = (Window.unboundedPreceding, -1)
