@@ -85,10 +85,10 @@ def test_ids_beyond_the_width_are_refused(spark, tmp_path):
 
 def test_kept_words_are_bounded(monkeypatch):
     monkeypatch.setattr(tokenfiles.PackedEncoder, "KEPT", 5)
-    encode = tokenfiles.public_encoder(4)
-    texts = ["a b c d e f g a b", "", "it's 12 o'clock, isn't it?! " * 40, "Größe <|endoftext|>", "漢字"]
+    encode = tokenfiles.PackedEncoder(bpe.public_path(), 4)
+    texts = ["a b c d e f g a b", "", "a\tb\x0bc\x0cd\re\x1b\x00f", "x\x1cy\x85z\u2028w\xa0v", "it's 12 o'clock, isn't it?! " * 40, "Größe <|endoftext|>", "漢字"]
     assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == [ids[:-1] for ids in library(texts)]
-    assert len(encode.words) <= 5
+    assert len(encode.strings) <= 5 and len(encode.strings.older) <= 5
 
 
 def test_select_and_size_of_coded_sequences():

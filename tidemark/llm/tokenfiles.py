@@ -21,6 +21,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -208,9 +209,9 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class PackedEncoder(Encoder):
-    """Ids of whole texts as bytes, ``width`` an id. Words are independent, so a word's bytes are kept once made."""
+    """Ids of whole texts as bytes, ``width`` an id. What stands between white space is independent, so its bytes are kept once made."""
 
-    #: Words kept.
+    #: Strings kept before they become the older ones; the older ones before go.
     KEPT = 1 << 18
 
     def __init__(self, path: str, width: int) -> None:
@@ -220,21 +221,29 @@ class PackedEncoder(Encoder):
         self.kind = f"<u{width}"
         encoder = self
 
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
+        class Strings(dict):
+            older: dict[str, bytes] = {}
+
+            def __missing__(self, string: str) -> bytes:
+                made = self.older.get(string)
+                if made is None:
+                    ids = encoder.ranks.encode_ordinary(" ".join(_WORD.findall(string)) + " ")
+                    made = np.array(ids, dtype=encoder.kind).tobytes()
                 if len(self) >= encoder.KEPT:
+                    self.older = dict(self)
                     self.clear()
-                made = self[word] = np.array(encoder.ranks.encode_ordinary(word + " "), dtype=encoder.kind).tobytes()
+                self[string] = made
                 return made
 
-        self.words = Words()
+        self.strings = Strings()
 
     def __call__(self, text: str) -> bytes:
         if self.ranks is None or "<|" in text or _RARE.search(text):
             return np.array(self.ids(text), dtype=self.kind).tobytes()
-        return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
+        return b"".join(map(self.strings.__getitem__, text.lower().split()))
 
 
+@lru_cache(maxsize=2)
 def public_encoder(width: int) -> Callable[[str], bytes]:
     return PackedEncoder(public_path(), width)
 
