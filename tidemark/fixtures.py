@@ -32,13 +32,19 @@ END_DEVICE = "anon_-1"
 class Streams:
     """Stands in for the session where a view is to be opened as a stream of files.
 
-    The event log arrives in ``batches`` micro-batches, in the order of time. With ``end``, a last file holds one row
-    of ``END_DEVICE``, later than all others, so that what waits for the watermark comes out.
+    The event log arrives in ``batches`` micro-batches of ``files`` files each, an event up to ``delay_us`` after its
+    time, so rows come out of order within a micro-batch and across them. ``arrival`` is an SQL expression of the time
+    of arrival instead; ``__at`` is the event's time, and {low} and {high} are the log's first and last. With ``end``, a
+    last file holds a row of each kind of ``END_DEVICE``, with the id -1 and later than all others, so that what waits
+    for the watermark comes out.
     """
 
     spark: SparkSession
     batches: int = 3
     end: bool = False
+    files: int = 4
+    delay_us: int = 0
+    arrival: str = ""
 
 
 def table(spark: SparkSession | Streams, sf_dir: str, name: str) -> DataFrame:
@@ -49,22 +55,24 @@ def table(spark: SparkSession | Streams, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_files(streams: Streams, sf_dir: str, name: str) -> DataFrame:
-    """The log cut by time into one file after the other, opened as one file a micro-batch."""
+    """The log cut by time of arrival into parts written one after the other, opened as one part a micro-batch."""
     spark = streams.spark
     log = table(spark, sf_dir, name)
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = log.agg(F.min(micros), F.max(micros)).first()
-    step = (high - low) // streams.batches + 1
+    step = (high + streams.delay_us - low) // streams.batches + 1
     base = f"{checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
-    part = F.expr("cast((__at - {0}) div {1} as int)".format(low, step))
+    arrival = streams.arrival or f"__at + pmod(xxhash64(event_id), {streams.delay_us + 1})"
+    part = F.expr(f"cast(({arrival.format(low=low, high=high)} - {low}) div {step} as int)")
     cut = log.withColumn("__at", micros).withColumn("__part", part).drop("__at")
     for i in range(streams.batches):
-        cut.filter(F.col("__part") == i).drop("__part").coalesce(1).write.parquet(f"{base}/part={i}")
+        cut.filter(F.col("__part") == i).drop("__part").repartition(streams.files).write.parquet(f"{base}/part={i}")
     if streams.end:
-        last = {"event_id": "-1L", "ts": f"cast(timestamp_micros({high} + 172800000000) as timestamp_ntz)", "user_id": "-1L", "event_type": "'view'", "value": "0D", "props": "'{\"k\": 0}'"}
-        row = spark.range(1).select(*[F.expr(last[f.name]).cast(f.dataType).alias(f.name) for f in log.schema.fields])
-        row.coalesce(1).write.parquet(f"{base}/part={streams.batches}")
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/part=*")
+        last = {"event_id": "-1L", "ts": f"cast(timestamp_micros({high} + 172800000000) as timestamp_ntz)", "user_id": "-1L", "value": "0D", "props": "'{\"k\": 0}'"}
+        kinds = spark.createDataFrame([(kind,) for kind in EVENT_NAMES], "event_type string")
+        rows = kinds.select(*[F.expr(last.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in log.schema.fields])
+        rows.coalesce(1).write.parquet(f"{base}/part={streams.batches}")
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", streams.files).parquet(f"{base}/part=*")
 
 
 def events(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:

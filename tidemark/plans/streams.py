@@ -14,6 +14,7 @@ from ..operators.delivery import delivery_outcomes, first_event_sent
 from ..operators.gates import ingest_gate
 from ..operators.identity import attach_consent
 from ..streaming import ingest, signals, stateful
+from ..streaming.deliver import subscribe
 from ..streaming.run import run_available
 from .commerce import _BILLING, _REPLAYS, _SYNCS, _syncs
 from .health import _TAPS, _VIEWS, _greedy
@@ -23,14 +24,28 @@ from .sessions import _LIFECYCLE, _SESSIONS
 from .sources import _OUTCOMES_SQL, timed_attempts
 
 
-def _events(spark, sf, end=False):
+#: The log's rows come up to an hour late, and the streams allow for that.
+DELAY_US = 3_600_000_000
+LATE = "1 hour"
+
+
+def _shuffled(spark) -> Streams:
     configure(spark)
-    return fx.events(Streams(spark, end=end), sf).withColumn("ts", F.timestamp_micros("ts_us"))
+    return Streams(spark, end=True, delay_us=DELAY_US - 1)
+
+
+def _without_end(rows):
+    return rows.filter(F.col("dev") != fx.END_DEVICE)
+
+
+def _events(spark, sf, delay_us=0):
+    configure(spark)
+    return fx.events(Streams(spark, end=True, delay_us=delay_us), sf).withColumn("ts", F.timestamp_micros("ts_us"))
 
 
 @query("stream_dedup", sql("SELECT event_id, dev, name FROM v_events", "v_events"))
 def _dedup(spark, sf):
-    twice = _events(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("event_id") % 7 == 0).cast("int"))))
+    twice = _events(spark, sf, DELAY_US).filter(F.col("dev") != fx.END_DEVICE).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("event_id") % 7 == 0).cast("int"))))
     return run_available(ingest.dedup_stream(twice.select("event_id", "dev", "name", "ts"))).drop("ts")
 
 
@@ -43,55 +58,49 @@ def _dedup(spark, sf):
     ),
 )
 def _sessions(spark, sf):
-    closed = run_available(ingest.session_stream(_events(spark, sf, end=True).select("dev", "ts")))
+    closed = run_available(ingest.session_stream(_events(spark, sf, DELAY_US - 1).select("dev", "ts"), late=LATE))
     return closed.filter(F.col("dev") != fx.END_DEVICE)
 
 
 @query("stream_lifecycle_sessions", sql(f"WITH {_LIFECYCLE} SELECT * FROM emitted", "v_lifecycle"))
 def _lifecycle(spark, sf):
-    configure(spark)
-    return run_available(stateful.lifecycle_stream(fx.lifecycle(Streams(spark), sf)))
+    return _without_end(run_available(stateful.lifecycle_stream(fx.lifecycle(_shuffled(spark), sf), late=LATE)))
 
 
 @query("stream_fold_identity", sql(f"WITH {_IDENTITY} SELECT * FROM ids", "v_identity_log"))
 def _identity(spark, sf):
-    configure(spark)
-    ops = fx.identity_log(Streams(spark), sf).select("dev", "ts_us", "event_id", "op", "user", "customer")
-    return run_available(stateful.identity_stream(ops))
+    ops = fx.identity_log(_shuffled(spark), sf).select("dev", "ts_us", "event_id", "op", "user", "customer")
+    return _without_end(run_available(stateful.identity_stream(ops, late=LATE)))
 
 
 @query("stream_fold_super_properties", sql(f"WITH {_SUPER} SELECT * FROM supers", "v_super_log"))
 def _super(spark, sf):
-    configure(spark)
-    state = run_available(stateful.super_properties_stream(fx.super_log(Streams(spark), sf)))
+    state = _without_end(run_available(stateful.super_properties_stream(fx.super_log(_shuffled(spark), sf), late=LATE)))
     value = [F.try_element_at("props", F.lit(n)).alias(n) for n in ("plan", "tier")]
     return state.select("dev", "ts_us", "event_id", *value)
 
 
 @query("stream_resolve_replays", sql(f"WITH {_REPLAYS} SELECT key, event_id, outcome FROM replayed", "v_requests"))
 def _replays(spark, sf):
-    configure(spark)
-    return run_available(stateful.replays_stream(fx.requests(Streams(spark), sf))).drop("ts_ms")
+    return run_available(stateful.replays_stream(fx.requests(_shuffled(spark), sf), late=LATE)).filter("event_id >= 0").drop("ts_ms")
 
 
 @query("stream_coalesce_screens", sql(f"WITH {_greedy(_VIEWS, 'screen', 250)} SELECT dev, event_id FROM walked WHERE kept", "v_fast"))
 def _screens(spark, sf):
-    configure(spark)
-    views = fx.fast(Streams(spark), sf).selectExpr(
+    views = fx.fast(_shuffled(spark), sf).selectExpr(
         "dev", "event_id", "c_ms div 8 as ts_ms", "case when k % 8 = 0 then 'b' else 'a' end as value"
     )
-    return run_available(stateful.coalesce_stream(views, 250)).select("dev", "event_id")
+    return _without_end(run_available(stateful.coalesce_stream(views, 250, late="1 second"))).select("dev", "event_id")
 
 
 @query("stream_coalesce_taps", sql(f"WITH {_greedy(_TAPS, 'element', 100)} SELECT dev, event_id FROM walked WHERE kept", "v_fast"))
 def _taps(spark, sf):
-    configure(spark)
     taps = (
-        fx.fast(Streams(spark), sf)
+        fx.fast(_shuffled(spark), sf)
         .filter("name = 'element.clicked'")
         .selectExpr("dev", "event_id", "c_ms as ts_ms", "concat('e', k % 2) as value")
     )
-    return run_available(stateful.coalesce_stream(taps, 100)).select("dev", "event_id")
+    return _without_end(run_available(stateful.coalesce_stream(taps, 100, late="1 second"))).select("dev", "event_id")
 
 
 @query(
@@ -106,8 +115,77 @@ def _taps(spark, sf):
     ),
 )
 def _jank(spark, sf):
-    frames = _events(spark, sf, end=True).selectExpr("dev", "event_id", "ts", "ts_us * 10 as frame_ns")
-    return run_available(stateful.frame_jank_stream(frames)).filter(F.col("dev") != fx.END_DEVICE)
+    frames = fx.events(_shuffled(spark), sf).selectExpr("dev", "event_id", "ts_us * 10 as frame_ns")
+    # Frame times run at a hundredth of the clock here: a minute is 600 ms, an hour 36 s.
+    jank = stateful.frame_jank_stream(frames, window_ms=600, late="36 seconds")
+    return _without_end(run_available(jank)).withColumn("window_start_us", F.expr("window_start_us * 100"))
+
+
+_LATE_ROWS = "late AS (SELECT min(ts_us) + (max(ts_us) - min(ts_us)) // 3 AS until FROM v_events)"
+
+
+@query(
+    "stream_rejects_late_rows",
+    sql(
+        f"""WITH {_LATE_ROWS}, kept AS (SELECT l.* FROM v_identity_log l, late WHERE NOT (event_id % 50 = 0 AND ts_us < until)),
+        {_IDENTITY.replace("v_identity_log", "kept")}
+        SELECT event_id, epoch, anonymous_id, developer_user_id, customer_id, NULL AS reject_code FROM ids
+        UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, 'late_row' FROM v_identity_log, late WHERE event_id % 50 = 0 AND ts_us < until""",
+        "v_events",
+        "v_identity_log",
+    ),
+)
+def _late(spark, sf):
+    """One row in fifty of the first third of the log arrives with the last: it is refused, and all others fold as if it were not there."""
+    configure(spark)
+    arrival = "case when event_id % 50 = 0 and __at < {low} + ({high} - {low}) div 3 then {high} else __at end"
+    ops = fx.identity_log(Streams(spark, end=True, arrival=arrival), sf).select("dev", "ts_us", "event_id", "op", "user", "customer")
+    found = run_available(stateful.identity_stream(ops, late=LATE, rejects=True))
+    known = F.coalesce("event_id", F.get_json_object("document", "$.event_id").cast("bigint")).alias("event_id")
+    return found.select(known, "epoch", "anonymous_id", "developer_user_id", "customer_id", "reject_code").filter("event_id >= 0")
+
+
+def _snapshot_rows(spark, sf):
+    """Snapshot rows as files in which a row comes up to an hour late, and at the end one row later than all."""
+    configure(spark)
+    rows = fx.snapshots(spark, sf).withColumn("user", F.col("user").cast("string"))
+    low, high = rows.agg(F.min("ts_us"), F.max("ts_us")).first()
+    base = f"{checkpoint_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    at = f"ts_us + pmod(xxhash64(user, key), {DELAY_US})"
+    parts = rows.withColumn("__part", F.expr(f"cast(({at} - {low}) div {(high + DELAY_US - low) // 3 + 1} as int)"))
+    for i in range(3):
+        parts.filter(F.col("__part") == i).drop("__part").repartition(4).write.parquet(f"{base}/part={i}")
+    last = spark.createDataFrame([(fx.END_DEVICE, high + 10 * DELAY_US, "end", True, None)], rows.schema)
+    last.coalesce(1).write.parquet(f"{base}/part=3")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/part=*")
+
+
+_CHANGES = """SELECT CAST("user" AS VARCHAR) AS "user", ts_us, len(items) AS n, list_aggregate(list_transform(items, lambda i: i.key || ':' || i.active || ':' || coalesce(i.valid_until_us, -1)), 'string_agg', ',') AS items"""
+
+
+@query(
+    "stream_entitlement_changes",
+    sql(
+        f"""WITH docs AS (SELECT "user", ts_us, list(DISTINCT {{'key': key, 'active': active, 'valid_until_us': valid_until_us}} ORDER BY {{'key': key, 'active': active, 'valid_until_us': valid_until_us}}) AS items
+              FROM v_snapshots GROUP BY ALL),
+        seen AS (SELECT *, lag(items) OVER (PARTITION BY "user" ORDER BY ts_us) AS before FROM docs)
+        {_CHANGES} FROM seen WHERE before IS NULL OR items <> before""",
+        "v_snapshots",
+    ),
+)
+def _changes(spark, sf):
+    """The change feed, delivered to a subscriber that writes down what it is handed."""
+    rows = _snapshot_rows(spark, sf)
+    feed = stateful.entitlement_changes_stream(rows, entitlements_only=True, late=LATE)
+    base = f"{checkpoint_dir(spark)}/changes-{uuid.uuid4().hex}"
+
+    def handler(changes, batch_id):
+        changes.write.mode("append").parquet(f"{base}/handed")
+
+    subscribe(feed, f"{base}/target", f"{base}/checkpoint", handler).trigger(availableNow=True).start().awaitTermination()
+    item = F.transform("entitlements", lambda i: F.concat_ws(":", i["key"], i["active"].cast("string"), F.coalesce(i["valid_until_us"], F.lit(-1)).cast("string")))
+    handed = spark.read.schema(feed.schema).parquet(f"{base}/handed")
+    return handed.select("user", "ts_us", F.size("entitlements").cast("bigint").alias("n"), F.array_join(item, ",").alias("items"))
 
 
 _INGEST_ROWS = """ingested AS (SELECT event_id, k, CASE WHEN k % 19 = 0 THEN 'malformed_batch' WHEN k % 13 = 0 THEN 'missing_anonymous_id'

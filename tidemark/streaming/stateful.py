@@ -1,76 +1,39 @@
 """Per-key rules on streams, one small state per key.
 
-Each processor sorts a key's rows of one micro-batch by time and folds them into
-its state, which the state store keeps between batches. A micro-batch is bounded by the
-source's rate options, and that bounds what a hot key brings to one task.
+Each is a rule of ``inorder``: give ``late`` and rows are folded in order of time
+over the whole stream however they arrive; without it each micro-batch is folded
+as it comes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-DAY_MS = 86_400_000
-
-
-def use_rocksdb(spark) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
-def _none(value):
-    return None if value is None or pd.isna(value) else value
-
-
-class _Fold(StatefulProcessor):
-    """Sorts the rows and calls ``step`` on each; ``step`` yields output rows as tuples."""
-
-    state_schema = ""
-    order = ("ts_us", "event_id")
-    columns: tuple[str, ...] = ()
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", self.state_schema)
-
-    def start(self) -> tuple:
-        raise NotImplementedError
-
-    def step(self, key, state: list, row) -> Iterator[tuple]:
-        raise NotImplementedError
+from .inorder import Rule, fold_in_order
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(list(self.order), kind="stable")
-        state = list(self.state.get()) if self.state.exists() else list(self.start())
-        out = [r for row in batch.itertuples(index=False) for r in self.step(key[0], state, row)]
-        self.state.update(tuple(state))
-        if out:
-            yield pd.DataFrame(out, columns=list(self.columns))
-
-    def close(self) -> None:
-        pass
+DAY_MS = 86_400_000
 
 
-class LifecycleSessions(_Fold):
+class LifecycleSessions(Rule):
     """Session starts and ends from foreground, background and reset rows."""
 
+    reads = ("ts_us", "event_id", "op")
     state_schema = "is_open boolean, background long, started long, session_seq long"
-    columns = ("dev", "ts_us", "event_id", "name", "session_id", "reason", "duration_ms")
     output = "dev string, ts_us long, event_id long, name string, session_id string, reason string, duration_ms long"
 
     def __init__(self, idle: int):
         self.idle = idle
 
     def start(self):
-        return False, None, None, None
+        return [False, None, None, None]
 
     def step(self, key, state, row):
         is_open, background, started, number = state
-        now, seq = int(row.ts_us), int(row.event_id)
+        now, seq = row.ts_us, row.event_id
 
         def ended(reason):
             return key, now, seq, "session.ended", f"ses_{key}_{number}", reason, (now - started) // 1000
@@ -93,72 +56,72 @@ class LifecycleSessions(_Fold):
                 yield begun("resume_idle" if long_idle else "resume")
 
 
-class CoalesceRepeats(_Fold):
+class CoalesceRepeats(Rule):
     """Drops a row of the last kept row's value less than ``window`` after it."""
 
+    reads = ("ts_ms", "event_id", "value")
+    unit = 1
     state_schema = "value string, kept_at long"
-    order = ("ts_ms", "event_id")
-    columns = ("dev", "ts_ms", "event_id", "value")
     output = "dev string, ts_ms long, event_id long, value string"
 
     def __init__(self, window: int):
         self.window = window
 
     def start(self):
-        return None, None
+        return [None, None]
 
     def step(self, key, state, row):
         value, at = state
         if at is None or row.value != value or row.ts_ms - at >= self.window:
-            state[:] = [row.value, int(row.ts_ms)]
-            yield key, int(row.ts_ms), int(row.event_id), row.value
+            state[:] = [row.value, row.ts_ms]
+            yield key, row.ts_ms, row.event_id, row.value
+
+    def deadline(self, state):
+        # Nothing within the window can come any more.
+        return None if state[1] is None else state[1] + self.window
 
 
-class FoldIdentity(_Fold):
+class FoldIdentity(Rule):
     """Identity after each operation."""
 
+    reads = ("ts_us", "event_id", "op", "user", "customer")
     state_schema = "epoch long, user string, customer string"
-    columns = ("dev", "ts_us", "event_id", "epoch", "anonymous_id", "developer_user_id", "customer_id")
     output = (
         "dev string, ts_us long, event_id long, epoch long, anonymous_id string, "
         "developer_user_id string, customer_id string"
     )
 
     def start(self):
-        return 0, None, None
+        return [0, None, None]
 
     def step(self, key, state, row):
         if row.op == "reset":
             state[:] = [state[0] + 1, None, None]
         elif row.op == "identify":
-            state[1] = (_none(row.user) or "").strip() or None
+            state[1] = (row.user or "").strip() or None
         elif row.op == "alias":
-            state[2] = (_none(row.customer) or "").strip() or None
+            state[2] = (row.customer or "").strip() or None
         epoch, user, customer = state
         anonymous = key if epoch == 0 else "anon_" + hashlib.md5(f"{key}#{epoch}".encode()).hexdigest()
-        yield key, int(row.ts_us), int(row.event_id), epoch, anonymous, user, customer
+        yield key, row.ts_us, row.event_id, epoch, anonymous, user, customer
 
 
-class ResolveReplays(_Fold):
+class ResolveReplays(Rule):
     """Replay, conflict or execution of requests with one key.
 
-    With ``expire`` the store forgets a key ``ttl`` after its last change, by the clock.
+    An answer is forgotten when the watermark is ``ttl`` past it: no request to come can be answered from it.
     """
 
+    reads = ("ts_ms", "event_id", "body_hash", "status")
+    unit = 1
     state_schema = "stored_at long, body string"
-    order = ("ts_ms", "event_id")
-    columns = ("key", "ts_ms", "event_id", "outcome")
     output = "key string, ts_ms long, event_id long, outcome string"
 
-    def __init__(self, ttl: int = DAY_MS, expire: bool = False):
+    def __init__(self, ttl: int = DAY_MS):
         self.ttl = ttl
-        self.expire = expire
-
-    def init(self, handle):
-        self.state = handle.getValueState("state", self.state_schema, ttlDurationMs=self.ttl if self.expire else None)
 
     def start(self):
-        return None, None
+        return [None, None]
 
     def step(self, key, state, row):
         at, body = state
@@ -166,111 +129,148 @@ class ResolveReplays(_Fold):
             outcome = "replayed" if row.body_hash == body else "conflict"
         else:
             outcome = "executed"
-            status = _none(row.status)
-            if status is not None and 200 <= status <= 299:
-                state[:] = [int(row.ts_ms), row.body_hash]
-        yield key, int(row.ts_ms), int(row.event_id), outcome
+            if row.status is not None and 200 <= row.status <= 299:
+                state[:] = [row.ts_ms, row.body_hash]
+        yield key, row.ts_ms, row.event_id, outcome
 
+    def deadline(self, state):
+        return None if state[0] is None else state[0] + self.ttl
 
-class FrameTimes(_Fold):
-    """Time since the device's frame before."""
 
-    state_schema = "frame_ns long"
-    order = ("frame_ns", "event_id")
-    columns = ("dev", "ts", "delta_ns")
-    output = "dev string, ts timestamp, delta_ns long"
+class SuperProperties(Rule):
+    """Property map after each operation; any property names."""
+
+    reads = ("ts_us", "event_id", "op", "key", "value")
+    state_schema = "held string"
+    output = "dev string, ts_us long, event_id long, props map<string,string>"
 
     def start(self):
-        return (None,)
+        return ["{}"]
 
     def step(self, key, state, row):
-        if state[0] is not None:
-            yield key, row.ts, int(row.frame_ns) - state[0]
-        state[0] = int(row.frame_ns)
+        held = json.loads(state[0])
+        if row.op == "clear":
+            held = {}
+        elif row.key and row.op == "register":
+            held[row.key] = row.value
+        elif row.key and row.op == "registerOnce":
+            held.setdefault(row.key, row.value)
+        elif row.key and row.op == "unregister":
+            held.pop(row.key, None)
+        state[0] = json.dumps(held)
+        yield key, row.ts_us, row.event_id, held
+
+
+class FrameJank(Rule):
+    """Frames of each closed window by how long they took: the time since the device's frame before."""
+
+    reads = ("frame_ns", "event_id")
+    unit = 1_000_000
+    state_schema = "frame_ns long, window long, total long, slow long, frozen long"
+    output = "dev string, window_start_us long, total_frames long, slow_frames long, frozen_frames long"
+
+    def __init__(self, window_ms: int):
+        self.window = window_ms * self.unit
 
+    def start(self):
+        return [None, None, 0, 0, 0]
 
-class SuperProperties(StatefulProcessor):
-    """Property map after each operation; any property names."""
+    def closed(self, key, state) -> Iterator[tuple]:
+        _, window, total, slow, frozen = state
+        if window is not None:
+            yield key, window * (self.window // 1000), total, slow, frozen
 
-    output = "dev string, ts_us long, event_id long, props map<string,string>"
+    def step(self, key, state, row):
+        before, window = state[:2]
+        if before is not None:
+            if row.frame_ns // self.window != window:
+                yield from self.closed(key, state)
+                state[1:] = [row.frame_ns // self.window, 0, 0, 0]
+            took = row.frame_ns - before
+            state[2] += 1
+            state[3] += 16_000_000 < took <= 700_000_000
+            state[4] += took > 700_000_000
+        state[0] = row.frame_ns
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.values = handle.getMapState("values", "name string", "value string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "event_id"], kind="stable")
-        held = {k[0]: v[0] for k, v in self.values.iterator()}
-        before, out = dict(held), []
-        for row in batch.itertuples(index=False):
-            name = _none(row.key)
-            if row.op == "clear":
-                held.clear()
-            elif name and row.op == "register":
-                held[name] = row.value
-            elif name and row.op == "registerOnce":
-                held.setdefault(name, row.value)
-            elif name and row.op == "unregister":
-                held.pop(name, None)
-            out.append((key[0], int(row.ts_us), int(row.event_id), dict(held)))
-        for name in before.keys() - held.keys():
-            self.values.removeKey((name,))
-        for name, value in held.items():
-            if before.get(name) != value:
-                self.values.updateValue((name,), (value,))
-        yield pd.DataFrame(out, columns=["dev", "ts_us", "event_id", "props"])
-
-    def close(self) -> None:
-        pass
-
-
-def run_stateful(df: DataFrame, processor, by: str, time_mode: str = "None") -> DataFrame:
-    """Apply a processor to a stream, keyed by one column."""
-    use_rocksdb(df.sparkSession)
-    return df.groupBy(by).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=processor.output, outputMode="Append", timeMode=time_mode
-    )
+    def deadline(self, state):
+        return None if state[1] is None else (state[1] + 1) * self.window // self.unit
+
+    def expire(self, key, state):
+        return list(self.closed(key, state)), [state[0], None, 0, 0, 0]
+
+
+class EntitlementChanges(Rule):
+    """The snapshots of a user that differ from the one before, or all; a snapshot is all rows of one time.
+
+    The last document is the state, as JSON: a list of [key, active, valid_until_us], sorted, without repetition.
+    """
+
+    reads = ("ts_us", "key", "active", "valid_until_us")
+    state_schema = "at long, items string, before string"
+    output = "user string, ts_us long, entitlements array<struct<key:string,active:boolean,valid_until_us:long>>"
+
+    def __init__(self, entitlements_only: bool):
+        self.entitlements_only = entitlements_only
+
+    def start(self):
+        return [None, "[]", None]
+
+    def document(self, items: list) -> str:
+        return json.dumps(sorted({tuple(i) for i in items}, key=lambda i: [x for v in i for x in (v is not None, v)]))
 
+    def closed(self, key, state) -> Iterator[tuple]:
+        """Output the open snapshot if it is a change, and make it the one before."""
+        at, items, before = state
+        if at is None:
+            return
+        held = self.document(json.loads(items))
+        state[:] = [None, "[]", held]
+        if not self.entitlements_only or held != before:
+            yield key, at, [{"key": k, "active": a, "valid_until_us": v} for k, a, v in json.loads(held)]
 
-def lifecycle_stream(ops: DataFrame, idle: int = 30 * 60 * 1_000_000, key: str = "dev") -> DataFrame:
-    return run_stateful(ops, LifecycleSessions(idle), key)
+    def step(self, key, state, row):
+        if row.ts_us != state[0]:
+            yield from self.closed(key, state)
+        state[0] = row.ts_us
+        state[1] = self.document([*json.loads(state[1]), [row.key, row.active, row.valid_until_us]])
+
+    def deadline(self, state):
+        return None if state[0] is None else state[0] // self.unit + 1
+
+    def expire(self, key, state):
+        return list(self.closed(key, state)), state
 
 
-def coalesce_stream(rows: DataFrame, window: int, key: str = "dev") -> DataFrame:
+def lifecycle_stream(ops: DataFrame, idle: int = 30 * 60 * 1_000_000, key: str = "dev", late: str | None = None) -> DataFrame:
+    return fold_in_order(ops, LifecycleSessions(idle), key, late)
+
+
+def coalesce_stream(rows: DataFrame, window: int, key: str = "dev", late: str | None = None) -> DataFrame:
     """Screens (250 ms) or taps (100 ms); the screen or element is in ``value``."""
-    return run_stateful(rows, CoalesceRepeats(window), key)
+    return fold_in_order(rows, CoalesceRepeats(window), key, late)
 
 
-def identity_stream(ops: DataFrame, key: str = "dev") -> DataFrame:
-    return run_stateful(ops, FoldIdentity(), key)
+def identity_stream(ops: DataFrame, key: str = "dev", late: str | None = None, rejects: bool = False) -> DataFrame:
+    return fold_in_order(ops, FoldIdentity(), key, late, rejects)
 
 
-def super_properties_stream(ops: DataFrame, key: str = "dev") -> DataFrame:
-    return run_stateful(ops, SuperProperties(), key)
+def super_properties_stream(ops: DataFrame, key: str = "dev", late: str | None = None) -> DataFrame:
+    return fold_in_order(ops, SuperProperties(), key, late)
 
 
-def replays_stream(requests: DataFrame, key: str = "key", expire: bool = False) -> DataFrame:
-    """Set ``expire`` for a query that keeps running; its timers never let an available-now run end."""
-    return run_stateful(requests, ResolveReplays(expire=expire), key, "ProcessingTime" if expire else "None")
+def replays_stream(requests: DataFrame, key: str = "key", ttl: int = DAY_MS, late: str | None = None) -> DataFrame:
+    """With ``late``, an answer leaves the state when the watermark is ``ttl`` past it."""
+    return fold_in_order(requests, ResolveReplays(ttl), key, late)
 
 
-def frame_jank_stream(frames: DataFrame, window: str = "60 seconds", late: str = "10 seconds", key: str = "dev") -> DataFrame:
-    """Jank per device and closed window, from frames with ``ts`` (timestamp) and ``frame_ns``."""
-    use_rocksdb(frames.sparkSession)
-    timed = (
-        frames.withWatermark("ts", late)
-        .groupBy(key)
-        .transformWithStateInPandas(
-            statefulProcessor=FrameTimes(),
-            outputStructType=FrameTimes.output,
-            outputMode="Append",
-            timeMode="EventTime",
-            eventTimeColumnName="ts",
-        )
-    )
-    slow = (F.col("delta_ns") > 16_000_000) & (F.col("delta_ns") <= 700_000_000)
-    counted = timed.groupBy(key, F.window("ts", window).alias("w")).agg(
-        F.count(F.lit(1)).alias("total_frames"),
-        F.count_if(slow).alias("slow_frames"),
-        F.count_if(F.col("delta_ns") > 700_000_000).alias("frozen_frames"),
-    )
-    return counted.select(key, F.unix_micros("w.start").alias("window_start_us"), "total_frames", "slow_frames", "frozen_frames")
+def frame_jank_stream(frames: DataFrame, window_ms: int = 60_000, late: str = "10 seconds", key: str = "dev") -> DataFrame:
+    """Jank per device and closed window, from frames with ``frame_ns``, nanoseconds since the epoch."""
+    return fold_in_order(frames, FrameJank(window_ms), key, late)
+
+
+def entitlement_changes_stream(snapshots: DataFrame, entitlements_only: bool = False, user: str = "user", late: str = "10 minutes") -> DataFrame:
+    """The change feed of ``operators.entitlements.entitlement_changes`` from snapshot rows as they come.
+
+    A snapshot comes out when the watermark has passed its time, after which no row of it can come.
+    """
+    return fold_in_order(snapshots, EntitlementChanges(entitlements_only), user, late)
