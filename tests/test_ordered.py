@@ -200,6 +200,24 @@ def test_funnel_needs_order(spark):
     assert got == {"s1": 2, "s2": 0, "s3": 1}
 
 
+def test_funnel_is_one_shuffle_and_cuts_hot_sessions(spark):
+    rng = random.Random(2)
+    rows = [(f"s{i % 5}" if i % 9 else "hot", rng.randint(0, 300), i, rng.choice("abcdx")) for i in range(600)] + [(None, 1, 999, "a")]
+    df = spark.createDataFrame(rows, "session_id string, ts_us long, event_id long, name string")
+    for steps in (["a"], ["a", "b"], ["a", "b", "a", "d", "c"], ["zz", "a"]):
+        want = {None: 0}
+        for sid, _, _, name in sorted(rows[:-1], key=lambda r: r[1:3]):
+            reached = want.get(sid, 0)
+            want[sid] = reached + (reached < len(steps) and name == steps[reached])
+        for hot in (4_000_000, 40):
+            got = {r["session_id"]: r["steps_reached"] for r in session_funnel(df, steps, hot_rows=hot).collect()}
+            assert got == want
+    plan = session_funnel(df, ["a", "b", "c", "d"])._jdf.queryExecution().executedPlan().toString()
+    # The rows' own shuffle, and that of the null session.
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 2 and sum("__alone" in line for line in dealt) == 1 and plan.count("Sort [") == 1
+
+
 def test_keep_latest(spark):
     rows = [("d", i, i) for i in range(8)] + [("e", 1, 1)]
     df = spark.createDataFrame(rows, "dev string, ts_us long, event_id long")

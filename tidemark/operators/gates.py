@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.privacy import PII_LABEL_WORDS, has_pii_label, is_opted_out, is_self_error
 from .ordered import HOT_ROWS, as_of
@@ -106,6 +108,40 @@ def before_send(df: DataFrame, hook: Callable[[DataFrame], DataFrame] | None) ->
     return df if hook is None else df.transform(hook)
 
 
+HOOK_FAILED = "hook_failed"
+
+
+def run_hook(df: DataFrame, hook: Callable[[dict], dict | None], error: str = "hook_error") -> DataFrame:
+    """Let a function of one row drop (None) or rewrite each row; what it returns is what ships.
+
+    A row for which the hook raises, or returns what is no row of these columns, comes out as it went in with ``error``
+    set; all others have null there. Hand the result to ``to_dead_letter`` with that column. Rows reach the hook in
+    Arrow batches, one dict each; columns that the hook leaves out are null.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField(error, T.StringType())])
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.schema
+            kept: list[dict] = []
+            for at, row in enumerate(batch.to_pylist()):
+                failed = None
+                try:
+                    made = hook(dict(row))
+                    if made is None:
+                        continue
+                    made = {n: made.get(n) for n in names}
+                    # A row that Arrow cannot take must not cost the batch.
+                    pa.RecordBatch.from_pylist([made], schema=own)
+                except Exception as raised:  # whatever a caller's code raises concerns its row alone
+                    made, failed = batch.slice(at, 1).to_pylist()[0], f"{HOOK_FAILED}: {type(raised).__name__}"
+                kept.append({**made, error: failed})
+            yield pa.RecordBatch.from_pylist(kept, schema=own.append(pa.field(error, pa.string())))
+
+    return df.mapInArrow(run, schema)
+
+
 def lock_schema(
     payload: Column, required: Sequence[str] = FAILURE_REQUIRED, optional: Sequence[str] = FAILURE_OPTIONAL
 ) -> Column:

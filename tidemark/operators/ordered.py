@@ -33,7 +33,7 @@ HOT_ROWS = 4_000_000
 BROADCAST_ROWS = 100_000
 
 _CHUNK = "__chunk"
-_ALONE = "__alone"
+ALONE = "__alone"
 _FINE_PARTS = 1 << 20
 
 
@@ -157,7 +157,7 @@ class Ordered:
         self.keys = list(keys)
         self.order = list(order)
         placed, self.cut = place(df, self.keys, self.order[0], hot_rows, measure)
-        self.df = placed.withColumn(_ALONE, alone(self.keys, self.order))
+        self.df = placed.withColumn(ALONE, alone(self.keys, self.order))
 
     def _wrap(self, df: DataFrame) -> Ordered:
         other = object.__new__(Ordered)
@@ -171,7 +171,7 @@ class Ordered:
         """Add one column per running value, reading forwards or in reverse."""
         way = F.desc if reverse else F.asc
         group = [*self.keys, _CHUNK] if self.cut else self.keys
-        inside = Window.partitionBy(*group, _ALONE).orderBy(*[way(c) for c in self.order])
+        inside = Window.partitionBy(*group, ALONE).orderBy(*[way(c) for c in self.order])
         upto = inside.rowsBetween(Window.unboundedPreceding, 0)
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
         own = {
@@ -224,7 +224,7 @@ class Ordered:
         return ends.select(*self.keys, _CHUNK, *carry)
 
     def frame(self) -> DataFrame:
-        return self.df.drop(_CHUNK, "__hot", _ALONE)
+        return self.df.drop(_CHUNK, "__hot", ALONE)
 
 
 def as_of(

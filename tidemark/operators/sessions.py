@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import HOT_ROWS, Ordered, as_of, before, last, place, previous
+from .ordered import ALONE, HOT_ROWS, Ordered, as_of, before, last, place, previous
 
 IDLE_US = 30 * 60 * 1_000_000
 
@@ -171,27 +170,25 @@ def attach_session(
 
 
 def session_funnel(
-    sessions: DataFrame, steps: Sequence[str], time: str = "ts_us", seq: str = "event_id", by: str = "session_id"
+    sessions: DataFrame, steps: Sequence[str], time: str = "ts_us", seq: str = "event_id", by: str = "session_id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Per session, how many of the ordered ``steps`` (event names) were reached.
 
-    Each step is the earliest row of its name after the previous step's row. A step is
-    one pre-aggregated minimum per session over the rows of that name only, so a
-    session's rows are never brought together. ``sessions`` is read for every step: hand in a table.
+    Each step is the earliest row of its name after the previous step's row, so a row reaches step n if it has the
+    step's name and a row before it reached step n - 1. That is one running flag a step over one ordering of the rows:
+    one shuffle by session whatever the number of steps, whose result the last aggregate groups in place. Rows without
+    a session reach nothing. A session of
+    over ``hot_rows`` rows is cut into chunks, and what a chunk starts with comes from a summary row for each.
     """
-    position = F.struct(F.col(time).alias("t"), F.col(seq).alias("s"))
-    reached = sessions.filter(F.col("name") == steps[0]).groupBy(by).agg(F.min(position).alias("at_1"))
-    found = [reached]
+    known = F.col(by).isNotNull()
+    scan = Ordered(sessions.filter(known).select(by, time, seq, "name"), [by], [time, seq], hot_rows)
+    reached = F.col("name") == steps[0]
+    depth = F.when(reached, 1).otherwise(0)
     for n, step in enumerate(steps[1:], start=2):
-        prior = found[-1]
-        rows = sessions.filter(F.col("name") == step).select(by, position.alias("__at"))
-        found.append(
-            rows.join(prior.select(by, F.col(f"at_{n - 1}").alias("__prior")), by)
-            .filter(F.col("__at") > F.col("__prior"))
-            .groupBy(by)
-            .agg(F.min("__at").alias(f"at_{n}"))
-        )
-    everyone = sessions.select(by).distinct()
-    joined = reduce(lambda a, b: a.join(b, by, "left"), found, everyone)
-    depth: Column = reduce(lambda a, b: a + b, [F.col(f"at_{n}").isNotNull().cast("int") for n in range(1, len(steps) + 1)])
-    return joined.select(by, depth.alias("steps_reached"))
+        scan = scan.with_columns(__reached=reached).running(__earlier=before(F.when(F.col("__reached"), F.lit(True)))).with_columns(__depth=depth)
+        reached, depth = (F.col("name") == step) & F.col("__earlier").isNotNull(), F.col("__depth")
+        scan = scan.with_columns(__hit=reached).with_columns(__best=F.when(F.col("__hit"), n).otherwise(depth))
+        reached, depth = F.col("__hit"), F.col("__best")
+    # Grouped by what the rows are dealt out by already.
+    found = scan.with_columns(__deepest=depth).df.groupBy(by, ALONE).agg(F.max("__deepest").alias("steps_reached")).drop(ALONE)
+    return found.unionByName(sessions.filter(~known).select(by, F.lit(0).alias("steps_reached")).distinct())

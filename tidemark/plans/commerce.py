@@ -249,6 +249,30 @@ def _is_entitled_as_of(spark, sf):
     return ent.is_entitled_as_of(requests, fx.snapshots(spark, sf)).select("request_id", "entitled")
 
 
+@query(
+    "is_entitled_as_of_every_key",
+    sql(
+        f"""WITH req AS (SELECT o_orderkey AS request_id, o_custkey AS "user", epoch_us(o_orderdate) + 30 * 86400000000 AS at,
+             unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW', 'unknown']) AS key FROM orders),
+        times AS (SELECT DISTINCT "user", ts_us FROM v_snapshots),
+        timed AS (SELECT r.*, t.ts_us AS snap FROM req r ASOF LEFT JOIN times t ON r."user" = t."user" AND r.at >= t.ts_us)
+        SELECT a.request_id, a.key, coalesce({_VALID.format(at='a.at')}, false) AS entitled
+        FROM timed a LEFT JOIN v_snapshots s ON s."user" = a."user" AND s.ts_us = a.snap AND s.key = a.key""",
+        "v_snapshots",
+    ),
+)
+def _is_entitled_as_of_every_key(spark, sf):
+    keys = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "unknown"]
+    requests = fx.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order"),
+        F.col("o_custkey").alias("user"),
+        (F.unix_micros(F.col("o_orderdate").cast("timestamp")) + 30 * 86_400_000_000).alias("ts_us"),
+        F.posexplode(F.array(*map(F.lit, keys))).alias("nth", "key"),
+    )
+    asked = requests.withColumn("request_id", F.col("order") * len(keys) + F.col("nth")).drop("nth")
+    return ent.is_entitled_as_of(asked, fx.snapshots(spark, sf)).select(F.col("order").alias("request_id"), "key", "entitled")
+
+
 @query(
     "active_keys",
     sql(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -19,7 +21,8 @@ from ..operators.identity import (
     resolve_customer,
 )
 from ..operators.sessions import lifecycle_sessions, session_log
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
+from ..sources import stored
 from .registry import query
 from .sessions import _LIFECYCLE
 
@@ -269,3 +272,16 @@ def _forget(spark, sf):
     )
     ids = {"user": "user", "dev": "dev", "customer": "customer"}
     return forget(events, fx.forget_requests(spark, sf), ids).select("event_id")
+
+
+@query(
+    "forget_in_stored_table",
+    sql("SELECT event_id FROM v_events WHERE user_id % 17 <> 0", "v_events"),
+)
+def _forget_stored(spark, sf):
+    """The same rule on a written table, of which only files with a hit are written anew."""
+    path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    rows = fx.events(spark, sf).selectExpr("event_id", "dev", "cast(user_id as string) as user", "concat('cust_', user_id) as customer")
+    rows.repartitionByRange("user").write.parquet(path)
+    stored.erase_stored(spark, path, fx.forget_requests(spark, sf), {"user": "user", "dev": "dev", "customer": "customer"}, "asked")
+    return stored.read_stored(spark, path, rows.schema).select("event_id")

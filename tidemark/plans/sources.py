@@ -12,7 +12,7 @@ from ..operators.delivery import delivery_outcomes
 from ..sources.deadletter import to_dead_letter, undeliverable
 from ..sources.events import pack_event_batches, parse_event_batches
 from ..sources.registry import contract_test_refs, parse_contract_registry
-from ..sources.responses import flatten_alias_links, flatten_entitlement_responses, flatten_heartbeats
+from ..sources.responses import flatten_alias_links, flatten_entitlement_responses, flatten_heartbeats, split_heartbeats
 from .registry import query
 
 
@@ -79,6 +79,31 @@ def _read_incomplete(spark, sf):
     return rows.select("event_id", "timestamp_ms")
 
 
+@query(
+    "account_for_event_batches",
+    sql(
+        """WITH d AS (SELECT event_id, k, CASE k % 10 WHEN 0 THEN 'no_events' WHEN 1 THEN 'no_events' WHEN 2 THEN 'no_events' WHEN 3 THEN 'malformed_batch'
+             WHEN 4 THEN 'malformed_batch' WHEN 5 THEN 'malformed_batch' WHEN 6 THEN 'missing_event_name' ELSE 'event' END AS outcome FROM v_events)
+           SELECT outcome, event_id, count(*) AS n FROM d GROUP BY ALL UNION ALL SELECT 'event', event_id, 1 FROM d WHERE k % 10 = 6""",
+        "v_events",
+    ),
+)
+def _accounted(spark, sf):
+    """Every document, by its number, leaves a row or a reject: without events, empty, blank, cut off, and with one item that is no event."""
+    good = "'{\"eventId\": \"', event_id, '\", \"name\": \"n\", \"anonymousId\": \"a\"}'"
+    docs = fx.events(spark, sf).selectExpr(
+        "case k % 10 when 0 then concat('{\"appId\": \"', event_id, '\"}') when 1 then concat('{\"events\": null, \"sdk\": \"', event_id, '\"}') "
+        "when 2 then concat('{\"events\": [], \"sdk\": ', event_id, '}') when 3 then concat('{\"events\": [', event_id) when 4 then concat('oops ', event_id) "
+        "when 5 then concat(event_id, '\u0000') "
+        f"when 6 then concat('\\n {{\"events\": [', {good}, ', {{\"eventId\": \"', event_id, '\", \"name\": \"\"}}]}}') else concat('{{\"events\": [', {good}, ']}}') end as value"
+    )
+    rows, rejects = parse_event_batches(docs)
+    number = F.regexp_extract("document", "([0-9]+)", 1).cast("bigint").alias("event_id")
+    told = rejects.select(F.col("reject_code").alias("outcome"), number)
+    both = rows.select(F.lit("event").alias("outcome"), F.col("event_id").cast("bigint")).unionByName(told)
+    return both.groupBy("outcome", "event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _bodies(spark, sf, kind):
     item = (
         "named_struct('key', case when k % 8 = 0 then '' else concat('key_', k % 5) end, 'isActive', case when k % 3 = 0 then null else k % 3 = 1 end, "
@@ -166,6 +191,25 @@ def _flatten_heartbeats(spark, sf):
     return _heartbeats(spark, sf).drop("project_id")
 
 
+@query(
+    "account_for_heartbeats",
+    sql(
+        """SELECT event_id, CASE k % 8 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true END AS ok,
+             CASE WHEN k % 8 > 2 THEN 'heartbeat_response_invalid' END AS reject_code FROM v_events""",
+        "v_events",
+    ),
+)
+def _account_for_heartbeats(spark, sf):
+    """Bodies behind white space, empty objects, and six kinds of what is none: each leaves a row or a reject."""
+    bodies = fx.events(spark, sf).selectExpr(
+        "event_id",
+        "bigint(0) as received_ms",
+        "case k % 8 when 0 then ' \\n\\t{\"ok\": true}' when 1 then '{}' when 2 then '{\"ok\": \"TRUE\"} ' when 3 then '{\"ok\": tr' when 4 then '[]' when 5 then ' ' when 6 then 'null' end as body",
+    )
+    rows, rejects = split_heartbeats(bodies)
+    return rows.select("event_id", "ok").unionByName(rejects.select("event_id", "reject_code"), allowMissingColumns=True)
+
+
 @query(
     "latest_heartbeat",
     sql(

@@ -101,7 +101,9 @@ _POISON = (
     """SELECT doc_id, CASE doc_id % 8 WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'not_an_object' WHEN 4 THEN 'too_deep' END AS error,
          CASE WHEN doc_id % 8 IN (0, 7) THEN doc_id END AS n, CASE WHEN doc_id % 8 = 0 THEN '� x' END AS a, CASE WHEN doc_id % 8 = 3 THEN doc_id END AS m,
          CASE doc_id % 8 WHEN 3 THEN 'n:not_finite,m[0]:not_finite' WHEN 5 THEN 'd:depth_exceeded' ELSE '' END AS warnings,
-         CASE doc_id % 8 WHEN 1 THEN '{broken ' || doc_id WHEN 2 THEN '[' || doc_id || ']' END AS scrubbed FROM documents""",
+         md5(CASE doc_id % 8 WHEN 0 THEN '{"a": "� x", "n": ' || doc_id || '}' WHEN 1 THEN '{broken ' || doc_id WHEN 2 THEN '[' || doc_id || ']'
+           WHEN 3 THEN '{"n": null, "m": [null, ' || doc_id || ']}' WHEN 4 THEN repeat('[', 20000 + doc_id) || repeat(']', 20000 + doc_id)
+           WHEN 5 THEN repeat('{"d": ', 60) || doc_id || repeat('}', 60) WHEN 7 THEN '{"n": ' || doc_id || '}' END) AS scrubbed FROM documents""",
 )
 def _poisoned(spark, sf):
     bags = fx.documents(spark, sf).select("doc_id", F.expr(_POISON).alias("j"))
@@ -113,7 +115,7 @@ def _poisoned(spark, sf):
         F.get_json_object("s.properties", "$.a").alias("a"),
         F.get_json_object("s.properties", "$.m[1]").cast("bigint").alias("m"),
         F.array_join(F.transform("s.warnings", lambda w: F.concat_ws(":", w["key"], w["kind"])), ",").alias("warnings"),
-        F.when(F.col("doc_id") % 8 < 3, F.when(F.col("doc_id") % 8 > 0, F.col("j"))).alias("scrubbed"),
+        F.md5("j").alias("scrubbed"),
     )
 
 
@@ -391,6 +393,38 @@ _ATTRIBUTED = (
 )
 
 
+@query(
+    "drop_pii_labels_of_texts",
+    f"SELECT doc_id, md5(text) AS label FROM documents WHERE NOT regexp_matches(lower(coalesce(text, '')), '{'|'.join(privacy.PII_LABEL_WORDS)}')",
+)
+def _pii_texts(spark, sf):
+    """The label rule over whole texts, whatever they hold."""
+    return gates.drop_pii_labels(fx.documents(spark, sf).select("doc_id", "text"), "text").select("doc_id", F.md5("text").alias("label"))
+
+
+@query(
+    "run_hook",
+    sql(
+        """SELECT event_id, CASE WHEN k % 7 = 3 OR k % 11 = 4 THEN type ELSE type || '!' END AS type, user_id,
+             CASE WHEN k % 7 = 3 THEN 'hook_failed: ZeroDivisionError' WHEN k % 11 = 4 THEN 'hook_failed: ArrowInvalid' END AS error
+           FROM v_errors WHERE k % 5 <> 0""",
+        "v_errors",
+    ),
+)
+def _run_hook(spark, sf):
+    """A hook that drops, rewrites, raises, and returns what is no row; only the row concerned is refused."""
+
+    def hook(row):
+        if row["k"] % 5 == 0:
+            return None
+        if row["k"] % 7 == 3:
+            return {"k": 1 // 0}
+        return {**row, "type": row["type"] + "!", "user_id": "nobody" if row["k"] % 11 == 4 else row["user_id"]}
+
+    rows = fx.errors(spark, sf).select("event_id", "type", "user_id", "k")
+    return gates.run_hook(rows, hook, "error").drop("k")
+
+
 @query(
     "extract_attribution",
     f"WITH {_LINK_SQL} SELECT page_id, url, host, path, {_PICKS} FROM parts",
@@ -411,24 +445,26 @@ _ODD_URL = (
     "when 6 then '' when 7 then null else url end"
 )
 _ODD_SQL = r"""
-    odd AS (SELECT page_id, url, CASE page_id % 9
+    odd AS (SELECT page_id, CASE WHEN page_id % 9 = 8 THEN regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) END AS h8,
+        CASE WHEN page_id % 9 = 8 THEN nullif(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '') END AS p8, CASE page_id % 9
         WHEN 0 THEN {'h': 'my_app' || page_id || '.X.com', 'p': '/a b', 'utm_source': 'a|b', 'utm_term': '100%', 'utm_medium': 'm ' || page_id}
         WHEN 1 THEN {'h': 'h.com', 'p': '/p/q+r', 'utm_source': 's' || page_id, 'utm_term': NULL, 'utm_medium': NULL}
         WHEN 2 THEN {'h': 'open', 'p': NULL, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL}
         WHEN 4 THEN {'h': NULL, 'p': '/local/path' || page_id, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL}
-        WHEN 5 THEN {'h': 'h.com', 'p': NULL, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL} END AS o FROM pages WHERE page_id % 9 NOT IN (3, 6, 7, 8))
-    SELECT page_id, o.h AS host, o.p AS path, o.utm_source, o.utm_medium, o.utm_term,
+        WHEN 5 THEN {'h': 'h.com', 'p': NULL, 'utm_source': NULL, 'utm_term': NULL, 'utm_medium': NULL} END AS o FROM pages)
+    SELECT page_id, coalesce(o.h, h8) AS host, coalesce(o.p, p8) AS path, o.utm_source, o.utm_medium, o.utm_term,
       CASE WHEN page_id % 9 = 5 THEN 'c' || page_id || '=d' END AS utm_campaign, CASE WHEN page_id % 9 = 5 THEN 'x=' END AS utm_content,
       CASE WHEN page_id % 9 = 2 THEN 'g' || page_id END AS gclid, CASE WHEN page_id % 9 = 2 THEN '%zz1' END AS fbclid,
-      CASE WHEN page_id % 9 = 4 THEN 'k' END AS msclkid, CASE WHEN page_id % 9 = 4 THEN ' t ' END AS ttclid FROM odd"""
+      CASE WHEN page_id % 9 = 4 THEN 'k' END AS msclkid, CASE WHEN page_id % 9 = 4 THEN ' t ' END AS ttclid,
+      CASE WHEN page_id % 9 = 4 THEN '�é' END AS li_fat_id, NULL AS twclid FROM odd"""
 
 
 @query("extract_attribution_of_odd_links", f"WITH {_ODD_SQL}")
 def _odd_links(spark, sf):
-    links = fx.links(spark, sf).select("page_id", F.expr(_ODD_URL).alias("url")).filter("page_id % 9 not in (3, 6, 7, 8)")
+    """Every page, every key: links that name no host, no path or no campaign have nulls there."""
+    links = fx.links(spark, sf).select("page_id", F.expr(_ODD_URL).alias("url"))
     found = links.select("page_id", extract_attribution(F.col("url")).alias("a"))
-    names = [k for k in ATTRIBUTION_KEYS if k not in ("li_fat_id", "twclid")]
-    return found.select("page_id", "a.host", "a.path", *[f"a.{k}" for k in names])
+    return found.select("page_id", "a.host", "a.path", *[f"a.{k}" for k in ATTRIBUTION_KEYS])
 
 
 @query(

@@ -15,7 +15,9 @@ CUSTOMER_FIELD = "customerId"
 
 
 ENVELOPE = "appId string, environment string, sdk string, events array<string>, _corrupt_record string"
-# Why an item of an envelope is no event.
+# Why a document yields no events, or an item of it is none.
+MALFORMED = "malformed_batch"
+NO_EVENTS = "no_events"
 MISSING_ID = "missing_event_id"
 MISSING_NAME = "missing_event_name"
 MISSING_DEVICE = "missing_anonymous_id"
@@ -35,7 +37,8 @@ def parse_event_batches(
 ) -> tuple[DataFrame, DataFrame]:
     """Envelopes (one JSON text per row) to event rows, and what is none of them.
 
-    Only a text that cannot be parsed rejects a whole document. Items are read one by one: a timestamp may be
+    A text that cannot be parsed is a reject, and so is an envelope that holds no events, so that every document
+    leaves rows or rejects. Items are read one by one: a timestamp may be
     text or have a fraction, and one that is missing or cannot be read takes the receive time; empty user and
     customer ids are null. An item without event id, name or anonymous id is a reject by itself. Works on batch and
     streaming input.
@@ -44,11 +47,10 @@ def parse_event_batches(
     options = {"columnNameOfCorruptRecord": "_corrupt_record"}
     read = docs.select(F.col(body).alias("__body"), received.alias("__received"))
     parsed = with_json(read, "__body", ENVELOPE, options)
-    broken = F.col("_corrupt_record").isNotNull() | F.col("__body").isNull()
-    malformed = parsed.filter(broken).select(
-        F.col("__body").alias("document"), F.col("__received").alias("received_ms"), F.lit("malformed_batch").alias("reject_code")
-    )
-    items = parsed.filter(~broken).select("__received", "appId", "environment", "sdk", F.explode("events").alias("__item"))
+    blank = F.col("__body").isNull() | ~F.col("__body").rlike(r"\S")
+    failed = F.when(F.col("_corrupt_record").isNotNull() | blank, MALFORMED).when(F.coalesce(F.size("events"), F.lit(0)) < 1, NO_EVENTS)
+    whole = parsed.filter(failed.isNotNull()).select(F.col("__body").alias("document"), F.col("__received").alias("received_ms"), failed.alias("reject_code"))
+    items = parsed.filter(failed.isNull()).select("__received", "appId", "environment", "sdk", F.explode("events").alias("__item"))
     item = F.struct(F.from_json("__item", event_schema(customer_field)).alias("e"), F.from_json("sdk", "name string, version string").alias("sdk"))
     items = items.select("__received", "appId", "environment", "__item", F.inline(F.array(item)))
 
@@ -75,7 +77,7 @@ def parse_event_batches(
     incomplete = items.filter(missing.isNotNull()).select(
         F.col("__item").alias("document"), F.col("__received").alias("received_ms"), missing.alias("reject_code")
     )
-    return rows, malformed.unionByName(incomplete)
+    return rows, whole.unionByName(incomplete)
 
 
 def read_event_batches(

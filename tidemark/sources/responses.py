@@ -91,14 +91,19 @@ def flatten_alias_links(
     return rows, rejects
 
 
-def flatten_heartbeats(
+def split_heartbeats(
     responses: DataFrame, body: str = "body", received_ms: str = "received_ms", default_env: str = "production"
-) -> DataFrame:
-    """Heartbeat bodies as rows; ok is false and the server time the receive time when absent or unreadable."""
-    schema = "ok string, projectId string, appId string, env string, serverTime string"
+) -> tuple[DataFrame, DataFrame]:
+    """Heartbeat bodies as rows, and the responses whose body is no object.
+
+    ok is false and the server time the receive time when absent or unreadable. White space around a body does not count.
+    """
+    schema = "ok string, projectId string, appId string, env string, serverTime string, _corrupt_record string"
     keep = [c for c in responses.columns if c != body]
-    parsed = _parsed(responses, body, schema).filter(F.col(body).startswith("{"))
-    return parsed.select(
+    record = F.from_json(F.col(body), schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = responses.select("*", F.explode(F.array(record)).alias("__r"))
+    readable = F.coalesce(F.col(body).rlike(r"^\s*\{") & F.col("__r._corrupt_record").isNull(), F.lit(False))
+    rows = parsed.filter(readable).select(
         *keep,
         truth(F.col("__r.ok")).alias("ok"),
         F.coalesce("__r.projectId", F.lit("")).alias("project_id"),
@@ -106,3 +111,12 @@ def flatten_heartbeats(
         _env(default_env),
         whole_number(F.col("__r.serverTime"), F.col(received_ms)).alias("server_time_ms"),
     )
+    rejects = parsed.filter(~readable).drop("__r").withColumn("reject_code", F.lit("heartbeat_response_invalid"))
+    return rows, rejects
+
+
+def flatten_heartbeats(
+    responses: DataFrame, body: str = "body", received_ms: str = "received_ms", default_env: str = "production"
+) -> DataFrame:
+    """The rows of ``split_heartbeats``."""
+    return split_heartbeats(responses, body, received_ms, default_env)[0]
