@@ -49,6 +49,7 @@ def test_batches_with_gaps(spark, tmp_path):
     assert got["e5"]["properties"] == "{}" and got["e5"]["timestamp_ms"] > 0
     assert sorted((r["reject_code"], "{broken" in r["document"]) for r in rejects.collect()) == [
         ("malformed_batch", True), ("missing_anonymous_id", False), ("missing_event_id", False), ("missing_event_name", False),
+        ("no_events", False),
     ]
 
 

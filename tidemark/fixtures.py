@@ -8,7 +8,7 @@ expression in ``VIEWS``, so that a query and its SQL start from the same rows.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,8 @@ class Streams:
     files: int = 4
     delay_us: int = 0
     arrival: str = ""
+    #: Folders of logs already written, so that views of one log read the same files.
+    written: dict = field(default_factory=dict, compare=False)
 
 
 def table(spark: SparkSession | Streams, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +60,14 @@ def _event_files(streams: Streams, sf_dir: str, name: str) -> DataFrame:
     """The log cut by time of arrival into parts written one after the other, opened as one part a micro-batch."""
     spark = streams.spark
     log = table(spark, sf_dir, name)
+    if (sf_dir, name) not in streams.written:
+        streams.written[sf_dir, name] = _write_event_files(streams, log)
+    base = streams.written[sf_dir, name]
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", streams.files).parquet(f"{base}/part=*")
+
+
+def _write_event_files(streams: Streams, log: DataFrame) -> str:
+    spark = streams.spark
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = log.agg(F.min(micros), F.max(micros)).first()
     step = (high + streams.delay_us - low) // streams.batches + 1
@@ -72,7 +82,7 @@ def _event_files(streams: Streams, sf_dir: str, name: str) -> DataFrame:
         kinds = spark.createDataFrame([(kind,) for kind in EVENT_NAMES], "event_type string")
         rows = kinds.select(*[F.expr(last.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in log.schema.fields])
         rows.coalesce(1).write.parquet(f"{base}/part={streams.batches}")
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", streams.files).parquet(f"{base}/part=*")
+    return base
 
 
 def events(spark: SparkSession | Streams, sf_dir: str) -> DataFrame:

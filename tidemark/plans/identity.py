@@ -192,10 +192,12 @@ def _error_context(spark, sf):
     )
 
 
-@query(
-    "enrich_events",
-    sql(
-        f"""WITH {_SUPER}, {_IDENTITY}, {_LIFECYCLE},
+BAG = (
+    "map_filter(map('plan', case when k % 5 = 0 then 'caller' end, 'note', concat('mail u', user_id, '@example.com'), "
+    "'sessionId', 'given'), (k, v) -> v is not null) as properties"
+)
+
+_ENRICHED = f"""WITH {_SUPER}, {_IDENTITY}, {_LIFECYCLE},
         log AS (SELECT dev, ts_us, event_id, max(session_id) FILTER (WHERE name = 'session.started') AS session_id FROM emitted GROUP BY ALL),
         e1 AS (SELECT e.*, s.plan, s.tier FROM v_events e ASOF LEFT JOIN supers s ON e.dev = s.dev AND e.ts_us >= s.ts_us),
         e2 AS (SELECT e.*, l.session_id FROM e1 e ASOF LEFT JOIN log l ON e.dev = l.dev AND e.ts_us >= l.ts_us),
@@ -208,7 +210,13 @@ def _error_context(spark, sf):
                CASE WHEN name <> '$error' THEN tier END AS tier, CASE WHEN name <> '$error' THEN version END AS app_version,
                CASE WHEN name = '$error' THEN 'mail u' || user_id || '@example.com' ELSE 'mail <email>' END AS note,
                CASE WHEN name = '$error' THEN 'given' ELSE coalesce(session_id, 'given') END AS session_id
-        FROM e5 WHERE coalesce(granted, true)""",
+        FROM e5 WHERE coalesce(granted, true)"""
+
+
+@query(
+    "enrich_events",
+    sql(
+        _ENRICHED,
         "v_super_log",
         "v_identity_log",
         "v_lifecycle",
@@ -217,11 +225,7 @@ def _error_context(spark, sf):
     ),
 )
 def _enrich(spark, sf):
-    bag = (
-        "map_filter(map('plan', case when k % 5 = 0 then 'caller' end, 'note', concat('mail u', user_id, '@example.com'), "
-        "'sessionId', 'given'), (k, v) -> v is not null) as properties"
-    )
-    events = fx.events(spark, sf).selectExpr("event_id", "dev", "ts_us", "name", bag)
+    events = fx.events(spark, sf).selectExpr("event_id", "dev", "ts_us", "name", BAG)
     device = fx.launches(spark, sf).selectExpr("dev", "ts_us", "event_id", "map('app_version', version) as payload")
     out = enrich_events(
         events,

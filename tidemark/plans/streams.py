@@ -18,7 +18,7 @@ from ..streaming.deliver import subscribe
 from ..streaming.run import run_available
 from .commerce import _BILLING, _REPLAYS, _SYNCS, _syncs
 from .health import _TAPS, _VIEWS, _greedy
-from .identity import _CONSENTED, _IDENTITY, _SUPER
+from .identity import _CONSENTED, _ENRICHED, _IDENTITY, _SUPER, BAG
 from .registry import QUERIES, query
 from .sessions import _LIFECYCLE, _SESSIONS
 from .sources import _OUTCOMES_SQL, timed_attempts
@@ -121,6 +121,23 @@ def _jank(spark, sf):
     return _without_end(run_available(jank)).withColumn("window_start_us", F.expr("window_start_us * 100"))
 
 
+@query("stream_enrich_events", sql(_ENRICHED, "v_super_log", "v_identity_log", "v_lifecycle", "v_launches", "v_consent_log"))
+def _enrich(spark, sf):
+    """Events and all changes to what is in force, in one stream out of order."""
+    streams = _shuffled(spark)
+    log = stateful.enriching_log(
+        events=fx.events(streams, sf).selectExpr("event_id", "dev", "ts_us", "name", BAG),
+        identity=fx.identity_log(streams, sf),
+        consent=fx.consent_log(streams, sf),
+        super_properties=fx.super_log(streams, sf),
+        device=fx.launches(streams, sf).selectExpr("dev", "ts_us", "event_id", "map('app_version', version) as payload"),
+        lifecycle=fx.lifecycle(streams, sf),
+    )
+    found = _without_end(run_available(stateful.enrich_stream(log, late=LATE)))
+    names = (("plan", "plan"), ("tier", "tier"), ("app_version", "app_version"), ("note", "note"), ("sessionId", "session_id"))
+    return found.select("event_id", "developer_user_id", *[F.try_element_at("properties", F.lit(n)).alias(a) for n, a in names])
+
+
 _LATE_ROWS = "late AS (SELECT min(ts_us) + (max(ts_us) - min(ts_us)) // 3 AS until FROM v_events)"
 
 

@@ -58,6 +58,14 @@ class Rule:
         """The state of a key without rows."""
         raise NotImplementedError
 
+    def opened(self, state: list) -> list:
+        """The stored state as ``step`` works on it."""
+        return state
+
+    def stored(self, state: list) -> list:
+        """The reverse of ``opened``."""
+        return state
+
     def step(self, key, state: list, row) -> Iterator[tuple]:
         """Fold a row into ``state``; output rows."""
         raise NotImplementedError
@@ -162,10 +170,10 @@ class InOrder(StatefulProcessor):
     # Folding
 
     def _fold(self, key, rows: Iterable) -> Iterator[pd.DataFrame]:
-        state = list(self.state.get()) if self.state.exists() else list(self.rule.start())
+        state = self.rule.opened(list(self.state.get()) if self.state.exists() else list(self.rule.start()))
         made = chain.from_iterable(self.rule.step(key[0], state, row) for row in rows)
         yield from self._frames(made)
-        self.state.update(tuple(state))
+        self.state.update(tuple(self.rule.stored(state)))
         self._wake(self.rule.deadline(state))
 
     def _frames(self, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
@@ -226,7 +234,7 @@ class InOrder(StatefulProcessor):
         if held:
             self._wake(min(first for _, _, first in held.values()) // self.rule.unit + 1)
         while self.state.exists():
-            state = list(self.state.get())
+            state = self.rule.opened(list(self.state.get()))
             due = self.rule.deadline(state)
             if due is None or due > watermark:
                 break
@@ -235,7 +243,7 @@ class InOrder(StatefulProcessor):
             if after is None:
                 self.state.clear()
             else:
-                self.state.update(tuple(after))
+                self.state.update(tuple(self.rule.stored(after)))
                 self._wake(self.rule.deadline(after))
 
 

@@ -10,9 +10,13 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import reduce
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.privacy import scrub_pii
 from .inorder import Rule, fold_in_order
 
 DAY_MS = 86_400_000
@@ -147,18 +151,23 @@ class SuperProperties(Rule):
     def start(self):
         return ["{}"]
 
+    def opened(self, state):
+        return [json.loads(state[0])]
+
+    def stored(self, state):
+        return [json.dumps(state[0])]
+
     def step(self, key, state, row):
-        held = json.loads(state[0])
+        held = state[0]
         if row.op == "clear":
-            held = {}
+            held.clear()
         elif row.key and row.op == "register":
             held[row.key] = row.value
         elif row.key and row.op == "registerOnce":
             held.setdefault(row.key, row.value)
         elif row.key and row.op == "unregister":
             held.pop(row.key, None)
-        state[0] = json.dumps(held)
-        yield key, row.ts_us, row.event_id, held
+        yield key, row.ts_us, row.event_id, dict(held)
 
 
 class FrameJank(Rule):
@@ -241,6 +250,100 @@ class EntitlementChanges(Rule):
         return list(self.closed(key, state)), state
 
 
+class EnrichEvents(Rule):
+    """Everything in force when an event happened, from one log of events and of the changes to what is in force.
+
+    ``kind`` says what a row is; a change at an event's time counts as earlier, so its ``seq`` is the lesser. ``a``,
+    ``b`` and ``data`` are what the kind needs. The state is one JSON object: an identity, a property map, an open
+    session, the last consent and the last device.
+    """
+
+    reads = ("ts_us", "seq", "event_id", "kind", "op", "a", "b", "data")
+    state_schema = "held string"
+    output = (
+        "dev string, ts_us long, event_id long, name string, properties map<string,string>, anonymous_id string, "
+        "developer_user_id string, customer_id string"
+    )
+
+    def __init__(self, idle: int):
+        self.identity, self.supers, self.lifecycle = FoldIdentity(), SuperProperties(), LifecycleSessions(idle)
+
+    def start(self):
+        fresh = {"identity": self.identity.start(), "ids": None, "supers": {}, "lifecycle": self.lifecycle.start(), "session": None, "consent": None, "device": {}}
+        return [json.dumps(fresh)]
+
+    def opened(self, state):
+        return [json.loads(state[0])]
+
+    def stored(self, state):
+        return [json.dumps(state[0])]
+
+    def step(self, key, state, row):
+        if key is None:
+            # Rows without a device do not see each other.
+            state = self.opened(self.start())
+        held = state[0]
+        if row.kind == "event":
+            yield from self.event(key, held, row)
+        elif row.kind == "identity":
+            (made,) = self.identity.step(key, held["identity"], SimpleNamespace(ts_us=row.ts_us, event_id=row.event_id, op=row.op, user=row.a, customer=row.b))
+            held["ids"] = made[-3:]
+        elif row.kind == "super":
+            list(self.supers.step(key, [held["supers"]], SimpleNamespace(ts_us=row.ts_us, event_id=row.event_id, op=row.op, key=row.a, value=row.b)))
+        elif row.kind == "lifecycle":
+            made = list(self.lifecycle.step(key, held["lifecycle"], row))
+            if made:
+                held["session"] = next((r[4] for r in made if r[3] == "session.started"), None)
+        elif row.kind == "consent":
+            held["consent"] = [row.a, row.b]
+        elif row.kind == "device":
+            held["device"] = json.loads(row.data or "{}")
+
+    def event(self, key, held, row):
+        is_error = row.op == "$error"
+        if held["consent"] is not None and held["consent"][is_error] == "false":
+            return
+        own = json.loads(row.data) if row.data else None
+        bag = own
+        if not is_error:
+            bag = {**held["supers"], **held["device"], **(own or {})}
+            if held["session"] is not None:
+                bag["sessionId"] = held["session"]
+        yield key, row.ts_us, row.event_id, row.op, bag, *(held["ids"] or (key, None, None))
+
+
+def enriching_log(events: DataFrame, identity: DataFrame, consent: DataFrame, super_properties: DataFrame, device: DataFrame, lifecycle: DataFrame, key: str = "dev") -> DataFrame:
+    """The rows of all logs as ``EnrichEvents`` reads them."""
+    text = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, kind: str, op=text, a=text, b=text, data=text) -> DataFrame:
+        # Changes come before the events of their time.
+        seq = F.col("event_id") + (1 << 62 if kind == "event" else 0)
+        return df.select(key, "ts_us", seq.alias("seq"), "event_id", F.lit(kind).alias("kind"), op.alias("op"), a.alias("a"), b.alias("b"), data.alias("data"))
+
+    def bag(column: str):
+        return F.to_json(column, {"ignoreNullFields": "false"})
+
+    parts = [
+        rows(events, "event", F.col("name"), data=bag("properties")),
+        rows(identity, "identity", F.col("op"), F.col("user"), F.col("customer")),
+        rows(consent, "consent", a=F.col("analytics").cast("string"), b=F.col("errors").cast("string")),
+        rows(super_properties, "super", F.col("op"), F.col("key"), F.col("value")),
+        rows(device, "device", data=bag("payload")),
+        rows(lifecycle, "lifecycle", F.col("op")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def enrich_stream(log: DataFrame, late: str, idle: int = 30 * 60 * 1_000_000, scrub: bool = True, key: str = "dev", rejects: bool = False) -> DataFrame:
+    """``operators.identity.enrich_events`` on a stream of the rows of ``enriching_log``, whatever order they come in."""
+    rows = fold_in_order(log, EnrichEvents(idle), key, late, rejects)
+    if not scrub:
+        return rows
+    clean = F.when(F.col("name") == "$error", F.col("properties")).otherwise(F.transform_values("properties", lambda _, v: scrub_pii(v)))
+    return rows.withColumn("properties", clean)
+
+
 def lifecycle_stream(ops: DataFrame, idle: int = 30 * 60 * 1_000_000, key: str = "dev", late: str | None = None) -> DataFrame:
     return fold_in_order(ops, LifecycleSessions(idle), key, late)
 
