@@ -1,3 +1,4 @@
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -59,18 +60,27 @@ def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("hidden", ["", "tidemark.llm,corpus_pipeline"])
-def test_entry_with_and_without_this_package(hidden):
-    code = f"""
-import sys
-class Hide:
-    def find_spec(self, name, path=None, target=None):
-        if any(name == h or name.startswith(h + ".") for h in {hidden.split(",") if hidden else []!r}):
-            raise ModuleNotFoundError(name, name=name)
-sys.meta_path.insert(0, Hide())
+GONE = {"": 14, "tidemark/llm": 0, "tidemark/llm,corpus_pipeline.py": 0, "corpus_pipeline.py": 13}
+
+
+@pytest.mark.parametrize("gone", GONE)
+def test_entry_in_a_copy_without_this_package(gone, tmp_path):
+    left_out = shutil.ignore_patterns(".git", "__pycache__", "*.json", "*.md")
+    shutil.copytree(REPO, tmp_path / "copy", ignore=left_out)
+    for name in filter(None, gone.split(",")):
+        path = tmp_path / "copy" / name
+        shutil.rmtree(path) if path.is_dir() else path.unlink()
+    code = """
 import __spark_entry__ as e
 names = e.queries()
-print(len(names), sum(n.startswith("op") or n == "pipeline" for n in names))
+print(len(names), sum(n.startswith("op") or n == "pipeline" for n in names), len(e.oracle_sql()))
 """
-    out = subprocess.run([sys.executable, "-c", code], cwd=REPO, capture_output=True, text=True, check=True).stdout.split()
-    assert int(out[1]) == (0 if hidden else 14)
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[1]) == GONE[gone] and int(out[0]) > 100
+
+
+def test_an_error_inside_the_package_is_not_swallowed(tmp_path):
+    shutil.copytree(REPO, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "__pycache__", "*.json", "*.md"))
+    (tmp_path / "copy/tidemark/llm/queries.py").write_text("import no_such_module")
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; e.queries()"], cwd=tmp_path / "copy", capture_output=True, text=True)
+    assert run.returncode and "no_such_module" in run.stderr

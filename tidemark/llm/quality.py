@@ -1,99 +1,100 @@
 """Text quality by an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over character classes: 40 of them, four in a row. That bounds its
-table to 40^4 probabilities however large the corpus is, so every task can hold
-it. Counts are taken over all trusted documents, summed by n-gram over shards,
-and joined with the counts of their contexts and of shorter n-grams to give the
-probabilities. A document's perplexity is compared with a quantile of trusted
-documents of its language that the model has not seen.
+The model is over words, three in a row, and holds every n-gram of the trusted
+documents, so it grows with them. It lives in tables only: trigrams are counted
+and summed by a shuffle; the counts of shorter n-grams are numbers of different
+words to the left; discounted counts are joined with the sums of their contexts
+and with the order below. Names of n-grams are 64-bit hashes.
+
+A document's log probability is a sum over its n-grams of all orders. Take off
+from each seen n-gram's log probability what its context's back-off and the order
+below would have given: then a token's probability is the sum of what its three
+n-grams and their contexts are worth, and an unseen n-gram is worth nothing. So a
+document's n-grams are counted first and joined once with the n-grams' worth; AQE
+splits the n-grams that many documents share. Perplexity is compared with a
+quantile of trusted documents of the same language that the model has not seen.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import annotate, discard, steps, table, written
+from .common import discard, steps, table, written
 
-SYMBOLS = 40
-ORDER = 4
+WORD = re.compile(r"[^ \t-\r]+")
 #: A document is not kept above SLACK times this quantile of its language's trusted documents.
 QUANTILE = 0.99
 SLACK = 1.1
 #: One in so many trusted documents is not counted but gives the quantiles, as counted ones look better than they are.
 HELD = 4
-_PIECE = 1 << 20
-
-
-def symbol_table() -> np.ndarray:
-    """Class of each code point up to U+024F; those beyond are letters, hashed to seven classes, or the last class."""
-    out = np.zeros(0x250, dtype=np.uint8)
-    for code in range(0x250):
-        c = chr(code)
-        if "a" <= c <= "z":
-            out[code] = 1 + code - ord("a")
-        elif c.isupper():
-            out[code] = 27
-        elif c.isdigit():
-            out[code] = 28
-        elif c in "\n\r":
-            out[code] = 29
-        elif c.isspace():
-            out[code] = 0
-        elif c in ".,;:":
-            out[code] = 30
-        elif code < 128:
-            out[code] = 31
-        elif c.isalpha():
-            out[code] = 32 + code * 11 % 7
-        else:
-            out[code] = 39
-    return out
-
-
-_TABLE = symbol_table()
-
-
-def symbols(text: str) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-    low = np.minimum(codes, 0x24F)
-    beyond = np.where((codes < 0x2000) | ((codes >= 0x2C00) & (codes < 0x1F000)), 32 + codes * 11 % 7, 39)
-    return np.where(codes < 0x250, _TABLE[low], beyond).astype(np.int64)
-
-
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram ending at each character of the texts, and how many each text has. Before a text stand blanks."""
-    blank = np.zeros(ORDER - 1, dtype=np.int64)
-    parts, sizes = [], []
-    for text in texts:
-        for a in range(0, len(text), _PIECE) if text else []:
-            lead = symbols(text[max(0, a - ORDER + 1) : a])
-            s = np.concatenate([blank[len(lead) :], lead, symbols(text[a : a + _PIECE])])
-            g = s[: len(s) - ORDER + 1]
-            for k in range(1, ORDER):
-                g = g * SYMBOLS + s[k : len(s) - ORDER + 1 + k]
-            parts.append(g)
-        sizes.append(len(text))
-    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), np.array(sizes, dtype=np.int64)
-
-
-def count_grams(texts: DataFrame) -> DataFrame:
-    """gram and n over all rows of the one text column: counted in each task, then summed by n-gram."""
+#: Names of words that a task keeps.
+KEPT = 1 << 18
+#: Words of a text turned into n-grams at a time.
+PIECE = 1 << 20
+_START = "\n"
+
+
+class Names(dict):
+    """64-bit names of words, kept once made."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KEPT:
+            self.clear()
+        name = self[word] = xxhash.xxh3_64_intdigest(word)
+        return name
+
+
+def mixed(x: np.ndarray, order: int) -> np.ndarray:
+    """The name of an n-gram of ``order`` from a sum over its words' names; scrambled, so that orders do not meet."""
+    x = x + np.uint64(0x9E3779B97F4A7C15 * order & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+def grams(text: str, names: Names) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each word of a text: the names of its trigram, of the bigram before and the one it ends, of the word before and itself."""
+    start = np.array([names[_START]] * 2, dtype=np.uint64)
+    words = WORD.finditer(text)
+    left = start
+    while True:
+        some = [names[m.group()] for _, m in zip(range(PIECE), words, strict=False)]
+        if not some:
+            return
+        w = np.concatenate([left, np.array(some, dtype=np.uint64)])
+        left = w[-2:]
+        a, b, c = w[:-2], w[1:-1], w[2:]
+        odd, other = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+        yield mixed(a * odd + b * other + c, 3), mixed(a * other + b, 2), mixed(b * other + c, 2), mixed(b, 1), mixed(c, 1)
+
+
+def count_trigrams(texts: DataFrame) -> DataFrame:
+    """gram, context, rest, second, last and n of all trigrams of the one text column, summed over shards.
+
+    ``rest`` is the trigram without its first word and ``second`` that without its last.
+    """
+    columns = ["gram", "context", "rest", "second", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
+        names = Names()
         for batch in batches:
             for a, b in steps(batch.column(0)):
-                counts += np.bincount(grams([t or "" for t in batch.column(0).slice(a, b - a).to_pylist()])[0], minlength=len(counts))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["gram", "n"])
+                found = [g for t in batch.column(0).slice(a, b - a).to_pylist() for g in grams(t or "", names)]
+                if not found:
+                    continue
+                whole = [np.concatenate(c) for c in zip(*found, strict=True)]
+                _, first, n = np.unique(whole[0], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c[first]) for c in whole], pa.array(n)], names=[*columns, "n"])
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = texts.mapInArrow(run, ", ".join(f"{c} long" for c in (*columns, "n")))
+    return rows.groupBy("gram").agg(*[F.first(c).alias(c) for c in columns[1:]], F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -112,75 +113,120 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     )
 
 
-def probabilities(counts: DataFrame) -> np.ndarray:
-    """log P(last | first three) of all SYMBOLS^ORDER n-grams, from the counts of those seen.
+def discounted(level: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``level`` with ``off``, what is taken off its counts, and each context's total and log back-off."""
+    d1, d2, d3 = discounts(level)
+    cut = level.withColumn("off", F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3))
+    contexts = cut.groupBy("context").agg(F.sum("n").alias("total"), F.sum("off").alias("mass"))
+    return cut, contexts.select("context", "total", F.log(F.col("mass") / F.col("total")).alias("backoff"))
 
-    Orders below the highest count the different symbols to the left of an
-    n-gram. Each order is joined with its contexts' sums and with the order
-    below; the first is interpolated with equal probabilities.
-    """
-    spark = counts.sparkSession
-    levels = {ORDER: written(counts)}
-    for k in range(ORDER - 1, 0, -1):
-        levels[k] = written(levels[k + 1].groupBy((F.col("gram") % SYMBOLS**k).alias("gram")).agg(F.count(F.lit(1)).alias("n")))
-    lower = spark.range(1).select(F.lit(0).cast("long").alias("gram"), F.lit(1.0 / SYMBOLS).alias("p"))
-    steps_written: list[DataFrame] = []
-    for k in range(1, ORDER + 1):
-        d1, d2, d3 = discounts(levels[k])
-        off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        cut = levels[k].withColumn("off", F.least(off, F.col("n").cast("double"))).withColumn("context", F.floor(F.col("gram") / SYMBOLS))
-        contexts = cut.groupBy("context").agg(F.sum("n").alias("total"), F.sum("off").alias("mass"))
-        every = spark.range(SYMBOLS**k).select(F.col("id").alias("gram"), F.floor(F.col("id") / SYMBOLS).alias("context"), (F.col("id") % SYMBOLS ** (k - 1)).alias("rest"))
-        # The order below is over the last k - 1 symbols; for the first order it is the equal one.
-        below = lower.select(F.col("gram").alias("rest"), F.col("p").alias("below"))
-        joined = every.join(cut.select("gram", "n", "off"), "gram", "left").join(contexts, "context", "left").join(below, "rest")
-        p = F.when(F.col("total").isNull(), F.col("below")).otherwise(
-            (F.coalesce(F.col("n") - F.col("off"), F.lit(0.0)) + F.col("mass") * F.col("below")) / F.col("total")
-        )
-        lower = written(joined.select("gram", p.alias("p")))
-        steps_written.append(lower)
-    # 40^4 rows, whatever the corpus.
-    found = lower.select("gram", F.log("p").cast("float").alias("log")).toArrow()
-    for done in (*levels.values(), *steps_written):
-        discard(done)
-    out = np.zeros(SYMBOLS**ORDER, dtype=np.float32)
-    out[found.column("gram").to_numpy()] = found.column("log").to_numpy()
-    return out
-
-
-def with_perplexity(docs: DataFrame, logs: np.ndarray, text_col: str = "text", drop: tuple[str, ...] = ("text",)) -> DataFrame:
-    """``docs`` with perplexity per character; null for a text without any."""
-    shared = docs.sparkSession.sparkContext.broadcast(logs)
-
-    def make() -> Callable[[list], dict[str, list]]:
-        def apply(texts: list) -> dict[str, list]:
-            found, sizes = grams([t or "" for t in texts])
-            ends = np.cumsum(sizes)
-            full = sizes > 0
-            sums = np.zeros(len(sizes))
-            if full.any():
-                sums[full] = np.add.reduceat(shared.value[found].astype(np.float64), (ends - sizes)[full])
-            return {"perplexity": [float(np.exp(-s / n)) if n else None for s, n in zip(sums.tolist(), sizes.tolist(), strict=True)]}
-
-        return apply
-
-    return annotate(docs, make, [T.StructField("perplexity", T.DoubleType())], text_col, drop)
+
+class Model:
+    """``worth``: gram, as_end and as_context, in logarithms; ``unknown``: the log probability of a word never seen."""
+
+    def __init__(self, worth: DataFrame, unknown: float, tables: list[DataFrame]) -> None:
+        self.worth, self.unknown, self.tables = worth, unknown, tables
+
+    def discard(self) -> None:
+        for one in self.tables:
+            discard(one)
+
+
+def fit(texts: DataFrame) -> Model | None:
+    """The model of the one text column; None where it has no word."""
+    third = written(count_trigrams(texts))
+    second = third.groupBy(F.col("rest").alias("gram")).agg(F.first("second").alias("context"), F.first("last").alias("rest"), F.count(F.lit(1)).alias("n"))
+    second = written(second)
+    first = written(second.groupBy(F.col("rest").alias("gram")).agg(F.count(F.lit(1)).alias("n")))
+    words, total = first.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if not words:
+        return None
+    d1, d2, d3 = discounts(first)
+    off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+    unknown = first.agg(F.sum(off)).first()[0] / total / (words + 1)
+    # One word: its discounted count, and an equal share of what is left for it and each other word, known or not.
+    p1 = written(first.select("gram", F.log((F.col("n") - off) / total + F.lit(unknown)).alias("p")))
+
+    def level(counts: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
+        cut, contexts = discounted(counts)
+        contexts = written(contexts)
+        joined = cut.join(contexts, "context").join(below.select(F.col("gram").alias("rest"), F.col("p").alias("below")), "rest")
+        p = F.log((F.col("n") - F.col("off")) / F.col("total") + F.exp(F.col("backoff") + F.col("below")))
+        return written(joined.select("gram", p.alias("p"), (p - F.col("backoff") - F.col("below")).alias("worth"))), contexts
+
+    p2, contexts2 = level(second, p1)
+    p3, contexts3 = level(third, p2)
+    nothing = F.lit(0.0)
+
+    def ends(df: DataFrame, worth: Column) -> DataFrame:
+        return df.select("gram", worth.alias("as_end"), nothing.alias("as_context"))
+
+    def contexts(df: DataFrame) -> DataFrame:
+        return df.select(F.col("context").alias("gram"), nothing.alias("as_end"), F.col("backoff").alias("as_context"))
+
+    # An n-gram may have a row as an end and one as a context; both are its worth.
+    parts = [ends(p1, F.col("p") - F.lit(float(np.log(unknown)))), ends(p2, F.col("worth")), ends(p3, F.col("worth")), contexts(contexts2), contexts(contexts3)]
+    worth = parts[0]
+    for part in parts[1:]:
+        worth = worth.unionByName(part)
+    return Model(worth, float(np.log(unknown)), [third, second, first, p1, p2, p3, contexts2, contexts3])
+
+
+def document_grams(rows: DataFrame) -> DataFrame:
+    """``_doc``, gram, and the shares of the document's words at which the n-gram ends, or is the context of one more word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Names()
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = list(grams(text or "", names))
+                if not found:
+                    continue
+                g3, g12, g23, g2, g1 = (np.concatenate(c) for c in zip(*found, strict=True))
+                size = len(g1)
+                name, at = np.unique(np.concatenate([g3, g23, g1, g12, g2]), return_inverse=True)
+                ends = np.bincount(at[: 3 * size], minlength=len(name))
+                contexts = np.bincount(at[3 * size :], minlength=len(name))
+                arrays = [pa.array(np.full(len(name), doc)), pa.array(name), pa.array((ends / size).astype(np.float32)), pa.array((contexts / size).astype(np.float32))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["_doc", "gram", "ends", "contexts"])
+
+    return rows.select("_doc", "_text").mapInArrow(run, "_doc long, gram long, ends float, contexts float")
+
+
+def with_perplexity(rows: DataFrame, model: Model) -> DataFrame:
+    """``_doc``, ``_id``, ``_lang`` of every row and its perplexity a word; null for a text without words."""
+    share = F.sum(F.col("ends") * F.col("as_end") + F.col("contexts") * F.col("as_context"))
+    scores = document_grams(rows).join(model.worth, "gram").groupBy("_doc").agg(share.alias("_sum"))
+    narrow = rows.select("_doc", "_id", "_lang", F.col("_text").rlike(r"[^\x20\x09-\x0D]").alias("_words"))
+    # Rows of one id and text share a name, so their sums are of all of them.
+    alike = narrow.groupBy("_doc").agg(F.count(F.lit(1)).alias("_alike"))
+    joined = narrow.join(alike, "_doc").join(scores, "_doc", "left")
+    log = F.lit(model.unknown) + F.coalesce(F.col("_sum") / F.col("_alike"), F.lit(0.0))
+    return joined.select("_doc", "_id", "_lang", F.when(F.col("_words"), F.exp(-log)).alias("perplexity"))
 
 
 def classify_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE) -> DataFrame:
     """One row per document: ``id_col``, lang, perplexity, threshold, kept.
 
     ``trusted_ids`` has the ids whose text is trusted; null ids are in neither. A
-    null or empty text has no perplexity and is not kept. A language without
+    text that is null or has no words has no perplexity and is not kept. A language without
     trusted documents, or none, takes the quantile of all trusted ones; without
-    any trusted document every text is kept. Repeated rows are judged each for
-    itself; other columns are ignored; no rows give no rows.
+    any trusted document every text with words is kept, without perplexity. A perplexity equal to
+    the threshold is kept. Repeated rows are judged each for itself, texts of any length are read
+    whole; other columns are ignored; no rows give no rows.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).cast("string").alias("_text"))
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang_col}`").alias("_lang"), F.coalesce(text, F.lit("")).alias("_text"))
+    rows = rows.withColumn("_doc", F.xxhash64("_id", "_text"))
     trusted = trusted_ids.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
     held = F.pmod(F.xxhash64("_id", F.lit("held")), F.lit(HELD)) == 0
-    logs = probabilities(count_grams(rows.join(trusted.filter(~held).hint("shuffle_hash"), "_id", "left_semi").select("_text")))
-    scored = written(with_perplexity(rows, logs, "_text", drop=("_text",)))
+    model = fit(rows.join(trusted.filter(~held), "_id", "left_semi").select("_text"))
+    if model is None:
+        words = F.col("_text").rlike(r"[^\x20\x09-\x0D]")
+        blank = F.lit(None).cast("double")
+        return rows.select(F.col("_id").alias(id_col), F.col("_lang").alias("lang"), blank.alias("perplexity"), blank.alias("threshold"), words.alias("kept"))
+    scored = written(with_perplexity(rows, model))
+    model.discard()
     judged = scored.filter("perplexity is not null").join(trusted.filter(held), "_id", "left_semi")
     by_language = judged.groupBy("_lang").agg(F.percentile_approx("perplexity", quantile, 1000).alias("own"))
     overall = judged.agg(F.percentile_approx("perplexity", quantile, 1000)).first()[0]
