@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixtures import sql
-from ..operators import rollups
+from ..operators import rollups, sketches
+from ..session import checkpoint_dir
 from .registry import query
 
 _PAGED = """paged AS (SELECT user_id, CASE WHEN k % 4 = 0 THEN 'https://x/' || (k % 8) WHEN k % 4 = 1 THEN '/p' || k ELSE 'Screen' || (k % 5) END AS page
@@ -58,3 +61,26 @@ def _group_rollup(spark, sf):
         "dev", "ts_us", "event_id", "'org' as group_type", "case when k % 4 <> 0 then concat('org_', k % 6) end as group_key"
     )
     return rollups.group_rollup(events.select("dev", "ts_us", "event_id", "user_id"), groups, "org")
+
+
+@query(
+    "weekly_sketches",
+    sql("SELECT name, ts_us // 604800000000 AS week, count(*) AS rows, true AS users_near, true AS median_near, true AS p90_near FROM v_events GROUP BY ALL", "v_events"),
+)
+def _weekly_sketches(spark, sf):
+    """Weeks from stored daily sketches; users and ranks are held against exact counts, within the stated bounds."""
+    events = fx.events(spark, sf).selectExpr("name", "ts_us", "user_id", "cast(value * 100 as bigint) as value")
+    path = f"{checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    sketches.daily_sketches(events, ["name"], value="value").write.parquet(path)
+    weeks = sketches.merge_sketches(spark.read.parquet(path), ["name", F.expr("day div 7").alias("week")])
+    found = sketches.read_sketches(weeks, {"median": 0.5, "p90": 0.9})
+    week = events.withColumn("week", F.expr("ts_us div 604800000000"))
+    users = rollups.rows_and_users(week, ["name", "week"]).select("name", "week", F.col("users").alias("exact"))
+    met = week.join(found.select("name", "week", "median", "p90"), ["name", "week"])
+    bounds = {}
+    for name, share in (("median", 0.5), ("p90", 0.9)):
+        below, upto = F.avg((F.col("value") < F.col(name)).cast("double")), F.avg((F.col("value") <= F.col(name)).cast("double"))
+        bounds[f"{name}_near"] = (below <= share + sketches.RANK_ERROR) & (upto >= share - sketches.RANK_ERROR)
+    ranks = met.filter("value is not null").groupBy("name", "week").agg(*[c.alias(n) for n, c in bounds.items()])
+    near = F.abs(F.col("users") - F.col("exact")) <= sketches.USERS_ERROR * F.col("exact")
+    return found.join(users, ["name", "week"]).join(ranks, ["name", "week"]).select("name", "week", "rows", near.alias("users_near"), "median_near", "p90_near")
