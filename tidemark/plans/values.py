@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixtures import sql
-from ..functions import privacy, values
+from ..functions import jsonpaths, privacy, values
 from ..functions.urls import ATTRIBUTION_KEYS, deep_link_properties, extract_attribution, host_of, is_self_request, project_push
 from ..functions.wire import idempotency_key, user_slot
 from ..operators import gates
@@ -119,6 +119,66 @@ def _poisoned(spark, sf):
     )
 
 
+def _bag_nodes(spark, sf, max_depth):
+    """The paths of each document's bag as free JSON, and the document's id."""
+    who = F.struct("text", F.when(F.col("doc_id") % 3 != 0, F.col("source")).alias("source"), F.col("lang").alias("Email"))
+    bag = F.struct(who.alias("user"), "n_chars", F.array("lang", "text").alias("list"), F.array(F.struct(F.lit("x").alias("password_hash"))).alias("login"))
+    bags = fx.documents(spark, sf).select("doc_id", F.to_json(bag, {"ignoreNullFields": "false"}).alias("bag"))
+    return jsonpaths.with_json_nodes(bags, "bag", "nodes", max_depth)
+
+
+@query(
+    "free_json_warnings",
+    """SELECT doc_id, unnest(['text', 'list[1]']) AS key, 'truncated_string' AS kind FROM documents WHERE length(text) > 1024""",
+)
+def _json_warnings(spark, sf):
+    rows = _bag_nodes(spark, sf, values.MAX_DEPTH).select("doc_id", F.explode(jsonpaths.json_warnings(F.col("nodes"))).alias("w"))
+    return rows.select("doc_id", "w.key", "w.kind")
+
+
+@query(
+    "scrub_json_paths",
+    f"""WITH d AS (SELECT doc_id, lang, source, n_chars, {_scrub_sql('text')} AS text FROM documents), leaf(path) AS (VALUES ('/user/text'), ('/user/source'),
+          ('/user/Email'), ('/n_chars'), ('/list/0'), ('/list/1'), ('/login/0/password_hash'))
+        SELECT doc_id, path, CASE path WHEN '/user/text' THEN text WHEN '/user/source' THEN CASE WHEN doc_id % 3 <> 0 THEN source END WHEN '/user/Email' THEN lang
+          WHEN '/n_chars' THEN CAST(n_chars AS VARCHAR) WHEN '/list/0' THEN lang WHEN '/list/1' THEN text ELSE 'x' END AS value FROM d, leaf""",
+)
+def _json_paths(spark, sf):
+    nodes = _bag_nodes(spark, sf, privacy.SCRUB_MAX_DEPTH)
+    rows = nodes.select("doc_id", F.inline(jsonpaths.scrub_json_nodes(F.col("nodes"))))
+    return rows.filter(~F.col("kind").isin(jsonpaths.OBJECT, jsonpaths.LIST)).select("doc_id", "path", "value")
+
+
+@query(
+    "sensitive_json_paths",
+    "SELECT doc_id, unnest(['/user/Email', '/login/0/password_hash']) AS path FROM documents",
+)
+def _json_sensitive(spark, sf):
+    return _bag_nodes(spark, sf, values.MAX_DEPTH).select("doc_id", F.explode(jsonpaths.sensitive_json_paths(F.col("nodes"))).alias("path"))
+
+
+@query(
+    "poisoned_json_paths",
+    """SELECT doc_id, CASE doc_id % 8 WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'not_an_object' WHEN 4 THEN 'too_deep' END AS error,
+         CASE WHEN doc_id % 8 IN (1, 4, 6) THEN 0 WHEN doc_id % 8 = 3 THEN 5 WHEN doc_id % 8 = 5 THEN 34 WHEN doc_id % 8 = 0 THEN 3 ELSE 2 END AS n_nodes,
+         CASE doc_id % 8 WHEN 0 THEN '� x' END AS a,
+         CASE doc_id % 8 WHEN 3 THEN 'm[0]:not_finite,n:not_finite' WHEN 5 THEN 'd:depth_exceeded' ELSE '' END AS warnings FROM documents""",
+)
+def _json_poisoned(spark, sf):
+    # Kept apart from the bag, a row whose text cannot be read stays.
+    bags = fx.documents(spark, sf).select("doc_id", F.expr(_POISON).alias("j"))
+    rows = jsonpaths.with_json_nodes(bags, "j")
+    nodes = F.col("nodes")
+    found = F.transform(jsonpaths.json_warnings(nodes), lambda w: F.concat_ws(":", w["key"], w["kind"]))
+    return rows.select(
+        "doc_id",
+        jsonpaths.json_error(F.col("j"), nodes).alias("error"),
+        F.coalesce(F.size(nodes), F.lit(0)).alias("n_nodes"),
+        F.get(F.filter(nodes, lambda x: x["path"] == "/a"), F.lit(0))["value"].alias("a"),
+        F.array_join(F.array_sort(found), ",").alias("warnings"),
+    )
+
+
 @query(
     "property_warnings",
     f"""WITH {_DOC_BAG_SQL}
@@ -289,9 +349,10 @@ def _framework_screens(spark, sf):
     return gates.drop_framework_screens(views).select("event_id", "screen")
 
 
+# Half of the labels end in a word of a list, near misses among them; each holds its whole text, whose own words decide too.
 _LABELS = [*privacy.PII_LABEL_WORDS, "pine", "spinner", "shopping cart", "country"]
-_LABEL_SQL = f"""labels AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN upper(w) ELSE w END || ' ' || source AS label
-    FROM (SELECT doc_id, source, {_LABELS!r}[CAST(doc_id % {len(_LABELS)} AS INT) + 1] AS w FROM documents))"""
+_LABEL_SQL = f"""labels AS (SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 4 = 0 THEN ' ' || upper(w) WHEN doc_id % 4 = 1 THEN ' ' || w ELSE '' END AS label
+    FROM (SELECT doc_id, text, {_LABELS!r}[CAST(doc_id % {len(_LABELS)} AS INT) + 1] AS w FROM documents))"""
 
 
 @query(
@@ -300,7 +361,9 @@ _LABEL_SQL = f"""labels AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN upper(w
 )
 def _pii_labels(spark, sf):
     word = F.get(F.array(*[F.lit(w) for w in _LABELS]), (F.col("doc_id") % len(_LABELS)).cast("int"))
-    label = F.concat(F.when(F.col("doc_id") % 2 == 0, F.upper(word)).otherwise(word), F.lit(" "), "source")
+    kind = F.col("doc_id") % 4
+    tail = F.when(kind == 0, F.concat(F.lit(" "), F.upper(word))).when(kind == 1, F.concat(F.lit(" "), word)).otherwise("")
+    label = F.concat(F.coalesce("text", F.lit("")), tail)
     return gates.drop_pii_labels(fx.documents(spark, sf).select("doc_id", label.alias("label")), "label")
 
 

@@ -11,6 +11,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Merging property bags lets the later bag win.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # And so does the later of equal names in a JSON text.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
