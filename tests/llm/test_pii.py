@@ -70,6 +70,43 @@ def test_contexts_find_unseen_identifiers_only_where_they_are_confident(spark):
     assert got[112] == got[113] == ""
 
 
+def contact_rows(tail):
+    """A pattern that thirty known entities follow, and what else follows it."""
+    return [(i, f"note {i}: please reach-at: u{i}@mail.example now") for i in range(30)] + [(100 + i, t) for i, t in enumerate(tail)]
+
+
+def test_short_and_plain_identifiers_are_found_after_confident_patterns(spark):
+    tail = ["please reach-at: @janedoe now", "please reach-at: jane123 now", "please reach-at: root@localhost now", "please reach-at: jane12345 now"]
+    tail += ["please  reach-at:" + " " * 170 + "jane99999 now", "x" * 5000 + " reach-at: bob7", "reach-at: 2 times"]
+    # A token that mostly stands elsewhere is found where the pattern is and nowhere else.
+    tail += [f"in {i} parts of 2 things" for i in range(5)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(contact_rows(tail), "doc_id long, text string").repartition(4)).collect()}
+    assert [got[100 + i] for i in range(4)] == ["identifier:17:25", "identifier:17:24", "identifier:17:31", "identifier:17:26"]
+    assert got[104] == "identifier:187:196"
+    assert got[105] == "identifier:5011:5015"
+    assert got[106] == "identifier:10:11"
+    assert all(got[107 + i] == "" for i in range(5))
+
+
+def test_rounds_go_on_until_nothing_is_fresh(spark):
+    # A step's tokens stand after its own pattern and the next one's, which they alone vouch for; seven in ten must be known.
+    rows = [(i, f"reach-at: u{i}@mail.example end") for i in range(100)]
+    for step, n in enumerate([40, 17, 7, 3]):
+        here = "reach-at:" if step == 0 else f"tag{'abcd'[step]}:"
+        rows += [(1000 + 100 * step + i, f"{here} id{step}x{i} end") for i in range(n)]
+        if step < 3:
+            rows += [(2000 + 100 * step + i, f"tag{'abcd'[step + 1]}: id{step}x{i} end") for i in range(n)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(got[i].startswith("identifier:") for i, _ in rows if i >= 1000)
+
+
+def test_both_forms_of_counting_patterns_agree(spark, monkeypatch):
+    df = spark.createDataFrame(contact_rows(["please reach-at: jane123 now"]), "doc_id long, text string").repartition(4)
+    want = sorted(map(tuple, pii.personal_data(df).collect()))
+    monkeypatch.setattr(pii, "BROADCAST_PATTERNS", 0)
+    assert sorted(map(tuple, pii.personal_data(df).collect())) == want
+
+
 def test_ties_repeated_rows_nulls_and_other_columns(spark):
     rows = [(1, "a@b.cd", 1), (1, "a@b.cd", 2), (None, None, 3), (None, "call +1 222 333 4444", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans int")

@@ -1,11 +1,14 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
 The matches of four fixed patterns are the seeds. A lexical pattern is the one
-or two words to the left of a token that looks like an identifier. In each round
-the words around known entities become patterns, a pattern's confidence is the
-share of all its occurrences in the corpus that a known entity follows, and
-unseen tokens that confident patterns vouch for become known entities. All of
-it is DataFrame expressions; texts leave the scan once per round.
+or two words to the left of a token that holds a digit or an at sign. In each
+round the words before known entities become patterns, a pattern's confidence is
+the share of all its occurrences in the corpus that a known entity follows, and
+unseen tokens that confident patterns vouch for are found where these stand
+before them. Those that mostly stand there become known entities, are found
+everywhere and may make new patterns, until a round finds nothing fresh. All of
+it is DataFrame expressions; the texts are read once per round for the patterns
+that are new in it.
 """
 
 from __future__ import annotations
@@ -28,11 +31,15 @@ PATTERNS = {
 _OCTET = r"0*(?:|[1-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 #: A token with a digit or an at sign.
 _CANDIDATE = r"(?<![^ \t-\r])(?=[^ \t-\r0-9@]*+[0-9@])[^ \t-\r]++"
+# Begun only where a word begins, so that long words are read once.
+_WORD = r"(?<![^ \t-\r])([^ \t-\r]++)"
+_TWO_WORDS = r"(?<![^ \t-\r])([^ \t-\r]++[ \t-\r]++[^ \t-\r]++)"
 _EDGES = ".,;:!?()[]{}<>\"'"
-ROUNDS = 3
 #: A pattern needs so many different known entities, and that they follow in this share of its occurrences.
 SUPPORT = 3
 CONFIDENCE = 0.7
+#: A found token is known everywhere if this share of its places follow confident patterns; others are found at these alone.
+SHARE = 0.5
 #: Up to so many patterns are broadcast to be counted in the texts; more are joined by a shuffle.
 BROADCAST_PATTERNS = 20_000
 
@@ -130,11 +137,14 @@ def candidates(df: DataFrame, text: str, base: str, name: str = "tokens") -> Dat
     """
     columns = df.columns
     df = matches_of(df, text, _CANDIDATE, "_c", F.col(text).rlike("[0-9@]"))
-    # Left of a token stands the text since the last one, and that token.
-    before = F.transform(
-        F.sequence(F.lit(1), F.size("_m")),
-        lambda i: F.lower(F.right(F.concat(F.when(i > 1, F.get("_m", i - 2)).otherwise(F.lit("")), F.get("_p", i - 1)), F.lit(160))),
-    )
+    # The two words before a token lie in what is between the last two tokens and it, and in these.
+    def left(i: Column) -> Column:
+        def one(of: str, at: Column) -> Column:
+            return F.coalesce(F.get(of, at), F.lit(""))
+
+        return F.concat(F.when(i > 2, one("_m", i - 3)).otherwise(F.lit("")), F.when(i > 1, F.concat(one("_p", i - 2), one("_m", i - 2))).otherwise(F.lit("")), F.get("_p", i - 1))
+
+    before = F.transform(F.sequence(F.lit(1), F.size("_m")), left)
     df = df.withColumn("_b", F.when(F.size("_m") > 0, before).otherwise(F.array().cast("array<string>")))
 
     def token(x: Column, b: Column) -> Column:
@@ -145,13 +155,13 @@ def candidates(df: DataFrame, text: str, base: str, name: str = "tokens") -> Dat
             start.alias("start"),
             (start + F.char_length(core)).alias("end"),
             core.alias("token"),
-            F.regexp_extract(b, r"([^ \t-\r]++)[ \t-\r]++$", 1).alias("one"),
-            F.regexp_extract(b, r"([^ \t-\r]++[ \t-\r]++[^ \t-\r]++)[ \t-\r]++$", 1).alias("two"),
+            F.lower(F.regexp_extract(b, rf"{_WORD}[ \t-\r]++$", 1)).alias("one"),
+            F.lower(F.regexp_extract(b, rf"{_TWO_WORDS}[ \t-\r]++$", 1)).alias("two"),
             F.exists(base, lambda s: (s["start"] >= x["start"]) & (s["start"] < x["end"])).alias("known"),
             F.exists(base, lambda s: (s["start"] < x["start"]) & (s["end"] > x["start"])).alias("inside"),
         )
 
-    tokens = F.filter(F.zip_with("_c", "_b", token), lambda x: ~x["inside"] & (x["known"] | (F.length(F.regexp_replace(x["token"], "[^0-9]", "")) >= 4)))
+    tokens = F.filter(F.zip_with("_c", "_b", token), lambda x: ~x["inside"] & (x["known"] | x["token"].rlike("[0-9@]")))
     return df.withColumn(name, tokens).select(*columns, name)
 
 
@@ -161,39 +171,55 @@ def word_pairs(text: Column) -> Column:
     return F.flatten(F.transform(F.array(words), lambda w: F.concat(w, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda a, b: F.concat_ws(" ", a, b)))))
 
 
-def bootstrap(found: DataFrame, docs: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame | None:
+def occurrences_of(docs: DataFrame, text: str, patterns: DataFrame, number: int) -> DataFrame:
+    """How often each of the patterns, ``number`` in all, stands in the texts."""
+    places = docs.select(F.explode(word_pairs(F.col(text))).alias("pattern"))
+    return places.join(F.broadcast(patterns) if number <= BROADCAST_PATTERNS else patterns, "pattern", "left_semi").groupBy("pattern").count()
+
+
+def bootstrap(found: DataFrame, docs: DataFrame, text: str) -> DataFrame | None:
     """Keys and spans of tokens that confident patterns vouch for; None when there are none.
 
-    ``found`` has _id, _hash and tokens; ``docs`` the texts, for the patterns' occurrences.
+    ``found`` has _id, _hash and tokens; ``docs`` the texts, for the patterns' occurrences. Each round knows at least
+    one token more than the last, so the rounds end.
     """
     slots = found.select("_id", "_hash", F.explode("tokens").alias("x")).select("_id", "_hash", "x.*")
-    edge = slots.select("_id", "token", "start", "end", "_hash", "known", F.explode(F.array("one", F.regexp_replace("two", r"[ \t-\r]+", " "))).alias("pattern")).filter("pattern <> ''")
+    edge = slots.select("_id", "_hash", "token", "start", "end", "known", F.explode(F.array("one", F.regexp_replace("two", r"[ \t-\r]+", " "))).alias("pattern")).filter("pattern <> ''")
     edge = written(edge)
+    places = written(slots.filter("not known").groupBy("token").agg(F.count(F.lit(1)).alias("places")))
     known = edge.filter("known").select("token").distinct()
+    counted_yet: DataFrame | None = None
+    good: DataFrame | None = None
     new: DataFrame | None = None
-    for _ in range(rounds):
+    while True:
         # Copies of a text repeat its slots: entities count once for each pattern.
         support = edge.join(known, "token", "left_semi").groupBy("pattern").agg(F.countDistinct("token").alias("entities"), F.count(F.lit(1)).alias("hits"))
         pool = written(support.filter(F.col("entities") >= SUPPORT))
-        size = pool.count()
-        if not size:
-            break
         wanted = pool.select("pattern")
-        places = docs.select(F.explode(word_pairs(F.col(text))).alias("pattern"))
-        occurrences = places.join(F.broadcast(wanted) if size <= BROADCAST_PATTERNS else wanted, "pattern", "left_semi").groupBy("pattern").count()
-        good = pool.join(occurrences, "pattern").withColumn("confidence", F.least(F.col("hits") / F.col("count"), F.lit(1.0))).filter(F.col("confidence") >= CONFIDENCE)
-        good = written(good.select("pattern", "confidence"))
-        # An instance's score: that not all of its patterns are wrong.
-        scored = edge.join(known, "token", "left_anti").select("token", "pattern").distinct().join(good, "pattern")
-        instances = scored.groupBy("token").agg((1 - F.exp(F.sum(F.log(1.0001 - F.col("confidence"))))).alias("score")).filter(F.col("score") >= CONFIDENCE)
-        fresh = written(instances.select("token"))
+        if counted_yet is not None:
+            wanted = wanted.join(counted_yet.select("pattern"), "pattern", "left_anti")
+        size = wanted.count()
+        if size:
+            fresh_counts = written(occurrences_of(docs, text, wanted, size))
+            counted_yet = fresh_counts if counted_yet is None else counted_yet.unionByName(fresh_counts)
+        if counted_yet is None:
+            return None
+        rated = pool.join(counted_yet, "pattern").withColumn("confidence", F.least(F.col("hits") / F.col("count"), F.lit(1.0))).filter(F.col("confidence") >= CONFIDENCE)
+        good = written(rated.select("pattern", "confidence"))
+        # An instance's score: that not all of its patterns are wrong. Its share: of its places, those after such patterns.
+        vouched = edge.filter("not known").join(known, "token", "left_anti").join(good, "pattern")
+        at = vouched.groupBy("token", "_id", "_hash", "start").agg(F.lit(1).alias("one")).groupBy("token").agg(F.count("one").alias("after"))
+        scored = vouched.select("token", "pattern", "confidence").distinct().groupBy("token").agg((1 - F.exp(F.sum(F.log(1.0001 - F.col("confidence"))))).alias("score"))
+        sure = scored.filter(F.col("score") >= CONFIDENCE).join(at, "token").join(places, "token").filter(F.col("after") >= SHARE * F.col("places"))
+        fresh = written(sure.select("token"))
         if fresh.isEmpty():
             break
         new = fresh if new is None else new.unionByName(fresh)
         known = known.unionByName(fresh)
-    if new is None:
-        return None
-    return slots.filter("not known").join(new.distinct(), "token", "left_semi").select("_id", "_hash", F.struct("start", F.lit(len(KINDS)).alias("kind"), "end").alias("span"))
+    here = edge.filter("not known").join(good, "pattern", "left_semi").select("_id", "_hash", "start", "end")
+    if new is not None:
+        here = here.unionByName(slots.filter("not known").join(new, "token", "left_semi").select("_id", "_hash", "start", "end"))
+    return here.distinct().select("_id", "_hash", F.struct("start", F.lit(len(KINDS)).alias("kind"), "end").alias("span"))
 
 
 def find_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
