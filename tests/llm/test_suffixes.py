@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import suffixes
 
@@ -62,18 +63,63 @@ def test_pieces_of_long_texts_have_the_same_windows(monkeypatch):
     assert np.array_equal(*owner)
 
 
-def test_merged_order_is_that_of_all_suffixes():
+def test_merged_order_is_that_of_all_suffixes(monkeypatch):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 256, 900).astype(np.uint8).tobytes()
     texts = [base[a : a + 200 + n] for a, n in [(0, 60), (10, 0), (300, 90), (301, 140), (500, 199), (500, 150), (0, 20)]]
     many = np.array([0, 0, 0, 1, 0, 0, 0])
-    with np.errstate(over="ignore"):
-        got = suffixes.repeated_windows(texts, many)
     seen = Counter()
     for t, m in zip(texts, many, strict=True):
         for p in range(len(t) - 199):
             seen[t[p : p + 200]] += 1 + m
-    assert got.tolist() == [seen[t[p : p + 200]] > 1 for t in texts for p in range(len(t) - 199)]
+    want = [seen[t[p : p + 200]] > 1 for t in texts for p in range(len(t) - 199)]
+    for shards, size in [(2, 1 << 16), (3, 100), (7, 1), (8, 1)]:
+        monkeypatch.setattr(suffixes, "SHARDS", shards)
+        monkeypatch.setattr(suffixes, "SHARD_BYTES", size)
+        with np.errstate(over="ignore"):
+            assert suffixes.repeated_windows(texts, many).tolist() == want
+
+
+def groups_of(spark, monkeypatch, number):
+    """The sizes of what meets at one place when many documents share a passage in surroundings of their own."""
+    monkeypatch.setattr(suffixes, "KEY_CONTEXTS", 20)
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    passage = " ".join(word() for _ in range(38))[:260]
+    rows = [(i, " ".join(word() for _ in range(30)) + passage + " ".join(word() for _ in range(30))) for i in range(number)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).selectExpr("doc_id", "text _text", "xxhash64(text) _name")
+    anchors = suffixes.packed_anchors(df, 8)
+    marks = suffixes.marks_of(anchors)
+    wanted = marks.filter("octet_length(sent) > 0").groupBy("name").agg(F.collect_list("sent").alias("sent"))
+    dealt = suffixes.contexts_of(df.join(wanted, df["_name"] == wanted["name"]).select("name", "_text", "sent").coalesce(4), 1000)
+    windows = dealt.filter("octet_length(context) = 200").groupBy(F.md5("context")).count().agg(F.max("count")).first()[0]
+    # Each place of the passage is found all the same, with the letters beside it that others share by chance.
+    found = [tuple(r) for r in suffixes.remove_repeats(df.selectExpr("doc_id", "_text text")).collect()]
+    assert sorted(found) == sorted(brute(rows))
+    return windows, dealt.filter("full is not null").count()
+
+
+def test_what_meets_of_a_shared_passage_grows_with_tasks_and_not_with_documents(spark, monkeypatch):
+    # At most one row of each of four tasks.
+    for number in (150, 600):
+        largest, decided = groups_of(spark, monkeypatch, number)
+        assert largest <= 4 and decided >= number - 4
+
+
+def test_equal_contexts_across_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "COMBINED_ANCHORS", 5)
+    monkeypatch.setattr(suffixes, "COMBINED_WINDOWS", 7)
+    for most in (1, 4096):
+        monkeypatch.setattr(suffixes, "KEY_CONTEXTS", most)
+        rows = [(i, t) for i, t in enumerate(texts(11) + texts(12)[5:])]
+        got = [tuple(r) for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+        assert sorted(got) == sorted(brute(rows))
+
+
+def test_many_empty_and_short_texts_and_null_ids(spark):
+    rows = [(None, None), (None, ""), (None, "short"), (1, "short"), *[(i, "") for i in range(50)]]
+    got = [tuple(r) for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted(brute(rows), key=str)
 
 
 def test_no_rows(spark):

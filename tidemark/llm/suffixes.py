@@ -19,6 +19,7 @@ its interval has more than one member.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,6 +39,12 @@ STEP = 50
 #: Anchors in one packed bucket, and bytes of contexts in one merge, about.
 BUCKET_ANCHORS = 400_000
 MERGE_BYTES = 1 << 19
+#: Anchors, and windows of heavy keys, among which a task looks for equal ones before it sends any.
+COMBINED_ANCHORS = 400_000
+COMBINED_WINDOWS = 100_000
+#: Shards of a merge, if each has so many bytes; two at least.
+SHARDS = 8
+SHARD_BYTES = 1 << 16
 #: A key with more contexts than this has its windows dealt out one by one instead, by their bytes.
 KEY_CONTEXTS = 4096
 _PIECE = 8 << 20
@@ -100,67 +107,98 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(starts), np.concatenate(counts)
 
 
+def packed_runs(names: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tuple[int, bytes]]:
+    """By text: pairs of first window and number."""
+    order = np.argsort(names, kind="stable")
+    names, pairs = names[order], np.stack([starts[order], counts[order]], axis=1).astype("<u4")
+    found, first = np.unique(names, return_index=True)
+    ends = np.concatenate([first[1:], [len(names)]]).astype(int)
+    return [(int(n), pairs[x:y].tobytes()) for n, x, y in zip(found, first, ends, strict=True)]
+
+
 def packed_anchors(texts: DataFrame, buckets: int) -> DataFrame:
-    """Anchors by bucket of their keys: of each text its name and number of anchors; key, context hash, first window, windows."""
+    """Anchors by bucket of their keys: of each text its name and number of anchors; key, context hash, first window, windows.
+
+    Of the equal contexts that a task meets one is sent, marked as there more than once; the others are decided, and
+    go along as (name, full), dealt by name. So what is sent of a context grows with the tasks, not with its places.
+    """
+
+    def combined(held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        name = np.repeat(np.array([h[0] for h in held], dtype=np.int64), [len(h[1]) for h in held])
+        key, context, start, count = (np.concatenate([h[i] for h in held]) for i in range(1, 5))
+        order = np.lexsort((context, key))
+        new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (context[order][1:] != context[order][:-1])])
+        first, rest = order[new], order[~new]
+        many = np.diff(np.concatenate([np.flatnonzero(new), [len(order)]])) > 1
+        # By bucket, the anchors of a text side by side.
+        bucket = (key[first] % np.uint64(buckets)).astype(np.int64)
+        at = np.lexsort((name[first], bucket))
+        first, many, bucket = first[at], many[at], bucket[at]
+        rows: list[tuple] = []
+        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        for i in np.flatnonzero(np.diff(edges)).tolist():
+            here = first[edges[i] : edges[i + 1]]
+            owners = name[here]
+            begins = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
+            numbers = np.diff(np.concatenate([begins, [len(owners)]]))
+            packed = (owners[begins].tobytes(), numbers.astype("<u4").tobytes(), key[here].tobytes(), context[here].tobytes(), start[here].astype("<u4").tobytes(), count[here].astype("u1").tobytes())
+            rows.append((i, *packed, many[edges[i] : edges[i + 1]].astype("u1").tobytes(), None, None))
+        if len(rest):
+            rows += [(n % buckets, *[None] * 7, n, runs) for n, runs in packed_runs(name[rest], start[rest], count[rest])]
+        kinds = [pa.int32(), *[pa.binary()] * 7, pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["bucket", "names", "numbers", "keys", "contexts", "starts", "counts", "many", "name", "full"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        number = 0
         with np.errstate(over="ignore"):
             for batch in batches:
-                for a, b in steps(batch.column(1)):
-                    names, keys, contexts, starts, counts = [], [], [], [], []
-                    for name, text in zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a), strict=True):
-                        if name in done:
-                            continue
-                        done.add(name)
-                        raw = text.as_buffer()
-                        k, s, n = anchors(np.frombuffer(raw, dtype=np.uint8))
-                        view = memoryview(raw)
-                        names.append((name, len(k)))
-                        keys.append(k)
-                        starts.append(s)
-                        counts.append(n)
-                        contexts.append(np.array([xxhash.xxh3_64_intdigest(view[x:y]) for x, y in zip(s.tolist(), (s + n + WINDOW - 1).tolist(), strict=True)], dtype=np.uint64))
-                    if len(done) > 1_000_000:
-                        done.clear()
-                    if not names:
+                for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if name in done:
                         continue
-                    key, context, start, count = (np.concatenate(x) for x in (keys, contexts, starts, counts))
-                    owner = np.repeat(np.arange(len(names)), [n for _, n in names])
-                    bucket = (key % np.uint64(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
-                    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                    name_of = np.array([n for n, _ in names], dtype=np.int64)
-                    rows = []
-                    for i in range(buckets):
-                        at = order[edges[i] : edges[i + 1]]
-                        if len(at):
-                            here = np.bincount(owner[at], minlength=len(names))
-                            has = np.flatnonzero(here)
-                            rows.append((i, name_of[has].tobytes(), here[has].astype("<u4").tobytes(), key[at].tobytes(), context[at].tobytes(), start[at].astype("<u4").tobytes(), count[at].astype("u1").tobytes()))
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 7))], names=["bucket", "names", "numbers", "keys", "contexts", "starts", "counts"])
-
-    return texts.select("_name", "_text").mapInArrow(run, "bucket int, names binary, numbers binary, keys binary, contexts binary, starts binary, counts binary")
-
-
-def marked(group: pa.Table) -> pa.Table:
+                    done.add(name)
+                    raw = text.as_buffer()
+                    k, s, n = anchors(np.frombuffer(raw, dtype=np.uint8))
+                    view = memoryview(raw)
+                    contexts = np.array([xxhash.xxh3_64_intdigest(view[x:y]) for x, y in zip(s.tolist(), (s + n + WINDOW - 1).tolist(), strict=True)], dtype=np.uint64)
+                    held.append((name, k, contexts, s, n))
+                    number += len(k)
+                    if number >= COMBINED_ANCHORS:
+                        yield combined(held)
+                        held, number = [], 0
+                if len(done) > 1_000_000:
+                    done.clear()
+            if held:
+                yield combined(held)
+
+    return texts.select("_name", "_text").mapInArrow(run, "bucket int, names binary, numbers binary, keys binary, contexts binary, starts binary, counts binary, many binary, name long, full binary")
+
+
+def marked(group: pa.Table, key_contexts: int) -> pa.Table:
     """Of one bucket, by text: windows known to be repeated (pairs of first and number), and the contexts to be merged."""
+    names = ["name", "full", "sent", "bytes"]
+    decided = group.filter(group.column("name").is_valid())
+    group = group.filter(group.column("name").is_null())
+    passed = pa.table([decided.column("name"), decided.column("full"), pa.array([b""] * len(decided), pa.binary()), pa.array([0] * len(decided), pa.int64())], names=names)
+    if not len(group):
+        return passed
 
     def column(name: str, kind: str) -> np.ndarray:
         return np.concatenate([np.frombuffer(x, dtype=kind) for x in group.column(name).to_pylist()])
 
     name = np.repeat(column("names", "<i8"), column("numbers", "<u4"))
-    key, context, start, count = column("keys", "<u8"), column("contexts", "<u8"), column("starts", "<u4"), column("counts", "u1")
-    order = np.lexsort((start, name, context, key))
-    name, key, context, start, count = (x[order] for x in (name, key, context, start, count))
-    # Tasks may have sent the same text.
+    key, context, start, count, many = column("keys", "<u8"), column("contexts", "<u8"), column("starts", "<u4"), column("counts", "u1"), column("many", "u1")
+    order = np.lexsort((1 - many.astype(np.int8), start, name, context, key))
+    name, key, context, start, count, many = (x[order] for x in (name, key, context, start, count, many))
+    # Tasks may have sent the same text; the first of its rows says whether any has met the context again.
     once = np.concatenate([[True], (name[1:] != name[:-1]) | (start[1:] != start[:-1]) | (key[1:] != key[:-1]) | (context[1:] != context[:-1])])
-    name, key, context, start, count = (x[once] for x in (name, key, context, start, count))
+    name, key, context, start, count, many = (x[once] for x in (name, key, context, start, count, many))
     new_key = np.concatenate([[True], key[1:] != key[:-1]])
     new_context = new_key | np.concatenate([[True], context[1:] != context[:-1]])
     of_context = np.cumsum(new_context) - 1
     of_key = np.cumsum(new_key) - 1
-    members = np.bincount(of_context)[of_context]
+    members = np.bincount(of_context, weights=1 + many.astype(np.int64))[of_context]
     contexts = np.bincount(of_key, weights=new_context)[of_key]
     full = members > 1
     send = (contexts > 1) & new_context
@@ -168,28 +206,62 @@ def marked(group: pa.Table) -> pa.Table:
     name, key, start, count, full, send, contexts = (x[kept] for x in (name, key, start, count, full, send, contexts))
     order = np.argsort(name, kind="stable")
     name, key, start, count, full, send, contexts = (x[order] for x in (name, key, start, count, full, send, contexts))
+    if not len(name):
+        return passed
     sent = np.zeros(len(name), dtype=_SENT)
-    sent["key"], sent["start"], sent["windows"], sent["many"], sent["heavy"] = key, start, count, full, contexts > KEY_CONTEXTS
+    sent["key"], sent["start"], sent["windows"], sent["many"], sent["heavy"] = key, start, count, full, contexts > key_contexts
     runs = np.stack([start, count.astype("<u4")], axis=1).astype("<u4")
     found, first = np.unique(name, return_index=True)
     ends = np.concatenate([first[1:], [len(name)]])
     spans = list(zip(first, ends, strict=True))
-    return pa.table(
+    told = pa.table(
         [
             pa.array(found, pa.int64()),
             pa.array([runs[a:b][full[a:b]].tobytes() for a, b in spans], pa.binary()),
             pa.array([sent[a:b][send[a:b]].tobytes() for a, b in spans], pa.binary()),
             pa.array([int((sent["windows"][a:b][send[a:b]].astype(int) + WINDOW - 1).sum()) for a, b in spans], pa.int64()),
         ],
-        names=["name", "full", "sent", "bytes"],
+        names=names,
     )
+    return pa.concat_tables([told, passed])
+
+
+def marks_of(packed: DataFrame) -> DataFrame:
+    """``marked`` of each bucket."""
+    most = KEY_CONTEXTS
+
+    def run(group: pa.Table) -> pa.Table:
+        return marked(group, most)
+
+    return packed.groupBy("bucket").applyInArrow(run, "name long, full binary, sent binary, bytes long")
 
 
 def contexts_of(rows: DataFrame, merges: int) -> DataFrame:
-    """The contexts to be merged, dealt out by key; of a heavy key each window for itself, dealt out by its bytes."""
+    """The contexts to be merged, dealt out by key; of a heavy key each window for itself, dealt out by its bytes.
+
+    Of the equal windows that a task meets one is sent, marked as there more than once; the others are decided, and go
+    along as (name, full), dealt by name.
+    """
+    kinds = {"merge": pa.int32(), "name": pa.int64(), "start": pa.int64(), "many": pa.int8(), "context": pa.binary(), "full": pa.binary()}
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
+
+    def combined(windows: dict[bytes, list], again: list[tuple[int, int]]) -> pa.RecordBatch:
+        out: list[tuple] = [(int.from_bytes(digest[:6], "little") % merges, *one, None) for digest, one in windows.items()]
+        if again:
+            places = np.array(again, dtype=np.int64)
+            places = places[np.lexsort((places[:, 1], places[:, 0]))]
+            new = np.concatenate([[True], (places[1:, 0] != places[:-1, 0]) | (places[1:, 1] != places[:-1, 1] + 1)])
+            at = np.flatnonzero(new)
+            number = np.diff(np.concatenate([at, [len(places)]]))
+            out += [(n % merges, n, 0, 0, None, runs) for n, runs in packed_runs(places[at, 0], places[at, 1], number)]
+        return batch_of(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        windows: dict[bytes, list] = {}
+        again: list[tuple[int, int]] = []
         for batch in batches:
             for a, b in steps(batch.column("_text")):
                 out: list[tuple] = []
@@ -200,20 +272,30 @@ def contexts_of(rows: DataFrame, merges: int) -> DataFrame:
                     data = row["_text"].encode()
                     for part in row["sent"]:
                         for s in np.frombuffer(part, dtype=_SENT).tolist():
-                            key, start, windows, many, heavy = s
-                            if heavy:
-                                for p in range(start, start + windows):
-                                    one = data[p : p + WINDOW]
-                                    out.append((xxhash.xxh3_64_intdigest(one) % merges, row["name"], p, many, one))
-                            else:
-                                out.append((xxhash.xxh3_64_intdigest(key.to_bytes(8, "little")) % merges, row["name"], start, many, data[start : start + windows + WINDOW - 1]))
+                            key, start, count, many, heavy = s
+                            if not heavy:
+                                out.append((xxhash.xxh3_64_intdigest(key.to_bytes(8, "little")) % merges, row["name"], start, many, data[start : start + count + WINDOW - 1], None))
+                                continue
+                            for p in range(start, start + count):
+                                one = data[p : p + WINDOW]
+                                digest = xxhash.xxh3_128_digest(one)
+                                met = windows.get(digest)
+                                if met is None:
+                                    windows[digest] = [row["name"], p, many, one]
+                                else:
+                                    met[2] = 1
+                                    again.append((row["name"], p))
+                            if len(windows) >= COMBINED_WINDOWS or len(again) >= 10 * COMBINED_WINDOWS:
+                                yield combined(windows, again)
+                                windows, again = {}, []
                 if len(done) > 1_000_000:
                     done.clear()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int8(), pa.binary()))], names=["merge", "name", "start", "many", "context"]
-                )
+                if out:
+                    yield batch_of(out)
+        if windows:
+            yield combined(windows, again)
 
-    return rows.mapInArrow(run, "merge int, name long, start long, many tinyint, context binary")
+    return rows.mapInArrow(run, "merge int, name long, start long, many tinyint, context binary, full binary")
 
 
 class Transform:
@@ -221,13 +303,13 @@ class Transform:
 
     Symbols are numbers of STEP bytes. ``before`` has, suffix by suffix in order,
     the symbol that stands before it, or -1 where its context begins within STEP
-    bytes; ``ends`` are the symbols of the suffixes that are one symbol long, in order.
+    bytes; ``is_end`` marks the suffixes that are one symbol long, and ``ends`` are
+    the symbols of these, in order. ``block`` numbers the intervals of suffixes
+    with the same WINDOW bytes in front.
     """
 
-    def __init__(self, symbol: np.ndarray, before: np.ndarray, is_end: np.ndarray, order: np.ndarray) -> None:
-        self.order = order
-        self.before = before[order]
-        self.ends = symbol[order[is_end[order]]]
+    def __init__(self, order: np.ndarray, before: np.ndarray, is_end: np.ndarray, ends: np.ndarray, block: np.ndarray) -> None:
+        self.order, self.before, self.is_end, self.ends, self.block = order, before, is_end, ends, block
 
 
 def refine(before: np.ndarray, ends: np.ndarray, block: np.ndarray, first: bool, extra: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -264,22 +346,29 @@ def transform_of(symbol: np.ndarray, follows: np.ndarray, precedes: np.ndarray)
     order, block = np.arange(len(symbol), dtype=np.int32), np.zeros(len(symbol), dtype=np.int32)
     for k in range(WINDOW // STEP):
         (order,), block = refine(before[order], symbol[ends], block, k == 0, [(ends, precedes[order])])
-    return Transform(symbol, before, is_end, order)
+    ended = is_end[order]
+    return Transform(order, before[order], ended, symbol[order[ended]], block)
 
 
-def merge(a: Transform, b: Transform) -> tuple[np.ndarray, np.ndarray]:
-    """The interleaving of two suffix orders (0: from a, 1: from b), and the blocks of equal windows in it."""
+def merge(a: Transform, b: Transform) -> Transform:
+    """The transform of two shards together, from the interleaving of their suffix orders; no suffix is compared."""
     side = np.concatenate([np.zeros(len(a.order), dtype=np.int8), np.ones(len(b.order), dtype=np.int8)])
     block = np.zeros(len(side), dtype=np.int32)
     end_side = np.concatenate([np.zeros(len(a.ends), dtype=np.int8), np.ones(len(b.ends), dtype=np.int8)])
     ends = np.concatenate([a.ends, b.ends])
+
+    def woven(of: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """x and y in the order that the sides ``of`` say."""
+        out = np.empty(len(of), dtype=x.dtype)
+        from_b = of == 1
+        out[~from_b], out[from_b] = x, y
+        return out
+
     for k in range(WINDOW // STEP):
         # The merged transform is read off the two by the interleaving alone.
-        before = np.empty(len(side), dtype=np.int32)
-        from_b = side == 1
-        before[~from_b], before[from_b] = a.before, b.before
-        (side,), block = refine(before, ends, block, k == 0, [(end_side, side)])
-    return side, block
+        (side,), block = refine(woven(side, a.before, b.before), ends, block, k == 0, [(end_side, side)])
+    is_end = woven(side, a.is_end, b.is_end)
+    return Transform(woven(side, a.order, b.order), woven(side, a.before, b.before), is_end, woven(side[is_end], a.ends, b.ends), block)
 
 
 def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
@@ -295,18 +384,22 @@ def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
     index = np.arange(len(at), dtype=np.int32)
     follows = np.where(at + 2 * STEP <= (starts + sizes)[owner], index + np.int32(STEP), np.int32(-1))
     precedes = np.where(at - STEP >= starts[owner], index - np.int32(STEP), np.int32(-1))
-    # Two shards, cut between contexts.
-    middle = int(np.searchsorted(np.cumsum(suffixes), len(at) // 2)) + 1
-    cut = int(suffixes[:middle].sum())
+    # Shards are cut between contexts; their transforms are merged two by two until one is left.
+    last = np.cumsum(suffixes)
+    count = max(2, min(SHARDS, int(sizes.sum()) // SHARD_BYTES))
+    middles = np.searchsorted(last, len(at) * np.arange(1, count) // count) + 1
+    cuts = np.unique([0, *last[np.minimum(middles, len(last)) - 1], len(at)]).tolist()
 
     def part(a: int, b: int) -> Transform:
         shift = np.int32(a)
-        return transform_of(symbol[a:b], np.where(follows[a:b] < 0, np.int32(-1), follows[a:b] - shift), np.where(precedes[a:b] < 0, np.int32(-1), precedes[a:b] - shift))
-
-    left, right = part(0, cut), part(cut, len(at))
-    side, block = merge(left, right)
-    order = np.empty(len(at), dtype=np.int64)
-    order[side == 0], order[side == 1] = left.order, right.order + cut
+        whole = transform_of(symbol[a:b], np.where(follows[a:b] < 0, np.int32(-1), follows[a:b] - shift), np.where(precedes[a:b] < 0, np.int32(-1), precedes[a:b] - shift))
+        whole.order = whole.order + shift
+        return whole
+
+    shards = [part(a, b) for a, b in itertools.pairwise(cuts)]
+    while len(shards) > 1:
+        shards = [merge(*shards[i : i + 2]) if i + 1 < len(shards) else shards[i] for i in range(0, len(shards), 2)]
+    order, block = shards[0].order, shards[0].block
     is_window = at + WINDOW <= (starts + sizes)[owner]
     weight = np.where(is_window, 1 + many[owner], 0)[order]
     hit = np.zeros(len(at), dtype=bool)
@@ -316,14 +409,18 @@ def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
 
 def merged(group: pa.Table) -> pa.Table:
     """Of one merge: for each text the repeated windows (pairs of first and number)."""
-    # Tasks may have sent the contexts of the same text.
-    rows = {(r["name"], r["start"]): r for r in group.select(["name", "start", "many", "context"]).to_pylist()}
-    texts = [r["context"] for r in rows.values()]
-    names = list(rows)
+    decided = group.filter(group.column("context").is_null()).select(["name", "full"])
+    # Tasks may have sent the contexts of the same text; one that any has met again counts as more.
+    rows: dict[tuple[int, int, int], list] = {}
+    for r in group.filter(group.column("context").is_valid()).select(["name", "start", "many", "context"]).to_pylist():
+        row = rows.setdefault((r["name"], r["start"], len(r["context"])), [r["context"], 0])
+        row[1] = max(row[1], r["many"])
+    texts = [r[0] for r in rows.values()]
+    names = [k[:2] for k in rows]
     if not texts:
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary())], names=["name", "full"])
+        return decided
     with np.errstate(over="ignore"):
-        hit = repeated_windows(texts, np.array([r["many"] for r in rows.values()], dtype=np.int64))
+        hit = repeated_windows(texts, np.array([r[1] for r in rows.values()], dtype=np.int64))
     out: dict[int, list[np.ndarray]] = {}
     first = 0
     for (name, start), text in zip(names, texts, strict=True):
@@ -332,7 +429,8 @@ def merged(group: pa.Table) -> pa.Table:
         first += n
         if len(edges):
             out.setdefault(name, []).append(np.stack([edges[::2] + start, edges[1::2] - edges[::2]], axis=1))
-    return pa.table([pa.array(list(out), pa.int64()), pa.array([np.concatenate(x).astype("<u4").tobytes() for x in out.values()], pa.binary())], names=["name", "full"])
+    told = pa.table([pa.array(list(out), pa.int64()), pa.array([np.concatenate(x).astype("<u4").tobytes() for x in out.values()], pa.binary())], names=["name", "full"])
+    return pa.concat_tables([told, decided])
 
 
 def repeated_runs(texts: DataFrame) -> DataFrame:
@@ -345,7 +443,7 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     long = texts.filter(F.octet_length("_text") >= WINDOW)
     # A K-byte string is an anchor about twice in WINDOW - K + 2 places.
     buckets = max(8, math.ceil(2 * total / (WINDOW - K + 2) / BUCKET_ANCHORS))
-    marks = written(packed_anchors(long, buckets).groupBy("bucket").applyInArrow(marked, "name long, full binary, sent binary, bytes long"))
+    marks = written(marks_of(packed_anchors(long, buckets)))
     merges = max(8, math.ceil((marks.agg(F.sum("bytes")).first()[0] or 0) / MERGE_BYTES))
     wanted = marks.filter(F.octet_length("sent") > 0).groupBy("name").agg(F.collect_list("sent").alias("sent"))
     dealt = contexts_of(long.join(wanted, F.col("_name") == F.col("name")).select("name", "_text", "sent"), merges)
@@ -381,7 +479,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     end inside a character. Repeated rows are copies and repeat each other;
     other columns are ignored; no rows give no rows.
     """
-    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).withColumn("_name", F.xxhash64("_text", F.octet_length("_text")))
+    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    # Texts without a window repeat nothing; many of them are equal, so they are told apart by their ids.
+    texts = texts.withColumn("_name", F.when(F.octet_length("_text") >= WINDOW, F.xxhash64("_text", F.octet_length("_text"))).otherwise(F.xxhash64("_id", "_text")))
     runs = repeated_runs(texts.select("_name", "_text"))
     joined = texts.join(runs, F.col("_name") == F.col("name"), "left").select("_id", "_text", "runs", "whole")
     fields = FIELDS if with_kept else FIELDS[:-1]
@@ -392,7 +492,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out: list[tuple] = []
             for text, run_list, whole in zip(batch.column("_text"), batch.column("runs").to_pylist(), batch.column("whole").to_pylist(), strict=True):
                 data = memoryview(text.as_buffer())
-                spans = spans_of(run_list, whole, len(data))
+                spans = spans_of(run_list, whole, len(data)) if len(data) >= WINDOW else []
                 digest, at, kept = hashlib.sha256(), 0, []
                 for a, b in [*spans, (len(data), len(data))]:
                     digest.update(data[at:a])
