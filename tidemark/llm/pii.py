@@ -13,6 +13,8 @@ that are new in it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,8 +117,12 @@ def kept_spans(kind: str, no: int) -> Column:
     return F.transform(good, lambda x: F.struct(x["start"].alias("start"), F.lit(no).alias("kind"), x["end"].alias("end")))
 
 
+def of_kind(spans: str, no: int) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == no)
+
+
 def counted(no: int) -> Column:
-    return F.size(F.filter("base", lambda s: s["kind"] == no)).cast("long")
+    return F.size(of_kind("base", no)).cast("long")
 
 
 def base_spans(df: DataFrame, text: str, name: str = "base") -> DataFrame:
@@ -130,12 +136,22 @@ def base_spans(df: DataFrame, text: str, name: str = "base") -> DataFrame:
     return df.withColumn(name, F.array_sort(F.concat(*found))).select(*columns, name)
 
 
+def below(sorted_starts: Column, limit: Column) -> Column:
+    """How many of the sorted numbers are below the limit, by halving steps."""
+    powers = F.filter(F.array(*[F.lit(1 << b) for b in range(30, -1, -1)]), lambda p: p <= F.size(sorted_starts))
+    return F.aggregate(powers, F.lit(0), lambda n, p: F.when(F.coalesce(F.get(sorted_starts, n + p - 1) < limit, F.lit(False)), n + p).otherwise(n))
+
+
 def candidates(df: DataFrame, text: str, base: str, name: str = "tokens") -> DataFrame:
     """Add ``name``: array of (start, end, token, one, two, known): tokens like identifiers with the words before them.
 
-    known is true where a base span begins; tokens further inside a base span are left out.
+    known is true where a base span begins; tokens further inside a base span are left out. Spans of one kind do not
+    overlap, so of each kind the span before the token and the one after are looked up, whatever their number.
     """
     columns = df.columns
+    for no, kind in enumerate(KINDS):
+        spans = of_kind(base, no)
+        df = df.withColumn(f"_at_{kind}", F.transform(spans, lambda s: s["start"])).withColumn(f"_to_{kind}", F.transform(spans, lambda s: s["end"]))
     df = matches_of(df, text, _CANDIDATE, "_c", F.col(text).rlike("[0-9@]"))
     # The two words before a token lie in what is between the last two tokens and it, and in these.
     def left(i: Column) -> Column:
@@ -147,6 +163,14 @@ def candidates(df: DataFrame, text: str, base: str, name: str = "tokens") -> Dat
     before = F.transform(F.sequence(F.lit(1), F.size("_m")), left)
     df = df.withColumn("_b", F.when(F.size("_m") > 0, before).otherwise(F.array().cast("array<string>")))
 
+    def begins(x: Column) -> Column:
+        """Whether a base span begins in the token."""
+        return F.exists(F.array(*[F.get(f"_at_{kind}", below(F.col(f"_at_{kind}"), x["start"])) for kind in KINDS]), lambda at: F.coalesce(at < x["end"], F.lit(False)))
+
+    def inside(x: Column) -> Column:
+        """Whether a base span that began before the token covers its first character."""
+        return F.exists(F.array(*[F.get(f"_to_{kind}", below(F.col(f"_at_{kind}"), x["start"]) - 1) for kind in KINDS]), lambda to: F.coalesce(to > x["start"], F.lit(False)))
+
     def token(x: Column, b: Column) -> Column:
         lead = F.char_length(x["match"]) - F.char_length(F.ltrim(x["match"], F.lit(_EDGES)))
         core = F.trim(x["match"], F.lit(_EDGES))
@@ -157,8 +181,8 @@ def candidates(df: DataFrame, text: str, base: str, name: str = "tokens") -> Dat
             core.alias("token"),
             F.lower(F.regexp_extract(b, rf"{_WORD}[ \t-\r]++$", 1)).alias("one"),
             F.lower(F.regexp_extract(b, rf"{_TWO_WORDS}[ \t-\r]++$", 1)).alias("two"),
-            F.exists(base, lambda s: (s["start"] >= x["start"]) & (s["start"] < x["end"])).alias("known"),
-            F.exists(base, lambda s: (s["start"] < x["start"]) & (s["end"] > x["start"])).alias("inside"),
+            begins(x).alias("known"),
+            inside(x).alias("inside"),
         )
 
     tokens = F.filter(F.zip_with("_c", "_b", token), lambda x: ~x["inside"] & (x["known"] | x["token"].rlike("[0-9@]")))
@@ -266,16 +290,31 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     found, extra = find_entities(docs, id_col, text_col)
     rows = with_extra(base_spans(texts.withColumn("_hash", F.xxhash64("_text")), "_text"), extra)
     names = F.array(*[F.lit(f"<{k}>") for k in (*KINDS, FOUND)])
-    # One pass: the replaced text so far, and how far the original is used up.
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
-
-    def add(state: Column, s: Column) -> Column:
-        gap = F.substring(F.col("_text"), state["at"] + 1, s["start"] - state["at"])
-        return F.when(s["start"] < state["at"], F.struct(state["out"].alias("out"), F.greatest(state["at"], s["end"]).alias("at"))).otherwise(
-            F.struct(F.concat(state["out"], F.array(gap, F.get(names, s["kind"]))).alias("out"), s["end"].alias("at"))
-        )
-
-    done = F.aggregate("spans", start, add, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("_text"), s["at"] + 1, F.char_length("_text") - s["at"])))
+    # One pass in blocks of about the square root of the spans: each cuts its own stretch of the text, so that neither
+    # the text nor what has been written is gone through again at each span.
+    piece = "struct<out: array<string>, at: int>"
+    nothing = F.array().cast("array<string>")
+
+    def add(stretch: Column) -> Callable[[Column, Column], Column]:
+        def one(state: Column, s: Column) -> Column:
+            gap = F.substring(stretch["text"], state["at"] - stretch["at"] + 1, s["start"] - state["at"])
+            return F.when(s["start"] < state["at"], F.struct(state["out"].alias("out"), F.greatest(state["at"], s["end"]).alias("at"))).otherwise(
+                F.struct(F.concat(state["out"], F.array(gap, F.get(names, s["kind"]))).alias("out"), s["end"].alias("at"))
+            ).cast(piece)
+
+        return one
+
+    def block(state: Column, spans: Column) -> Column:
+        last = F.get(spans, F.size(spans) - 1)["start"]
+        cut = F.struct(state["at"].alias("at"), F.substring(F.col("_text"), state["at"] + 1, F.greatest(last - state["at"], F.lit(0))).alias("text"))
+        # An array of one element binds what is used again and again.
+        made = F.get(F.transform(F.array(cut), lambda c: F.aggregate(spans, F.struct(nothing.alias("out"), c["at"].alias("at")).cast(piece), add(c))), 0)
+        return F.get(F.transform(F.array(made), lambda m: F.struct(F.concat(state["out"], F.array(F.array_join(m["out"], ""))).alias("out"), m["at"].alias("at")).cast(piece)), 0)
+
+    size = F.ceil(F.sqrt(F.size("spans"))).cast("int")
+    blocks = F.when(F.size("spans") > 0, F.transform(F.sequence(F.lit(1), F.size("spans"), size), lambda i: F.slice("spans", i, size)))
+    rows = rows.withColumn("_blocks", blocks)
+    done = F.aggregate("_blocks", F.struct(nothing.alias("out"), F.lit(0).alias("at")).cast(piece), block, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("_text"), s["at"] + 1, F.char_length("_text") - s["at"])))
     text = F.when(F.size("spans") > 0, done).otherwise(F.col(f"_doc.`{text_col}`"))
     return rows.select(*[text.alias(c) if c == text_col else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
 
