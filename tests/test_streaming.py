@@ -238,3 +238,18 @@ def test_a_batch_is_handed_over_once(spark, tmp_path):
     send(spark.range(3), 0)
     send(spark.range(2), 1)
     assert seen == [(0, [0, 1, 2]), (1, [0, 1])]
+
+
+def test_keys_share_buckets_and_pages(spark, tmp_path):
+    """Calls and state entries are those of buckets, not of keys, and keys of one bucket do not see each other."""
+    kinds = ["foreground", "background", "foreground", "reset", "background"]
+    rows = [(f"d{i % 120}", BASE + i * 60_000_000, i, kinds[(i * i + i // 120) % 5]) for i in range(360)]
+    schema = "dev string, ts_us long, event_id long, op string"
+    stream = shuffled(spark, tmp_path, rows, schema, 8, ("end", BASE + 10**12, 1000, "reset"))
+    base_path = str(tmp_path / "run")
+    done = inorder.fold_in_order(stream, stateful.LifecycleSessions(240_000_000), "dev", "12 minutes", buckets=2)
+    done.writeStream.format("parquet").option("path", f"{base_path}/out").option("checkpointLocation", f"{base_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{base_path}/out")
+    same(out, lifecycle_sessions(spark.createDataFrame(rows, schema), idle=240_000_000), out.columns)
+    state = spark.read.format("statestore").option("path", f"{base_path}/cp").option("stateVarName", "state").load()
+    assert 0 < state.count() <= 2 * inorder.PAGES
