@@ -1,5 +1,7 @@
 import json
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +98,30 @@ def test_paths_need_no_python_and_no_shuffle(frame):
 
 def test_no_rows(spark):
     assert jsonpaths.json_paths(configure(spark).createDataFrame([], "i int, t string"), "t").collect() == []
+
+
+def deepest(text):
+    """The most brackets open at once outside of strings, one by one."""
+    now = most = 0
+    for m in re.sub(r"[^\[\]{}]+", "", re.sub(r'"(?:[^"\\]|\\.)*"', "", text)):
+        now += 1 if m in "[{" else -1
+        most = max(most, now)
+    return most
+
+
+def test_depth_is_that_of_counting_every_bracket(spark):
+    rng = random.Random(5)
+    runs = ["[" * 998, "{" * 1000, "]" * 997, '"' + "[" * 2000 + '"', '"\\"' + "[" * 1500, '"[\\', "[]" * 3000, "x" * 5000, "é\n1,", "}", "{", '"']
+    odd = ["".join(rng.choice(runs) for _ in range(rng.randint(1, 9))) for _ in range(300)] + ["[" * 999 + "]" * 999 + "{" * 1000, "x" * 9000 + "[" * 1000]
+    df = configure(spark).createDataFrame(list(enumerate(odd)), "i int, t string").repartition(4)
+    got = {r["i"]: r["e"] for r in df.select("i", jsonpaths.json_error(F.col("t"), F.lit(None).cast("array<struct<kind:string>>")).alias("e")).collect()}
+    assert got == {i: values.TOO_DEEP if deepest(t) >= jsonpaths.READER_DEPTH else values.INVALID_JSON for i, t in enumerate(odd)}
+    assert len(set(got.values())) == 2
+
+
+def test_long_texts_cost_no_step_a_bracket(spark):
+    """2,000 texts of 400,000 brackets: one step each took minutes."""
+    df = configure(spark).range(2000, numPartitions=8).select(F.expr("concat(repeat('[', 200000 + id), repeat(']', 200000 + id))").alias("t"))
+    start = time.perf_counter()
+    rows = jsonpaths.with_json_nodes(df, "t").select(jsonpaths.json_error(F.col("t"), F.col("nodes")).alias("e")).groupBy("e").count().collect()
+    assert [tuple(r) for r in rows] == [(values.TOO_DEEP, 2000)] and time.perf_counter() - start < 60

@@ -32,6 +32,9 @@ KINDS = (OBJECT, LIST, STRING, NUMBER, TRUTH, NULL, NO_NUMBER, DEEP)
 
 #: So many levels the JVM's JSON reader opens, counting the list that a text is wrapped in.
 READER_DEPTH = 1000
+#: So much of a text is looked at first for its depth, and so many brackets are counted together.
+HEAD = 4_096
+MARKS_OF_BLOCK = 1_000
 
 _NODE = "struct<path: string, name: string, key: string, depth: int, kind: string, value: string>"
 _OPEN = "struct<path: string, key: string, v: variant>"
@@ -149,17 +152,47 @@ def with_json_nodes(df: DataFrame, text: str, name: str = "nodes", max_depth: in
     return df.select("*", F.explode(F.array(json_nodes(F.col(text), max_depth))).alias(name))
 
 
-def json_error(text: Column, nodes: Column) -> Column:
-    """Why a text is no property bag: not JSON, nested too deeply to be read, no object; null if it is one, or no text."""
-    marks = F.split(F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]++", ""), "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+def _opened(text: Column) -> Column:
+    """The number of opening brackets."""
+    return F.length(text) - F.length(F.replace(F.replace(text, F.lit("[")), F.lit("{")))
+
+
+def _reaches_limit(text: Column) -> Column:
+    """Whether READER_DEPTH brackets are open at once in a text without strings.
+
+    The marks are counted a block at a time; one by one only in a block that could get there, and in none after it.
+    """
+    marks = F.regexp_replace(text, r"[^\[\]{}]++", "")
+    blocks = F.regexp_extract_all(marks, F.lit(f".{{1,{MARKS_OF_BLOCK}}}"), F.lit(0))
+
+    def state(now: Column, deep: Column) -> Column:
+        return F.struct(now.alias("now"), deep.alias("deep"))
 
-    def count(s: Column, mark: Column) -> Column:
-        now = s["now"] + F.when(mark.isin("[", "{"), 1).when(mark == "", 0).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+    def mark(s: Column, m: Column) -> Column:
+        now = s["now"] + F.when(m.isin("[", "{"), 1).when(m == "", 0).otherwise(-1)
+        return state(now, s["deep"] | (now >= READER_DEPTH))
 
-    deepest = F.aggregate(marks, start, count, lambda s: s["most"])
-    unread = F.when(deepest >= READER_DEPTH, TOO_DEEP).otherwise(INVALID_JSON)
+    def block(s: Column, part: Column) -> Column:
+        opened = _opened(part)
+        within = F.aggregate(F.split(part, ""), state(s["now"], F.lit(False)), mark)
+        passed = state(s["now"] + 2 * opened - F.length(part), F.lit(False))
+        return F.when(s["deep"], s).when(s["now"] + opened >= READER_DEPTH, within).otherwise(passed)
+
+    return F.aggregate(blocks, state(F.lit(0), F.lit(False)), block, lambda s: s["deep"])
+
+
+def _too_deep(text: Column) -> Column:
+    """Whether more levels are open somewhere than the reader opens; brackets in strings do not count."""
+    strings = r'"(?:[^"\\]|\\.)*+"'
+    # A string that ends in the head is one of the whole text; from the first other quote on the head does not tell.
+    head = F.substring_index(F.regexp_replace(F.substring(text, 1, HEAD), strings, ""), '"', 1)
+    few = _opened(text) < READER_DEPTH
+    return F.when(_reaches_limit(head), True).when(few, False).otherwise(_reaches_limit(F.regexp_replace(text, strings, "")))
+
+
+def json_error(text: Column, nodes: Column) -> Column:
+    """Why a text is no property bag: not JSON, nested too deeply to be read, no object; null if it is one, or no text."""
+    unread = F.when(_too_deep(text), TOO_DEEP).otherwise(INVALID_JSON)
     return F.when(F.coalesce(text, F.lit("")) != "", F.when(nodes.isNull(), unread).when(F.get(nodes, F.lit(0))["kind"] != OBJECT, NOT_AN_OBJECT))
 
 
