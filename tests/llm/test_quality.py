@@ -141,3 +141,53 @@ def test_without_trusted_documents_or_rows(spark, docs):
     nobody = spark.createDataFrame([], "doc_id long")
     assert all(r["kept"] for r in quality.classify_quality(df.filter("doc_id < 20"), nobody).collect())
     assert quality.classify_quality(df.limit(0), nobody).collect() == []
+
+
+def folder_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*") if f.is_file())
+
+
+def test_rounds_give_the_same_from_a_part_of_the_n_grams_each(spark, docs, monkeypatch):
+    rows, df = docs
+    texts = spark.createDataFrame([(t,) for _, t, _ in rows[:60]], "t string").repartition(4)
+    whole = quality.fit(texts)
+    monkeypatch.setattr(quality, "ROUND_BYTES", 8_000)
+    model = quality.fit(texts)
+    assert whole.rounds == 1 and model.rounds > 2
+    parts = [model.part(k) for k in range(model.rounds)]
+    sizes = [part.count() for part, _ in parts]
+    assert sum(sizes) == whole.worth.count() and max(sizes) < sum(sizes) * 2 / 3
+    p = brute([t for _, t, _ in rows[:60]])
+    got = {r["_id"]: r["perplexity"] for r in quality.with_perplexity(named(df), model).collect()}
+    for i, t, _ in rows:
+        want = brute_perplexity(p, t or "")
+        assert got[i] == pytest.approx(want, rel=1e-6) if want else got[i] is None
+    assert spark.conf.get(quality._CLEANUP, None) in (None, "false")
+
+
+def test_a_round_holds_a_part_of_the_disk(spark, monkeypatch, tmp_path):
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"w{rng.randint(0, 50_000)}" for _ in range(300)), "xx") for i in range(600)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(4)
+    kept = tmp_path / "kept"
+    monkeypatch.setattr("tidemark.llm.common.checkpoint_dir", lambda _: str(kept))
+    discard, most = quality.discard, {}
+    for size in (1 << 30, 300_000):
+        monkeypatch.setattr(quality, "ROUND_BYTES", size)
+        model = quality.fit(df.select("text"))
+        before, seen = folder_bytes(kept), []
+        monkeypatch.setattr(quality, "discard", lambda one, b=before, s=seen: (s.append(folder_bytes(kept) - b), discard(one)))
+        assert quality.with_perplexity(named(df), model).filter("perplexity > 0").count() == 600
+        monkeypatch.setattr(quality, "discard", discard)
+        most[model.rounds] = max(seen)
+    (one, whole), (rounds, part) = sorted(most.items())
+    assert one == 1 and rounds >= 4 and part < whole / 2
+
+
+def test_words_are_named_alike_wherever_they_stand():
+    names = quality.Names()
+    found, start = names("\t\u00e9t\u00e9  a\x00 a \u00e9t\u00e9\n\u00a0 a\x00".encode())
+    assert len(found) == 6 and start[0] == 1
+    assert found[0] == found[3] and found[1] == found[5] and len(set(found.tolist())) == 4
+    alone, _ = quality.Names()("\u00e9t\u00e9".encode())
+    assert alone[0] == found[0] and len(names(b" \n")[0]) == 0
