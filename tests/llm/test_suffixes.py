@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.llm import suffixes
@@ -124,3 +125,51 @@ def test_many_empty_and_short_texts_and_null_ids(spark):
 
 def test_no_rows(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_only_contexts_that_may_share_a_window_are_merged(monkeypatch):
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    lines, passage = [letters(120) for _ in range(8)], letters(260)
+    texts = ["".join(letters(150) + line for line in lines).encode() for _ in range(40)] + [(letters(90) + passage + letters(90)).encode() for _ in range(3)]
+    rows, by_key = [], {}
+    with np.errstate(over="ignore"):
+        for i, text in enumerate(texts):
+            for key, start, n in zip(*suffixes.anchors(np.frombuffer(text, dtype=np.uint8)), strict=True):
+                by_key.setdefault(int(key), []).append((i, int(start), 0, text[start : start + n + 199], None))
+    rows = [r for found in by_key.values() if len(found) > 1 for r in found]
+    kinds = {"name": pa.int64(), "start": pa.int64(), "many": pa.int8(), "context": pa.binary(), "full": pa.binary()}
+    given = []
+    plain = suffixes.repeated_windows
+    monkeypatch.setattr(suffixes, "repeated_windows", lambda texts, many: given.append(sum(map(len, texts))) or plain(texts, many))
+    told = suffixes.merged(pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())], names=list(kinds)))
+    seen = Counter(r[3][p : p + 200] for r in rows for p in range(len(r[3]) - 199))
+    want = {(r[0], r[1] + p) for r in rows for p in range(len(r[3]) - 199) if seen[r[3][p : p + 200]] > 1}
+    pairs = [(name, np.frombuffer(runs, dtype="<u4").reshape(-1, 2)) for name, runs in zip(told["name"].to_pylist(), told["full"].to_pylist(), strict=True)]
+    assert {(name, s + p) for name, runs in pairs for s, n in runs.tolist() for p in range(n)} == want and len(want) >= 3 * 61
+    # The lines are too short to hold a window, so their contexts have nothing to be merged with.
+    assert sum(given) < sum(len(r[3]) for r in rows) / 4
+
+
+def test_anchors_of_many_texts_are_those_of_each(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 3, n).astype(np.uint8).tobytes() for n in (200, 201, 900, 200, 5000, 399, 20000, 250)] + [b"a" * 700, b"a" * 200]
+    with np.errstate(over="ignore"):
+        want = [suffixes.anchors(np.frombuffer(t, dtype=np.uint8)) for t in texts]
+        for together, piece in [(1, 777), (6000, 8 << 20), (6000, 500), (1 << 20, 8 << 20)]:
+            monkeypatch.setattr(suffixes, "_TOGETHER", together)
+            monkeypatch.setattr(suffixes, "_PIECE", piece)
+            for a, b, text in zip(want, suffixes.anchors_of([pa.py_buffer(t) for t in texts]), texts, strict=True):
+                for found in (a, b):
+                    assert int(found[2].sum()) == len(text) - 199
+                assert np.array_equal(np.repeat(a[0], a[2]), np.repeat(b[0], b[2])) and np.array_equal(np.cumsum(b[2])[:-1], b[1][1:])
+
+
+def test_rolling_hashes_of_equal_bytes_are_equal_across_blocks():
+    data = np.random.default_rng(2).integers(0, 2, 40_000).astype(np.uint8)
+    data[30_000:30_300] = data[100:400]
+    with np.errstate(over="ignore"):
+        for size in (1, 32, 200):
+            h = suffixes.rolling(data, size)
+            assert len(h) == len(data) - size + 1 and np.array_equal(h[30_000 : 30_301 - size], h[100 : 401 - size])
+        assert len(suffixes.rolling(data[:10], 32)) == 0

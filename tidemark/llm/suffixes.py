@@ -45,50 +45,58 @@ COMBINED_WINDOWS = 100_000
 #: Shards of a merge, if each has so many bytes; two at least.
 SHARDS = 8
 SHARD_BYTES = 1 << 16
+#: Places of an anchor in a window that are looked at together when contexts are compared by what such windows must have in common.
+SPAN = 22
 #: A key with more contexts than this has its windows dealt out one by one instead, by their bytes.
 KEY_CONTEXTS = 4096
 _PIECE = 8 << 20
+#: Bytes of a block of rolling hashes, and of texts that go through the steps of their anchors together.
+_BLOCK = 1 << 14
+_TOGETHER = 1 << 17
 _PLACE = np.uint64((1 << 24) - 1)
 _P = 0x9E3779B97F4A7C15
 _SENT = np.dtype([("key", "<u8"), ("start", "<u4"), ("windows", "<u2"), ("many", "u1"), ("heavy", "u1")])
 
 
-@lru_cache(maxsize=64)
-def power(n: int) -> np.uint64:
-    return np.uint64(pow(_P, n, 1 << 64))
-
-
 @lru_cache(maxsize=1)
 def letters() -> np.ndarray:
     return np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
+@lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and of its inverse, for the places of a block."""
+    inverse = pow(_P, -1, 1 << 64)
+    return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(_BLOCK, base, dtype=np.uint64)])) for base in (_P, inverse))
+
+
 def rolling(data: np.ndarray, size: int) -> np.ndarray:
-    """A polynomial hash of every ``size`` bytes, by doubling the length."""
-    now, length = letters()[data], 1
-    out: np.ndarray | None = None
-    have = 0
-    rest = size
-    while True:
-        if rest & 1:
-            if out is None:
-                out, have = now, length
-            else:
-                n = len(now) - have
-                out, have = out[:n] * power(length) + now[have:], have + length
-        rest >>= 1
-        if not rest:
-            break
-        now, length = now[:-length] * power(length) + now[length:], 2 * length
-    out = out ^ (out >> np.uint64(32))
-    out = out * np.uint64(0xC4CEB9FE1A85EC53)
-    return out ^ (out >> np.uint64(29))
-
-
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first window and number of windows of each anchor of a text of at least WINDOW bytes."""
+    """A polynomial hash of every ``size`` bytes, from running sums over blocks."""
+    number = max(0, len(data) - size + 1)
+    out = np.empty(number, dtype=np.uint64)
+    up, down = powers()
+    block = _BLOCK - size + 1
+    for a in range(0, number, block):
+        n = min(block, number - a)
+        sums = np.zeros(n + size, dtype=np.uint64)
+        np.cumsum(letters()[data[a : a + n + size - 1]] * down[: n + size - 1], out=sums[1:])
+        h = (sums[size:] - sums[:n]) * up[size - 1 : size - 1 + n]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xC4CEB9FE1A85EC53)
+        np.bitwise_xor(h, h >> np.uint64(29), out=out[a : a + n])
+    return out
+
+
+def anchors(data: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, first window and number of windows of each anchor of a text of at least WINDOW bytes.
+
+    With ``ends`` of several such texts, one after the other in ``data``, windows that go over an end are none.
+    """
     keys, starts, counts = [], [], []
     windows = len(data) - WINDOW + 1
+    over = np.zeros(windows, dtype=bool)
+    for end in [] if ends is None else ends[:-1].tolist():
+        over[end - WINDOW + 1 : end] = True
     for a in range(0, windows, _PIECE):
         part = data[a : min(a + _PIECE, windows) + WINDOW - 1]
         h = rolling(part, K)
@@ -99,14 +107,35 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             low, span = np.minimum(low[:-span], low[span:]), span * 2
         if wide > span:
             low = np.minimum(low[: span - wide], low[wide - span :])
-        place = (low & _PLACE).astype(np.int64)
+        inside = np.flatnonzero(~over[a : a + len(low)])
+        if not len(inside):
+            continue
+        place = (low[inside] & _PLACE).astype(np.int64)
+        # Windows on both sides of an end have no place in common.
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         keys.append(h[place[first]])
-        starts.append(first + a)
+        starts.append(inside[first] + a)
         counts.append(np.diff(np.concatenate([first, [len(place)]])))
     return np.concatenate(keys), np.concatenate(starts), np.concatenate(counts)
 
 
+def anchors_of(texts: list[pa.Buffer]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``anchors`` of each text; texts that are short go through the steps together."""
+    first = 0
+    while first < len(texts):
+        last, size = first + 1, len(texts[first])
+        while last < len(texts) and size + len(texts[last]) <= _TOGETHER:
+            size += len(texts[last])
+            last += 1
+        ends = np.cumsum([len(t) for t in texts[first:last]])
+        key, start, count = anchors(np.concatenate([np.frombuffer(t, dtype=np.uint8) for t in texts[first:last]]), ends)
+        begins = np.concatenate([[0], ends[:-1]])
+        cuts = np.searchsorted(start, np.concatenate([begins, ends[-1:]]))
+        for begin, x, y in zip(begins, cuts[:-1], cuts[1:], strict=True):
+            yield key[x:y], start[x:y] - begin, count[x:y]
+        first = last
+
+
 def packed_runs(names: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tuple[int, bytes]]:
     """By text: pairs of first window and number."""
     order = np.argsort(names, kind="stable")
@@ -154,12 +183,12 @@ def packed_anchors(texts: DataFrame, buckets: int) -> DataFrame:
         number = 0
         with np.errstate(over="ignore"):
             for batch in batches:
+                fresh: dict[int, pa.Buffer] = {}
                 for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    if name in done:
-                        continue
-                    done.add(name)
-                    raw = text.as_buffer()
-                    k, s, n = anchors(np.frombuffer(raw, dtype=np.uint8))
+                    if name not in done:
+                        done.add(name)
+                        fresh[name] = text.as_buffer()
+                for (name, raw), (k, s, n) in zip(fresh.items(), anchors_of(list(fresh.values())), strict=True):
                     view = memoryview(raw)
                     contexts = np.array([xxhash.xxh3_64_intdigest(view[x:y]) for x, y in zip(s.tolist(), (s + n + WINDOW - 1).tolist(), strict=True)], dtype=np.uint64)
                     held.append((name, k, contexts, s, n))
@@ -303,13 +332,13 @@ class Transform:
 
     Symbols are numbers of STEP bytes. ``before`` has, suffix by suffix in order,
     the symbol that stands before it, or -1 where its context begins within STEP
-    bytes; ``is_end`` marks the suffixes that are one symbol long, and ``ends`` are
-    the symbols of these, in order. ``block`` numbers the intervals of suffixes
-    with the same WINDOW bytes in front.
+    bytes; ``ends`` are the symbols of the suffixes that are one symbol long, in
+    order. ``block`` numbers the intervals of suffixes with the same WINDOW bytes
+    in front.
     """
 
-    def __init__(self, order: np.ndarray, before: np.ndarray, is_end: np.ndarray, ends: np.ndarray, block: np.ndarray) -> None:
-        self.order, self.before, self.is_end, self.ends, self.block = order, before, is_end, ends, block
+    def __init__(self, order: np.ndarray, before: np.ndarray, ends: np.ndarray, block: np.ndarray) -> None:
+        self.order, self.before, self.ends, self.block = order, before, ends, block
 
 
 def refine(before: np.ndarray, ends: np.ndarray, block: np.ndarray, first: bool, extra: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -346,29 +375,28 @@ def transform_of(symbol: np.ndarray, follows: np.ndarray, precedes: np.ndarray)
     order, block = np.arange(len(symbol), dtype=np.int32), np.zeros(len(symbol), dtype=np.int32)
     for k in range(WINDOW // STEP):
         (order,), block = refine(before[order], symbol[ends], block, k == 0, [(ends, precedes[order])])
-    ended = is_end[order]
-    return Transform(order, before[order], ended, symbol[order[ended]], block)
+    return Transform(order, before[order], symbol[order[is_end[order]]], block)
 
 
-def merge(a: Transform, b: Transform) -> Transform:
-    """The transform of two shards together, from the interleaving of their suffix orders; no suffix is compared."""
-    side = np.concatenate([np.zeros(len(a.order), dtype=np.int8), np.ones(len(b.order), dtype=np.int8)])
+def merge(parts: list[Transform]) -> tuple[np.ndarray, np.ndarray]:
+    """Order and blocks of the suffixes of all shards together, from the interleaving of their orders; no suffix is compared."""
+    of_part = np.arange(len(parts), dtype=np.int8)
+    side = np.repeat(of_part, [len(p.order) for p in parts])
+    end_side = np.repeat(of_part, [len(p.ends) for p in parts])
+    ends = np.concatenate([p.ends for p in parts])
+    before = np.concatenate([p.before for p in parts])
     block = np.zeros(len(side), dtype=np.int32)
-    end_side = np.concatenate([np.zeros(len(a.ends), dtype=np.int8), np.ones(len(b.ends), dtype=np.int8)])
-    ends = np.concatenate([a.ends, b.ends])
-
-    def woven(of: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """x and y in the order that the sides ``of`` say."""
-        out = np.empty(len(of), dtype=x.dtype)
-        from_b = of == 1
-        out[~from_b], out[from_b] = x, y
+
+    def woven(x: np.ndarray) -> np.ndarray:
+        """The shards' values one after the other, in the order that the sides say."""
+        out = np.empty_like(x)
+        out[np.argsort(side, kind="stable")] = x
         return out
 
     for k in range(WINDOW // STEP):
-        # The merged transform is read off the two by the interleaving alone.
-        (side,), block = refine(woven(side, a.before, b.before), ends, block, k == 0, [(end_side, side)])
-    is_end = woven(side, a.is_end, b.is_end)
-    return Transform(woven(side, a.order, b.order), woven(side, a.before, b.before), is_end, woven(side[is_end], a.ends, b.ends), block)
+        # The merged transform is read off those of the shards by the interleaving alone.
+        (side,), block = refine(woven(before), ends, block, k == 0, [(end_side, side)])
+    return woven(np.concatenate([p.order for p in parts])), block
 
 
 def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
@@ -384,7 +412,7 @@ def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
     index = np.arange(len(at), dtype=np.int32)
     follows = np.where(at + 2 * STEP <= (starts + sizes)[owner], index + np.int32(STEP), np.int32(-1))
     precedes = np.where(at - STEP >= starts[owner], index - np.int32(STEP), np.int32(-1))
-    # Shards are cut between contexts; their transforms are merged two by two until one is left.
+    # Shards are cut between contexts; their transforms are merged all at once.
     last = np.cumsum(suffixes)
     count = max(2, min(SHARDS, int(sizes.sum()) // SHARD_BYTES))
     middles = np.searchsorted(last, len(at) * np.arange(1, count) // count) + 1
@@ -397,9 +425,7 @@ def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
         return whole
 
     shards = [part(a, b) for a, b in itertools.pairwise(cuts)]
-    while len(shards) > 1:
-        shards = [merge(*shards[i : i + 2]) if i + 1 < len(shards) else shards[i] for i in range(0, len(shards), 2)]
-    order, block = shards[0].order, shards[0].block
+    order, block = merge(shards) if len(shards) > 1 else (shards[0].order, shards[0].block)
     is_window = at + WINDOW <= (starts + sizes)[owner]
     weight = np.where(is_window, 1 + many[owner], 0)[order]
     hit = np.zeros(len(at), dtype=bool)
@@ -407,6 +433,41 @@ def repeated_windows(texts: list[bytes], many: np.ndarray) -> np.ndarray:
     return hit[is_window]
 
 
+def shareable(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of windows that may be in another context too: context, first window and number of windows.
+
+    All windows of a context have one anchor, and equal windows have it at the same place. Those that have it at one of
+    SPAN places share the bytes in their middle, so a context that has these with no other of its key has none of them in common.
+    """
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    h = rolling(data, K)
+    inside = np.arange(len(data)) - np.repeat(starts, sizes)
+    low = np.append((h & ~_PLACE) | inside[: len(h)].astype(np.uint64), np.uint64(0))
+    # The smallest of a context's hashes is that of its anchor.
+    anchor = (np.minimum.reduceat(low, np.stack([starts, starts + sizes - K + 1], axis=1).ravel())[::2] & _PLACE).astype(np.int64)
+    windows = sizes - WINDOW + 1
+    lowest, highest = (anchor - windows + 1) // SPAN, anchor // SPAN
+    number = highest - lowest + 1
+    context = np.repeat(np.arange(len(texts)), number)
+    span = np.repeat(lowest - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
+    middle = rolling(data, WINDOW - SPAN + 1)[(starts + anchor)[context] - span * SPAN]
+    key = h[starts + anchor][context]
+    order = np.lexsort((middle, span, key))
+    same = (key[order][1:] == key[order][:-1]) & (span[order][1:] == span[order][:-1]) & (middle[order][1:] == middle[order][:-1])
+    met = np.zeros(len(order), dtype=bool)
+    met[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    # Spans that follow one another are one stretch; windows go the other way.
+    context, span = context[met], span[met]
+    new = np.concatenate([[True], (context[1:] != context[:-1]) | (span[1:] != span[:-1] + 1)]) if len(context) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    until = np.append(at[1:], len(context)) - 1
+    context, top, bottom = context[at], span[until] * SPAN + SPAN - 1, span[at] * SPAN
+    first = np.maximum(anchor[context] - top, 0)
+    return context, first, np.minimum(anchor[context] - bottom, windows[context] - 1) - first + 1
+
+
 def merged(group: pa.Table) -> pa.Table:
     """Of one merge: for each text the repeated windows (pairs of first and number)."""
     decided = group.filter(group.column("context").is_null()).select(["name", "full"])
@@ -419,8 +480,15 @@ def merged(group: pa.Table) -> pa.Table:
     names = [k[:2] for k in rows]
     if not texts:
         return decided
+    many = np.array([r[1] for r in rows.values()], dtype=np.int64)
+    windows = np.array([len(t) - WINDOW + 1 for t in texts])
+    hit = np.repeat(many > 0, windows)
     with np.errstate(over="ignore"):
-        hit = repeated_windows(texts, np.array([r[1] for r in rows.values()], dtype=np.int64))
+        context, begin, number = shareable(texts)
+        if len(context):
+            found = repeated_windows([texts[c][a : a + n + WINDOW - 1] for c, a, n in zip(context.tolist(), begin.tolist(), number.tolist(), strict=True)], many[context])
+            begin = (np.cumsum(windows) - windows)[context] + begin
+            hit[np.repeat(begin - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))] = found
     out: dict[int, list[np.ndarray]] = {}
     first = 0
     for (name, start), text in zip(names, texts, strict=True):
